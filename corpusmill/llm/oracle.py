@@ -50,6 +50,12 @@ judged as (select c.*, coalesce(not base_failed and {_FITS}, false) as kept
         from counts c left join bounds b on c.lang is not distinct from b.lang and c.source is not distinct from b.source)"""
 
 ORACLES: dict[str, str] = {
+    "op5_warc": """
+with p as (select page_id, strlen(coalesce(html, ''))::bigint as payload_bytes, sha256(coalesce(html, '')) as payload_digest from pages),
+f as (select payload_digest, min(page_id) as first from p where payload_bytes >= 100 group by payload_digest)
+select page_id, payload_bytes, payload_digest, case when first is null or first = page_id then 'response' else 'revisit' end as record_type,
+    case when first <> page_id then first end as refers_to
+from p left join f using (payload_digest)""",
     "op8_quality_rules": f"with {QUALITY_COUNTS.format(docs='documents')} "
     "select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept from judged",
 }

@@ -28,8 +28,8 @@ SCALE = 1000
 #: Rate -> (numerator, denominator, least width of the interquartile range, also bounded below).
 RATES = {
     "symbols": ("n_symbols", "_q_chars", 4, False),
-    "dup_lines": ("n_dup_lines", "_q_lines", 40, False),
-    "repeats": ("n_repeat_words", "n_words", 25, False),
+    "dup_lines": ("n_dup_lines", "_q_lines", 60, False),
+    "repeats": ("n_repeat_words", "n_words", 45, False),
     "word_length": ("word_chars", "n_words", 400, True),
 }
 BIN_LIMIT = 100 * SCALE

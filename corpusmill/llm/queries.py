@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusmill.llm import quality_rules
-from corpusmill.llm.tables import stored, table
+from corpusmill.llm import quality_rules, warc
+from corpusmill.llm.tables import new_path, stored, table
 
 
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,8 +18,14 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_path(spark, "warc")
+    warc.write_archives(table(spark, sf_dir, "pages"), path)
+    return warc.read_archives(spark, path).drop("payload", "url")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op8_quality_rules,)}
+    return {f.__name__: f for f in (op5_warc, op8_quality_rules)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -23,11 +23,16 @@ def shared_dir(spark: SparkSession) -> str:
     return made
 
 
+def new_path(spark: SparkSession, label: str) -> str:
+    """A path in the shared folder that nothing has used."""
+    return os.path.join(shared_dir(spark), "tables", f"{label}-{uuid.uuid4().hex}")
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """``df`` written once as Parquet to the shared folder and read back: lineage is cut and lost executors cost nothing.
 
     The written schema is passed on, so no job infers it, and an empty result stays readable.
     """
-    path = os.path.join(shared_dir(df.sparkSession), "tables", f"{label}-{uuid.uuid4().hex}")
+    path = new_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
