@@ -18,12 +18,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill.llm.tables import stored
+from corpusmill.llm.tables import small, stored
 
 WINDOW = 8
 MIN_PERCENT = 50
-#: The benchmark's windows, and the hits, are broadcast up to so many rows (of under 100 bytes); beyond it Spark shuffles.
-BROADCAST_ROWS = 500_000
 # Units of measure that can follow a number.
 UNITS = (
     "km m cm mm mi mile miles ft feet foot inch inches yard yards kg g mg lb lbs pound pounds ounce ounces ton tons l ml liter liters litre litres "
@@ -59,11 +57,6 @@ def windows(tokens: Column) -> Column:
     return F.transform(F.array(codes), at)[0]
 
 
-def _small(df: DataFrame) -> DataFrame:
-    """``df`` marked for broadcast if a count proves it small."""
-    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
-
-
 def hits(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, text_hash, item_id, n_windows, item_windows, n_slots, kind of every hit."""
     item = benchmark.select("item_id", marked(F.col("text")).alias("mark")).distinct()
@@ -76,7 +69,7 @@ def hits(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         "doc_id", F.xxhash64("text").alias("text_hash"), F.posexplode(windows(template(marked(F.col("text"))))).alias("doc_pos", "window")
     )
     # One row per document, item and diagonal, so a document repeated a million times stays a million small groups.
-    seen = doc_rows.join(_small(item_windows), F.col("window") == F.col("item_window"))
+    seen = doc_rows.join(small(item_windows), F.col("window") == F.col("item_window"))
     pair = ["doc_id", "text_hash", "item_id"]
     lines = (
         seen.groupBy(*pair, "item_windows", (F.col("doc_pos") - F.col("item_pos")).alias("shift"))
@@ -92,12 +85,12 @@ def hits(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     # Slots along the best diagonal, for the documents with hits only.
     near = lines.select(F.col("doc_id").alias("i"), F.col("text_hash").alias("t")).distinct()
     texts = docs.withColumn("text_hash", F.xxhash64("text")).join(
-        _small(near), F.col("doc_id").eqNullSafe(F.col("i")) & (F.col("text_hash") == F.col("t")), "left_semi"
+        small(near), F.col("doc_id").eqNullSafe(F.col("i")) & (F.col("text_hash") == F.col("t")), "left_semi"
     )
     texts = texts.select(F.col("doc_id").alias("i"), F.col("text_hash").alias("t"), _tokens(marked(F.col("text"))).alias("doc_tokens")).distinct()
     both = lines.join(texts, F.col("doc_id").eqNullSafe(F.col("i")) & (F.col("text_hash") == F.col("t")))
     raw = item.select(F.col("item_id").alias("j"), _tokens(F.col("mark")).alias("item_tokens"))
-    both = both.join(_small(raw), F.col("item_id").eqNullSafe(F.col("j")))
+    both = both.join(small(raw), F.col("item_id").eqNullSafe(F.col("j")))
     slot = lambda t: t.rlike(r"^[\x01\x02\p{N}]")
     both = both.withColumn(
         "slots",
@@ -120,4 +113,4 @@ def hits(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` without a hit."""
     found = stored(hits(docs, benchmark).select(F.col("doc_id").alias("i"), F.col("text_hash").alias("t")).distinct(), "decontaminate-hits")
-    return docs.join(_small(found), docs["doc_id"].eqNullSafe(found["i"]) & (F.xxhash64(docs["text"]) == found["t"]), "left_anti")
+    return docs.join(small(found), docs["doc_id"].eqNullSafe(found["i"]) & (F.xxhash64(docs["text"]) == found["t"]), "left_anti")

@@ -50,6 +50,20 @@ judged as (select c.*, coalesce(not base_failed and {_FITS}, false) as kept
         from counts c left join bounds b on c.lang is not distinct from b.lang and c.source is not distinct from b.source)"""
 
 ORACLES: dict[str, str] = {
+    "op4_ngram_join": """
+with recursive w as (select doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') as ws from documents),
+sh as (select distinct doc_id, case when len(ws) < 5 then array_to_string(ws, ' ') else array_to_string(ws[i : i + 4], ' ') end as g
+        from (select doc_id, ws, unnest(range(1, greatest(len(ws) - 4, 1) + 1)) as i from w where len(ws) > 0)),
+n as (select doc_id, count(*) as n from sh group by doc_id),
+idx as (select g, list(doc_id) as ds from sh group by g having count(*) > 1),
+pairs as (select a, b, count(*) as both_n from (select a, unnest(ds) as b, g from (select unnest(ds) as a, ds, g from idx)) where a < b group by a, b),
+links as (select a, b from pairs join n as x on a = x.doc_id join n as y on b = y.doc_id where 100 * both_n >= 75 * (x.n + y.n - both_n)),
+sym as (select a, b from links union select b, a from links),
+reach(d, r) as (select a, b from sym union select reach.d, sym.b from reach join sym on reach.r = sym.a),
+least_r as (select d, min(r) as r from reach group by d)
+select w.doc_id, coalesce(n.n, 0)::bigint as n_shingles, least(w.doc_id, coalesce(l.r, w.doc_id)) as component_id
+from w left join n on w.doc_id = n.doc_id left join least_r l on l.d = w.doc_id""",
     "op5_warc": """
 with p as (select page_id, strlen(coalesce(html, ''))::bigint as payload_bytes, sha256(coalesce(html, '')) as payload_digest from pages),
 f as (select payload_digest, min(page_id) as first from p where payload_bytes >= 100 group by payload_digest)

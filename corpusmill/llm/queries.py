@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusmill.llm import decontaminate, quality_rules, warc
+from corpusmill.llm import decontaminate, ngram_join, quality_rules, warc
 from corpusmill.llm.tables import new_path, stored, table
 
 
@@ -23,6 +23,10 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.hits(docs, table(spark, sf_dir, "benchmark")).drop("text_hash")
 
 
+def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.components(table(spark, sf_dir, "documents")).drop("sid")
+
+
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_path(spark, "warc")
     warc.write_archives(table(spark, sf_dir, "pages"), path)
@@ -30,7 +34,7 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_decontaminate, op5_warc, op8_quality_rules)}
+    return {f.__name__: f for f in (op3_decontaminate, op4_ngram_join, op5_warc, op8_quality_rules)}
 
 
 def oracle_sql() -> dict[str, str]:

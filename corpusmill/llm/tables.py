@@ -5,8 +5,12 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -36,3 +40,32 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     path = new_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+#: Rows (each under about 100 bytes) up to which a counted table is broadcast; beyond it Spark shuffles.
+BROADCAST_ROWS = 500_000
+
+
+def small(df: DataFrame) -> DataFrame:
+    """``df`` marked for broadcast if a count proves it small; give it a stored table, for it is read twice."""
+    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
+
+
+def grouped_rows(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
+    """Tables of the runs of equal ``key`` in a partition sorted by it; only the run at hand is held."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        values = batch.column(key).to_numpy()
+        if not len(values):
+            continue
+        cuts = np.flatnonzero(values[1:] != values[:-1]) + 1
+        if held and held[-1].column(key)[-1].as_py() != values[0]:
+            yield pa.Table.from_batches(held).combine_chunks()
+            held = []
+        starts = [0, *cuts.tolist()]
+        for a, b in zip(starts[:-1], starts[1:], strict=True):
+            yield pa.Table.from_batches([*held, batch.slice(a, b - a)]).combine_chunks()
+            held = []
+        held.append(batch.slice(starts[-1]))
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks()
