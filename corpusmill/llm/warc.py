@@ -24,6 +24,8 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusmill.llm.tables import small, stored
+
 ARCHIVE_BYTES = 16 << 20
 MIN_REVISIT = 100
 #: The dictionary is trained on at most so many pages, of each at most so many bytes.
@@ -49,6 +51,8 @@ def with_roles(pages: DataFrame) -> DataFrame:
         .filter("n > 1")
         .select(F.col("payload_digest").alias("digest"), "first")
     )
+    # Digests that occur once need no partner, so this table is mostly small; counted, it spares the payloads a shuffle.
+    first = small(stored(first, "warc-firsts"))
     joined = rows.join(first, rows["payload_digest"] == first["digest"], "left")
     same = F.col("page_id").eqNullSafe(F.col("first.id")) & F.col("url").eqNullSafe(F.col("first.url"))
     return joined.withColumn("is_revisit", F.col("first").isNotNull() & ~same).select(
