@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from corpusmill.llm import decontaminate, ngram_join, quality_rules, warc
+from corpusmill.llm import decontaminate, ngram_join, quality_rules, suffix_dedup, warc
 from corpusmill.llm.tables import new_path, stored, table
 
 
@@ -18,6 +19,11 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spans = suffix_dedup.removed_spans(table(spark, sf_dir, "documents"))
+    return spans.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
+
+
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return decontaminate.hits(docs, table(spark, sf_dir, "benchmark")).drop("text_hash")
@@ -34,7 +40,7 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_decontaminate, op4_ngram_join, op5_warc, op8_quality_rules)}
+    return {f.__name__: f for f in (op1_suffix_dedup, op3_decontaminate, op4_ngram_join, op5_warc, op8_quality_rules)}
 
 
 def oracle_sql() -> dict[str, str]:
