@@ -27,8 +27,9 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corpusmill.llm import graph
 from corpusmill.llm.signature_tree import Block, bitmap
@@ -201,7 +202,7 @@ def _tasks(members: DataFrame, exact: bool) -> DataFrame:
 
 
 def components(docs: DataFrame) -> DataFrame:
-    """doc_id, sid, n_shingles, component_id for each row of ``docs`` (doc_id, text)."""
+    """doc_id, sid (set id), root (least sid of the component), n_shingles, component_id for each row of ``docs``."""
     spark = docs.sparkSession
     sets, frequent = shingle_sets(docs)
     total = sets.agg(F.sum("n").alias("n")).first().n or 0
@@ -221,7 +222,42 @@ def components(docs: DataFrame) -> DataFrame:
     exact = wanted.join(full, F.col("sid") == F.col("set")).select(F.col("root").alias("block"), "sid", "n", "bits", "hashes")
     linked = stored(graph.components(_tasks(exact, True), "ngram-links"), "ngram-links")
     named = linked.join(one.select("sid", "least"), F.col("node") == F.col("sid")).groupBy("root").agg(F.min("least").alias("name"))
-    groups = linked.join(named, "root").select("node", "name")
+    groups = linked.join(named, "root").select("node", "root", "name")
     own = one.select(F.col("sid").alias("_s"), "least")
     rows = sets.select("doc_id", "sid", "n").join(own, F.col("sid") == F.col("_s"), "left").join(groups, F.col("sid") == F.col("node"), "left")
-    return rows.select("doc_id", "sid", F.col("n").alias("n_shingles"), F.coalesce("name", "least", "doc_id").alias("component_id"))
+    return rows.select("doc_id", "sid", F.coalesce("root", "sid").alias("root"), F.col("n").alias("n_shingles"), F.coalesce("name", "least", "doc_id").alias("component_id"))
+
+
+def _tagged(columns: list[str]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sids = pa.array([_set_id(s) for s in sets_of(batch.column("text"))], pa.int64())
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in columns), sids], [*columns, "_sid"])
+
+    return run
+
+
+def survivors(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs``, all columns, without those that link, in any number of steps, to one that stays.
+
+    Of each component the document with the least doc_id stays (one without an id only if none has one); documents
+    without words all stay.  Of repeated rows one stays.
+    """
+    found = stored(components(docs), "ngram-components")
+    order = F.struct(F.isnull("doc_id").alias("none"), F.col("doc_id").alias("id"), F.col("sid").alias("sid"))
+    first = found.filter("n_shingles > 0").groupBy("root").agg(F.min(order).alias("f")).select("f.id", "f.sid")
+    copies = found.groupBy("doc_id", "sid").agg(F.count("*").alias("copies"), F.max("n_shingles").alias("n"))
+    stay = copies.join(first, copies["doc_id"].eqNullSafe(first["id"]) & (copies["sid"] == first["sid"]), "left_semi")
+    stay = stay.unionByName(copies.filter("n = 0")).select(F.col("doc_id").alias("_i"), F.col("sid").alias("_s"), F.when(F.col("n") > 0, F.col("copies")).otherwise(1).alias("_copies"))
+    stay = stored(stay, "ngram-survivors")
+    here = F.col("doc_id").cast("long").eqNullSafe(F.col("_i"))
+    if not found.groupBy("doc_id").count().filter("count > 1 or doc_id is null").limit(1).count():
+        return docs.join(small(stay.select("_i")), here, "left_semi")
+    # Ids are missing or repeated: rows are told apart by their set id, and repeated rows by a row number.
+    whole = docs.select("doc_id", "text", F.struct(*docs.columns).alias("_doc"))
+    tagged = whole.mapInArrow(_tagged(whole.columns), T.StructType([*whole.schema.fields, T.StructField("_sid", T.LongType())]))
+    kept = tagged.join(stay, here & (F.col("_sid") == F.col("_s")))
+    if stay.filter("_copies > 1").limit(1).count():
+        rank = F.row_number().over(Window.partitionBy("doc_id", "_sid").orderBy("text"))
+        kept = kept.withColumn("_rank", rank).filter("_copies = 1 or _rank = 1")
+    return kept.select("_doc.*")

@@ -131,3 +131,9 @@ def judged(counted: DataFrame, bounds: DataFrame) -> DataFrame:
         if below:
             fits &= rate_bin(rate) >= F.col(f"_q_low_{rate}")
     return joined.withColumn("kept", F.coalesce(fits, F.lit(False)))
+
+
+def passing(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs``, all columns, that the rules keep."""
+    counted = with_counts(docs.select("text", "lang", "source", F.struct(*docs.columns).alias("_q_doc")))
+    return judged(counted, thresholds(counted)).filter("kept").select("_q_doc.*")

@@ -7,10 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusmill.llm import decontaminate, ngram_join, quality_rules, suffix_dedup, warc
+from corpusmill.llm import decontaminate, ngram_join, piece_codec, quality_rules, suffix_dedup, warc
 from corpusmill.llm.tables import new_path, stored, table
 
 
+def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = piece_codec.round_trip(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return rows.select("doc_id", "n_tokens", F.xxhash64("token_ids").alias("ids_hash"), F.col("decoded").eqNullSafe(F.col("text")).alias("round_trip"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "text")
     counted = stored(quality_rules.with_counts(docs).drop("text"), "op8-counts")
@@ -30,7 +35,7 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_join.components(table(spark, sf_dir, "documents")).drop("sid")
+    return ngram_join.components(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -40,7 +45,7 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_suffix_dedup, op3_decontaminate, op4_ngram_join, op5_warc, op8_quality_rules)}
+    return {f.__name__: f for f in (op1_suffix_dedup, op3_decontaminate, op4_ngram_join, op5_warc, op7_sentencepiece, op8_quality_rules)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -24,6 +24,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corpusmill.llm.induced_sort import repeated_starts
 from corpusmill.llm.tables import small, stored
@@ -142,15 +143,15 @@ def covered(runs: list[dict]) -> list[list[int]]:
 
 def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        columns: list[list] = [[], [], [], [], []]
+        columns: list[list] = [[], [], [], [], [], []]
         for text, runs in zip(batch.column("text"), batch.column("runs"), strict=True):
             data = (text.as_py() or "").encode()
             spans = covered(runs.as_py() or [])
             kept = b"".join(data[a:b] for a, b in zip([0, *(s[1] for s in spans)], [*(s[0] for s in spans), len(data)], strict=True))
-            for column, value in zip(columns, (len(data), len(data) - len(kept), spans, hashlib.sha256(kept).hexdigest(), kept), strict=True):
+            for column, value in zip(columns, (len(data), len(data) - len(kept), spans, hashlib.sha256(kept).hexdigest(), kept, kept.decode("utf-8", "ignore")), strict=True):
                 column.append(value)
-        types = (pa.int64(), pa.int64(), pa.list_(pa.list_(pa.int64())), pa.string(), pa.binary())
-        names = ["n_bytes", "n_removed", "spans", "kept_sha256", "kept"]
+        types = (pa.int64(), pa.int64(), pa.list_(pa.list_(pa.int64())), pa.string(), pa.binary(), pa.string())
+        names = ["n_bytes", "n_removed", "spans", "kept_sha256", "kept", "kept_text"]
         extra = [(n, batch.column(n)) for n in batch.schema.names if n not in ("text", "runs")]
         yield pa.RecordBatch.from_arrays([*(c for _, c in extra), *(pa.array(c, t) for c, t in zip(columns, types, strict=True))], [*(n for n, _ in extra), *names])
 
@@ -159,6 +160,26 @@ def removed_spans(docs: DataFrame, with_bytes: bool = False) -> DataFrame:
     """doc_id, n_bytes, n_removed, spans (maximal removed [begin, end) runs), kept_sha256 per row, and ``kept`` bytes if asked."""
     runs = repeated_windows(docs).withColumnsRenamed({"doc_id": "_i", "text_key": "_t"})
     rows = docs.select(F.col("doc_id").cast("long"), "text")
-    both = rows.join(runs, F.col("doc_id").eqNullSafe(F.col("_i")) & (text_key(F.col("text")) == F.col("_t")), "left").select("doc_id", "text", "runs")
-    out = both.mapInArrow(_remove, "doc_id long, n_bytes long, n_removed long, spans array<array<long>>, kept_sha256 string, kept binary")
+    both = rows.join(runs, _same_document(), "left").select("doc_id", "text", "runs")
+    out = both.mapInArrow(_remove, f"doc_id long, {_REMOVED}")
+    out = out.drop("kept_text")
     return out if with_bytes else out.drop("kept")
+
+
+_REMOVED = "n_bytes long, n_removed long, spans array<array<long>>, kept_sha256 string, kept binary, kept_text string"
+
+
+def _same_document() -> Column:
+    return F.col("doc_id").cast("long").eqNullSafe(F.col("_i")) & (text_key(F.col("text")) == F.col("_t"))
+
+
+def cleaned(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs``, all columns, with repeated bytes cut out of ``text`` and ``n_chars`` counted anew where it
+    exists; a character cut in two goes, and so does a document of which nothing is left.  Unchanged rows stay as they are."""
+    runs = repeated_windows(docs).withColumnsRenamed({"doc_id": "_i", "text_key": "_t"})
+    both = docs.select("doc_id", "text", F.struct(*docs.columns).alias("_doc")).join(runs, _same_document(), "left").select("_doc", "text", "runs")
+    schema = T.StructType([both.schema["_doc"], *T._parse_datatype_string(_REMOVED).fields])
+    cut = both.mapInArrow(_remove, schema).filter("n_removed = 0 or n_removed < n_bytes")
+    text = F.when(F.col("n_removed") > 0, F.col("kept_text")).otherwise(F.col("_doc.text"))
+    new = {"text": F.col("_text"), "n_chars": F.when(F.col("n_removed") > 0, F.length("_text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("_doc.n_chars")) if "n_chars" in docs.columns else None}
+    return cut.withColumn("_text", text).select(*[(new[c] if new.get(c) is not None else F.col("_doc").getField(c)).alias(c) for c in docs.columns])
