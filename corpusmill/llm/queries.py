@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusmill.llm import decontaminate, ngram_join, piece_codec, quality_rules, suffix_dedup, warc
+from corpusmill.llm import decontaminate, lm_score, ngram_join, piece_codec, quality_rules, suffix_dedup, warc
 from corpusmill.llm.tables import new_path, stored, table
 
 
@@ -44,8 +44,12 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_archives(spark, path).drop("payload", "url")
 
 
+def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.scores(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_suffix_dedup, op3_decontaminate, op4_ngram_join, op5_warc, op7_sentencepiece, op8_quality_rules)}
+    return {f.__name__: f for f in (op1_suffix_dedup, op3_decontaminate, op4_ngram_join, op5_warc, op7_sentencepiece, op8_quality_rules, op10_lm_scoring)}
 
 
 def oracle_sql() -> dict[str, str]:
