@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusmill.llm import decontaminate, lm_score, ngram_join, piece_codec, quality_rules, suffix_dedup, warc
+from corpusmill.llm import decontaminate, kneser_ney, lm_score, ngram_join, piece_codec, quality_rules, suffix_dedup, warc
 from corpusmill.llm.tables import new_path, stored, table
 
 
@@ -29,6 +29,11 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spans.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
 
 
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = kneser_ney.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return rows.select("doc_id", "lang", "n_bytes", "perplexity", "kept")
+
+
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return decontaminate.hits(docs, table(spark, sf_dir, "benchmark")).drop("text_hash")
@@ -49,7 +54,7 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_suffix_dedup, op3_decontaminate, op4_ngram_join, op5_warc, op7_sentencepiece, op8_quality_rules, op10_lm_scoring)}
+    return {f.__name__: f for f in (op1_suffix_dedup, op2_quality_classifier, op3_decontaminate, op4_ngram_join, op5_warc, op7_sentencepiece, op8_quality_rules, op10_lm_scoring)}
 
 
 def oracle_sql() -> dict[str, str]:
