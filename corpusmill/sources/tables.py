@@ -2,8 +2,21 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def scratch_path(spark: SparkSession, label: str) -> str:
+    """A path that nothing has used, in the folder the cluster shares (spark.checkpoint.dir); where that is unset, as in tests
+    on one machine, in a new temporary folder."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared:
+        shared = tempfile.mkdtemp(prefix="spark-shared-")
+        spark.conf.set("spark.checkpoint.dir", shared)
+    return f"{shared}/work/{label}-{uuid.uuid4().hex}"
