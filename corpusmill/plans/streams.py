@@ -58,7 +58,7 @@ def stream_status(spark: SparkSession, d: str) -> DataFrame:
     path = scratch_path(spark, "stream-log")
     rows.select("run", "line_no", text.alias("value")).write.parquet(path)
     lines = spark.readStream.schema("run string, line_no int, value string").parquet(path)
-    out = _collected(jobs.status_stream(lines), "stream-status", "update")
+    out = _collected(jobs.status_stream(lines, None), "stream-status", "update")
     return out.groupBy("run").agg(F.max_by("status", "_batch").alias("status"), F.max_by("iteration", "_batch").alias("iteration"))
 
 

@@ -63,9 +63,9 @@ def totals_stream(rows: DataFrame, key: str) -> DataFrame:
     return rows.groupBy(key).agg(F.count("*").alias("n"), F.sum(F.length("text")).alias("n_chars"))
 
 
-def status_stream(lines: DataFrame, deadline_ms: int = 20 * 60 * 1000) -> DataFrame:
+def status_stream(lines: DataFrame, deadline_ms: int | None = 20 * 60 * 1000) -> DataFrame:
     """run, status, iteration after each batch of log lines (run, line_no, value): oom, nan, running, or timeout when nothing
-    has come for the deadline."""
+    has come for the deadline (none: a run that only catches up and stops)."""
 
     def classify(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         iteration, status = state.get if state.exists else (0, "running")
@@ -82,9 +82,11 @@ def status_stream(lines: DataFrame, deadline_ms: int = 20 * 60 * 1000) -> DataFr
             elif status == "running" and text.str.contains(r"grad norm: (?:nan|inf)").any():
                 status = "nan"
         state.update((iteration, status))
-        state.setTimeoutDuration(deadline_ms)
+        if deadline_ms:
+            state.setTimeoutDuration(deadline_ms)
         yield pd.DataFrame([(key[0], status, iteration)], columns=["run", "status", "iteration"])
 
     return lines.groupBy("run").applyInPandasWithState(
-        classify, "run string, status string, iteration int", "iteration int, status string", "update", GroupStateTimeout.ProcessingTimeTimeout
+        classify, "run string, status string, iteration int", "iteration int, status string", "update",
+        GroupStateTimeout.ProcessingTimeTimeout if deadline_ms else GroupStateTimeout.NoTimeout,
     )
