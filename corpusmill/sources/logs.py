@@ -11,7 +11,7 @@ def log_lines(spark: SparkSession, path: str) -> DataFrame:
 
     Files are read whole, so line numbers are those of the file whatever the splits; a log file fits a task.
     """
-    files = spark.read.option("wholetext", True).text(path).select(F.element_at(F.split("_metadata.file_path", "/"), -1).alias("run"), "value")
+    files = spark.read.text(path, wholetext=True).select(F.element_at(F.split("_metadata.file_path", "/"), -1).alias("run"), "value")
     return files.select("run", F.posexplode(F.split("value", "\r?\n")).alias("line_no", "value")).filter("value <> ''")
 
 
