@@ -11,8 +11,8 @@ import numpy as np
 _BITS = (np.arange(256)[:, None] >> np.arange(8)) & 1
 _COUNT = _BITS.sum(axis=1).astype(np.int64)
 #: Position of the r-th set bit of a byte (8 where it has fewer).
-_PLACE = np.where(np.arange(8)[None, :] < _COUNT[:, None], np.argsort(1 - _BITS, axis=1, kind="stable"), 8)
-_BLOCK = 1 << 16
+_PLACE = np.where(np.arange(8)[None, :] < _COUNT[:, None], np.argsort(1 - _BITS, axis=1, kind="stable"), 8).astype(np.uint8)
+_BLOCK, _WALK = 1 << 16, 6
 
 
 def _packed(values: np.ndarray, width: int) -> np.ndarray:
@@ -75,33 +75,57 @@ class EliasFano:
         """Position of the k-th one or zero."""
         before = self.ones if one else np.arange(len(self.ones)) * 64 - self.ones
         w = np.searchsorted(before, k, "right") - 1
-        rest, word = k - before[w], self.words[w] if one else ~self.words[w]
-        place = np.full(len(k), -1)
-        for b in range(8):
-            byte = (word >> np.uint64(8 * b) & np.uint64(255)).astype(np.int64)
-            here = (place < 0) & (rest < _COUNT[byte])
-            place[here] = 8 * b + _PLACE[byte[here], rest[here]]
-            rest = rest - np.where(place < 0, _COUNT[byte], 0)
-        return w * 64 + place
+        rest, word = (k - before[w]).astype(np.uint8), self.words[w] if one else ~self.words[w]
+        place = np.zeros(len(k), np.uint8)
+        for half in (32, 16, 8):
+            count = np.bitwise_count(word & np.uint64((1 << half) - 1))
+            above = rest >= count
+            rest -= count * above
+            step = above * np.uint8(half)
+            place += step
+            word >>= step
+        return w * 64 + place + _PLACE[(word & np.uint64(255)).astype(np.uint8), rest]
 
     def get(self, i: np.ndarray) -> np.ndarray:
+        if 4 * len(i) > self.n:
+            return self._all()[i]
         return (self._select(i, True) - i << self.width) | self._low(i)
 
+    def _all(self) -> np.ndarray:
+        """Every element: cheaper than single access when many are asked for at once."""
+        place = np.flatnonzero(np.unpackbits(self.words.view(np.uint8), bitorder="little"))
+        i = np.arange(self.n)
+        return (place - i << self.width) | self._low(i)
+
     def find(self, target: np.ndarray) -> np.ndarray:
-        """Index of the first element at least ``target`` if it equals it, else -1."""
+        """Index of the first element at least ``target`` if it equals it, else -1.
+
+        The zeros of the unary part lead to the elements with the target's high bits; those are walked by their low bits,
+        and where they are many, halved.
+        """
         target = np.minimum(target, (self.top + 1 << self.width) - 1)
         high, want = target >> self.width, target & ((1 << self.width) - 1)
-        low = np.where(high == 0, 0, self._select(np.maximum(high - 1, 0), False) - (high - 1))
-        end = self._select(high, False) - high
-        stop = end.copy()
-        while (go := np.flatnonzero(low < stop)).size:
-            mid = low[go] + stop[go] >> 1
-            less = self._low(mid) < want[go]
-            low[go] = np.where(less, mid + 1, low[go])
-            stop[go] = np.where(less, stop[go], mid)
-        hit = low < end
-        hit[hit] = self._low(low[hit]) == want[hit]
-        return np.where(hit, low, -1)
+        at = np.where(high == 0, 0, self._select(np.maximum(high - 1, 0), False) - (high - 1))
+        out, go = np.full(len(target), -1), np.arange(len(target))
+        for _ in range(_WALK):
+            bit = at[go] + high[go]
+            go = go[(self.words[bit >> 6] >> (bit & 63).astype(np.uint64) & np.uint64(1)).astype(bool)]
+            low = self._low(at[go])
+            out[go[low == want[go]]] = at[go[low == want[go]]]
+            go = go[low < want[go]]
+            at[go] += 1
+        if len(go):
+            low, end = at[go], self._select(high[go], False) - high[go]
+            last = end.copy()
+            while (open_ := np.flatnonzero(low < last)).size:
+                middle = low[open_] + last[open_] >> 1
+                less = self._low(middle) < want[go[open_]]
+                low[open_] = np.where(less, middle + 1, low[open_])
+                last[open_] = np.where(less, last[open_], middle)
+            some = np.flatnonzero(low < end)
+            some = some[self._low(low[some]) == want[go[some]]]
+            out[go[some]] = low[some]
+        return out
 
 
 class Level:
@@ -127,15 +151,18 @@ class Level:
         return self.pointers.get(parent)
 
     def find(self, parent: np.ndarray, key: np.ndarray) -> np.ndarray:
-        """Node of the child, -1 if there is none."""
-        out = np.full(len(parent), -1)
-        begin, end = self.pointers.get(parent), self.pointers.get(parent + 1)
-        some = np.flatnonzero(begin < end)
-        begin, end = begin[some], end[some]
-        base = np.zeros(len(some), np.int64)
+        """Node of the child, -1 if there is none; fastest when sorted by parent and key."""
+        fresh = np.ones(len(parent), bool)
+        fresh[1:] = parent[1:] != parent[:-1]
+        group, own = np.cumsum(fresh) - 1, parent[fresh]
+        begin, end = self.pointers.get(own), self.pointers.get(own + 1)
+        base = np.zeros(len(own), np.int64)
         base[begin > 0] = self.keys.get(begin[begin > 0] - 1) + 1
-        found = self.keys.find(base + key[some])
-        out[some] = np.where((found >= begin) & (found < end), found, -1)
+        some = np.flatnonzero((begin < end)[group])
+        group = group[some]
+        found = self.keys.find(base[group] + key[some])
+        out = np.full(len(parent), -1)
+        out[some] = np.where((found >= begin[group]) & (found < end[group]), found, -1)
         return out
 
 
@@ -155,16 +182,18 @@ class Trie:
     """
 
     def __init__(self, words: dict[str, np.ndarray], pairs: dict[str, np.ndarray], triples: dict[str, np.ndarray]):
-        """words: prob, back; pairs: first, second, prob, back; triples: first, second, third, prob; ids by number, any order."""
+        """words: prob, back; pairs: first, second, prob, back; triples: head, tail (numbers of their two pairs), prob."""
         n = len(words["prob"])
-        order = np.lexsort((pairs["second"], pairs["first"]))
+        order = np.argsort(pairs["first"] * n + pairs["second"])
         pair = {k: v[order] for k, v in pairs.items()}
         two = Level.encode(n, pair["first"], pair["second"])
-        keys = pair["first"] * n + pair["second"]
-        node, tail = (np.searchsorted(keys, triples[a] * n + triples[b]) for a, b in (("first", "second"), ("second", "third")))
-        rank = tail - np.searchsorted(pair["first"], triples["second"])
-        order = np.lexsort((rank, node))
-        three = Level.encode(len(keys), node[order], rank[order])
+        place = np.empty(len(order), np.int64)
+        place[order] = np.arange(len(order))
+        begin = np.searchsorted(pair["first"], np.arange(n))
+        node, tail = place[triples["head"]], place[triples["tail"]]
+        rank = tail - begin[pair["first"][tail]] if len(tail) else tail
+        order = np.argsort(node * n + rank)
+        three = Level.encode(len(place), node[order], rank[order])
         parts = dict(zip(("p2", "k2", "p3", "k3"), (*two, *three), strict=True))
         values = {"w": words["prob"], "wb": words["back"], "q": pair["prob"], "qb": pair["back"], "t": triples["prob"][order]}
         arrays = {k: quantised(v) for k, v in values.items()}
@@ -179,15 +208,26 @@ class Trie:
 
     def score(self, first: np.ndarray, second: np.ndarray, third: np.ndarray) -> np.ndarray:
         """log10 P(third | first second) for arrays of word ids."""
-        tail, head = self.two.find(second, third), self.two.find(first, second)
-        out = self._value("wb", second) + self._value("w", third)
-        has = np.flatnonzero(tail >= 0)
-        out[has] = self._value("q", tail[has])
-        known = np.flatnonzero(head >= 0)
-        full = np.full(len(out), -1)
-        both = np.flatnonzero((head >= 0) & (tail >= 0))
-        full[both] = self.three.find(head[both], tail[both] - self.two.begin(second[both]))
-        out[known] += self._value("qb", head[known])
-        whole = np.flatnonzero(full >= 0)
-        out[whole] = self._value("t", full[whole])
+        n = len(first)
+        return self.score_pairs(np.concatenate([first, second]), np.concatenate([second, third]), np.arange(n), np.arange(n, 2 * n))
+
+    def score_pairs(self, left: np.ndarray, right: np.ndarray, head: np.ndarray, tail: np.ndarray) -> np.ndarray:
+        """log10 P of triples given as two pairs each: numbers in the list of pairs (left, right), looked up once."""
+        order = np.lexsort((right, left))
+        pair = np.empty(len(left), np.int64)
+        pair[order] = self.two.find(left[order], right[order])
+        below, above = pair[tail], pair[head]
+        middle = left[tail]
+        out = self._value("wb", middle) + self._value("w", right[tail])
+        has = np.flatnonzero(below >= 0)
+        out[has] = self._value("q", below[has])
+        known = np.flatnonzero(above >= 0)
+        out[known] += self._value("qb", above[known])
+        both = np.flatnonzero((above >= 0) & (below >= 0))
+        words = np.arange(int(middle.max(initial=-1)) + 1)
+        rank = below[both] - self.two.begin(words)[middle[both]]
+        order = np.lexsort((rank, above[both]))
+        both, rank = both[order], rank[order]
+        full = self.three.find(above[both], rank)
+        out[both[full >= 0]] = self._value("t", full[full >= 0])
         return out

@@ -10,7 +10,7 @@ log10 P(w | two words before) as quantised in the trie.
 
 1. Texts are packed into chunks of about ``CHUNK_BYTES``, stored once in the shared folder.
 2. Every chunk sends its distinct words, pairs and triples, each with its training count in the chunk, to shards by ranges
-   of their 64-bit hashes: sorted, split by byte planes and compressed, one row for each shard.  A word that makes up a
+   of their hashes: sorted, split by byte planes and compressed, one row for each shard.  A word that makes up a
    third of all rows is still one entry of each chunk.
 3. A shard adds the counts and answers each chunk in the order it asked.
 4. A chunk builds the trie of its n-grams that occur in training (``elias_fano``) and scores its texts with it.
@@ -41,6 +41,8 @@ CHUNK_BYTES = 6 << 20
 #: N-grams that a shard gets from all chunks, about.
 SHARD_KEYS = 3_000_000
 BEGIN, END = np.uint64(0x8C3F9A5D12B7E461), np.uint64(0xD1B54A32D192ED03)
+#: Pairs and triples are told apart by 56 bits, words by 64.
+GRAM_BITS = np.uint64(0xFFFFFFFFFFFFFF00)
 _TEXTS = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("text", pa.binary())])
 
 
@@ -62,7 +64,7 @@ def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def chunk() -> pa.RecordBatch:
         sink = pa.BufferOutputStream()
-        with pa.ipc.new_stream(sink, _TEXTS, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        with pa.ipc.new_stream(sink, _TEXTS, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=9))) as out:
             for b in held:
                 out.write_batch(b)
         table = pa.Table.from_batches(held)
@@ -112,7 +114,8 @@ class Chunk:
         for order in (1, 2, 3):
             # The second begin mark alone and the pair of marks stand for "a text begins".
             at = np.flatnonzero(depth >= max(1, order - 1))
-            keys, index = np.unique(window_hashes(seq, order)[at - order + 1] if order > 1 else seq[at], return_inverse=True)
+            values = seq[at] if order == 1 else window_hashes(seq, order)[at - order + 1] & GRAM_BITS
+            keys, index = np.unique(values, return_inverse=True)
             self.keys.append(keys)
             self.index.append(index)
             self.last.append(at)
@@ -157,47 +160,39 @@ def _answered(shard_bits: int):
     return run
 
 
-def trie_of(ids: list[np.ndarray], counts: list[np.ndarray], log_p1: np.ndarray) -> Trie:
-    """The trie of the n-grams with counts; ids: (words of each order's n-grams) as arrays with one row per n-gram."""
-    back = lambda c, mu: np.log10(mu / (c + mu))
-    pairs, triples = ids
-    c1, c2, c3 = counts
-    p2 = (c2 + MU[0] * 10.0 ** log_p1[pairs[:, 1]]) / (c1[pairs[:, 0]] + MU[0])
-    n = len(c1)
-    key = pairs[:, 0] * n + pairs[:, 1]
-    order = np.argsort(key)
-    at = lambda a, b: order[np.searchsorted(key, triples[:, a] * n + triples[:, b], sorter=order)]
-    p3 = (c3 + MU[1] * p2[at(1, 2)]) / (c2[at(0, 1)] + MU[1]) if len(triples) else np.zeros(0)
-    return Trie(
-        {"prob": log_p1, "back": back(c1, MU[0])},
-        {"first": pairs[:, 0], "second": pairs[:, 1], "prob": np.log10(p2), "back": back(c2, MU[1])},
-        {"first": triples[:, 0], "second": triples[:, 1], "third": triples[:, 2], "prob": np.log10(p3)},
-    )
-
-
 def chunk_scores(payload: bytes, counts: list[np.ndarray], train_tokens: int, types: int) -> pa.RecordBatch:
     """The scores of a chunk's texts, given the training count of each of its keys."""
     chunk = Chunk(payload)
-    log_p1 = np.log10((counts[0] + 1) / (train_tokens + types + 1))
-    # Word ids by place in the sequence: order 1 leaves out only each text's first begin mark.
-    word = np.zeros(len(chunk.text), np.int64)
-    word[chunk.last[0]] = chunk.index[0]
+    back = lambda c, mu: np.log10(mu / (c + mu))
+    c1, c2, c3 = counts
+    p1 = (c1 + 1) / (train_tokens + types + 1)
+    log_p1 = np.log10(p1)
+    # Numbers of the word and of the pair that end at each place; order 1 leaves out only each text's first begin mark.
+    word, pair = np.zeros(len(chunk.text), np.int64), np.zeros(len(chunk.text), np.int64)
+    word[chunk.last[0]], pair[chunk.last[1]] = chunk.index[0], chunk.index[1]
     word[chunk.starts[:-1]] = word[chunk.starts[:-1] + 1]
-    grams = []
-    for k in (1, 2):
-        some = np.empty(len(chunk.keys[k]), np.int64)
-        some[chunk.index[k]] = chunk.last[k]
-        grams.append(np.stack([word[some - j] for j in range(k, -1, -1)], axis=1))
-    seen = [c > 0 for c in counts]
-    trie = trie_of([g[s] for g, s in zip(grams, seen[1:], strict=True)], [counts[0], counts[1][seen[1]], counts[2][seen[2]]], log_p1)
-    each = trie.score(*(grams[1][:, j] for j in range(3)))
+    some, other = np.empty(len(c2), np.int64), np.empty(len(c3), np.int64)
+    some[chunk.index[1]], other[chunk.index[2]] = chunk.last[1], chunk.last[2]
+    left, right, head, tail = word[some - 1], word[some], pair[other - 1], pair[other]
+    # The trie holds what occurs in training; a triple that does has both its pairs there.
+    p2 = (c2 + MU[0] * p1[right]) / (c1[left] + MU[0])
+    two, three = np.flatnonzero(c2 > 0), np.flatnonzero(c3 > 0)
+    number = np.zeros(len(c2), np.int64)
+    number[two] = np.arange(len(two))
+    p3 = (c3[three] + MU[1] * p2[tail[three]]) / (c2[head[three]] + MU[1])
+    trie = Trie(
+        {"prob": log_p1, "back": back(c1, MU[0])},
+        {"first": left[two], "second": right[two], "prob": np.log10(p2[two]), "back": back(c2[two], MU[1])},
+        {"head": number[head[three]], "tail": number[tail[three]], "prob": np.log10(p3)},
+    )
+    each = trie.score_pairs(left, right, head, tail)
     n = len(chunk.starts) - 1
     token, text = chunk.last[2], chunk.text[chunk.last[2]]
     own = word[token]
     sums = lambda values: np.bincount(text, values, n)
     columns = [
         chunk.table.column("doc_id").combine_chunks(), chunk.table.column("held_out").combine_chunks(),
-        pa.array(np.bincount(text, minlength=n)), pa.array(sums(counts[0][own] > 0).astype(np.int64)), pa.array(np.full(n, train_tokens)),
+        pa.array(np.bincount(text, minlength=n)), pa.array(sums(c1[own] > 0).astype(np.int64)), pa.array(np.full(n, train_tokens)),
         pa.array(sums(log_p1[own])), pa.array(sums(each[chunk.index[2]])),
     ]
     return pa.RecordBatch.from_arrays(columns, ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
