@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
 def append_json(rows: DataFrame, path: str) -> None:
@@ -16,15 +17,16 @@ def append_csv(rows: DataFrame, path: str) -> None:
 
 
 def write_once(rows: DataFrame, path: str) -> bool:
-    """Writes Parquet unless a finished table is there; tells whether it wrote.  A table without its marker is replaced."""
+    """Writes Parquet unless a finished table is there; tells whether it wrote.  The marker is a table beside it, ``path.done``,
+    with the number of rows; a table without a marker is replaced."""
     spark = rows.sparkSession
     try:
-        done = spark.read.format("binaryFile").load(f"{path}/_SUCCESS").limit(1).count() == 1
+        spark.read.schema("n long").parquet(f"{path}.done").first()
+        return False
     except AnalysisException:
-        done = False
-    if not done:
         rows.write.mode("overwrite").parquet(path)
-    return not done
+        spark.read.parquet(path).agg(F.count("*").alias("n")).write.mode("overwrite").parquet(f"{path}.done")
+        return True
 
 
 def replace_parts(rows: DataFrame, path: str, part: str) -> None:
