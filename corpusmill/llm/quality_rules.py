@@ -20,6 +20,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpusmill.llm.tables import small, stored
+
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 MIN_GROUP = 30
@@ -134,6 +136,13 @@ def judged(counted: DataFrame, bounds: DataFrame) -> DataFrame:
 
 
 def passing(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs``, all columns, that the rules keep."""
-    counted = with_counts(docs.select("text", "lang", "source", F.struct(*docs.columns).alias("_q_doc")))
-    return judged(counted, thresholds(counted)).filter("kept").select("_q_doc.*")
+    """The rows of ``docs``, all columns, that the rules keep.
+
+    The thresholds come from stored counts; the texts are counted once more as they are filtered, so none is shuffled.
+    """
+    counted = stored(with_counts(docs.select("text", "lang", "source")).drop("text"), "quality-counts")
+    bounds = small(stored(thresholds(counted), "quality-bounds"))
+    rows = with_counts(docs.select("text", "lang", "source", F.struct(*docs.columns).alias("_q_doc")))
+    # The row number is a barrier: without it the filter moves below the counts and brings several copies of them along.
+    rows = rows.withColumn("_q_row", F.monotonically_increasing_id())
+    return judged(rows, bounds).filter("kept and _q_row >= 0").select("_q_doc.*")
