@@ -33,7 +33,7 @@ from pyspark.sql import types as T
 
 from corpusmill.llm import graph
 from corpusmill.llm.signature_tree import Block, bitmap
-from corpusmill.llm.tables import grouped_rows, small, stored
+from corpusmill.llm.tables import grouped_rows, lean, small, stored
 from corpusmill.llm.text_arrays import span_hashes, splitmix, text_chunks, window_hashes, words
 
 SHINGLE, PERCENT = 5, 75
@@ -95,7 +95,7 @@ def _shingle_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 def shingle_sets(docs: DataFrame) -> tuple[DataFrame, list[int]]:
     """(doc_id, sid, n, bits) per row, stored, and the frequent shingles."""
-    both = stored(docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(_shingle_pass, "doc_id long, sid long, n long, bits binary, frequent long, seen long"), "ngram-sets")
+    both = stored(docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(lean(_shingle_pass), "doc_id long, sid long, n long, bits binary, frequent long, seen long"), "ngram-sets")
     often = both.filter("frequent is not null").groupBy("frequent").agg(F.sum("seen").alias("seen"))
     top = often.orderBy(F.desc("seen"), "frequent").limit(FREQUENT).select("frequent").collect()
     return both.filter("sid is not null").select("doc_id", "sid", "n", "bits"), [r.frequent for r in top]
@@ -198,7 +198,7 @@ def _with_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _tasks(members: DataFrame, exact: bool) -> DataFrame:
     dealt = _dealt(members)
     n = int(dealt.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return dealt.repartition(n, "task").sortWithinPartitions("task").mapInArrow(_forest(exact), "a long, b long")
+    return dealt.repartition(n, "task").sortWithinPartitions("task").mapInArrow(lean(_forest(exact)), "a long, b long")
 
 
 def components(docs: DataFrame) -> DataFrame:
@@ -209,15 +209,15 @@ def components(docs: DataFrame) -> DataFrame:
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), total // (4 * TASK_KEYS) + 1)
     text = docs.select(F.col("doc_id").cast("long"), "text")
     hot = np.sort(np.array(frequent, np.int64).view(np.uint64))
-    keys = text.select("text").mapInArrow(_prefixes(hot), "key long, sid long, n long")
-    blocks = keys.repartition(parts, "key").mapInArrow(_blocks, "block long, sid long").distinct()
+    keys = text.select("text").mapInArrow(lean(_prefixes(hot)), "key long, sid long, n long")
+    blocks = keys.repartition(parts, "key").mapInArrow(lean(_blocks), "block long, sid long").distinct()
     one = sets.filter("n > 0").groupBy("sid").agg(F.first("n").alias("n"), F.first("bits").alias("bits"), F.min("doc_id").alias("least"))
     members = stored(blocks.join(one.drop("least"), "sid"), "ngram-blocks")
     near = stored(graph.components(_tasks(members, False), "ngram-near"), "ngram-near")
     # The full sets of the sets that have a possible partner, from one document each.
     wanted = stored(near.join(one, F.col("node") == F.col("sid")).select("root", "sid", "n", "bits", "least"), "ngram-wanted")
     ids = small(wanted.select(F.col("least").alias("_i")).distinct())
-    full = text.join(ids, F.col("doc_id").eqNullSafe(F.col("_i")), "left_semi").select("text").mapInArrow(_with_sets, "set long, hashes binary")
+    full = text.join(ids, F.col("doc_id").eqNullSafe(F.col("_i")), "left_semi").select("text").mapInArrow(lean(_with_sets), "set long, hashes binary")
     full = full.groupBy("set").agg(F.first("hashes").alias("hashes"))
     exact = wanted.join(full, F.col("sid") == F.col("set")).select(F.col("root").alias("block"), "sid", "n", "bits", "hashes")
     linked = stored(graph.components(_tasks(exact, True), "ngram-links"), "ngram-links")
@@ -255,7 +255,7 @@ def survivors(docs: DataFrame) -> DataFrame:
         return docs.join(small(stay.select("_i")), here, "left_semi")
     # Ids are missing or repeated: rows are told apart by their set id, and repeated rows by a row number.
     whole = docs.select("doc_id", "text", F.struct(*docs.columns).alias("_doc"))
-    tagged = whole.mapInArrow(_tagged(whole.columns), T.StructType([*whole.schema.fields, T.StructField("_sid", T.LongType())]))
+    tagged = whole.mapInArrow(lean(_tagged(whole.columns)), T.StructType([*whole.schema.fields, T.StructField("_sid", T.LongType())]))
     kept = tagged.join(stay, here & (F.col("_sid") == F.col("_s")))
     if stay.filter("_copies > 1").limit(1).count():
         rank = F.row_number().over(Window.partitionBy("doc_id", "_sid").orderBy("text"))

@@ -23,6 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from corpusmill.llm.tables import lean
+
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 UNKNOWN_COST = 10.0
 #: Distinct marked words that a task keeps before it starts anew, and characters of text that it encodes at a time.
@@ -179,12 +181,12 @@ _IDS = [T.StructField("n_tokens", T.LongType()), T.StructField("token_ids", T.Ar
 
 def encoded(docs: DataFrame, column: str = "text", path: str = MODEL_PATH) -> DataFrame:
     """``docs`` with ``n_tokens`` and ``token_ids``."""
-    return docs.mapInArrow(_encoded(load_pieces(path), column), _schema(docs, ("n_tokens", "token_ids"), _IDS))
+    return docs.mapInArrow(lean(_encoded(load_pieces(path), column)), _schema(docs, ("n_tokens", "token_ids"), _IDS))
 
 
 def decoded(rows: DataFrame, path: str = MODEL_PATH) -> DataFrame:
     """``rows`` (with ``token_ids``) with ``decoded``."""
-    return rows.mapInArrow(_decoded(load_pieces(path).surface), _schema(rows, ("decoded",), [T.StructField("decoded", T.StringType())]))
+    return rows.mapInArrow(lean(_decoded(load_pieces(path).surface)), _schema(rows, ("decoded",), [T.StructField("decoded", T.StringType())]))
 
 
 def round_trip(docs: DataFrame, column: str = "text", path: str = MODEL_PATH) -> DataFrame:
@@ -192,4 +194,4 @@ def round_trip(docs: DataFrame, column: str = "text", path: str = MODEL_PATH) ->
     pieces = load_pieces(path)
     encode, decode = _encoded(pieces, column), _decoded(pieces.surface)
     add = [*_IDS, T.StructField("decoded", T.StringType())]
-    return docs.mapInArrow(lambda batches: decode(encode(batches)), _schema(docs, ("n_tokens", "token_ids", "decoded"), add))
+    return docs.mapInArrow(lean(lambda batches: decode(encode(batches))), _schema(docs, ("n_tokens", "token_ids", "decoded"), add))

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusmill.llm.induced_sort import repeated_starts
-from corpusmill.llm.tables import small, stored
+from corpusmill.llm.tables import lean, small, stored
 from corpusmill.llm.text_arrays import byte_window_hashes, sliding_minimum, text_chunks
 
 WIDTH = 200
@@ -102,7 +102,7 @@ def repeated_windows(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text"), F.lit("")).alias("text")).withColumn("text_key", text_key(F.col("text")))
     columns = "doc_id long, text_key long, anchor long, piece long, start long, n int"
-    pieces = texts.filter(F.octet_length("text") >= WIDTH).mapInArrow(_pieces, columns)
+    pieces = texts.filter(F.octet_length("text") >= WIDTH).mapInArrow(lean(_pieces), columns)
     least = spark.conf.get("spark.sql.shuffle.partitions")
     shared = (
         pieces.repartition(int(least), "anchor")
@@ -122,8 +122,8 @@ def repeated_windows(docs: DataFrame) -> DataFrame:
     cut = near.join(wanted, F.col("doc_id").eqNullSafe(F.col("_i")) & (F.col("text_key") == F.col("_t"))).select("text", "wanted")
     size = wanted.agg(F.sum("size").alias("n")).first().n or 0
     shards = max(int(least), -(-size // SHARD_BYTES))
-    cut = cut.mapInArrow(_cut, "anchor long, piece long, weight long, bytes binary").groupBy("anchor", "piece").agg(F.first("weight").alias("weight"), F.first("bytes").alias("bytes"))
-    found = cut.repartition(shards, "anchor").mapInArrow(_sort, "anchor long, piece long, low long, high long")
+    cut = cut.mapInArrow(lean(_cut), "anchor long, piece long, weight long, bytes binary").groupBy("anchor", "piece").agg(F.first("weight").alias("weight"), F.first("bytes").alias("bytes"))
+    found = cut.repartition(shards, "anchor").mapInArrow(lean(_sort), "anchor long, piece long, low long, high long")
     whole = shared.filter("not differ").select("doc_id", "text_key", "start", (F.col("start") + F.col("n")).alias("end"))
     part = shared.filter("differ").join(found, ["anchor", "piece"]).select("doc_id", "text_key", (F.col("start") + F.col("low")).alias("start"), (F.col("start") + F.col("high")).alias("end"))
     return whole.unionByName(part).groupBy("doc_id", "text_key").agg(F.collect_set(F.struct("start", "end")).alias("runs"))
@@ -161,7 +161,7 @@ def removed_spans(docs: DataFrame, with_bytes: bool = False) -> DataFrame:
     runs = repeated_windows(docs).withColumnsRenamed({"doc_id": "_i", "text_key": "_t"})
     rows = docs.select(F.col("doc_id").cast("long"), "text")
     both = rows.join(runs, _same_document(), "left").select("doc_id", "text", "runs")
-    out = both.mapInArrow(_remove, f"doc_id long, {_REMOVED}")
+    out = both.mapInArrow(lean(_remove), f"doc_id long, {_REMOVED}")
     out = out.drop("kept_text")
     return out if with_bytes else out.drop("kept")
 
@@ -179,7 +179,7 @@ def cleaned(docs: DataFrame) -> DataFrame:
     runs = repeated_windows(docs).withColumnsRenamed({"doc_id": "_i", "text_key": "_t"})
     both = docs.select("doc_id", "text", F.struct(*docs.columns).alias("_doc")).join(runs, _same_document(), "left").select("_doc", "text", "runs")
     schema = T.StructType([both.schema["_doc"], *T._parse_datatype_string(_REMOVED).fields])
-    cut = both.mapInArrow(_remove, schema).filter("n_removed = 0 or n_removed < n_bytes")
+    cut = both.mapInArrow(lean(_remove), schema).filter("n_removed = 0 or n_removed < n_bytes")
     text = F.when(F.col("n_removed") > 0, F.col("kept_text")).otherwise(F.col("_doc.text"))
     new = {"text": F.col("_text"), "n_chars": F.when(F.col("n_removed") > 0, F.length("_text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("_doc.n_chars")) if "n_chars" in docs.columns else None}
     return cut.withColumn("_text", text).select(*[(new[c] if new.get(c) is not None else F.col("_doc").getField(c)).alias(c) for c in docs.columns])
