@@ -164,12 +164,13 @@ def found(docs: DataFrame) -> DataFrame:
     """doc_id, paragraph, tokens, family, probability of each paragraph taken for a family and confirmed."""
     model, temperature = train(docs)
     rows = model.setProbabilityCol("").setPredictionCol("").transform(featured(paragraphs(docs)))
-    calibrated = F.transform(centred(), lambda z: F.exp(z / temperature))
-    rows = rows.select("doc_id", "paragraph", "tokens", calibrated.alias("e"))
-    best = F.array_position("e", F.array_max("e"))
-    rows = rows.withColumn("probability", F.array_max("e") / F.aggregate("e", F.lit(0.0), lambda a, x: a + x))
-    rows = rows.withColumn("family", F.element_at(F.array(*map(F.lit, [UNKNOWN, *TEMPLATES])), best.cast("int")))
-    taken = rows.filter((F.col("family") != UNKNOWN) & (F.col("probability") >= LEAST_PROBABILITY)).drop("e")
+    scores = rows.select("doc_id", "paragraph", "tokens", centred().alias("z"), F.monotonically_increasing_id().alias("row"))
+    # The row number is a barrier: without it the filters below would bring the classifier along several times.
+    named = F.element_at(F.array(*map(F.lit, [UNKNOWN, *TEMPLATES])), F.array_position("z", 0.0).cast("int"))
+    likely = scores.withColumn("family", named).filter((F.col("family") != UNKNOWN) & (F.col("row") >= 0))
+    # The best class's score is 0, so its share is 1 over the sum.
+    share = 1 / F.aggregate(F.transform("z", lambda z: F.exp(z / temperature)), F.lit(0.0), lambda a, x: a + x)
+    taken = likely.withColumn("probability", share).filter(F.col("probability") >= LEAST_PROBABILITY).drop("z", "row")
     taken = stored(taken.withColumn("id", F.xxhash64("tokens")), "licence-taken")
     sure = confirmed(taken.select("id", "tokens").distinct()).withColumnsRenamed({"id": "_id", "family": "_family"})
     return taken.join(sure, (F.col("id") == F.col("_id")) & (F.col("family") == F.col("_family")), "left_semi").drop("id")
