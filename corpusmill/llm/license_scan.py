@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from corpusmill.llm.tables import stored
 
-FEATURES = 1 << 15
+FEATURES = 1 << 12
 SAMPLE_DOCS = 400
 TEMPERATURES = (0.25, 0.35, 0.5, 0.7, 1.0, 1.4, 2.0, 2.8, 4.0)
 LEAST_PROBABILITY = 0.5
@@ -152,7 +152,7 @@ def train(docs: DataFrame) -> tuple[LogisticRegressionModel, float]:
     """The fitted model and its temperature."""
     rows = stored(featured(training_rows(docs)).select("label", "features", F.xxhash64("tokens").alias("h")), "licence-training").coalesce(2)
     held = F.pmod(F.col("h"), F.lit(4)) == 0
-    model = LogisticRegression(maxIter=40, regParam=1e-3, family="multinomial").fit(rows.filter(~held | (F.col("label") > 0)))
+    model = LogisticRegression(maxIter=25, regParam=1e-3, family="multinomial").fit(rows.filter(~held | (F.col("label") > 0)))
     scored = model.transform(rows.filter(held)).select("label", centred().alias("z"))
     total = lambda t: F.aggregate("z", F.lit(0.0), lambda a, z: a + F.exp(z / t))
     losses = [F.avg(F.log(total(t)) - F.element_at("z", F.col("label").cast("int") + 1) / t) for t in TEMPERATURES]
