@@ -184,11 +184,13 @@ class Trie:
     def __init__(self, words: dict[str, np.ndarray], pairs: dict[str, np.ndarray], triples: dict[str, np.ndarray]):
         """words: prob, back; pairs: first, second, prob, back; triples: head, tail (numbers of their two pairs), prob."""
         n = len(words["prob"])
-        order = np.argsort(pairs["first"] * n + pairs["second"])
-        pair = {k: v[order] for k, v in pairs.items()}
+        key = pairs["first"] * n + pairs["second"]
+        place, pair = np.arange(len(key)), pairs
+        if not (key[1:] >= key[:-1]).all():
+            order = np.argsort(key)
+            pair = {k: v[order] for k, v in pairs.items()}
+            place[order] = np.arange(len(order))
         two = Level.encode(n, pair["first"], pair["second"])
-        place = np.empty(len(order), np.int64)
-        place[order] = np.arange(len(order))
         begin = np.searchsorted(pair["first"], np.arange(n))
         node, tail = place[triples["head"]], place[triples["tail"]]
         rank = tail - begin[pair["first"][tail]] if len(tail) else tail
@@ -213,9 +215,13 @@ class Trie:
 
     def score_pairs(self, left: np.ndarray, right: np.ndarray, head: np.ndarray, tail: np.ndarray) -> np.ndarray:
         """log10 P of triples given as two pairs each: numbers in the list of pairs (left, right), looked up once."""
-        order = np.lexsort((right, left))
+        key = left * (int(right.max(initial=0)) + 1) + right
         pair = np.empty(len(left), np.int64)
-        pair[order] = self.two.find(left[order], right[order])
+        if (key[1:] >= key[:-1]).all():
+            pair = self.two.find(left, right)
+        else:
+            order = np.argsort(key)
+            pair[order] = self.two.find(left[order], right[order])
         below, above = pair[tail], pair[head]
         middle = left[tail]
         out = self._value("wb", middle) + self._value("w", right[tail])
@@ -226,7 +232,7 @@ class Trie:
         both = np.flatnonzero((above >= 0) & (below >= 0))
         words = np.arange(int(middle.max(initial=-1)) + 1)
         rank = below[both] - self.two.begin(words)[middle[both]]
-        order = np.lexsort((rank, above[both]))
+        order = np.argsort(above[both] * (int(rank.max(initial=0)) + 1) + rank)
         both, rank = both[order], rank[order]
         full = self.three.find(above[both], rank)
         out[both[full >= 0]] = self._value("t", full[full >= 0])

@@ -173,7 +173,12 @@ def chunk_scores(payload: bytes, counts: list[np.ndarray], train_tokens: int, ty
     word[chunk.starts[:-1]] = word[chunk.starts[:-1] + 1]
     some, other = np.empty(len(c2), np.int64), np.empty(len(c3), np.int64)
     some[chunk.index[1]], other[chunk.index[2]] = chunk.last[1], chunk.last[2]
-    left, right, head, tail = word[some - 1], word[some], pair[other - 1], pair[other]
+    # Pairs in the trie's order, so that neither building nor asking sorts them again.
+    order = np.argsort(word[some - 1] * len(c1) + word[some])
+    place = np.empty(len(order), np.int64)
+    place[order] = np.arange(len(order))
+    some, c2 = some[order], c2[order]
+    left, right, head, tail = word[some - 1], word[some], place[pair[other - 1]], place[pair[other]]
     # The trie holds what occurs in training; a triple that does has both its pairs there.
     p2 = (c2 + MU[0] * p1[right]) / (c1[left] + MU[0])
     two, three = np.flatnonzero(c2 > 0), np.flatnonzero(c3 > 0)
