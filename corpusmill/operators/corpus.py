@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusmill.operators.ordinals import ordinals, prefix_sum
+from corpusmill.operators.ordinals import ordinals, prefix_sums
 
 VOCAB = 131072
 ITEM_BYTES = 4
@@ -25,8 +25,7 @@ def tokenized(docs: DataFrame) -> DataFrame:
 def packed_index(token_lists: DataFrame) -> DataFrame:
     """doc_id, ord, size and byte pointer of each list in the flat token file."""
     rows = token_lists.select("doc_id", F.size("tokens").alias("size"))
-    rows = ordinals(rows, "doc_id")
-    return prefix_sum(rows, "doc_id", F.col("size").cast("long") * ITEM_BYTES, "pointer")
+    return prefix_sums(rows, "doc_id", {"ord": F.lit(1).cast("long"), "pointer": F.col("size").cast("long") * ITEM_BYTES})
 
 
 def document_index(token_lists: DataFrame) -> DataFrame:

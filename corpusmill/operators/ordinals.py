@@ -12,17 +12,25 @@ from pyspark.sql import functions as F
 BLOCK = 1 << 16
 
 
+def prefix_sums(df: DataFrame, key: str, values: dict[str, Column], block: int = BLOCK) -> DataFrame:
+    """Adds each ``values`` name: the sum of its value over all rows with a smaller ``key`` (keys are unique), 0 for the first.
+
+    All sums share one aggregation, one join with the blocks' offsets and one window.
+    """
+    names = list(values)
+    rows = df.withColumns({"_block": F.expr(f"{key} div {block}"), **{f"_v_{n}": v for n, v in values.items()}})
+    totals = rows.groupBy("_block").agg(*[F.sum(f"_v_{n}").alias(f"_t_{n}") for n in names])
+    before = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select("_block", *[F.coalesce(F.sum(f"_t_{n}").over(before), F.lit(0)).alias(f"_o_{n}") for n in names])
+    own = Window.partitionBy("_block").orderBy(key).rowsBetween(Window.unboundedPreceding, -1)
+    sums = {n: F.col(f"_o_{n}") + F.coalesce(F.sum(f"_v_{n}").over(own), F.lit(0)) for n in names}
+    return rows.join(offsets, "_block").withColumns(sums).drop("_block", *[f"_{k}_{n}" for k in "vo" for n in names])
+
+
 def prefix_sum(df: DataFrame, key: str, value: Column, out: str, block: int = BLOCK) -> DataFrame:
-    """Adds ``out``: the sum of ``value`` over all rows with a smaller ``key`` (keys are unique), 0 for the first."""
-    rows = df.withColumns({"_block": F.floor(F.col(key) / block), "_value": value})
-    totals = rows.groupBy("_block").agg(F.sum("_value").alias("_total"))
-    before = F.sum("_total").over(Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1))
-    offsets = totals.select("_block", F.coalesce(before, F.lit(0)).alias("_offset"))
-    own = F.sum("_value").over(Window.partitionBy("_block").orderBy(key).rowsBetween(Window.unboundedPreceding, -1))
-    joined = rows.join(offsets, "_block").withColumn(out, F.col("_offset") + F.coalesce(own, F.lit(0)))
-    return joined.drop("_block", "_value", "_offset")
+    return prefix_sums(df, key, {out: value}, block)
 
 
 def ordinals(df: DataFrame, key: str, out: str = "ord", block: int = BLOCK) -> DataFrame:
     """Adds ``out``: the number of rows with a smaller ``key``, from 0."""
-    return prefix_sum(df, key, F.lit(1).cast("long"), out, block)
+    return prefix_sums(df, key, {out: F.lit(1).cast("long")}, block)
