@@ -233,9 +233,10 @@ def test_chaining(spark) -> None:
     for i in (20, 45, 60):
         fuzzy[i] = "changed"
     docs = [(i, prose(rng, 100, 5000)) for i in range(10)]
+    docs += [(30, "same " * 70 + prose(rng, 30, 5000)), (31, prose(rng, 30, 5000) + " same" * 90)]
     docs += [(20, prose(rng, 40, 5000) + " " + " ".join(shared)), (21, " ".join(fuzzy) + " " + prose(rng, 50, 5000)), (22, docs[0][1]), (23, None), (24, ""), (25, "few words here"), (26, "few words here"), (None, " ".join(shared))]
     got = {r.doc_id: r for r in chaining.repeated(frame(spark, docs)).collect()}
-    assert set(got) == {0, 20, 21, 22, None}
+    assert set(got) == {0, 20, 21, 22, 30, 31, None}
     assert got[0].n_covered == got[0].n_words == 100
     assert 50 <= got[21].n_covered <= 90
 
