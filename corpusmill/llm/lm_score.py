@@ -32,14 +32,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusmill.llm.elias_fano import Trie
-from corpusmill.llm.tables import grouped_rows, stored
+from corpusmill.llm.tables import grouped_rows, lean, stored
 from corpusmill.llm.text_arrays import span_hashes, text_chunks, window_hashes, words
 
 #: Weight of the shorter history in P(w | h), for one and for two words before.
 MU = (1000.0, 3.0)
-CHUNK_BYTES = 6 << 20
+CHUNK_BYTES = 4 << 20
 #: N-grams that a shard gets from all chunks, about.
-SHARD_KEYS = 3_000_000
+SHARD_KEYS = 2_000_000
 BEGIN, END = np.uint64(0x8C3F9A5D12B7E461), np.uint64(0xD1B54A32D192ED03)
 #: Pairs and triples are told apart by 56 bits, words by 64.
 GRAM_BITS = np.uint64(0xFFFFFFFFFFFFFF00)
@@ -163,6 +163,7 @@ def _answered(shard_bits: int):
 def chunk_scores(payload: bytes, counts: list[np.ndarray], train_tokens: int, types: int) -> pa.RecordBatch:
     """The scores of a chunk's texts, given the training count of each of its keys."""
     chunk = Chunk(payload)
+    chunk.keys.clear()  # the counts stand for them
     back = lambda c, mu: np.log10(mu / (c + mu))
     c1, c2, c3 = counts
     p1 = (c1 + 1) / (train_tokens + types + 1)
@@ -225,16 +226,16 @@ def scores(docs: DataFrame, held_out: Column | None = None) -> DataFrame:
     spark = docs.sparkSession
     held_out = in_held_out(F.col("doc_id")) if held_out is None else held_out
     texts = docs.select(F.col("doc_id").cast("long"), F.coalesce(held_out, F.lit(False)).alias("held_out"), F.coalesce("text", F.lit("")).alias("text"))
-    packed = stored(texts.mapInArrow(_packed, "chunk long, n long, train long, payload binary"), "lm-chunks")
+    packed = stored(texts.mapInArrow(lean(_packed), "chunk long, n long, train long, payload binary"), "lm-chunks")
     sums = packed.agg(F.sum("n").alias("n"), F.sum("train").alias("train"), F.count("*").alias("chunks")).first()
     least = int(spark.conf.get("spark.sql.shuffle.partitions"))
     shard_bits = max(2, -(-(sums.n or 0) // SHARD_KEYS) - 1).bit_length()
-    asked = packed.select("chunk", "payload").mapInArrow(_asked(shard_bits), "shard long, chunk long, n long, keys binary, counts binary")
+    asked = packed.select("chunk", "payload").mapInArrow(lean(_asked(shard_bits)), "shard long, chunk long, n long, keys binary, counts binary")
     dealt = asked.repartition(max(least, 2 << shard_bits), "shard").sortWithinPartitions("shard")
-    answers = stored(dealt.mapInArrow(_answered(shard_bits), "chunk long, shard long, n long, counts binary, types long"), "lm-answers")
+    answers = stored(dealt.mapInArrow(lean(_answered(shard_bits)), "chunk long, shard long, n long, counts binary, types long"), "lm-answers")
     types = answers.agg(F.sum("types").alias("v")).first().v or 0
     level = F.shiftright("shard", shard_bits).cast("long").alias("level")
     rows = answers.select("chunk", level, "shard", "n", F.col("counts").alias("data"))
     rows = rows.unionByName(packed.select("chunk", F.lit(-1).cast("long").alias("level"), F.lit(-1).cast("long").alias("shard"), "n", F.col("payload").alias("data")))
     back = rows.repartition(max(least, sums.chunks or 1), "chunk").sortWithinPartitions("chunk", "shard")
-    return back.mapInArrow(_scored(sums.train or 0, types), SCORES)
+    return back.mapInArrow(lean(_scored(sums.train or 0, types)), SCORES)
