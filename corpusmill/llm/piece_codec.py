@@ -1,19 +1,22 @@
-"""SentencePiece encoding and decoding by shared-prefix Viterbi.
+"""SentencePiece encoding and decoding of distinct marked words.
 
 The text, with a space before it, is cut into marked words: spaces with the word after them, and single line ends.  No
-piece reaches across such a cut, so the best segmentation of a text is that of its marked words.  Each task sorts its
-distinct marked words and walks them depth-first as a trie: a word keeps the forward scores of the prefix it shares with
-the word before, and only the rest is scored.  A segmentation's score is the sum of its pieces' scores in the model
-file; a character without a piece costs the least score less 10 and becomes its UTF-8 bytes as byte pieces.
+piece reaches across such a cut, so the segmentation of a text is that of its marked words, and each task segments each
+distinct one once.  A BPE model's scores are merge ranks: the adjacent pair with the best score is merged, the leftmost
+of equals, until none is a piece (``merged_pieces``).  A unigram model's are log probabilities: the segmentation with the
+greatest sum wins (``best_pieces``), over the sorted words as a trie: a word keeps the forward scores of the prefix it
+shares with the word before.  A character without a piece becomes its UTF-8 bytes as byte pieces.
 
 The model is read on the driver and travels with the tasks (32,000 pieces, under 2 MB).  Decoding is lossless: the mark
-itself, U+2581, has no piece here and goes by bytes.  Defined cases: null text encodes to null ids, 0 tokens, and
+itself, U+2581, has no piece here and goes by bytes, where ``SentencePieceProcessor.encode`` takes it for a space; all
+else is encoded as there.  Defined cases: null text encodes to null ids, 0 tokens, and
 decodes to null; empty text to no ids; repeated rows are encoded one by one; other columns are carried along; the
 output columns ``token_ids``, ``n_tokens``, ``decoded`` replace input columns of those names.
 """
 
 from __future__ import annotations
 
+import heapq
 import re
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
@@ -30,22 +33,28 @@ UNKNOWN_COST = 10.0
 #: Distinct marked words that a task keeps before it starts anew, and characters of text that it encodes at a time.
 CACHE_WORDS, CHUNK_CHARS = 400_000, 1 << 20
 _WORD = re.compile(r"\n| *[^ \n]+| +")
+#: Characters up to which a word's best pair is found by looking through all.
+SCAN_CHARS = 48
+_NONE = float("-inf")
 
 
 @dataclass(frozen=True)
 class Pieces:
-    """Text -> (id, score) of the ordinary pieces, the id of each byte's piece, and the bytes of each id."""
+    """Text -> (id, score) of the ordinary pieces, the id of each byte's piece, the bytes of each id, and whether scores are merge ranks."""
 
     ordinary: dict[str, tuple[int, float]]
     byte_ids: tuple[int, ...]
     surface: tuple[bytes, ...]
     longest: int
     unknown_score: float
+    merges: bool
 
 
 def load_pieces(path: str = MODEL_PATH) -> Pieces:
     import sentencepiece
+    from sentencepiece import sentencepiece_model_pb2
 
+    spec = sentencepiece_model_pb2.ModelProto.FromString(open(path, "rb").read()).trainer_spec
     model = sentencepiece.SentencePieceProcessor(model_file=path)
     ordinary, byte_ids, surface = {}, [0] * 256, []
     for i in range(model.get_piece_size()):
@@ -60,7 +69,7 @@ def load_pieces(path: str = MODEL_PATH) -> Pieces:
             ordinary[text] = (i, model.get_score(i))
             surface.append(text.encode())
     scores = [s for _, s in ordinary.values()]
-    return Pieces(ordinary, tuple(byte_ids), tuple(surface), max(map(len, ordinary)), min(scores) - UNKNOWN_COST)
+    return Pieces(ordinary, tuple(byte_ids), tuple(surface), max(map(len, ordinary)), min(scores) - UNKNOWN_COST, spec.model_type == spec.BPE)
 
 
 def best_pieces(words: list[str], pieces: Pieces) -> Iterator[list[int]]:
@@ -90,6 +99,56 @@ def best_pieces(words: list[str], pieces: Pieces) -> Iterator[list[int]]:
         before = word
 
 
+def _scan(word: str, score: Callable[[str], float]) -> list[str]:
+    parts = list(word)
+    pair = [score(a + b) for a, b in zip(parts, parts[1:])]  # noqa: B905
+    while pair:
+        best = max(pair)
+        if best == _NONE:
+            break
+        i = pair.index(best)
+        parts[i : i + 2] = [parts[i] + parts[i + 1]]
+        del pair[i]
+        if i:
+            pair[i - 1] = score(parts[i - 1] + parts[i])
+        if i < len(pair):
+            pair[i] = score(parts[i] + parts[i + 1])
+    return parts
+
+
+def _queued(word: str, score: Callable[[str], float]) -> list[str]:
+    """As ``_scan``, in n log n steps: a heap of pairs, of which those whose sides have changed since are passed over."""
+    parts, n = list(word), len(word)
+    after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+    heap = [(-s, i, i + 1, 2) for i in range(n - 1) if (s := score(word[i : i + 2])) != _NONE]
+    heapq.heapify(heap)
+    while heap:
+        _, i, j, size = heapq.heappop(heap)
+        if not parts[i] or not parts[j] or len(parts[i]) + len(parts[j]) != size:
+            continue
+        parts[i] += parts[j]
+        parts[j], k = "", after[j]
+        after[i] = k
+        if k < n:
+            before[k] = i
+        for a, b in ((before[i], i), (i, k)):
+            if a >= 0 and b < n and (s := score(parts[a] + parts[b])) != _NONE:
+                heapq.heappush(heap, (-s, a, b, len(parts[a]) + len(parts[b])))
+    return [p for p in parts if p]
+
+
+def merged_pieces(words: list[str], pieces: Pieces) -> Iterator[list[int]]:
+    """The ids of each of the ``words`` by the model's merge order."""
+    rank = {t: s for t, (_, s) in pieces.ordinary.items()}
+    score = lambda t: rank.get(t, _NONE)
+    for word in words:
+        ids = []
+        for p in (_scan if len(word) <= SCAN_CHARS else _queued)(word, score):
+            found = pieces.ordinary.get(p)
+            ids += [found[0]] if found else [pieces.byte_ids[b] for b in p.encode("utf-8", "surrogatepass")]
+        yield ids
+
+
 class Encoder:
     """Encodes runs of texts; keeps the segmentations of distinct marked words."""
 
@@ -109,7 +168,7 @@ class Encoder:
         found = [_WORD.findall(" " + t) if t else [] for t in texts]
         fresh = sorted({w for ws in found for w in ws}.difference(self.known))
         if fresh:
-            ids = list(best_pieces(fresh, self.pieces))
+            ids = list((merged_pieces if self.pieces.merges else best_pieces)(fresh, self.pieces))
             self.known.update(zip(fresh, range(len(self.known), len(self.known) + len(fresh)), strict=True))
             self.sizes.append(np.array([len(x) for x in ids], np.int64))
             self.flat.append(np.array([i for x in ids for i in x], np.int32))

@@ -163,6 +163,20 @@ def test_pieces_are_the_best() -> None:
             assert sum(score[i] for i in ids) == pytest.approx(best[len(word)])
 
 
+def test_pieces_are_those_of_the_model(spark, sf) -> None:
+    import sentencepiece
+
+    model = sentencepiece.SentencePieceProcessor(model_file=piece_codec.MODEL_PATH)
+    rng = random.Random(7)
+    texts = [r.text for r in spark.read.parquet(f"{sf}/documents.parquet").select("text").collect() if r.text and "▁" not in r.text]
+    texts += ["the government of the station", " lead  double   three\n\n" + " " * 70 + "x", "a" * 300, "naïve 梦 \x07 🙂 1234567"]
+    texts += ["".join(rng.choice("theinsraoa  \n") for _ in range(n)) for n in (5, 60, 400, 3000)]
+    texts += ["".join(rng.choice("theinsraoa") for _ in range(n)) for n in (40, 48, 49, 2000)]
+    ids, ends = piece_codec.Encoder(piece_codec.load_pieces()).encode(texts)
+    for text, got in zip(texts, np.split(ids, ends[:-1]), strict=True):
+        assert got.tolist() == model.encode(text), text[:80]
+
+
 def test_lm_scores(spark, rows) -> None:
     out = lm_score.scores(frame(spark, rows)).collect()
     toks = [[*WORD.findall((t or "").translate(LOWER)), None] for _, t in rows]
