@@ -3,14 +3,17 @@
 Native operator: DataFrame functions only.
 
 Numbers, names (capitalised words inside a sentence) and units (after a number) become typed placeholders.  Every run of
-``WINDOW`` template tokens of a document is hash-joined with those of the benchmark items.  A (document, item) pair is
-a hit when at least ``MIN_PERCENT`` of the item's distinct windows occur and its slots agree: along the best diagonal
-each item value stands against one document value of the same type and the other way round.  ``kind`` is ``verbatim``
-(all slot values equal, or no slots) or ``reparameterised``.
-
-Defined cases: null texts are empty and never match; items with fewer than ``WINDOW`` template tokens have no windows
-and never match; null ids are kept as ids; repeated rows (same doc_id and text) give their hits once; empty tables give
-an empty result; other columns are ignored.
+``WINDOW`` template tokens of a document is hash-joined with those of the benchmark items; of an item with fewer tokens
+the whole template is its window.  Matches are taken by diagonal (document less item position).  A diagonal agrees when
+at least half of its slots, as many as they are, have the document value most frequent for their item value, or equal
+tokens.  A (document, item) pair is a hit when its agreeing diagonals hold at least ``MIN_PERCENT`` of the item's
+distinct windows, or one of them a run of ``RUN`` tokens, however long the item.  ``kind`` is ``verbatim`` (on the
+diagonal with most windows all slot values are equal, or there are no slots) or ``reparameterised``.
+
+Defined cases: null texts are empty and never match; an item without tokens never matches, one of a word or two matches
+each document that holds it; null ids are kept as ids; each text of an item_id is an item of its own, of which the best is
+reported; repeated rows (same doc_id and text) give their hits once; empty tables give an empty result; other columns are
+ignored.
 """
 
 from __future__ import annotations
@@ -22,6 +25,7 @@ from corpusmill.llm.tables import small, stored
 
 WINDOW = 8
 MIN_PERCENT = 50
+RUN = 13
 # Units of measure that can follow a number.
 UNITS = (
     "km m cm mm mi mile miles ft feet foot inch inches yard yards kg g mg lb lbs pound pounds ounce ounces ton tons l ml liter liters litre litres "
@@ -49,61 +53,84 @@ def template(mark: Column) -> Column:
     return _tokens(F.regexp_replace(s, r"\p{N}+", "0"))
 
 
-def windows(tokens: Column) -> Column:
-    """A hash of each run of WINDOW tokens, in order."""
+def windows(tokens: Column, sizes: tuple[int, ...] = (WINDOW,)) -> Column:
+    """(pos, window): a hash of each run of tokens of each of the ``sizes``."""
     codes = F.transform(tokens, lambda t: F.xxhash64(t))
-    run = lambda c, i: F.xxhash64(*[c[i + k] for k in range(WINDOW)])
-    at = lambda c: F.when(F.size(c) >= WINDOW, F.transform(F.sequence(F.lit(0), F.size(c) - WINDOW), lambda i: run(c, i)))
+    run = lambda c, i, n: F.struct(i.alias("pos"), F.xxhash64(*[c[i + k] for k in range(n)]).alias("window"))
+    of = lambda c, n: F.when(F.size(c) >= n, F.transform(F.sequence(F.lit(0), F.size(c) - n), lambda i: run(c, i, n)))
+    at = lambda c: of(c, sizes[0]) if len(sizes) == 1 else F.flatten(F.filter(F.array(*[of(c, n) for n in sizes]), lambda w: w.isNotNull()))
     return F.transform(F.array(codes), at)[0]
 
 
+def _long_run(pos: Column) -> Column:
+    """Whether sorted window positions hold a run that covers RUN tokens."""
+    more = RUN - WINDOW
+    return F.when(F.size(pos) > more, F.exists(F.sequence(F.lit(more), F.size(pos) - 1), lambda i: pos[i] - pos[i - more] == more)).otherwise(False)
+
+
+def _agreeing(slots: Column) -> Column:
+    """Of slots (a in the item, b in the document) how many have the most frequent b of their a, or b = a."""
+    values = F.array_distinct(F.transform(slots, lambda s: s["a"]))
+
+    def most(a: Column) -> Column:
+        own = F.transform(F.filter(slots, lambda s: s["a"] == a), lambda s: s["b"])
+        return F.array_max(F.transform(F.array_distinct(own), lambda b: F.size(F.filter(own, lambda x: (x == b) | (x == a)))))
+
+    return F.aggregate(F.transform(values, most), F.lit(0), lambda n, m: n + m)
+
+
 def hits(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, text_hash, item_id, n_windows, item_windows, n_slots, kind of every hit."""
-    item = benchmark.select("item_id", marked(F.col("text")).alias("mark")).distinct()
-    item_rows = item.select("item_id", F.posexplode(windows(template(F.col("mark")))).alias("item_pos", "window"))
-    sizes = item_rows.groupBy(F.col("item_id").alias("_i")).agg(F.countDistinct("window").alias("item_windows"))
-    item_windows = item_rows.join(sizes, F.col("item_id").eqNullSafe(F.col("_i"))).select(
-        "item_id", "item_pos", F.col("window").alias("item_window"), "item_windows"
+    # An item's first word is a name where the item stands inside a sentence, so each such item has a second reading.
+    readings = lambda m: F.when(F.col("text").rlike(r"^\p{Lu}\p{Ll}"), F.array(m, F.concat(F.lit(_NAME), m))).otherwise(F.array(m))
+    item = benchmark.select("item_id", F.explode(readings(marked(F.col("text")))).alias("mark")).distinct().withColumn("item_key", F.xxhash64("mark"))
+    item = item.withColumn("tokens", template(F.col("mark"))).filter(F.size("tokens") > 0)
+    short = sorted(r[0] for r in item.select(F.size("tokens")).filter(F.size("tokens") < WINDOW).distinct().collect())
+    own = F.coalesce(windows(F.col("tokens")), *[F.when(F.size("tokens") == n, windows(F.col("tokens"), (n,))) for n in short])
+    item = stored(item.withColumn("own", F.transform(own, lambda w: w["window"])).drop("tokens"), "decontaminate-items")
+    item_windows = item.select(
+        "item_id", "item_key", F.size(F.array_distinct("own")).alias("item_windows"), F.posexplode("own").alias("item_pos", "item_window")
     )
     doc_rows = docs.select(
-        "doc_id", F.xxhash64("text").alias("text_hash"), F.posexplode(windows(template(marked(F.col("text"))))).alias("doc_pos", "window")
-    )
+        "doc_id", F.xxhash64("text").alias("text_hash"), F.explode(windows(template(marked(F.col("text"))), (WINDOW, *short))).alias("w")
+    ).select("doc_id", "text_hash", F.col("w.pos").alias("doc_pos"), F.col("w.window").alias("window"))
     # One row per document, item and diagonal, so a document repeated a million times stays a million small groups.
     seen = doc_rows.join(small(item_windows), F.col("window") == F.col("item_window"))
     pair = ["doc_id", "text_hash", "item_id"]
+    whole = [*pair, "item_key", "item_windows"]
+    n_windows = F.size(F.array_distinct(F.flatten(F.collect_list("found")))).alias("n_windows")
+    enough = (100 * F.col("n_windows") >= MIN_PERCENT * F.col("item_windows")) | F.col("long")
     lines = (
-        seen.groupBy(*pair, "item_windows", (F.col("doc_pos") - F.col("item_pos")).alias("shift"))
-        .agg(F.collect_set("item_window").alias("found"), F.min("item_pos").alias("first"), F.max("item_pos").alias("last"))
-        .groupBy(*pair, "item_windows")
-        .agg(
-            F.size(F.array_distinct(F.flatten(F.collect_list("found")))).alias("n_windows"),
-            F.max(F.struct(F.size("found").alias("n"), (-F.col("shift")).alias("back"), "first", "last")).alias("best"),
-        )
-        .filter(100 * F.col("n_windows") >= MIN_PERCENT * F.col("item_windows"))
+        seen.groupBy(*whole, (F.col("doc_pos") - F.col("item_pos")).alias("shift"))
+        .agg(F.collect_set("item_window").alias("found"), F.sort_array(F.collect_set("item_pos")).alias("pos"))
+        .groupBy(*whole)
+        .agg(n_windows, F.max(_long_run(F.col("pos"))).alias("long"), F.collect_list(F.struct("shift", "pos")).alias("lines"))
+        .filter(enough)
     )
-    lines = stored(lines.select(*pair, "n_windows", "item_windows", "best.*"), "decontaminate-lines")
-    # Slots along the best diagonal, for the documents with hits only.
+    lines = stored(lines.select(*whole, "lines"), "decontaminate-lines")
+    # Slots along every diagonal, for the documents with hits only.
     near = lines.select(F.col("doc_id").alias("i"), F.col("text_hash").alias("t")).distinct()
     texts = docs.withColumn("text_hash", F.xxhash64("text")).join(
         small(near), F.col("doc_id").eqNullSafe(F.col("i")) & (F.col("text_hash") == F.col("t")), "left_semi"
     )
     texts = texts.select(F.col("doc_id").alias("i"), F.col("text_hash").alias("t"), _tokens(marked(F.col("text"))).alias("doc_tokens")).distinct()
     both = lines.join(texts, F.col("doc_id").eqNullSafe(F.col("i")) & (F.col("text_hash") == F.col("t")))
-    raw = item.select(F.col("item_id").alias("j"), _tokens(F.col("mark")).alias("item_tokens"))
-    both = both.join(small(raw), F.col("item_id").eqNullSafe(F.col("j")))
-    slot = lambda t: t.rlike(r"^[\x01\x02\p{N}]")
-    both = both.withColumn(
-        "slots",
-        F.expr(
-            f"""array_distinct(filter(transform(sequence(first, last + {WINDOW - 1}),
-                p -> struct(item_tokens[p] as a, doc_tokens[p - back] as b)), s -> s.a is not null and s.b is not null))"""
-        ),
-    ).withColumn("slots", F.filter("slots", lambda s: slot(s["a"]) & slot(s["b"])))
-    one = lambda side: F.size(F.array_distinct(F.transform("slots", lambda s: s[side]))) == F.size("slots")
+    raw = item.select(F.col("item_id").alias("j"), F.col("item_key").alias("k"), _tokens(F.col("mark")).alias("item_tokens"), "own")
+    both = both.join(small(raw), F.col("item_id").eqNullSafe(F.col("j")) & (F.col("item_key") == F.col("k")))
+    aligned = F.expr(
+        f"""transform(lines, d -> struct(d.shift as shift, d.pos as pos, transform(d.pos, p -> own[p]) as found,
+            transform(array_distinct(flatten(transform(d.pos, p -> sequence(p, p + least({WINDOW}, size(item_tokens)) - 1)))),
+                p -> struct(item_tokens[p] as a, doc_tokens[p + d.shift] as b)) as slots))"""
+    )
+    each = both.select(*whole, F.explode(aligned).alias("d")).select(*whole, "d.*")
+    each = each.withColumn("slots", F.filter("slots", lambda s: s["a"].rlike(r"^[\x01\x02\p{N}]")))
     equal = F.forall("slots", lambda s: s["a"] == s["b"])
+    rank = F.struct(F.size("pos").alias("n"), equal.alias("equal"), (-F.col("shift")).alias("back"), F.size(F.array_distinct("slots")).alias("n_slots"))
     return (
-        both.filter(one("a") & one("b"))
-        .select(*pair, "n_windows", "item_windows", F.size("slots").alias("n_slots"), F.when(equal, "verbatim").otherwise("reparameterised").alias("kind"))
+        each.filter(2 * _agreeing(F.col("slots")) >= F.size("slots"))
+        .groupBy(*whole).agg(n_windows, F.max(_long_run(F.col("pos"))).alias("long"), F.max(rank).alias("best"))
+        .filter(enough)
+        .select(*pair, "n_windows", "item_windows", "best.n_slots", F.when(F.col("best.equal"), "verbatim").otherwise("reparameterised").alias("kind"))
         # An item_id that stands for several texts reports its best.
         .groupBy(*pair).agg(F.max_by(F.struct("n_windows", "item_windows", "n_slots", "kind"), F.struct("n_windows", "kind")).alias("m"))
         .select(*pair, "m.*")

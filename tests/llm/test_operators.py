@@ -240,6 +240,27 @@ def test_decontaminate(spark) -> None:
     assert {r.doc_id for r in decontaminate.clean(frame(spark, docs), bench).collect()} == {3, 4, 5}
 
 
+def test_decontaminate_parts_short_items_and_slots(spark) -> None:
+    rng = random.Random(9)
+    letters = lambda n: " ".join("".join(rng.choices("bcdfgaeiou", k=7)) for _ in range(n))
+    long, ask = letters(120).split(), "What is the capital of Peru"
+    apples = "Anna has 5 apples and her brother has 5 pears, so how many of them are on the table"
+    plums = "Tom sold 3 plums while his sister sold 4 plums, so how many plums did they sell in all"
+    bench = spark.createDataFrame([(1, " ".join(long)), (2, ask), (3, apples), (4, plums)], "item_id long, text string")
+    around = lambda t: letters(30) + " " + t + " " + letters(30)
+    look_alike = apples.replace("5 apples", "7 apples").replace("5 pears", "9 pears")
+    docs = {
+        1: around(" ".join(long[40:80])), 2: around(" ".join(long[40:53])), 3: around(" ".join(long[40:52])),
+        4: around(ask), 5: around("what is the capital"), 6: around(look_alike), 7: around(apples.replace("5 pears", "6 pears")),
+        8: around(plums.replace("3", "5").replace("4", "5")), 9: look_alike + " " + letters(9) + " " + apples,
+    }
+    got = {(r.doc_id, r.item_id): r.kind for r in decontaminate.hits(frame(spark, list(docs.items())), bench).collect()}
+    assert got == {
+        (1, 1): "verbatim", (2, 1): "verbatim", (4, 2): "verbatim", (6, 3): "reparameterised", (7, 3): "reparameterised",
+        (8, 4): "reparameterised", (9, 3): "verbatim",
+    }
+
+
 def test_chaining(spark) -> None:
     rng = random.Random(6)
     shared = prose(rng, 80, 5000).split()

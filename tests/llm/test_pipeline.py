@@ -122,6 +122,11 @@ def test_each_stage_on_its_own_input(spark, sf, stages) -> None:
     assert [{k: v for k, v in d.items() if k not in ("token_ids", "n_tokens")} for d in stages[4]] == stages[3]
 
 
+def test_every_leak_goes(spark, sf, stages) -> None:
+    gone = {d["doc_id"] for d in stages[2]} - {d["doc_id"] for d in stages[3]}
+    assert gone == leaks(spark, stages[2], table(spark, sf, "benchmark"))
+
+
 def test_run_is_its_stages(spark, sf, stages) -> None:
     got = sorted((r.doc_id, r.n_tokens, list(r.token_ids)) for r in corpus_pipeline.run(spark, sf).collect())
     assert got == [(d["doc_id"], d["n_tokens"], list(d["token_ids"])) for d in stages[-1]]
