@@ -13,10 +13,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A path that nothing has used, in the folder the cluster shares (spark.checkpoint.dir); where that is unset, as in tests
-    on one machine, in a new temporary folder."""
+    """A path that nothing has used, in the folder the cluster shares (spark.checkpoint.dir); where that is unset, in a new
+    temporary folder of a local session, and an error on a cluster."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that the cluster shares")
         shared = tempfile.mkdtemp(prefix="spark-shared-")
         spark.conf.set("spark.checkpoint.dir", shared)
     return f"{shared}/work/{label}-{uuid.uuid4().hex}"
