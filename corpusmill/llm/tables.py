@@ -21,10 +21,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """spark.checkpoint.dir of the session; only where that is unset (tests on one machine) a new temporary folder."""
+    """spark.checkpoint.dir of the session; where that is unset, a new temporary folder of a local session, and an error on a cluster."""
     known = spark.conf.get("spark.checkpoint.dir", None)
     if known:
         return known
+    if not spark.sparkContext.master.startswith("local["):
+        raise ValueError("spark.checkpoint.dir must name a folder that the cluster shares")
     made = tempfile.mkdtemp(prefix="spark-shared-")
     spark.conf.set("spark.checkpoint.dir", made)
     return made
