@@ -25,7 +25,7 @@ def shared_dir(spark: SparkSession) -> str:
     known = spark.conf.get("spark.checkpoint.dir", None)
     if known:
         return known
-    if not spark.sparkContext.master.startswith("local["):
+    if spark.sparkContext.master.partition("[")[0] != "local":
         raise ValueError("spark.checkpoint.dir must name a folder that the cluster shares")
     made = tempfile.mkdtemp(prefix="spark-shared-")
     spark.conf.set("spark.checkpoint.dir", made)
@@ -47,6 +47,14 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def bucketed(df: DataFrame, label: str, key: str, buckets: int) -> DataFrame:
+    """As ``stored``, as a table in ``buckets`` by ``key``: joins on the key leave it where it is."""
+    spark, path = df.sparkSession, new_path(df.sparkSession, label)
+    name = os.path.basename(path).replace("-", "_")
+    df.write.bucketBy(buckets, key).sortBy(key).format("parquet").option("path", path).saveAsTable(name)
+    return spark.table(name)
+
+
 #: Rows (each under about 100 bytes) up to which a counted table is broadcast; beyond it Spark shuffles.
 BROADCAST_ROWS = 500_000
 
