@@ -35,25 +35,52 @@ def ngram_ids(tokens: Column, orders: list[int], heads: int, target: int) -> lis
 
 
 def _table_ids(tokens: Column, table: int, order: int, size: int, offset: int) -> Column:
-    def row(t: Column, i: Column) -> Column:
-        value = t * multiplier(table, 0)
-        for back in range(1, order):
-            before = F.when(i >= back, F.get(tokens, i - back)).otherwise(F.lit(0).cast("long"))
-            value = value.bitwiseXOR(before * multiplier(table, back))
-        return value.bitwiseXOR(F.lit(bias(table))) % size + offset
+    value = F.transform(tokens, lambda t: (t * multiplier(table, 0)).bitwiseXOR(F.lit(bias(table))))
+    for back in range(1, order):
+        before = F.slice(F.concat(F.array_repeat(F.lit(0).cast("long"), back), tokens), F.lit(1), F.size(tokens))
+        value = F.zip_with(value, before, lambda v, b: v.bitwiseXOR(b * multiplier(table, back)))  # noqa: B023
+    return F.transform(value, lambda v: v % size + offset)
 
-    return F.transform(tokens, row)
 
+def ahead(tokens: Column, depth: int, fill: int) -> Column:
+    """At each place the token ``depth`` places on, ``fill`` beyond the end."""
+    rest = F.slice(tokens, F.lit(depth + 1), F.greatest(F.size(tokens) - depth, F.lit(0)))
+    return F.concat(rest, F.array_repeat(F.lit(fill).cast("long"), F.least(F.size(tokens), F.lit(depth))))
 
-def component_ids(components: dict[str, tuple[Column, int]]) -> dict[str, Column]:
-    """Per component an array of rows in the joined tables: ids clamped to the component's size; a missing one is its row 0."""
+
+# The side channels of a token batch, those that make its core, and the names of the embedding's components.
+SIDE_CHANNELS = ("structure_ids", "dep_levels", "ast_depth_ids", "sibling_index_ids", "node_type_ids")
+COMPONENTS = ("structure", "dep_level", "ast_depth", "sibling_index", "ast_node_type")
+CORE_COMPONENTS = ("structure", "dep_level")
+
+
+def parsed_components(spec: str) -> tuple[str, ...]:
+    """``all``, ``core`` or a comma list of component names, in the components' own order; ValueError for an unknown one."""
+    if spec in ("all", "core"):
+        return COMPONENTS if spec == "all" else CORE_COMPONENTS
+    wanted = {part.strip() for part in spec.split(",")} - {""}
+    if unknown := wanted.difference(COMPONENTS):
+        raise ValueError(f"no such components: {', '.join(sorted(unknown))}")
+    return tuple(c for c in COMPONENTS if c in wanted)
+
+
+def component_ids(components: dict[str, tuple[Column | None, int]]) -> dict[str, Column]:
+    """Per component an array of rows in the joined tables: ids clamped to the component's size; a missing component (None, or a
+    null array) has no ids, and counts with weight 0 in ``component_sum``."""
     out, offset = {}, 0
     for name, (ids, size) in components.items():
-        out[name] = _clamped(ids, size, offset)
+        out[name] = F.lit(None).cast("array<long>") if ids is None else _clamped(ids, size, offset)
         offset += size
     return out
 
 
+def component_sum(vectors: list[Column], present: list[Column]) -> Column:
+    """Sum of the components' vectors, each weighted by one over the number of components, and by 0 where it is not present."""
+    scale = 1.0 / max(len(vectors), 1)
+    weighted = [F.transform(v, lambda x: x * F.when(p, scale).otherwise(0.0)) for v, p in zip(vectors, present, strict=True)]  # noqa: B023
+    return scaled_sum(weighted, 1.0)
+
+
 def _clamped(ids: Column, size: int, offset: int) -> Column:
     return F.transform(ids, lambda v: F.greatest(F.lit(0), F.least(v, F.lit(size - 1))) + offset)
 
@@ -87,6 +114,27 @@ def rotated(x: Column, angle: Column) -> Column:
     return F.transform(x, turn)
 
 
+def l2_norm(x: Column) -> Column:
+    return F.sqrt(dot(x, x))
+
+
+def modulated_decay(x: Column, a_log: Column, scale: Column, bias_: Column, ceiling: float = -0.01) -> Column:
+    """-exp(a_log) - softplus(scale * |x| + bias), at most ``ceiling``: the decay rate modulated by the vector's length."""
+    return F.least(-F.exp(a_log) - softplus(scale * l2_norm(x) + bias_), F.lit(ceiling))
+
+
+def outer(a: Column, b: Column) -> Column:
+    """All products of an element of a with one of b, as rows."""
+    return F.transform(a, lambda x: F.transform(b, lambda y: x.cast("double") * y.cast("double")))
+
+
+def head_scores(heads: Column, key: Column, weights: Column, relu: bool = True) -> Column:
+    """Sum over the heads of weight * dot(head, key), negative dots taken as 0 if ``relu``."""
+    dots = F.transform(heads, lambda h: dot(h, key))
+    kept = F.transform(dots, lambda v: F.greatest(v, F.lit(0.0))) if relu else dots
+    return dot(kept, weights)
+
+
 def softplus(x: Column) -> Column:
     return F.when(x > 20, x).otherwise(F.log1p(F.exp(x)))
 
@@ -120,6 +168,32 @@ def e4m3(byte: Column) -> Column:
     return F.when((exponent == 15) & (fraction == 7), float("nan")).otherwise(sign * value)
 
 
+#: Greatest 8-bit float of this kind.
+E4M3_MAX = 448.0
+
+
+def e4m3_rounded(x: Column) -> Column:
+    """The nearest value that an 8-bit float holds, halves to even, beyond the greatest the greatest."""
+    exponent = F.greatest(F.floor(F.log2(F.nullif(F.abs(x), F.lit(0.0)))), F.lit(-6))
+    step = F.pow(F.lit(2.0), exponent - 3)
+    near = F.rint(x / step) * step
+    return F.coalesce(F.when(F.abs(near) > E4M3_MAX, F.signum(x) * E4M3_MAX).otherwise(near), F.lit(0.0))
+
+
+def e4m3_packed(x: Column, clamp: bool = False) -> tuple[Column, Column]:
+    """(values as 8-bit floats hold them, scale): the array over the scale that maps its greatest magnitude to the greatest
+    float, 1 where all are 0; ``clamp`` first cuts what lies beyond the greatest float."""
+    cut = F.transform(x, lambda v: F.greatest(F.lit(-E4M3_MAX), F.least(F.lit(E4M3_MAX), v))) if clamp else x
+    absmax = F.array_max(F.transform(cut, lambda v: F.abs(v)))
+    scale = F.when(absmax > 0, absmax / E4M3_MAX).otherwise(1.0)
+    return F.transform(cut, lambda v: e4m3_rounded(v / scale)), scale
+
+
+def is_edge_layer(index: Column, layers_: int, first: int, last: int) -> Column:
+    """Whether a layer is one of the first or of the last ones."""
+    return (index < first) | (index >= layers_ - last)
+
+
 def scaled_e4m3(byte: Column, exponent: Column) -> Column:
     """The value times 2 ** (exponent - 127); an exponent byte of 0 gives 0."""
     return F.when(exponent == 0, 0.0).otherwise(e4m3(byte) * F.pow(F.lit(2.0), exponent - 127))

@@ -78,6 +78,21 @@ def label_path(text: Column) -> Column:
     return F.when((F.length(label) > 0) & (F.length(path) > 0), F.struct(label.alias("label"), path.alias("path")))
 
 
+def is_setting(key: Column) -> Column:
+    """Whether a form's key names a setting: keys with a leading underscore do not."""
+    return ~key.startswith("_")
+
+
+def readable_share(share: Column) -> Column:
+    """A share in percent with one decimal; a dash for null and 0."""
+    return F.when(F.coalesce(share, F.lit(0.0)) != 0, F.concat(F.format_string("%.1f", share * 100), F.lit("%"))).otherwise("-")
+
+
+def iso_utc(at: Column | None = None) -> Column:
+    """A time (now if none) as ISO text in UTC."""
+    return F.date_format(F.to_utc_timestamp(F.current_timestamp() if at is None else at, F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss'+00:00'")
+
+
 def coerced(text: Column) -> Column:
     """Kind of a form value: int, float or error."""
     return F.when(text.try_cast("long").isNotNull(), "int").when(text.try_cast("double").isNotNull(), "float").otherwise("error")

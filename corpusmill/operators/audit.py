@@ -2,16 +2,24 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, MapType, StructType
 
 from corpusmill.functions.scalars import GIB, MIB, NUMBER
+from corpusmill.sources.tables import scratch_path
 
-# Parameter leaf names of state-space layers, and parts of stack frames that say nothing.
+# Parameter leaf names of state-space layers, parts of stack frames that say nothing, and parts of parameter
+# names with their groups in the order of the tests.
 SCALAR_LEAVES = ("A_log", "dt_bias", "D", "B_bias", "C_bias", "B_norm_weight", "C_norm_weight", "mimo_x", "mimo_z", "mimo_o")
 FRAME_NOISE = (
     "memory_snapshot.cpp", "RegisterCUDA_", "RegisterCompositeExplicitAutograd_", "RegisterCompositeImplicitAutograd_", "RegisterBackendSelect.cpp", "VariableType_",
-    "python_torch_functions_", "python_variable_methods.cpp", "python_function.cpp", "LinearAlgebra.cpp", "torch/nn/modules/module.py", "torch/_dynamo",
+    "python_torch_functions_", "python_variable_methods.cpp", "python_function.cpp", "LinearAlgebra.cpp", "torch/nn/modules/module.py", "torch/_dynamo", "torch/_inductor", "torch/autograd",
+)
+NAME_GROUPS = (
+    ("ngram_hash", ("ngram", "hash")), ("structure", ("structure",)), ("embedding", ("word_embeddings", "embedding")), ("output_layer", ("output_layer",)), ("mtp", ("mtp",)),
+    ("moe_shared_experts", ("shared_experts",)), ("moe_experts", (".mlp.experts.", "experts.")), ("moe_router", ("router",)), ("attention", ("self_attention", "cross_attention")),
+    ("mamba_mixer", (".mixer.", "mamba")), ("dense_mlp", (".mlp.",)), ("norm", ("norm", "layernorm")),
 )
 DTYPE_BYTES = {"fp32": 4, "fp16": 2, "bf16": 2, "fp8": 1}
 OOM, CRASH = r"OutOfMemoryError|CUDA out of memory", r"SIGABRT|SIGSEGV|RuntimeError|AssertionError"
@@ -25,6 +33,17 @@ def parameter_category(name: Column, is_embedding: Column, is_tagged: Column, di
     )
 
 
+def parameter_group(name: Column) -> Column:
+    """The group of a parameter by parts of its name, whatever their case; the first that holds counts."""
+    low, out = F.lower(name), F.lit("other")
+    for group, parts in reversed(NAME_GROUPS):
+        found = F.lit(False)
+        for part in parts:
+            found |= F.contains(low, F.lit(part))
+        out = F.when(found, group).otherwise(out)
+    return out
+
+
 def buckets(rows: DataFrame, sections: dict[str, list[str]], numel: str, nbytes: str) -> DataFrame:
     """section, key (parts joined by |), n, numel, bytes: every section in one pass over the rows."""
     keys = F.explode(F.array(*[F.struct(F.lit(s).alias("section"), F.concat_ws("|", *cols).alias("key")) for s, cols in sections.items()]))
@@ -54,8 +73,9 @@ def size_histogram(blocks: DataFrame) -> DataFrame:
 
 
 def useful_frames(frames: Column, most: int = 5) -> Column:
-    """The first frames that say something; the first of all if none does."""
-    good = F.filter(frames, lambda f: ~f.rlike("|".join(p.replace(".", r"\.") for p in FRAME_NOISE)))
+    """The first frames (file names) that say something; the first of all if none does.  Unnamed ones, '' or ??, say nothing."""
+    noise = "|".join(p.replace(".", r"\.") for p in FRAME_NOISE)
+    good = F.filter(frames, lambda f: F.coalesce((f != "") & (f != "??") & ~f.rlike(noise), F.lit(False)))
     return F.slice(F.when(F.size(good) > 0, good).otherwise(frames), 1, most)
 
 
@@ -113,7 +133,7 @@ def residual(total: Column, *parts: Column) -> Column:
 def threshold_errors(metrics: DataFrame, limits: DataFrame) -> DataFrame:
     """run, metric, problem: metrics (run, metric, value) against limits (metric, op, bound); a missing value is a problem."""
     runs = metrics.select("run").distinct()
-    wanted = runs.join(F.broadcast(limits)).join(metrics, ["run", "metric"], "left")
+    wanted = runs.join(limits).join(metrics, ["run", "metric"], "left")
     fits = F.when(F.col("op") == ">=", F.col("value") >= F.col("bound")).otherwise(F.col("value") <= F.col("bound"))
     problem = F.when(F.col("value").isNull(), "missing").when(~fits, F.concat(F.lit("not "), "op", F.lit(" bound")))
     return wanted.select("run", "metric", problem.alias("problem")).filter("problem is not null")
@@ -262,11 +282,67 @@ def state_bytes(rows: DataFrame, block: int = 256) -> DataFrame:
     return rows.select("name", (n * DTYPE_BYTES["bf16"]).alias("model_bytes"), (n * DTYPE_BYTES["fp32"]).alias("grad_bytes"), F.when(F.col("is_fallback"), fallback).otherwise(quantised).alias("state_bytes"))
 
 
-def descendants(edges: DataFrame, root: str) -> DataFrame:
-    """node, depth of everything below the root of (parent, child), each node once."""
-    spark: SparkSession = edges.sparkSession
-    edges.createOrReplaceTempView("_audit_edges")
-    return spark.sql(
-        "with recursive walk(node, depth) as (select :root, 0 union all select e.child, w.depth + 1 from walk w join _audit_edges e on e.parent = w.node) "
-        "select node, min(depth) as depth from walk group by node", args={"root": root},
+def copy_breakdown(counters: DataFrame, events: DataFrame, declared: DataFrame) -> DataFrame:
+    """Copies of 8-bit tensors by source, one row per run of ``counters`` (run, counters: a map).
+
+    ``events`` (run, kind dgrad or wgrad, converted_a, total_a, converted_b, total_b) are grouped calls; without any, their
+    numbers come from the counters and their copies from the number of experts: the one observed group size, else the
+    declared one.  Dense copies are what the copy counter leaves, or, without it, what the adapter's hits call for.
+    """
+    at = lambda k: F.coalesce(F.try_element_at("counters", F.lit(k)), F.lit(0))
+    own = lambda kind, value: F.sum(F.when(F.col("kind") == kind, value).otherwise(0))
+    copied = F.col("converted_a") + F.col("converted_b")
+    seen = events.groupBy("run").agg(
+        own("dgrad", F.lit(1)).alias("e_dgrad"), own("wgrad", F.lit(1)).alias("e_wgrad"), own("dgrad", copied).alias("c_dgrad"), own("wgrad", copied).alias("c_wgrad"), F.count("*").alias("n_events"),
     )
+    sizes = events.select("run", F.explode(F.array("total_a", "total_b")).alias("size"))
+    experts = inferred_experts(declared, sizes).select("run", F.col("used").alias("experts"))
+    rows = counters.join(seen, "run", "left").join(experts, "run", "left")
+    some = F.coalesce("n_events", F.lit(0)) > 0
+    kinds = ("dgrad", "wgrad")
+    rows = rows.withColumns({f"grouped_{k}": F.when(some, F.col(f"e_{k}")).otherwise(at(f"mxfp8_grouped_transpose_copy_fallback_{k}")) for k in kinds})
+    inferred = {"dgrad": F.col("grouped_dgrad") * F.col("experts"), "wgrad": F.col("grouped_wgrad") * F.col("experts") * 2}
+    rows = rows.withColumns({f"copies_{k}": F.when(some, F.col(f"c_{k}")).otherwise(F.coalesce(inferred[k], F.lit(0))) for k in kinds})
+    rows = rows.withColumns({f"dense_{k}": F.greatest(at(f"mxfp8_tn_adapter_{k}") - F.col(f"grouped_{k}"), F.lit(0)) for k in kinds})
+    rows = rows.withColumns({"grouped_copies": F.expr("copies_dgrad + copies_wgrad"), "dense_expected": F.expr("dense_dgrad + 2 * dense_wgrad"), "total": F.try_element_at("counters", F.lit("mxfp8_tn_adapter_copy_transpose"))})
+    source = F.when(some, "counted").when(F.col("experts").isNotNull(), "inferred").otherwise("none")
+    return rows.select(
+        "run", "total", "grouped_copies", F.when(F.col("total").isNull(), F.col("dense_expected")).otherwise(F.greatest(F.expr("total - grouped_copies"), F.lit(0))).alias("dense_copies"),
+        F.expr("grouped_dgrad + grouped_wgrad").alias("grouped_hits"), F.expr("dense_dgrad + dense_wgrad").alias("dense_hits"), F.expr("total - grouped_copies - dense_expected").alias("unattributed"), source.alias("source"),
+    )
+
+
+def descendants(edges: DataFrame, root: str) -> DataFrame:
+    """node, depth of everything below the root of (parent, child), each node once with its least depth; edges may form cycles.
+
+    Each level is stored, and leaves out what a level before has, so every edge is followed once; at most as many levels as
+    the longest shortest path.
+    """
+    spark, path = edges.sparkSession, scratch_path(edges.sparkSession, "descendants")
+    pairs, schema, depth = edges.select("parent", "child").distinct(), "node string, depth int", 0
+    spark.createDataFrame([(root,)], "node string").write.parquet(f"{path}/depth=0")
+    while True:
+        seen = spark.read.schema(schema).parquet(path)
+        front = seen.filter(F.col("depth") == depth)
+        if not front.limit(1).count():
+            return seen
+        found = pairs.join(front, F.col("parent") == F.col("node")).select(F.col("child").alias("node")).distinct()
+        depth += 1
+        found.join(seen.select("node"), "node", "left_anti").write.parquet(f"{path}/depth={depth}")
+
+
+def flattened(rows: DataFrame, column: str, prefix: str) -> DataFrame:
+    """path and value (as text) of every leaf of a column nested to any depth: fields of structs and keys of maps are joined by
+    dots after the prefix; nulls give no leaf."""
+
+    def leaves(value: Column, path: Column, kind: DataType) -> Column:
+        if isinstance(kind, StructType):
+            parts = [leaves(value[f.name], F.concat_ws(".", path, F.lit(f.name)), f.dataType) for f in kind.fields]
+            return F.when(value.isNotNull(), F.flatten(F.array(*parts)))
+        if isinstance(kind, MapType):
+            inner = F.transform(F.map_entries(value), lambda e: leaves(e["value"], F.concat_ws(".", path, e["key"].cast("string")), kind.valueType))
+            return F.flatten(F.filter(inner, lambda x: x.isNotNull()))
+        return F.when(value.isNotNull(), F.array(F.struct(path.alias("path"), value.cast("string").alias("value")))).otherwise(F.array().cast("array<struct<path:string,value:string>>"))
+
+    found = leaves(F.col(column), F.lit(prefix), rows.schema[column].dataType)
+    return rows.select(F.explode(found).alias("leaf")).select("leaf.path", "leaf.value")

@@ -6,32 +6,52 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusmill.operators.ordinals import ordinals, prefix_sums
+from corpusmill.sources.tables import scratch_path
 
 VOCAB = 131072
 ITEM_BYTES = 4
 
 
+def words(text: Column) -> Column:
+    """Words between blanks."""
+    return F.filter(F.split(text, "[ \t\n\r]+"), lambda w: w != "")
+
+
 def tokens(text: Column) -> Column:
-    """Stand-in tokenizer: words between blanks, numbered by a hash (the real tokenizer of a corpus is external)."""
-    words = F.filter(F.split(text, "[ \t\n\r]+"), lambda w: w != "")
-    return F.transform(words, lambda w: F.conv(F.substring(F.md5(w), 1, 8), 16, 10).cast("long") % VOCAB)
+    """Stand-in tokenizer: words numbered by a hash (the real tokenizer of a corpus is external)."""
+    return F.transform(words(text), lambda w: F.conv(F.substring(F.md5(w), 1, 8), 16, 10).cast("long") % VOCAB)
+
+
+def with_words(docs: DataFrame) -> DataFrame:
+    """The documents that have a word: one look at the text, before any work on its words."""
+    return docs.filter(F.col("text").rlike("[^ \t\n\r]"))
 
 
 def tokenized(docs: DataFrame) -> DataFrame:
     """doc_id and tokens of every document that has tokens; null and empty lists go."""
-    return docs.select("doc_id", tokens(F.col("text")).alias("tokens")).filter(F.size("tokens") > 0)
+    return with_words(docs).select("doc_id", tokens(F.col("text")).alias("tokens"))
+
+
+def sized(docs: DataFrame) -> DataFrame:
+    """doc_id and size, the number of tokens, of every document that has any; no token is numbered for it."""
+    return with_words(docs).select("doc_id", F.size(words(F.col("text"))).alias("size"))
 
 
-def packed_index(token_lists: DataFrame) -> DataFrame:
-    """doc_id, ord, size and byte pointer of each list in the flat token file."""
-    rows = token_lists.select("doc_id", F.size("tokens").alias("size"))
+def packed_index(sizes: DataFrame) -> DataFrame:
+    """doc_id, ord, size and byte pointer of each list (doc_id, size) in the flat token file.
+
+    The sizes are stored, for both the totals and the rows are made from them; the texts are read once.
+    """
+    path = scratch_path(sizes.sparkSession, "token-sizes")
+    sizes.write.parquet(path)
+    rows = sizes.sparkSession.read.schema(sizes.schema).parquet(path)
     return prefix_sums(rows, "doc_id", {"ord": F.lit(1).cast("long"), "pointer": F.col("size").cast("long") * ITEM_BYTES})
 
 
-def document_index(token_lists: DataFrame) -> DataFrame:
+def document_index(lists: DataFrame) -> DataFrame:
     """doc_idx 0 .. n: the begin of each document and the closing sentinel."""
-    begins = ordinals(token_lists.select("doc_id"), "doc_id", "doc_idx").select("doc_idx")
-    return begins.unionByName(token_lists.agg(F.count("*").alias("doc_idx")))
+    begins = ordinals(lists.select("doc_id"), "doc_id", "doc_idx").select("doc_idx")
+    return begins.unionByName(lists.agg(F.count("*").alias("doc_idx")))
 
 
 def shard_plan(docs: DataFrame, rows_per_file: int, val_fraction: float = 0.01) -> DataFrame:
@@ -79,9 +99,9 @@ def totals(token_lists: DataFrame) -> DataFrame:
     )
 
 
-def shard_totals(token_lists: DataFrame, plan: DataFrame) -> DataFrame:
-    """Documents and tokens of each shard, and running totals up to it."""
-    each = token_lists.join(plan, "doc_id").groupBy("shard").agg(F.count("*").alias("n_docs"), F.sum(F.size("tokens")).alias("n_tokens"))
+def shard_totals(sizes: DataFrame, plan: DataFrame) -> DataFrame:
+    """Documents and tokens of each shard, and running totals up to it, of lists (doc_id, size)."""
+    each = sizes.join(plan, "doc_id").groupBy("shard").agg(F.count("*").alias("n_docs"), F.sum("size").alias("n_tokens"))
     upto = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, 0)  # one row per shard
     return each.withColumns({"docs_upto": F.sum("n_docs").over(upto), "tokens_upto": F.sum("n_tokens").over(upto)})
 
@@ -133,9 +153,9 @@ def violations(token_lists: DataFrame, vocab: int, longest: int) -> DataFrame:
     return token_lists.select("doc_id", F.explode(problem).alias("problem"))
 
 
-def first_sample(token_lists: DataFrame, n: int = 64) -> DataFrame:
-    """The first n ids of the first document, as text."""
-    first = token_lists.orderBy("doc_id").limit(1)
+def first_sample(docs: DataFrame, n: int = 64) -> DataFrame:
+    """The first n ids of the first document with tokens, as text; only that document is tokenized."""
+    first = tokenized(with_words(docs).orderBy("doc_id").limit(1))
     return first.select("doc_id", F.array_join(F.slice("tokens", 1, n).cast("array<string>"), " ").alias("sample"))
 
 
@@ -145,3 +165,18 @@ def with_extension(rows: DataFrame, path: str, extensions: tuple[str, ...]) -> D
     for e in extensions:
         ends |= F.lower(F.col(path)).endswith(e)
     return rows.groupBy(F.coalesce(ends, F.lit(False)).alias("matches")).agg(F.count("*").alias("n"))
+
+
+def known_inputs(batches: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+    """Only the columns ``keys`` of the batches (those that are there), null where all of them are: as ``inputs``, beside the id."""
+    here = [k for k in keys if k in batches.columns]
+    some = F.coalesce(*[F.col(k).isNotNull() for k in here]) if len(here) == 1 else F.greatest(*[F.col(k).isNotNull() for k in here])
+    return batches.select("doc_id", F.when(some, F.struct(*here)).alias("inputs"))
+
+
+def length_errors(batches: DataFrame, tokens: str, keys: tuple[str, ...]) -> DataFrame:
+    """doc_id, name, size, expected of every side channel (an array column) whose length is not that of the tokens; absent
+    channels (null) are fine."""
+    each = [F.struct(F.lit(k).alias("name"), F.size(k).alias("size")) for k in keys if k in batches.columns]
+    rows = batches.select("doc_id", F.size(tokens).alias("expected"), F.explode(F.array(*each)).alias("c"))
+    return rows.filter((F.col("c.size") >= 0) & (F.col("c.size") != F.col("expected"))).select("doc_id", "c.name", "c.size", "expected")

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from corpusmill.operators.sequence import folded
+
 KEPT_ROWS, CHART_ROWS = 50_000, 2_000
 TARGETS, AHEAD = (1.0, 0.5, 0.1), (1000, 5000, 10000)
 
@@ -78,24 +80,17 @@ def trendline(snapshots: DataFrame) -> DataFrame:
     return rows.select("port", "x", F.round(F.col("a") * F.col("x") + F.col("b"), 4).alias("y"))
 
 
-def _fold(values: Column, alpha: float) -> Column:
-    """Array of (value, state) along an array; the state starts at the first value and passes over nulls."""
-    start = F.struct(F.lit(None).cast("double").alias("state"), F.array().cast("array<struct<value:double,state:double>>").alias("out"))
-
-    def step(acc: Column, v: Column) -> Column:
-        state = F.when(v.isNull(), acc["state"]).when(acc["state"].isNull(), v).otherwise(F.lit(alpha) * v + F.lit(1 - alpha) * acc["state"])
-        return F.struct(state.alias("state"), F.concat(acc["out"], F.array(F.struct(v.alias("value"), state.alias("state")))).alias("out"))
-
-    return F.aggregate(values, start, step, lambda acc: acc["out"])
+def smoothed(snapshots: DataFrame, alpha: float, digits: int = 4) -> DataFrame:
+    """port, ord, ema: the running mean of loss, from its first value on; null where the loss is null.  One ordered pass per
+    port, of any length, in bounded memory."""
 
+    def step(mean: float | None, loss: float) -> float:
+        if loss != loss:  # a null comes as NaN
+            return loss if mean is None else mean
+        return loss if mean is None or mean != mean else alpha * loss + (1 - alpha) * mean
 
-def smoothed(snapshots: DataFrame, alpha: float, digits: int = 4) -> DataFrame:
-    """port, ord, ema: the running mean of loss, null where the loss is null.  A port's series is bounded by ``chart_rows``."""
-    series = F.array_sort(F.collect_list(F.struct("ord", "loss")))
-    rows = snapshots.groupBy("port").agg(series.alias("s"))
-    rows = rows.select("port", F.col("s.ord").alias("ords"), _fold(F.col("s.loss"), alpha).alias("f"))
-    rows = rows.select("port", F.explode(F.arrays_zip("ords", "f")).alias("r"))
-    return rows.select("port", F.col("r.ords").alias("ord"), F.when(F.col("r.f.value").isNotNull(), F.round("r.f.state", digits)).alias("ema"))
+    rows = folded(snapshots, "port", "ord", ["loss"], step, "port long, ord long, loss double, state double")
+    return rows.select("port", "ord", F.when(F.col("loss").isNotNull() & ~F.isnan("loss"), F.round("state", digits)).alias("ema"))
 
 
 def latest_smoothed(snapshots: DataFrame, alpha: float = 0.1) -> DataFrame:

@@ -5,10 +5,10 @@ Lines are rows (run, line_no, value).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from corpusmill.functions.scalars import DECIMAL_MB, NUMBER, duration_ms, number, percent, to_ms, whole
+from corpusmill.functions.scalars import DECIMAL_MB, NUMBER, duration_ms, number, percent, to_ms, used_percent, whole
 from corpusmill.sources.logs import carried, columns, section
 
 # Parts of names that mark matrix kernels, and their kinds in the order of the tests.
@@ -40,6 +40,45 @@ def kernel_csv(rows: DataFrame) -> DataFrame:
     )
 
 
+def read_kernel_csv(spark: SparkSession, path: str) -> DataFrame:
+    """``kernel_csv`` of CSV files with a header; names may be quoted and hold commas."""
+    return kernel_csv(spark.read.option("header", True).option("quote", '"').option("escape", '"').csv(path))
+
+
+#: What a trace file holds, as far as it is read; ids are numbers or text.
+TRACE = "traceEvents array<struct<cat:string,name:string,dur:double,args:struct<`External id`:string,`Input type`:array<string>,`Input Dims`:array<array<string>>>>>"
+
+
+def read_trace(spark: SparkSession, path: str) -> DataFrame:
+    """Events for ``trace_groups`` of trace files, one JSON object each: every event a row, with its place in its file."""
+    files = spark.read.schema(TRACE).option("multiLine", True).json(path)
+    rows = files.select(F.col("_metadata.file_name").alias("file"), F.posexplode("traceEvents").alias("ord", "e"))
+    dims = F.transform("e.args.`Input Dims`", lambda d: F.array_join(d, "x"))
+    return rows.select(
+        "file", F.col("ord").cast("long").alias("ord"), "e.cat", "e.name", "e.dur", F.col("e.args.`External id`").alias("ext_id"),
+        F.coalesce(F.col("e.args.`Input type`"), F.array().cast("array<string>")).alias("input_types"), F.coalesce(dims, F.array().cast("array<string>")).alias("input_dims"),
+    )
+
+
+def device_rows(lines: DataFrame) -> DataFrame:
+    """Typed rows of device lines (run, value) of seven comma columns: index, name, used and total MiB, load and temperature, power;
+    shorter lines go, figures that are no number are null."""
+    c = F.transform(F.split("value", ","), lambda x: F.trim(x))
+    at = lambda i, kind: F.get("c", F.lit(i)).try_cast(kind)
+    rows = lines.withColumn("c", c).filter(F.size("c") >= 7).select(
+        "run", at(0, "int").alias("index"), F.get("c", F.lit(1)).alias("name"), at(2, "long").alias("used_mib"), at(3, "long").alias("total_mib"), at(4, "int").alias("load_pct"),
+        at(5, "int").alias("temp_c"), at(6, "double").alias("power_w"),
+    )
+    return rows.withColumn("mem_pct", used_percent(F.col("used_mib"), F.col("total_mib")))
+
+
+def disk_rows(mounts: DataFrame) -> DataFrame:
+    """label, total_gb, used_gb, free_gb, pct of mounts (label, total, used, free in bytes); mounts that are not there (null) go."""
+    gb = lambda c: F.round(F.col(c) / 1e9, 1).alias(f"{c}_gb")
+    there = mounts.filter("total is not null and used is not null and free is not null")
+    return there.select("run", "label", gb("total"), gb("used"), gb("free"), used_percent(F.col("used"), F.col("total")).alias("pct"))
+
+
 def torch_table(lines: DataFrame) -> DataFrame:
     """name, cuda_total_ms, self_cuda_ms, self_cuda_pct, calls of an operator table with 14 columns or more."""
     c = columns(F.col("value"), -1)
@@ -92,8 +131,9 @@ def kernel_details(lines: DataFrame) -> DataFrame:
 
 
 def heaviest_details(details: DataFrame, n: int) -> DataFrame:
-    """The n kernels with the most time, by count on ties."""
-    return details.orderBy(F.desc(F.coalesce("avg_ms", F.lit(0.0)) * F.col("n")), F.desc("n"), "name").limit(n)
+    """The n kernels of each run with the most time, by count on ties."""
+    order = [F.desc(F.coalesce("avg_ms", F.lit(0.0)) * F.col("n")), F.desc("n"), F.col("name")]
+    return details.withColumn("_rank", F.row_number().over(Window.partitionBy("run").orderBy(*order))).filter(F.col("_rank") <= n).drop("_rank")
 
 
 def top(rows: DataFrame, by: str, n: int, tie: str = "name") -> DataFrame:

@@ -173,6 +173,24 @@ def warnings(summaries: DataFrame) -> DataFrame:
     return summaries.select("run", F.explode(texts).alias("warning"))
 
 
+def artifact_warnings(named: DataFrame, known: DataFrame, kinds: tuple[str, ...]) -> DataFrame:
+    """run, warning: of artifacts a run names (run, path, kind) how many are not among the known paths, and each of the ``kinds``
+    that a run has none of."""
+    runs = named.select("run").distinct()
+    gone = named.join(known.select("path").distinct(), "path", "left_anti").groupBy("run").agg(F.count("*").alias("n"))
+    missing = gone.select("run", F.concat(F.col("n").cast("string"), F.lit(" artifacts do not exist")).alias("warning"))
+    each = runs.withColumn("kind", F.explode(F.array(*map(F.lit, kinds)))).join(named.select("run", "kind").distinct(), ["run", "kind"], "left_anti")
+    return missing.unionByName(each.select("run", F.concat(F.lit("no "), "kind", F.lit(" found")).alias("warning")))
+
+
+def token_warnings(summaries: DataFrame, profiles: DataFrame) -> DataFrame:
+    """run, warning where the tokens of a step by the log are not those by the profile (run, batch, length); profiles stand in for
+    logs that do not tell."""
+    both = summaries.join(profiles, "run").filter((F.col("tokens_per_step") != F.col("batch") * F.col("length")))
+    told = F.concat_ws(" ", F.lit("log says"), F.col("tokens_per_step").cast("string"), F.lit("tokens a step, profile"), (F.col("batch") * F.col("length")).cast("string"))
+    return both.select("run", told.alias("warning"))
+
+
 def log_warnings(lines: DataFrame) -> DataFrame:
     """Runs whose log says that two profilers ran at once."""
     return lines.filter(F.contains(F.col("value"), F.lit(CUPTI))).select("run").distinct().withColumn("warning", F.lit("two profilers in one run"))

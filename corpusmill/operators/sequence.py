@@ -2,20 +2,22 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import math
+from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusmill.functions.arrays import dequantised, dot, quantised, sigmoid
+from corpusmill.functions.arrays import ahead, dequantised, dot, quantised, sigmoid
 
 
 def shifted(tokens: DataFrame, depths: int, fill: int = 0, ignore: int = -1) -> DataFrame:
     """doc_id, pos, depth, token, target of (doc_id, tokens): the token ``depth`` places on and the one after it."""
-    rows = tokens.select("doc_id", F.posexplode("tokens").alias("pos", "_t"), "tokens").select("doc_id", "pos", F.explode(F.sequence(F.lit(1), F.lit(depths))).alias("depth"), "tokens")
-    at = lambda i, other: F.coalesce(F.get("tokens", i), F.lit(other).cast("long"))
-    return rows.select("doc_id", "pos", "depth", at(F.col("pos") + F.col("depth"), fill).alias("token"), at(F.col("pos") + F.col("depth") + 1, ignore).alias("target"))
+    own = F.col("tokens")
+    each = [F.struct(F.lit(k).alias("depth"), F.arrays_zip(ahead(own, k, fill).alias("token"), ahead(own, k + 1, ignore).alias("target")).alias("pairs")) for k in range(1, depths + 1)]
+    rows = tokens.select("doc_id", F.explode(F.array(*each)).alias("d")).select("doc_id", "d.depth", F.posexplode("d.pairs").alias("pos", "p"))
+    return rows.select("doc_id", "pos", "depth", "p.token", "p.target")
 
 
 def top_k(scores: DataFrame, k: int) -> DataFrame:
@@ -25,12 +27,15 @@ def top_k(scores: DataFrame, k: int) -> DataFrame:
 
 
 def overlap(a: DataFrame, b: DataFrame, k: int) -> DataFrame:
-    """row, common of two index lists (row, idx), and the mean share in percent comes by ``mean_overlap``."""
-    return a.join(b.select("row", F.col("idx").alias("_b")), "row").select("row", F.size(F.array_intersect("idx", "_b")).alias("common"), F.lit(k).alias("k"))
+    """row, common of two index lists (row, idx), and whether both have k entries; the mean share comes by ``mean_overlap``."""
+    both = a.join(b.select("row", F.col("idx").alias("_b")), "row")
+    return both.select("row", F.size(F.array_intersect("idx", "_b")).alias("common"), F.lit(k).alias("k"), ((F.size("idx") == k) & (F.size("_b") == k)).alias("same_shape"))
 
 
 def mean_overlap(rows: DataFrame) -> DataFrame:
-    return rows.agg(F.round(100 * F.sum("common") / F.sum("k"), 6).alias("pct"))
+    """The mean share in percent; NaN where a row's lists have other lengths than k (``same_shape`` false)."""
+    fits = F.bool_and("same_shape") if "same_shape" in rows.columns else F.lit(True)
+    return rows.agg(F.when(fits, F.round(100 * F.sum("common") / F.sum("k"), 6)).otherwise(F.lit(float("nan"))).alias("pct"))
 
 
 def masked_positions(pairs: DataFrame, length: int) -> DataFrame:
@@ -60,6 +65,30 @@ def attended(weights: DataFrame, values: DataFrame, keys: list[str]) -> DataFram
     return both.groupBy(*keys).agg(F.round(F.sum(F.col("weight") * F.col("value")), 6).alias("out"))
 
 
+def divergence_loss(scores: DataFrame, position: list[str], head: str, coefficient: float, eps: float = 1e-10) -> DataFrame:
+    """loss: the mean over positions of the divergence between the heads' mean attention (softmax of p_score within a head) and
+    the index distribution (softmax of q_score, one per position), times the coefficient.
+
+    Columns: those of ``position``, ``head``, pos, p_score, q_score; q_score is the same for every head.
+    """
+    each = softmax(scores, [*position, head], "p_score").withColumnRenamed("weight", "p").drop("lse")
+    mean = each.groupBy(*position, "pos").agg(F.avg("p").alias("p"), F.first("q_score").alias("q_score"))
+    both = softmax(mean, position, "q_score").withColumnRenamed("weight", "q")
+    kl = both.groupBy(*position).agg(F.sum(F.col("p") * (F.ln(F.col("p") + eps) - F.ln(F.col("q") + eps))).alias("kl"))
+    return kl.agg(F.round(F.avg("kl") * coefficient, 6).alias("loss"))
+
+
+def split_softmax(scores: DataFrame, keys: list[str], width: int) -> DataFrame:
+    """keys, top, denominator of the softmax over (keys, pos, score), by parts of ``width`` positions: each part has a greatest
+    score and a sum against it, and parts merge by the greater one.  A key's row count never meets in one task."""
+    part = scores.withColumn("_part", F.expr(f"pos div {width}"))
+    rows = part.withColumn("_m", F.max("score").over(Window.partitionBy(*keys, "_part")))
+    sums = rows.groupBy(*keys, "_part", "_m").agg(F.sum(F.exp(F.col("score") - F.col("_m"))).alias("_d"))
+    whole = sums.groupBy(*keys).agg(F.max("_m").alias("top"), F.collect_list(F.struct("_m", "_d")).alias("_parts"))
+    total = F.aggregate("_parts", F.lit(0.0), lambda s, p: s + p["_d"] * F.exp(p["_m"] - F.col("top")))
+    return whole.select(*keys, "top", total.alias("denominator"))
+
+
 def divergence(scores: DataFrame, keys: list[str], eps: float = 1e-10) -> DataFrame:
     """Per key sum(p * (ln p - ln q)) of the softmaxes of columns p_score and q_score."""
     p = softmax(scores, keys, "p_score").withColumnRenamed("weight", "p").drop("lse")
@@ -86,15 +115,44 @@ def quantised_blocks(values: DataFrame, width: int) -> DataFrame:
     return rows.select("id", "pos", "x", q.alias("q"), dequantised(q, F.col("absmax")).alias("back"))
 
 
+def folded(rows: DataFrame, key: str, order: str, columns: list[str], step: Callable, schema: str) -> DataFrame:
+    """key, order, columns and the state after every row, in order within the key: ``step(state, *columns)`` gives the next state,
+    from None.  ``schema`` names what to keep of these.
+
+    Rows are dealt by key, sorted by Spark, and read batch by batch, so a series of any length is one pass in bounded memory.
+    For recurrences that no window can express.
+    """
+
+    names = [part.split()[0] for part in schema.split(",")]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        last, state = None, None
+        for frame in batches:
+            out = []
+            for k, *values in frame[[key, *columns]].itertuples(index=False):
+                state = step(None if k != last else state, *values)
+                last = k
+                out.append(state)
+            yield frame.assign(state=out)[names]
+
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = rows.select(key, order, *columns).repartition(parts, key).sortWithinPartitions(key, order)
+    return dealt.mapInPandas(run, schema)
+
+
 def momentum(steps: DataFrame, beta: float) -> DataFrame:
     """id, m after all steps (id, step, g): m = beta * m + (1 - beta) * g, kept as 8 bits of the largest gradient in between."""
-    series = F.array_sort(F.collect_list(F.struct("step", "g")))
-    rows = steps.groupBy("id").agg(series.alias("s"), F.max(F.abs("g")).alias("absmax"))
+    absmax = steps.groupBy("id").agg(F.max(F.abs("g")).alias("absmax"))
 
-    def step(m: Column, s: Column) -> Column:
-        return dequantised(quantised(beta * m + (1 - beta) * s["g"], F.col("absmax")), F.col("absmax"))
+    def step(m: float | None, g: float, absmax: float) -> float:
+        if not absmax:
+            return 0.0
+        scaled = (beta * (m or 0.0) + (1 - beta) * g) * 127 / absmax
+        q = min(max(math.floor(abs(scaled) + 0.5), 0), 127)  # halves go away from zero
+        return (q if scaled > 0 else -q) * absmax / 127
 
-    return rows.select("id", F.round(F.aggregate("s", F.lit(0.0).cast("double"), step), 6).alias("m"))
+    each = folded(steps.join(absmax, "id"), "id", "step", ["g", "absmax"], step, "id long, step long, state double")
+    return each.groupBy("id").agg(F.round(F.max_by("state", "step"), 6).alias("m"))
 
 
 def segment_blocks(segments: DataFrame, width: int) -> DataFrame:
@@ -159,16 +217,18 @@ def trapezoid(rows: DataFrame) -> DataFrame:
 def recurrence(rows: DataFrame) -> DataFrame:
     """id, pos, h of h = f * h + (1 - f) * tanh(h * w + x) over (id, pos, x, f, w): not associative, so each id is one pass."""
 
-    def run(frame: pd.DataFrame) -> pd.DataFrame:
-        import math
+    def step(h: float | None, x: float, f: float, w: float) -> float:
+        h = h or 0.0
+        return f * h + (1 - f) * math.tanh(h * w + x)
+
+    return folded(rows, "id", "pos", ["x", "f", "w"], step, "id long, pos long, state double").withColumnRenamed("state", "h")
 
-        h, out = 0.0, []
-        for x, f, w in frame.sort_values("pos")[["x", "f", "w"]].itertuples(index=False):
-            h = f * h + (1 - f) * math.tanh(h * w + x)
-            out.append(h)
-        return pd.DataFrame({"id": frame.sort_values("pos")["id"].to_numpy(), "pos": frame.sort_values("pos")["pos"].to_numpy(), "h": out})
 
-    return rows.groupBy("id").applyInPandas(run, "id long, pos long, h double")
+def chunked_recurrence(rows: DataFrame, width: int) -> DataFrame:
+    """As ``recurrence``, by chunks of ``width`` positions: a chunk starts from the state at the end of the one before, so that
+    only the ends need to be kept; id, chunk, h at each chunk's end."""
+    each = recurrence(rows).withColumn("chunk", F.expr(f"pos div {width}"))
+    return each.groupBy("id", "chunk").agg(F.max_by("h", "pos").alias("h"))
 
 
 def _objects(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusmill.functions import arrays
-from corpusmill.functions.scalars import coerced
+from corpusmill.functions.scalars import coerced, is_setting
 from corpusmill.operators import corpus, sequence
 from corpusmill.plans.corpus import TOK
 from corpusmill.plans.registry import query
@@ -47,10 +47,14 @@ def arrays_component_ids(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("doc_id", *[total(c).alias(n) for n, c in arrays.component_ids(parts).items()], F.size("tokens").cast("long").alias("n"))
 
 
-@query(f"""with {TOK}, x as (select doc_id, tokens, unnest(range(0, len(tokens))) as pos from t where doc_id < 200), y as (select *, unnest([1, 2]) as depth from x)
-select doc_id, pos::int as pos, depth, coalesce(tokens[pos + depth + 1], 0) as token, coalesce(tokens[pos + depth + 2], -1) as target from y""")
+@query(f"""with {TOK}, x as (select doc_id, unnest(tokens) as token, unnest(range(0, len(tokens))) as pos from t), y as (select doc_id, pos,
+  coalesce(lead(token, 1) over w, 0) as t1, coalesce(lead(token, 2) over w, -1) as g1, coalesce(lead(token, 2) over w, 0) as t2, coalesce(lead(token, 3) over w, -1) as g2 from x window w as (partition by doc_id order by pos)),
+z as (select doc_id, pos, 1 as depth, t1 as token, g1 as target from y union all select doc_id, pos, 2, t2, g2 from y)
+select doc_id, depth, count(*) as n, sum(token)::bigint as tokens, sum(target)::bigint as targets, sum((pos + 1) * (token + 2 * target))::bigint as placed from z group by 1, 2""")
 def arrays_shifted(spark: SparkSession, d: str) -> DataFrame:
-    return sequence.shifted(corpus.tokenized(table(spark, d, "documents").filter("doc_id < 200")), 2)
+    rows = sequence.shifted(_tokens(spark, d), 2)
+    placed = F.sum((F.col("pos") + 1) * (F.col("token") + 2 * F.col("target"))).alias("placed")
+    return rows.groupBy("doc_id", "depth").agg(F.count("*").alias("n"), F.sum("token").alias("tokens"), F.sum("target").alias("targets"), placed)
 
 
 S = "s as (select vec_id as row, unnest(range(64))::int as pos, round(unnest(embedding)::double, 6) as score from embeddings)"
@@ -77,7 +81,7 @@ o as (select a.row, count(b.pos)::int as common from a left join b using (row, p
 
 @query(f"with {OVER} select row, common, 8 as k from o")
 def arrays_overlap(spark: SparkSession, d: str) -> DataFrame:
-    return sequence.overlap(_lists(spark, d, "score"), _lists(spark, d, "round(score, 1)"), 8)
+    return sequence.overlap(_lists(spark, d, "score"), _lists(spark, d, "round(score, 1)"), 8).drop("same_shape")
 
 
 @query(f"with {OVER} select round(100.0 * sum(common) / (8 * count(*)), 6) as pct from o")
@@ -146,27 +150,31 @@ def arrays_quantised(spark: SparkSession, d: str) -> DataFrame:
     return rows.groupBy("id").agg(F.sum(F.abs("q")).alias("q_sum"), F.round(F.max(F.abs(F.col("back") - F.col("x"))), 6).alias("worst"))
 
 
-@query(None)
+@query(f"""with recursive {X}, m as (select *, max(abs(x)) over (partition by id) as a from x),
+walk as (select id, 0::bigint as pos, 0.0::double as m from m where pos = 0
+  union all select s.id, s.pos + 1, case when s.a = 0 then 0.0 else greatest(-127, least(127, round((0.9 * w.m + 0.09999999999999998::double * s.x) * 127 / s.a))) * s.a / 127 end from walk w join m s on s.id = w.id and s.pos = w.pos)
+select id, round(max_by(m, pos), 6) + 0.0 as m from walk group by id""")
 def arrays_momentum(spark: SparkSession, d: str) -> DataFrame:
-    return sequence.momentum(_values(spark, d).selectExpr("id", "pos as step", "x as g"), 0.9)
+    return sequence.momentum(_values(spark, d).selectExpr("id", "pos as step", "x as g"), 0.9).withColumn("m", F.col("m") + 0.0)
 
 
-SEG = "g as (select p_partkey % 5 as grp, (p_partkey - 1) * 16 as start, 16 as len from part where p_partkey <= 60 and p_partkey % 13 <> 0 union all select 9, 32, 16 union all select 9, 40, 7)"
+# Every part is a segment of a block, but each thirteenth has none (length 0), and two segments are in the way.
+SEG = "g as (select p_partkey % 5 as grp, (p_partkey - 1) * 16 as start, case when p_partkey % 13 = 0 then 0 else 16 end as len from part union all select 9, 32, 16 union all select 9, 40, 7)"
 
 
 def _segments(spark: SparkSession, d: str) -> DataFrame:
-    rows = table(spark, d, "part").filter("p_partkey <= 60 and p_partkey % 13 <> 0").selectExpr("p_partkey % 5 as grp", "(p_partkey - 1) * 16 as start", "16L as len")
+    rows = table(spark, d, "part").selectExpr("p_partkey % 5 as grp", "(p_partkey - 1) * 16 as start", "if(p_partkey % 13 = 0, 0L, 16L) as len")
     return rows.unionByName(spark.createDataFrame([(9, 32, 16), (9, 40, 7)], "grp long, start long, len long"))
 
 
-@query(f"""with {SEG}, ok as (select * from g where start % 16 = 0 and len % 16 = 0), c as (select grp, start // 16 as block from ok)
+@query(f"""with {SEG}, ok as (select * from g where start % 16 = 0 and len % 16 = 0), c as (select grp, start // 16 as block from ok where len > 0)
 select 'alignment' as problem, count(*) as n from g where start % 16 <> 0 or len % 16 <> 0 union all select 'overlap', count(*) from (select block from c group by block having count(distinct grp) > 1)
-union all select 'coverage', count(*) from (select unnest(range(60)) as block except select block from c)""")
+union all select 'coverage', count(*) from (select p_partkey - 1 as block from part except select block from c)""")
 def arrays_segment_errors(spark: SparkSession, d: str) -> DataFrame:
-    return sequence.segment_errors(_segments(spark, d), 16, 60)
+    return sequence.segment_errors(_segments(spark, d), 16, table(spark, d, "part").count())
 
 
-@query(f"""with {X}, y as (select id * 64 + pos as pos, x from x), {SEG}, c as (select grp, start // 16 as block from g where start % 16 = 0 and len % 16 = 0)
+@query(f"""with {X}, y as (select id * 64 + pos as pos, x from x), {SEG}, c as (select grp, start // 16 as block from g where start % 16 = 0 and len % 16 = 0 and len > 0)
 select grp, round(1 / sqrt(greatest(sum(x * x), 1e-14)), 9) as scale from y join c on pos // 16 = block group by grp""")
 def arrays_group_norms(spark: SparkSession, d: str) -> DataFrame:
     cover = sequence.segment_blocks(_segments(spark, d).filter("start % 16 = 0 and len % 16 = 0"), 16)
@@ -250,11 +258,11 @@ def arrays_layer_counts(spark: SparkSession, d: str) -> DataFrame:
     return rows.select(F.explode(arrays.layers(F.col("p"), 12)).alias("symbol")).filter("symbol <> ''").groupBy("symbol").agg(F.count("*").alias("n"))
 
 
-@query("select p_partkey, case p_partkey % 3 when 0 then 'int' when 1 then 'float' else 'error' end as kind, p_partkey % 30 < 4 or p_partkey % 30 >= 28 as is_edge from part")
+@query("select p_partkey, case p_partkey % 3 when 0 then 'int' when 1 then 'float' else 'error' end as kind, p_partkey % 30 < 4 or p_partkey % 30 >= 28 as is_edge from part where p_partkey % 7 <> 2")
 def arrays_coerced(spark: SparkSession, d: str) -> DataFrame:
     text = F.expr("array(cast(p_size as string), concat(p_size, '.5'), p_type)[p_partkey % 3]")
-    layer = F.col("p_partkey") % 30
-    return table(spark, d, "part").select("p_partkey", coerced(text).alias("kind"), ((layer < 4) | (layer >= 30 - 2)).alias("is_edge"))
+    rows = table(spark, d, "part").withColumn("key", F.expr("if(p_partkey % 7 = 2, '_token', 'rate')")).filter(is_setting(F.col("key")))
+    return rows.select("p_partkey", coerced(text).alias("kind"), arrays.is_edge_layer(F.col("p_partkey") % 30, 30, 4, 2).alias("is_edge"))
 
 
 @query("select p_partkey, p_size || ',' || p_size || ',' || p_partkey || ',' || p_partkey as heads from part")
@@ -263,9 +271,104 @@ def arrays_repeated_heads(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "part").select("p_partkey", F.array_join(heads.cast("array<string>"), ",").alias("heads"))
 
 
-@query(None)
+RECURRENCE = f"""{X}, walk as (select id, pos, (1 - (0.5 + x / 4)) * tanh(x) as h from x where pos = 0
+  union all select s.id, s.pos, (0.5 + s.x / 4) * w.h + (1 - (0.5 + s.x / 4)) * tanh(w.h * 0.3 + s.x) from walk w join x s on s.id = w.id and s.pos = w.pos + 1)"""
+
+
+def _gated(spark: SparkSession, d: str) -> DataFrame:
+    return _values(spark, d).selectExpr("id", "pos", "x", "0.5D + x / 4 as f", "0.3D as w")
+
+
+@query(f"with recursive {RECURRENCE} select id, pos, round(h, 6) + 0.0 as h from walk")
 def arrays_recurrence(spark: SparkSession, d: str) -> DataFrame:
-    return sequence.recurrence(_values(spark, d).selectExpr("id", "pos", "x", "0.5D + x / 4 as f", "0.3D as w"))
+    return sequence.recurrence(_gated(spark, d)).select("id", "pos", (F.round("h", 6) + 0.0).alias("h"))
+
+
+@query(f"with recursive {RECURRENCE} select id, pos // 16 as chunk, round(max_by(h, pos), 6) + 0.0 as h from walk group by 1, 2")
+def arrays_chunked_recurrence(spark: SparkSession, d: str) -> DataFrame:
+    return sequence.chunked_recurrence(_gated(spark, d), 16).select("id", "chunk", (F.round("h", 6) + 0.0).alias("h"))
+
+
+@query("""with e as (select vec_id, list_transform(embedding, lambda x: x::double) as e from embeddings)
+select vec_id, round(least(-exp(0.25) - ln(1 + exp(0.5 * sqrt(list_sum(list_transform(e, lambda x: x * x))) + 0.25)), -0.01), 6) as decay, round(list_sum(list_transform(range(1, 9), lambda i: e[i])) * e[1], 6) as outer_sum,
+  round(greatest(list_sum(list_transform(range(1, 9), lambda i: e[i] * e[i + 16])), 0) * e[1] + greatest(list_sum(list_transform(range(1, 9), lambda i: e[i + 8] * e[i + 16])), 0) * e[2], 6) + 0.0 as heads from e""")
+def arrays_head_scores(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "embeddings").select("vec_id", F.transform("embedding", lambda x: x.cast("double")).alias("e"))
+    e, part = F.col("e"), lambda a, n=8: F.slice("e", a, n)
+    products = arrays.outer(part(1, 1), part(1))
+    return rows.select(
+        "vec_id", F.round(arrays.modulated_decay(e, F.lit(0.25), F.lit(0.5), F.lit(0.25)), 6).alias("decay"),
+        F.round(F.aggregate(products[0], F.lit(0.0), lambda s, v: s + v), 6).alias("outer_sum"),
+        (F.round(arrays.head_scores(F.array(part(1), part(9)), part(17), part(1, 2)), 6) + 0.0).alias("heads"),
+    )
+
+
+@query("""with r as (select p_partkey, p_partkey % 3 = 0 as gone, p_size % 9 as a, p_partkey % 40 as b from part)
+select p_partkey, case when not gone then greatest(0, least(a, 5)) end as structure, greatest(0, least(b, 31)) + 6 as dep_level, round((case when gone then 0 else greatest(0, least(a, 5)) / 10.0 end + (greatest(0, least(b, 31)) + 6) / 10.0) / 2, 6)::double as total from r""")
+def arrays_component_sum(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "part").select("p_partkey", F.when(F.col("p_partkey") % 3 != 0, F.array((F.col("p_size") % 9).cast("long"))).alias("a"), F.array(F.col("p_partkey") % 40).alias("b"))
+    names = arrays.parsed_components("core")
+    rows = rows.withColumns(arrays.component_ids(dict(zip(names, ((F.col("a"), 6), (F.col("b"), 32)), strict=True))))
+    vectors = [F.transform(F.coalesce(n, F.array(F.lit(0).cast("long"))), lambda i: i / 10.0) for n in names]
+    total = arrays.component_sum(vectors, [F.col(n).isNotNull() for n in names])
+    return rows.select("p_partkey", *[F.col(n)[0].alias(n) for n in names], F.round(total[0], 6).alias("total"))
+
+
+@query("""with v as (select p_partkey, [p_size * 20.0::double, -p_partkey % 7 * 3.0::double, p_retailprice] as x from part), c as (select p_partkey, list_transform(x, lambda v: greatest(-448.0::double, least(448.0::double, v))) as x from v),
+s as (select p_partkey, x, list_max(list_transform(x, lambda v: abs(v))) / 448.0::double as a from c), n as (select p_partkey, x, case when a > 0 then a else 1.0::double end as a from s),
+q as (select p_partkey, a, unnest(x) / a as y from n), g as (select *, case when y = 0 then 1.0::double else pow(2.0::double, greatest(floor(log2(abs(y))), -6) - 3) end as step from q)
+select p_partkey, round(max(a), 9) as scale, round(sum(greatest(-448.0::double, least(448.0::double, round_even(y / step, 0) * step))), 6) as total from g group by p_partkey""")
+def arrays_packed_floats(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "part").select("p_partkey", F.expr("array(p_size * 20.0D, -p_partkey % 7 * 3.0D, p_retailprice)").alias("x"))
+    values, scale = arrays.e4m3_packed(F.col("x"), clamp=True)
+    return rows.select("p_partkey", F.round(scale, 9).alias("scale"), F.round(F.aggregate(values, F.lit(0.0), lambda s, v: s + v), 6).alias("total"))
+
+
+HEAD_SQL = """h as (select vec_id // 16 as b, vec_id % 16 as head, unnest(range(16)) as pos, unnest(embedding[1:16])::double as p from embeddings),
+q as (select vec_id // 16 as b, unnest(range(16)) as pos, unnest(embedding[17:32])::double as q from embeddings where vec_id % 16 = 0),
+hp as (select *, exp(p - max(p) over (partition by b, head)) as e from h), hm as (select *, e / sum(e) over (partition by b, head) as w from hp), mean as (select b, pos, avg(w) as p from hm group by 1, 2),
+qp as (select *, exp(q - max(q) over (partition by b)) as e from q), qm as (select *, e / sum(e) over (partition by b) as w from qp), kl as (select b, sum(mean.p * (ln(mean.p + 1e-10) - ln(qm.w + 1e-10))) as kl from mean join qm using (b, pos) group by b)"""
+
+
+def _head_rows(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "embeddings")
+    p = rows.select(F.expr("vec_id div 16").alias("b"), (F.col("vec_id") % 16).alias("head"), F.posexplode(F.slice("embedding", 1, 16)).alias("pos", "p_score"))
+    q = rows.filter("vec_id % 16 = 0").select(F.expr("vec_id div 16").alias("b"), F.posexplode(F.slice("embedding", 17, 16)).alias("pos", "q_score"))
+    both = p.join(q, ["b", "pos"])
+    return both.withColumns({c: F.col(c).cast("double") for c in ("p_score", "q_score")})
+
+
+@query(f"with {HEAD_SQL} select round(avg(kl) * 0.01, 6) as loss from kl")
+def arrays_divergence_loss(spark: SparkSession, d: str) -> DataFrame:
+    return sequence.divergence_loss(_head_rows(spark, d), ["b"], "head", 0.01)
+
+
+@query(f"with {X}, m as (select id, max(x) as top from x group by id) select id, round(top, 6) as top, round(sum(exp(x - top)), 6) as denominator from x join m using (id) group by 1, 2")
+def arrays_split_softmax(spark: SparkSession, d: str) -> DataFrame:
+    out = sequence.split_softmax(_values(spark, d).withColumnRenamed("x", "score"), ["id"], 24)
+    return out.select("id", F.round("top", 6).alias("top"), F.round("denominator", 6).alias("denominator"))
+
+
+@query("select 'nan'::double as pct")
+def arrays_overlap_of_other_shape(spark: SparkSession, d: str) -> DataFrame:
+    short = _lists(spark, d, "score").withColumn("idx", F.expr("if(row = 0, slice(idx, 1, 7), idx)"))
+    return sequence.mean_overlap(sequence.overlap(short, _lists(spark, d, "score"), 8))
+
+
+@query("""select doc_id, case when doc_id % 3 <> 0 or doc_id % 4 <> 0 then 1 end as there, case when doc_id % 3 <> 0 then n_chars % 5 end as structure, case when doc_id % 4 <> 0 then n_chars % 7 end as level from documents""")
+def arrays_known_inputs(spark: SparkSession, d: str) -> DataFrame:
+    batches = table(spark, d, "documents").selectExpr("doc_id", "if(doc_id % 3 <> 0, array(n_chars % 5), null) as structure_ids", "if(doc_id % 4 <> 0, array(n_chars % 7), null) as dep_levels", "lang as other")
+    out = corpus.known_inputs(batches, arrays.SIDE_CHANNELS)
+    return out.select("doc_id", F.when(F.col("inputs").isNotNull(), 1).alias("there"), F.col("inputs.structure_ids")[0].alias("structure"), F.col("inputs.dep_levels")[0].alias("level"))
+
+
+@query(f"""with {TOK} select doc_id, 'structure_ids' as name, len(tokens)::int + 1 as size, len(tokens)::int as expected from t where doc_id % 10 = 3
+union all select doc_id, 'dep_levels', len(tokens)::int - 1, len(tokens)::int from t where doc_id % 15 = 4""")
+def arrays_length_errors(spark: SparkSession, d: str) -> DataFrame:
+    rows = _tokens(spark, d).withColumns({
+        "structure_ids": F.expr("if(doc_id % 10 = 3, concat(tokens, array(0L)), tokens)"), "dep_levels": F.expr("if(doc_id % 15 = 4, slice(tokens, 2, size(tokens)), if(doc_id % 15 = 5, null, tokens))"),
+    })
+    return corpus.length_errors(rows, "tokens", arrays.SIDE_CHANNELS)
 
 
 @query("""select event_id as id, '{"k": ' || (props::json ->> 'k') || '}' as object from events""")

@@ -54,13 +54,13 @@ def audit_size_histogram(spark: SparkSession, d: str) -> DataFrame:
     return audit.size_histogram(blocks)
 
 
-@query("""with recursive ev as (select l_suppkey as device, row_number() over (partition by l_suppkey order by l_orderkey, l_linenumber) as idx, case when l_returnflag = 'R' then -1 else 1 end as sgn, l_quantity::bigint as size from lineitem where l_suppkey % 10 = 1),
+@query("""with recursive ev as (select l_suppkey as device, row_number() over (partition by l_suppkey order by l_orderkey, l_linenumber) as idx, case when l_returnflag = 'R' then -1 else 1 end as sgn, l_quantity::bigint as size from lineitem),
 walk as (select device, 0::bigint as idx, 0::bigint as live, 0::bigint as peak, -1::bigint as peak_idx from (select distinct device from ev)
   union all select e.device, e.idx, greatest(w.live + e.sgn * e.size, 0), case when e.sgn = 1 and w.live + e.size > w.peak then w.live + e.size else w.peak end, case when e.sgn = 1 and w.live + e.size > w.peak then e.idx else w.peak_idx end
   from walk w join ev e on e.device = w.device and e.idx = w.idx + 1)
 select device, max_by(peak, idx) as peak, max_by(peak_idx, idx) as peak_idx, max_by(live, idx) as live_end from walk group by device""")
 def audit_replay(spark: SparkSession, d: str) -> DataFrame:
-    rows = table(spark, d, "lineitem").filter("l_suppkey % 10 = 1").selectExpr(
+    rows = table(spark, d, "lineitem").selectExpr(
         "l_suppkey as device", "cast(row_number() over (partition by l_suppkey order by l_orderkey, l_linenumber) as bigint) as idx", "if(l_returnflag = 'R', 'free_completed', 'alloc') as action",
         "cast(l_quantity as bigint) as size", "0L as addr",
     )
@@ -143,11 +143,11 @@ def audit_gradient_verdict(spark: SparkSession, d: str) -> DataFrame:
 SWEEP = f"""{L}, k as (select *, (user_id % 11 = 3 and it = 35) or (user_id % 11 = 5 and it = 20) or (user_id % 11 = 7 and it >= 25) as odd from l),
 f as (select run, user_id, bool_or(user_id % 11 = 3 and it = 35) as oom, bool_or(user_id % 11 = 5 and it = 20) as crash, min_by(case when odd then it + 0.5 else event_id % 40 + 0.25 end, it) as fp, max(case when not odd then event_id % 40 + 0.25 end) as mp,
   round(avg(case when not odd and it between 30 and 50 then 100 + event_id % 50 end), 1) as ms, max(case when not odd and it = 50 then 1.5 + event_id % 9 end) as loss from k group by 1, 2),
-s as (select config, case when run is null then 'NO_LOG' when oom then 'OOM' when crash then 'CRASH' when ms is null then 'NO_ITER_DATA' else 'OK' end as status, f.* from (select 'c' || c_custkey as config from customer where c_custkey <= 300) left join f on config = run)"""
+s as (select config, case when run is null then 'NO_LOG' when oom then 'OOM' when crash then 'CRASH' when ms is null then 'NO_ITER_DATA' else 'OK' end as status, f.* from (select 'c' || c_custkey as config from customer) left join f on config = run)"""
 
 
 def _sweep(spark: SparkSession, d: str) -> DataFrame:
-    configs = table(spark, d, "customer").filter("c_custkey <= 300").selectExpr("concat('c', c_custkey) as config", "64 as gbs")
+    configs = table(spark, d, "customer").selectExpr("concat('c', c_custkey) as config", "64 as gbs")
     return audit.sweep_status(configs, _lines(spark, d))
 
 
@@ -169,10 +169,10 @@ def audit_last_n_mean(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"""with {L}, k as (select *, (user_id % 11 = 3 and it = 35) or (user_id % 11 = 5 and it = 20) or (user_id % 11 = 7 and it >= 25) as odd from l),
 f as (select run, max(case when not odd and event_id % 151 = 0 then it end) as nan_iter, max_by(case when event_id % 151 = 0 then 'nan' else '1.0' end, it) filter (not odd) as last_grad from k group by run),
-e as (select 'c' || c_custkey as run, case c_custkey % 5 when 1 then 1 when 2 then 124 else 0 end as x from customer where c_custkey <= 300)
+e as (select 'c' || c_custkey as run, case c_custkey % 5 when 1 then 1 when 2 then 124 else 0 end as x from customer)
 select run, nan_iter, last_grad, case when x = 124 then 'timeout' when nan_iter is not null then 'nan' when x = 0 then 'finite' else 'crash' end as status from e left join f using (run)""")
 def audit_nan_sweep(spark: SparkSession, d: str) -> DataFrame:
-    exits = table(spark, d, "customer").filter("c_custkey <= 300").selectExpr("concat('c', c_custkey) as run", "case c_custkey % 5 when 1 then 1 when 2 then 124 else 0 end as exit_code")
+    exits = table(spark, d, "customer").selectExpr("concat('c', c_custkey) as run", "case c_custkey % 5 when 1 then 1 when 2 then 124 else 0 end as exit_code")
     return audit.nan_sweep(_lines(spark, d), exits)
 
 
@@ -239,13 +239,42 @@ def audit_state_bytes(spark: SparkSession, d: str) -> DataFrame:
     return rows.groupBy("name").agg(*[F.sum(c).alias(c) for c in ("model_bytes", "grad_bytes", "state_bytes")])
 
 
-@query("""with f as (select p_partkey, [p_type, 'torch/_dynamo/x.py', p_brand, 'VariableType_0.cpp'] as fr from part), g as (select p_partkey, case when p_partkey % 6 = 0 then ['torch/_dynamo/x.py', 'VariableType_0.cpp'] else [fr[1], fr[3]] end as fr from f)
-select p_partkey, array_to_string(fr[1:2], ';') as frames from g""")
+@query("""with f as (select p_partkey, case p_partkey % 6 when 0 then ['torch/_dynamo/x.py', 'VariableType_0.cpp'] when 1 then [p_brand] when 2 then ['torch/autograd/f.py', '??'] else [p_type, p_brand] end as fr from part)
+select p_partkey, array_to_string(fr[1:2], ';') as frames from f""")
 def audit_frames(spark: SparkSession, d: str) -> DataFrame:
-    frames = F.expr("if(p_partkey % 6 = 0, array('torch/_dynamo/x.py', 'VariableType_0.cpp'), array(p_type, 'torch/_dynamo/x.py', p_brand, 'VariableType_0.cpp'))")
+    frames = F.expr("""case p_partkey % 6 when 0 then array('torch/_dynamo/x.py', 'VariableType_0.cpp') when 1 then array('', '??', p_brand, 'torch/_inductor/a.py')
+      when 2 then array('torch/autograd/f.py', '??') else array(p_type, 'torch/_dynamo/x.py', '', p_brand, 'torch/autograd/g.py') end""")
     return table(spark, d, "part").select("p_partkey", F.array_join(audit.useful_frames(frames, 2), ";").alias("frames"))
 
 
+NAMES = "['decoder.layers.1.MLP.experts.2.w', 'mtp.0.self_attention.q', 'embedding.word_embeddings.weight', 'layers.3.mixer.A', 'final_layernorm.weight', 'x.router.weight', 'layers.1.mlp.fc1', 'ngram_table', 'bias']"
+
+
+@query(f"""with n as (select {NAMES}[p_partkey % 9 + 1] as name from part) select case lower(name) when 'decoder.layers.1.mlp.experts.2.w' then 'moe_experts' when 'mtp.0.self_attention.q' then 'mtp'
+  when 'embedding.word_embeddings.weight' then 'embedding' when 'layers.3.mixer.a' then 'mamba_mixer' when 'final_layernorm.weight' then 'norm' when 'x.router.weight' then 'moe_router' when 'layers.1.mlp.fc1' then 'dense_mlp'
+  when 'ngram_table' then 'ngram_hash' else 'other' end as grp, count(*) as n from n group by 1""")
+def audit_parameter_groups(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "part").select(F.expr(f"array({NAMES[1:-1]})[p_partkey % 9]").alias("name"))
+    return rows.groupBy(audit.parameter_group(F.col("name")).alias("grp")).agg(F.count("*").alias("n"))
+
+
+@query("""with c as (select c_custkey as run, c_custkey % 4 as g, c_nationkey as ad, c_custkey % 9 as aw, case when c_custkey % 5 <> 0 then c_custkey % 40 end as total from customer),
+e as (select o_custkey as run, sum(case when o_orderkey % 2 = 0 then 1 else 0 end) as ed, sum(case when o_orderkey % 2 = 1 then 1 else 0 end) as ew, sum(case when o_orderkey % 2 = 0 then o_orderkey % 3 else 0 end) as cd,
+  sum(case when o_orderkey % 2 = 1 then o_orderkey % 3 + o_orderkey % 5 else 0 end) as cw, count(distinct 8 + o_custkey % 2) as k, min(8 + o_custkey % 2) as size from orders group by 1),
+r as (select c.*, e.run is not null as counted, coalesce(ed, g) as gd, coalesce(ew, 0) as gw, coalesce(cd, g * 16) as cd, coalesce(cw, 0) as cw from c left join e using (run)),
+w as (select *, greatest(ad - gd, 0) as dd, greatest(aw - gw, 0) as dw, cd + cw as grouped from r)
+select run, total, grouped::bigint as grouped_copies, (case when total is null then dd + 2 * dw else greatest(total - grouped, 0) end)::bigint as dense_copies, (gd + gw)::bigint as grouped_hits, (dd + dw)::bigint as dense_hits,
+  (total - grouped - (dd + 2 * dw))::bigint as unattributed, case when counted then 'counted' else 'inferred' end as source from w""")
+def audit_copy_breakdown(spark: SparkSession, d: str) -> DataFrame:
+    counted = F.expr("""map_filter(map('mxfp8_grouped_transpose_copy_fallback_dgrad', c_custkey % 4, 'mxfp8_tn_adapter_dgrad', cast(c_nationkey as bigint), 'mxfp8_tn_adapter_wgrad', c_custkey % 9,
+      'mxfp8_tn_adapter_copy_transpose', if(c_custkey % 5 <> 0, c_custkey % 40, null)), (k, v) -> v is not null)""")
+    counters = table(spark, d, "customer").select(F.col("c_custkey").alias("run"), counted.alias("counters"))
+    events = table(spark, d, "orders").selectExpr(
+        "o_custkey as run", "if(o_orderkey % 2 = 0, 'dgrad', 'wgrad') as kind", "o_orderkey % 3 as converted_a", "8 + o_custkey % 2 as total_a", "if(o_orderkey % 2 = 0, 0, o_orderkey % 5) as converted_b", "0L as total_b",
+    )
+    return audit.copy_breakdown(counters, events, counters.select("run", F.lit(16).alias("declared")))
+
+
 @query("""with e as (select 'world' as parent, r_name as child from region union all select r_name, n_name from nation join region on n_regionkey = r_regionkey)
 select 'world' as node, 0 as depth union all select child, 1 from e where parent = 'world' union all select child, 2 from e where parent <> 'world'""")
 def audit_descendants(spark: SparkSession, d: str) -> DataFrame:
@@ -256,8 +285,17 @@ def audit_descendants(spark: SparkSession, d: str) -> DataFrame:
     return audit.descendants(edges, "world")
 
 
-@query("""select 'state.' || p_brand || '.' || k as path, count(*) as n from part, (select unnest(['data', 'absmax']) as k) group by 1""")
+@query("""with recursive e as (select 'c' || c_custkey as parent, 'c' || c_custkey // 2 as child from customer union all select 'c0', 'c' || max(c_custkey) from customer), top as (select 'c' || max(c_custkey) as node from customer),
+walk as (select node, 0 as depth from top union select child, depth + 1 from walk join e on parent = node where depth < 64) select node, min(depth) as depth from walk group by node""")
+def audit_cyclic(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "customer")
+    last = rows.agg(F.concat(F.lit("c"), F.max("c_custkey")).alias("top"))
+    edges = rows.select(F.concat(F.lit("c"), "c_custkey").alias("parent"), F.concat(F.lit("c"), F.expr("c_custkey div 2")).alias("child"))
+    return audit.descendants(edges.unionByName(last.select(F.lit("c0").alias("parent"), F.col("top").alias("child"))), last.first().top)
+
+
+@query("""select 'state.' || p_brand || '.' || k as path, count(*) as n, sum(v)::bigint as total from (select p_brand, unnest(['data.q', 'data.n', 'absmax']) as k, unnest([p_size, case when p_partkey % 2 = 0 then 1 end, 1]) as v from part) where v is not null group by 1""")
 def audit_flattened(spark: SparkSession, d: str) -> DataFrame:
-    nested = table(spark, d, "part").select(F.create_map(F.col("p_brand"), F.create_map(F.lit("data"), "p_size", F.lit("absmax"), F.lit(1))).alias("state"))
-    one = nested.select(F.explode("state").alias("a", "inner")).select("a", F.explode("inner").alias("b", "v"))
-    return one.groupBy(F.concat_ws(".", F.lit("state"), "a", "b").alias("path")).agg(F.count("*").alias("n"))
+    inner = F.struct(F.struct(F.col("p_size").alias("q"), F.when(F.col("p_partkey") % 2 == 0, 1).alias("n")).alias("data"), F.lit(1).alias("absmax"))
+    leaves = audit.flattened(table(spark, d, "part").select(F.create_map(F.col("p_brand"), inner).alias("state")), "state", "state")
+    return leaves.groupBy("path").agg(F.count("*").alias("n"), F.sum(F.col("value").cast("long")).alias("total"))

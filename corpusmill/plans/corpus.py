@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from corpusmill.operators import corpus
 from corpusmill.plans.registry import query
-from corpusmill.sources.tables import table
+from corpusmill.sources import sinks
+from corpusmill.sources.tables import scratch_path, table
 
 ROWS_PER_FILE, BUDGET = 300, 256
 TOK = """tok as (select doc_id, list_transform(list_filter(regexp_split_to_array(text, '[ \\t\\n\\r]+'), lambda w: w <> ''),
@@ -29,12 +30,12 @@ def _plan(spark: SparkSession, d: str) -> DataFrame:
 @query(f"""with {TOK} select doc_id, row_number() over (order by doc_id) - 1 as ord, len(tokens)::int as size,
   (coalesce(sum(len(tokens)) over (order by doc_id rows between unbounded preceding and 1 preceding), 0) * 4)::bigint as pointer from t""")
 def corpus_packed_index(spark: SparkSession, d: str) -> DataFrame:
-    return corpus.packed_index(_tokens(spark, d))
+    return corpus.packed_index(corpus.sized(table(spark, d, "documents")))
 
 
 @query(f"with {TOK} select row_number() over () - 1 as doc_idx from t union all select count(*) from t")
 def corpus_document_index(spark: SparkSession, d: str) -> DataFrame:
-    return corpus.document_index(_tokens(spark, d))
+    return corpus.document_index(corpus.with_words(table(spark, d, "documents")))
 
 
 @query(f"""with {TOK} select count(*) as n_docs, sum(len(tokens))::bigint as n_tokens, min(list_min(tokens)) as min_id,
@@ -68,7 +69,7 @@ def corpus_split_named(spark: SparkSession, d: str) -> DataFrame:
 @query(f"""with {TOK}, {PLAN}, e as (select shard, count(*) as n_docs, sum(len(tokens))::bigint as n_tokens from t join plan using (doc_id) group by shard)
 select *, (sum(n_docs) over (order by shard))::bigint as docs_upto, (sum(n_tokens) over (order by shard))::bigint as tokens_upto from e""")
 def corpus_shard_totals(spark: SparkSession, d: str) -> DataFrame:
-    return corpus.shard_totals(_tokens(spark, d), _plan(spark, d))
+    return corpus.shard_totals(corpus.sized(table(spark, d, "documents")), _plan(spark, d))
 
 
 @query(f"""with {TOK}, c as (select doc_id, tokens, unnest(range(0, (len(tokens) - 1) // {BUDGET} + 1))::int as chunk from t)
@@ -103,7 +104,7 @@ def corpus_violations(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"with {TOK} select doc_id, array_to_string(tokens[1:64], ' ') as sample from t order by doc_id limit 1")
 def corpus_first_sample(spark: SparkSession, d: str) -> DataFrame:
-    return corpus.first_sample(_tokens(spark, d))
+    return corpus.first_sample(table(spark, d, "documents"))
 
 
 @query("""select coalesce(lower(url) like '%.html' or lower(url) like '%.htm' or lower(url) like '%5' or lower(url) like '%/', false) as matches, count(*) as n from pages group by 1""")
@@ -118,3 +119,10 @@ def corpus_text_union(spark: SparkSession, d: str) -> DataFrame:
     pages = table(spark, d, "pages").select(F.lit("pages").alias("kind"), F.col("page_id").alias("id"), F.col("html").alias("text"))
     both = docs.unionByName(pages).filter(F.length(F.trim("text")) > 0)
     return both.select("kind", "id", F.length("text").alias("n_chars"))
+
+
+@query(f"""with {PLAN} select count(distinct case when part = 'train' then shard end) as n_shards, count(case when part = 'train' then 1 end) as n_train,
+  count(case when part = 'val' then 1 end) as n_val, count(*) as total from plan""")
+def corpus_written_shards(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "documents").select("doc_id", "text").join(_plan(spark, d), "doc_id")
+    return sinks.write_shards(rows, scratch_path(spark, "shards"))

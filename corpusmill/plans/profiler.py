@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from corpusmill.functions.scalars import duration_ms
 from corpusmill.operators import profiler
 from corpusmill.plans.registry import query
-from corpusmill.sources.tables import table
+from corpusmill.sources import sinks
+from corpusmill.sources.tables import scratch_path, table
 
 
 def _parts(spark: SparkSession, d: str) -> DataFrame:
@@ -28,7 +29,9 @@ def profiler_kernel_csv(spark: SparkSession, d: str) -> DataFrame:
         F.expr("if(p_size % 7 = 0, 'n/a', cast(p_size as string))").alias("Instances"), F.lit("12.5").alias("Avg (ns)"),
         F.concat(F.lit("k,"), "p_type", F.col("p_partkey") % 11).alias("Name"),
     )
-    return profiler.kernel_csv(rows).drop("avg_ms")
+    path = scratch_path(spark, "kernel-csv")
+    sinks.append_csv(rows, path)
+    return profiler.read_kernel_csv(spark, path).drop("avg_ms")
 
 
 @query("""select p_type || p_partkey as name, (floor(p_retailprice)::bigint * 1000000) / 1e9 as total_s from part where p_size % 5 <> 0 order by 2 desc, 1 limit 25""")
@@ -45,11 +48,12 @@ def profiler_torch_table(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("""select 'run' || p_partkey % 20 as run, 'op' || p_partkey % 6 as operation, sum(p_size * 1000000 + 500000)::bigint as total_bytes, sum(p_partkey % 50)::bigint as n from part
-where p_partkey > (select 40) and p_partkey % 20 = 3 group by 1, 2""")
+where p_partkey > 40 and p_partkey % 9 <> 0 group by 1, 2""")
 def profiler_memory_operations(spark: SparkSession, d: str) -> DataFrame:
     row = F.format_string("%d.5   %d  1  1  1  1  1  op%d", "p_size", F.col("p_partkey") % 50, F.col("p_partkey") % 6)
-    text = F.when(F.col("p_partkey") == 23, f"** {profiler.MEMOPS_MARKER}:").when((F.col("p_partkey") % 20 == 3), row).otherwise("  noise")
-    rows = profiler.memory_operations(_lines(spark, d, text).filter("run = 'run3'"))
+    # Each run has a row before its marker line, and noise after it.
+    text = F.when(F.col("p_partkey").between(21, 40), f"** {profiler.MEMOPS_MARKER}:").when(F.col("p_partkey") % 9 != 0, row).otherwise("  noise")
+    rows = profiler.memory_operations(_lines(spark, d, text))
     return rows.groupBy("run", "operation").agg(F.sum("total_bytes").alias("total_bytes"), F.sum("n").alias("n"))
 
 
@@ -71,9 +75,9 @@ def profiler_kernel_details(spark: SparkSession, d: str) -> DataFrame:
     return _details(spark, d)
 
 
-@query(f"with {DETAILS} select run, name, n from (select *, coalesce(avg_ms, 0) * n as w from k where run = 'run4') order by w desc, n desc, name limit 2")
+@query(f"with {DETAILS} select run, name, n from (select *, row_number() over (partition by run order by coalesce(avg_ms, 0) * n desc, n desc, name) as r from k) where r <= 2")
 def profiler_heaviest_details(spark: SparkSession, d: str) -> DataFrame:
-    return profiler.heaviest_details(_details(spark, d).filter("run = 'run4'"), 2).select("run", "name", "n")
+    return profiler.heaviest_details(_details(spark, d), 2).select("run", "name", "n")
 
 
 KERNELS = "('sm90_gemm_x', 'nvjet_sm121_y', 'MXFP8_block_scaled', 'cutlass_tensorop_bf16_s16816gemm', 'block_scaled_z', 'elementwise', 'cublasLt_sgemm', 'cutlass_gemm_a')"
@@ -118,3 +122,40 @@ def profiler_latest_file(spark: SparkSession, d: str) -> DataFrame:
 def profiler_durations(spark: SparkSession, d: str) -> DataFrame:
     unit = F.expr("array('ns', ' us', 'ms', ' s', 'min')[p_partkey % 5]")
     return table(spark, d, "part").select("p_partkey", duration_ms(F.concat(F.col("p_size").cast("string"), unit)).alias("ms"))
+
+
+@query(f"""with op as (select o_orderkey as id, o_orderpriority as cpu_op, o_totalprice as dur from orders), k as (select l_orderkey as id, {LIST}[(l_partkey % 8 + 1)::int] as name, l_quantity as dur from lineitem)
+select {KIND} as kind, coalesce(cpu_op, '<unlinked>') as cpu_op, case when op.id is not null then 'float' else '' end as types, case when op.id is not null then '4x8' else '' end as dims, count(*) as calls, round(sum(k.dur), 6) as total_us from k left join op using (id) where not name like 'element%' group by all""")
+def profiler_trace_file(spark: SparkSession, d: str) -> DataFrame:
+    # One trace file of each order priority: its operators, and the kernels of its orders.
+    orders = table(spark, d, "orders").select("o_orderkey", "o_orderpriority", "o_totalprice")
+    op = F.struct(
+        F.lit("cpu_op").alias("cat"), F.col("o_orderpriority").alias("name"), F.col("o_totalprice").alias("dur"),
+        F.struct(F.col("o_orderkey").alias("External id"), F.array(F.lit("float")).alias("Input type"), F.array(F.array(F.lit(4), F.lit(8))).alias("Input Dims")).alias("args"),
+    )
+    kernel = F.struct(F.lit("kernel").alias("cat"), F.expr(f"{NAMES}[l_partkey % 8]").alias("name"), F.col("l_quantity").alias("dur"), F.struct(F.col("l_orderkey").cast("string").alias("External id")).alias("args"))
+    kernels = table(spark, d, "lineitem").join(orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_orderpriority"), "l_orderkey", "left")
+    events = orders.select("o_orderpriority", F.to_json(op).alias("e")).unionByName(kernels.select("o_orderpriority", F.to_json(kernel).alias("e")))
+    path = scratch_path(spark, "traces")
+    files = events.groupBy("o_orderpriority").agg(F.collect_list("e").alias("all")).select(F.concat(F.lit('{"traceEvents": ['), F.array_join("all", ",\n"), F.lit("]}")).alias("value"))
+    files.repartition(5, "value").write.option("maxRecordsPerFile", 1).text(path)
+    groups = profiler.trace_groups(profiler.read_trace(spark, path))
+    return groups.select("kind", "cpu_op", F.array_join("types", ",").alias("types"), F.array_join("dims", ",").alias("dims"), "calls", "total_us")
+
+
+@query("""select 'gpu' || p_partkey % 8 as run, (p_partkey % 8)::int as idx, 'H' || p_size as name, (p_size * 1000)::bigint as used_mib, case when p_partkey % 5 <> 0 then p_partkey % 90 * 1000 end::bigint as total_mib,
+  round(p_size * 1000.0::double / greatest(case when p_partkey % 5 <> 0 then p_partkey % 90 * 1000 end, 1) * 100, 1) as mem_pct, (p_size + 0.25)::double as power_w from part where p_partkey % 7 <> 0""")
+def profiler_device_rows(spark: SparkSession, d: str) -> DataFrame:
+    line = F.expr("concat_ws(', ', cast(p_partkey % 8 as string), concat('H', p_size), cast(p_size * 1000 as string), if(p_partkey % 5 = 0, '[N/A]', cast(p_partkey % 90 * 1000 as string)), '97', '61', concat(p_size, '.25'))")
+    lines = table(spark, d, "part").select(F.concat(F.lit("gpu"), F.col("p_partkey") % 8).alias("run"), F.when(F.col("p_partkey") % 7 == 0, "0, short").otherwise(line).alias("value"))
+    return profiler.device_rows(lines).select("run", F.col("index").alias("idx"), "name", "used_mib", "total_mib", "mem_pct", "power_w")
+
+
+@query("""select 's' || s_suppkey as run, label, round(total / 1e9, 1) as total_gb, round(used / 1e9, 1) as used_gb, round((total - used) / 1e9, 1) as free_gb, round(used / greatest(total, 1) * 100, 1) as pct
+from (select s_suppkey, unnest(['root', 'data', 'home']) as label, unnest([s_suppkey * 1000000000.0, case when s_suppkey % 3 <> 0 then s_suppkey * 3000000000.0 end, 5e11])::double as total, s_suppkey * 700000000.0::double as used from supplier) where total is not null""")
+def profiler_disk_rows(spark: SparkSession, d: str) -> DataFrame:
+    mount = lambda label, total: F.struct(F.lit(label).alias("label"), total.cast("double").alias("total"))
+    k = F.col("s_suppkey")
+    mounts = F.explode(F.array(mount("root", k * 1e9), mount("data", F.when(k % 3 != 0, k * 3e9)), mount("home", F.lit(5e11))))
+    rows = table(spark, d, "supplier").select(F.concat(F.lit("s"), k).alias("run"), mounts.alias("m"), (k * 7e8).cast("double").alias("used"))
+    return profiler.disk_rows(rows.select("run", "m.label", "m.total", "used", (F.col("m.total") - F.col("used")).alias("free")))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusmill.functions.scalars import iso_utc
 from corpusmill.operators import reports
 from corpusmill.plans.registry import query
 from corpusmill.sources import sinks
@@ -32,9 +33,9 @@ def report_processes(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("""select p_partkey, case p_partkey % 4 when 0 then true when 1 then false when 2 then false end as flag, case when p_partkey % 2 = 0 then replace(p_brand, '#', '') else '''' || replace(p_brand, '#', '') || ' it''"''"''s' || '''' end as quoted,
-  p_size || ';7' as numbers, case when p_size % 10 = 0 then 1.0 else (p_size % 10) / 448.0::double end::double as scale, 'a-b "c" ' || p_size as plain from part where p_size <> 7""")
+  case when p_size = 7 then '7' else p_size || ';7' end as numbers, case when p_size % 10 = 0 then 1.0 else (p_size % 10) / 448.0::double end::double as scale, 'a-b "c" ' || p_size as plain from part""")
 def report_settings(spark: SparkSession, d: str) -> DataFrame:
-    rows = table(spark, d, "part").filter("p_size <> 7")
+    rows = table(spark, d, "part")
     brand = F.regexp_replace("p_brand", "#", "")
     quoted = reports.shell_quoted(F.when(F.col("p_partkey") % 2 == 0, brand).otherwise(F.concat(brand, F.lit(" it's"))))
     return rows.select(
@@ -58,3 +59,38 @@ def report_appended(spark: SparkSession, d: str) -> DataFrame:
     for _ in range(2):
         sinks.append_csv(rows, path)
     return spark.read.option("header", True).csv(path).groupBy(F.col("o_orderstatus").alias("status")).agg(F.count("*").alias("n"))
+
+
+@query("select o_orderstatus as status, 2 * count(*) as n, 2 * sum(o_orderkey)::bigint as keys from orders group by 1")
+def report_appended_json(spark: SparkSession, d: str) -> DataFrame:
+    path = scratch_path(spark, "appended-json")
+    rows = table(spark, d, "orders").select("o_orderkey", "o_orderstatus")
+    for _ in range(2):
+        sinks.append_json(rows, path)
+    back = spark.read.schema(rows.schema).json(path)
+    return back.groupBy(F.col("o_orderstatus").alias("status")).agg(F.count("*").alias("n"), F.sum("o_orderkey").alias("keys"))
+
+
+@query("select true as first, false as again, count(*) as n from customer")
+def report_written_once(spark: SparkSession, d: str) -> DataFrame:
+    path = scratch_path(spark, "once")
+    rows = table(spark, d, "customer").select("c_custkey")
+    wrote = [sinks.write_once(rows, path) for _ in range(2)]
+    return spark.read.parquet(path).agg(F.lit(wrote[0]).alias("first"), F.lit(wrote[1]).alias("again"), F.count("*").alias("n"))
+
+
+@query("select p_brand as brand, case when p_brand = (select min(p_brand) from part) then count(*) + 1000 else count(*) end as n from part group by 1")
+def report_published(spark: SparkSession, d: str) -> DataFrame:
+    made, out = scratch_path(spark, "made"), scratch_path(spark, "published")
+    counts = table(spark, d, "part").groupBy(F.col("p_brand").alias("brand")).agg(F.count("*").alias("n"))
+    counts.select("n", "brand").write.partitionBy("brand").parquet(out)
+    least = counts.agg(F.min("brand").alias("brand")).join(counts, "brand")
+    least.select((F.col("n") + 1000).alias("n"), "brand").write.parquet(made)
+    sinks.publish_one(spark.createDataFrame([(made,)], "folder string"), out, "brand", "n long, brand string")
+    return spark.read.schema("n long, brand string").parquet(out)
+
+
+@query("select o_orderkey, strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S+00:00') as at from orders")
+def report_stamps(spark: SparkSession, d: str) -> DataFrame:
+    zone = F.to_utc_timestamp(F.col("o_orderdate").cast("timestamp"), "UTC")
+    return table(spark, d, "orders").select("o_orderkey", iso_utc(zone).alias("at"))

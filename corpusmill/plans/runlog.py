@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusmill.functions.scalars import label_path, readable_bytes, short
+from corpusmill.functions.scalars import finite, label_path, readable_bytes, readable_share, short
 from corpusmill.operators import runlog
 from corpusmill.plans.registry import query
 from corpusmill.sources import logs
-from corpusmill.sources.tables import table
+from corpusmill.sources.tables import scratch_path, table
 
 SEQ = 1024
 # The same figures as ``_figures``, in SQL.
@@ -94,13 +94,13 @@ def runlog_memory_summary(spark: SparkSession, d: str) -> DataFrame:
     return out.withColumn("max_gib", F.round("max_gib", 6))
 
 
-@query(f"""with {E}, c as (select run, case when event_id % 3 = 0 then 0 when event_id % 3 = 1 then 1 else 2 end as p, it, (1024 + event_id % 7)::int as v from e where it <= 3)
-select run, min_by(v, p * 100 + it) as seq_length from c group by run""")
+@query(f"""with {E}, c as (select run, case when event_id % 3 = 0 then 0 when event_id % 3 = 1 then 1 else 2 end as p, it, (1024 + event_id % 7)::int as v from e)
+select run, min_by(v, p * 1000000000::bigint + it) as seq_length from c group by run""")
 def runlog_seq_length(spark: SparkSession, d: str) -> DataFrame:
     v = F.col("event_id") % 7 + 1024
     kinds = [F.format_string("  seq_length ........... %d", v), F.format_string("max_position_embeddings ..... %d  ", v), F.format_string("[local-quarter] go seq=%d", v)]
     text = F.when(F.col("event_id") % 3 == 0, kinds[0]).when(F.col("event_id") % 3 == 1, kinds[1]).otherwise(kinds[2])
-    return runlog.seq_length(_figures(spark, d).filter("it <= 3").select("run", F.col("it").alias("line_no"), text.alias("value")))
+    return runlog.seq_length(_figures(spark, d).select("run", F.col("it").alias("line_no"), text.alias("value")))
 
 
 @query(f"""with {SUMMARY}, b as (select avg_ms as ba, tok_s_mean as bt from s where run = 'run0')
@@ -196,3 +196,45 @@ def runlog_formats(spark: SparkSession, d: str) -> DataFrame:
 def runlog_profile_groups(spark: SparkSession, d: str) -> DataFrame:
     stem = F.expr("concat('prof', c_custkey % 7, '_202604', lpad(cast(10 + c_custkey % 20 as string), 2, '0'), '_x')")
     return table(spark, d, "customer").select(runlog.profile_group(stem).alias("g")).groupBy("g.prefix", "g.date").agg(F.count("*").alias("n"))
+
+
+@query("""with l as (select o_orderstatus as part, o_orderkey, row_number() over (partition by o_orderstatus order by o_orderkey) as k from orders)
+select part, count(*) as n, sum(o_orderkey)::bigint as keys, sum((2 * k - 2) * o_orderkey)::bigint as placed from l group by part""")
+def runlog_files(spark: SparkSession, d: str) -> DataFrame:
+    # One log file of each order status, an empty line after every line.
+    path = scratch_path(spark, "log-files")
+    rows = table(spark, d, "orders").select("o_orderstatus", "o_orderkey", F.concat_ws(" ", F.lit("order"), "o_orderkey", "o_orderstatus", F.lit("\n")).alias("value"))
+    rows.repartition(1, "o_orderstatus").sortWithinPartitions("o_orderstatus", "o_orderkey").select("o_orderstatus", "value").write.partitionBy("o_orderstatus").text(path)
+    lines = logs.log_lines(spark, f"{path}/*")
+    words = F.split("value", " ")
+    found = lines.select(words[2].alias("part"), words[1].cast("long").alias("o_orderkey"), "line_no")
+    return found.groupBy("part").agg(F.count("*").alias("n"), F.sum("o_orderkey").alias("keys"), F.sum(F.col("line_no") * F.col("o_orderkey")).alias("placed"))
+
+
+@query("""select p_partkey, case when p_partkey % 5 in (1, 2) then null else round_even(p_retailprice / 7, 3) end as value, case when p_size % 10 = 0 then '-' else printf('%.1f%%', p_size % 10 * 4.0) end as mfu from part""")
+def runlog_finite(spark: SparkSession, d: str) -> DataFrame:
+    value = F.expr("case p_partkey % 5 when 1 then double('NaN') when 2 then double('-Infinity') else p_retailprice / 7 end")
+    share = F.expr("if(p_size % 20 = 0, null, p_size % 10 * 0.04D)")
+    return table(spark, d, "part").select("p_partkey", finite(value, 3).alias("value"), readable_share(share).alias("mfu"))
+
+
+@query("""with n as (select distinct 'run' || user_id as run, 'out_' || event_id % 5 || '.' || case event_id % 3 when 0 then 'csv' when 1 then 'txt' else 'json' end as path from events where user_id % 4 <> 0 or event_id % 3 = 0),
+k as (select *, split_part(path, '.', 2) as kind from n), r as (select distinct run from k), x as (select run, kind from r, (select unnest(['csv', 'json', 'pdf']) as kind))
+select run, count(*) || ' artifacts do not exist' as warning from k where path like 'out_3%' group by run union all select run, 'no ' || kind || ' found' from x where (run, kind) not in (select (run, kind) from k)""")
+def runlog_artifact_warnings(spark: SparkSession, d: str) -> DataFrame:
+    kind = F.expr("case event_id % 3 when 0 then 'csv' when 1 then 'txt' else 'json' end")
+    events = table(spark, d, "events").filter("user_id % 4 <> 0 or event_id % 3 = 0")
+    named = events.select(F.concat(F.lit("run"), "user_id").alias("run"), F.concat(F.lit("out_"), F.col("event_id") % 5, F.lit("."), kind).alias("path"), kind.alias("kind")).distinct()
+    return runlog.artifact_warnings(named, named.filter("path not like 'out_3%'"), ("csv", "json", "pdf"))
+
+
+@query(f"with {SUMMARY} select run, 'log says ' || tokens_per_step || ' tokens a step, profile ' || 3 * {SEQ} as warning from s where tokens_per_step <> 3 * {SEQ}")
+def runlog_token_warnings(spark: SparkSession, d: str) -> DataFrame:
+    rows = _summary(spark, d)
+    return runlog.token_warnings(rows, rows.select("run", F.lit(3).alias("batch"), F.lit(SEQ).alias("length")))
+
+
+@query("select 'run' || user_id as run, 'two profilers in one run' as warning from events where event_id % 500 = 7 group by user_id")
+def runlog_profiler_clash(spark: SparkSession, d: str) -> DataFrame:
+    text = F.when(F.col("event_id") % 500 == 7, F.concat(F.lit("warning: "), F.lit(runlog.CUPTI))).otherwise("fine")
+    return runlog.log_warnings(table(spark, d, "events").select(F.concat(F.lit("run"), "user_id").alias("run"), text.alias("value")))

@@ -34,7 +34,9 @@ def _collected(rows: DataFrame, label: str, mode: str) -> DataFrame:
 @query(f"with {S}, c as (select *, lag(step) over (partition by port order by ord) as b, row_number() over (partition by port order by ord) as k from s) select port, ord, step from c where k = 1 or step is distinct from b")
 def stream_history_changed(spark: SparkSession, d: str) -> DataFrame:
     rows = _stream(spark, d, "events").selectExpr("user_id as port", "event_id as ord", "event_id div 400 as step")
-    return _collected(jobs.changed_stream(rows), "stream-history", "append").drop("_batch")
+    path = scratch_path(spark, "stream-history")
+    jobs.changed_sink(rows, f"{path}/out", f"{path}/state").awaitTermination()
+    return spark.read.schema("port long, ord long, step long").parquet(f"{path}/out/rows").select("port", "ord", "step")
 
 
 @query("select lang, count(*) as n, sum(length(text))::bigint as n_chars from documents group by lang")
@@ -70,3 +72,14 @@ def packed_round_trip(spark: SparkSession, d: str) -> DataFrame:
     rows = spark.read.format("packed_tokens").load(path)
     total = F.aggregate("tokens", F.lit(0).cast("long"), lambda s, v: s + v)
     return rows.groupBy(F.size("tokens").cast("long").alias("size")).agg(F.count("*").alias("n"), F.sum(total).alias("id_sum"))
+
+
+@query("select lang, count(*) as n, sum(length(text))::bigint as n_chars from documents where text is not null group by lang")
+def stream_json_tail(spark: SparkSession, d: str) -> DataFrame:
+    # JSON lines files that were put in a folder, with blank lines and lines without a text among them.
+    path = scratch_path(spark, "stream-json")
+    docs = table(spark, d, "documents").select(F.to_json(F.struct("text", "lang")).alias("value"))
+    docs.unionByName(docs.limit(3).select(F.explode(F.array(F.lit(""), F.lit('{"lang": "en"}'))).alias("value"))).write.text(f"{path}/in")
+    rows = jobs.text_stream(spark, f"{path}/in", schema="text string, lang string")
+    out = _collected(rows, "stream-json-rows", "append")
+    return out.groupBy("lang").agg(F.count("*").alias("n"), F.sum(F.length("text")).alias("n_chars"))

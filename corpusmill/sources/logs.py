@@ -7,12 +7,18 @@ from pyspark.sql import functions as F
 
 
 def log_lines(spark: SparkSession, path: str) -> DataFrame:
-    """run (file name), line_no and value of every line of the files under ``path``; undecodable bytes become U+FFFD.
+    """run (file name), line_no and value of every line of the files under ``path`` that is not empty; undecodable bytes become U+FFFD.
 
-    Files are read whole, so line numbers are those of the file whatever the splits; a log file fits a task.
+    Files are read in splits of any number.  Lines come in order within a split, so a line's number is its place there, and
+    the lines of the splits before; only the splits' counts meet.
     """
-    files = spark.read.text(path, wholetext=True).select(F.element_at(F.split("_metadata.file_path", "/"), -1).alias("run"), "value")
-    return files.select("run", F.posexplode(F.split("value", "\r?\n")).alias("line_no", "value")).filter("value <> ''")
+    file, start = F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_start")
+    rows = spark.read.text(path).select(file, start, F.monotonically_increasing_id().alias("_id"), "value")
+    before = Window.partitionBy("_f").orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
+    splits = rows.groupBy(F.col("_file").alias("_f"), F.col("_start").alias("_s")).agg(F.min("_id").alias("_first"), F.count("*").alias("_n"))
+    splits = splits.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+    both = rows.join(splits, (F.col("_file") == F.col("_f")) & (F.col("_start") == F.col("_s"))).filter("value <> ''")
+    return both.select(F.element_at(F.split("_file", "/"), -1).alias("run"), (F.col("_id") - F.col("_first") + F.col("_before")).alias("line_no"), "value")
 
 
 def tail(lines: DataFrame, n: int, order: str = "line_no") -> DataFrame:

@@ -29,6 +29,41 @@ def write_once(rows: DataFrame, path: str) -> bool:
         return True
 
 
+#: Rows of a row group of a shard.
+GROUP_ROWS = 1024
+
+
+def write_shards(placed: DataFrame, path: str) -> DataFrame:
+    """Writes rows that have ``part`` and ``shard`` as one Parquet file for each shard, in row groups of ``GROUP_ROWS``, reads them
+    back, and then writes the completion table ``path.done``, which it returns: n_shards, n_train, n_val, total.
+
+    A shard whose rows do not read back whole is an error, and no completion table is written.
+    """
+    spark = placed.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = placed.repartition(n, "part", "shard").sortWithinPartitions("part", "shard")
+    rows.write.mode("overwrite").option("parquet.block.row.count.limit", GROUP_ROWS).partitionBy("part", "shard").parquet(path)
+    want = placed.groupBy("part", "shard").agg(F.count("*").alias("n"))
+    data = [c for c in placed.columns if c not in ("part", "shard")]
+    schema = placed.select(*data, "part", F.col("shard").cast("long").alias("shard")).schema
+    got = spark.read.schema(schema).parquet(path).groupBy(F.col("part").alias("p"), F.col("shard").alias("s")).agg(F.count(F.struct(*data)).alias("m"))
+    broken = want.join(got, (F.col("part") == F.col("p")) & (F.col("shard") == F.col("s")), "full_outer").filter("n is distinct from m")
+    if broken.limit(1).count():
+        raise ValueError(f"{path}: a shard does not read back whole")
+    train = F.col("p") == "train"
+    done = got.agg(F.count(F.when(train, 1)).alias("n_shards"), F.sum(F.when(train, F.col("m")).otherwise(0)).alias("n_train"), F.sum(F.when(~train, F.col("m")).otherwise(0)).alias("n_val"), F.sum("m").alias("total"))
+    done.coalesce(1).write.mode("overwrite").json(f"{path}.done")
+    return spark.read.schema("n_shards long, n_train long, n_val long, total long").json(f"{path}.done")
+
+
+def publish_one(folders: DataFrame, path: str, part: str, schema: str) -> None:
+    """Publishes the one dataset that ``folders`` (folder) names over ``path``, part by part; more or fewer than one is an error."""
+    found = folders.select("folder").distinct().limit(2).collect()
+    if len(found) != 1:
+        raise ValueError("exactly one dataset must be there to publish")
+    replace_parts(folders.sparkSession.read.schema(schema).parquet(found[0].folder), path, part)
+
+
 def replace_parts(rows: DataFrame, path: str, part: str) -> None:
     """Replaces the parts that ``rows`` has and leaves the others."""
     rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(part).parquet(path)

@@ -12,50 +12,59 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from corpusmill.operators.ordinals import row_numbers
+
 TEXT = "text string"
 
 
-def text_stream(spark: SparkSession, folder: str, per_batch: int = 1000) -> DataFrame:
-    """Documents of JSON lines files that appear in a folder; lines without a text are dropped."""
-    rows = spark.readStream.schema(TEXT).option("maxFilesPerTrigger", per_batch).json(folder)
+def text_stream(spark: SparkSession, folder: str, per_batch: int = 1000, schema: str = TEXT) -> DataFrame:
+    """Documents of JSON lines files that appear in a folder; blank lines and those without a text are dropped."""
+    rows = spark.readStream.schema(schema).option("maxFilesPerTrigger", per_batch).json(folder)
     return rows.filter("text is not null")
 
 
 def shard_sink(rows: DataFrame, out: str, checkpoint: str, rows_per_file: int, order: str):
     """Starts a query that cuts the stream, in arrival order, into shards of ``rows_per_file`` rows.
 
-    The count of the batches before decides where a batch goes on.  A batch is written under its own number, so that one
-    that is repeated replaces what it wrote: ``out/rows/shard=../batch=..`` and ``out/counts/batch=..``.
+    The count of the batches before decides where a batch goes on; inside it rows are numbered by sorted ranges, so a batch of
+    any size is spread over all tasks.  A batch is written under its own number, so that one that is repeated replaces what it
+    wrote: ``out/rows/shard=../batch=..`` and ``out/counts/batch=..``.
     """
 
     def cut(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
         before = spark.read.schema("n long, batch long").parquet(f"{out}/counts").filter(F.col("batch") < number).agg(F.sum("n")).first()[0] if number else 0
-        place = F.row_number().over(Window.orderBy(order)) - 1 + F.lit(before or 0)  # a micro-batch is bounded by its trigger
-        placed = batch.withColumn("shard", F.floor(place / rows_per_file)).withColumn("batch", F.lit(number))
+        placed = row_numbers(batch, [order], "_place")
+        shard = F.floor((F.col("_place") + F.lit(before or 0)) / rows_per_file)
         mode = {"partitionOverwriteMode": "dynamic"}
-        placed.write.mode("overwrite").options(**mode).partitionBy("shard", "batch").parquet(f"{out}/rows")
-        batch.agg(F.count("*").alias("n")).withColumn("batch", F.lit(number).cast("long")).write.mode("overwrite").options(**mode).partitionBy("batch").parquet(f"{out}/counts")
+        placed.withColumns({"shard": shard, "batch": F.lit(number)}).drop("_place").write.mode("overwrite").options(**mode).partitionBy("shard", "batch").parquet(f"{out}/rows")
+        placed.agg(F.count("*").alias("n")).withColumn("batch", F.lit(number).cast("long")).write.mode("overwrite").options(**mode).partitionBy("batch").parquet(f"{out}/counts")
 
     return rows.writeStream.foreachBatch(cut).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def changed_stream(snapshots: DataFrame) -> DataFrame:
-    """port, ord, step of the snapshots whose step is not that of the port's last one; state is one step per port."""
+def changed_sink(snapshots: DataFrame, out: str, checkpoint: str):
+    """Starts a query that keeps port, ord, step of the snapshots whose step is not that of the port's last one.
 
-    def keep(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        last, known = state.get if state.exists else (0, False)
-        out = []
-        for row in pd.concat(list(frames)).sort_values("ord").itertuples(index=False):
-            if not known or row.step != last:
-                out.append((row.port, row.ord, row.step))
-            last, known = row.step, True
-        state.update((last, known))
-        yield pd.DataFrame(out, columns=["port", "ord", "step"])
+    Each batch is one sort by port and ord (Spark spills it, however many rows a port has); what a port's last step was comes
+    from ``out/last``, one row per port and batch.  Rows go to ``out/rows/batch=..``; a repeated batch replaces its own.
+    """
 
-    return snapshots.select("port", "ord", "step").groupBy("port").applyInPandasWithState(
-        keep, "port long, ord long, step long", "last long, known boolean", "append", GroupStateTimeout.NoTimeout
-    )
+    def keep(batch: DataFrame, number: int) -> None:
+        spark, columns = batch.sparkSession, ["port", "ord", "step"]
+        rows = batch.select(*columns, F.lit(True).alias("_own"))
+        if number:
+            last = spark.read.schema("port long, ord long, step long, batch long").parquet(f"{out}/last").filter(F.col("batch") < number)
+            last = last.groupBy("port").agg(F.max_by(F.struct("ord", "step"), "batch").alias("m")).select("port", "m.ord", "m.step", F.lit(False).alias("_own"))
+            rows = rows.unionByName(last)
+        order = Window.partitionBy("port").orderBy("_own", "ord")
+        rows = rows.withColumns({"_first": F.row_number().over(order) == 1, "_before": F.lag("step").over(order)})
+        kept = rows.filter(F.col("_own") & (F.col("_first") | ~F.col("step").eqNullSafe(F.col("_before")))).select(*columns)
+        kept.write.mode("overwrite").parquet(f"{out}/rows/batch={number}")
+        ends = batch.groupBy("port").agg(F.max("ord").alias("ord"), F.max_by("step", "ord").alias("step"))
+        ends.write.mode("overwrite").parquet(f"{out}/last/batch={number}")
+
+    return snapshots.writeStream.foreachBatch(keep).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def totals_stream(rows: DataFrame, key: str) -> DataFrame:
@@ -63,30 +72,36 @@ def totals_stream(rows: DataFrame, key: str) -> DataFrame:
     return rows.groupBy(key).agg(F.count("*").alias("n"), F.sum(F.length("text")).alias("n_chars"))
 
 
+def classified(run: str, frames: Iterator[pd.DataFrame], state: GroupState, deadline_ms: int | None) -> pd.DataFrame:
+    """The status of a run after the lines at hand; the state holds the place of the iteration seen last, the iteration and the
+    status, so lines may come in any order and in any number of frames."""
+    place, iteration, status = state.get if state.exists else (-1, 0, "running")
+    if state.hasTimedOut:
+        state.remove()
+        return pd.DataFrame([(run, "timeout" if status == "running" else status, iteration)], columns=["run", "status", "iteration"])
+    for frame in frames:
+        found = frame["value"].str.extract(r"iteration\s+(\d+)/")[0].dropna()
+        if len(found):
+            last = frame["line_no"][found.index].idxmax()
+            place, iteration = max((place, iteration), (int(frame["line_no"][last]), int(found[last])))
+        if frame["value"].str.contains("OutOfMemoryError|CUDA out of memory").any():
+            status = "oom"
+        elif status == "running" and frame["value"].str.contains(r"grad norm: (?:nan|inf)").any():
+            status = "nan"
+    state.update((place, iteration, status))
+    if deadline_ms:
+        state.setTimeoutDuration(deadline_ms)
+    return pd.DataFrame([(run, status, iteration)], columns=["run", "status", "iteration"])
+
+
 def status_stream(lines: DataFrame, deadline_ms: int | None = 20 * 60 * 1000) -> DataFrame:
     """run, status, iteration after each batch of log lines (run, line_no, value): oom, nan, running, or timeout when nothing
     has come for the deadline (none: a run that only catches up and stops)."""
 
     def classify(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        iteration, status = state.get if state.exists else (0, "running")
-        if state.hasTimedOut:
-            state.remove()
-            yield pd.DataFrame([(key[0], "timeout" if status == "running" else status, iteration)], columns=["run", "status", "iteration"])
-            return
-        for frame in frames:
-            text = frame.sort_values("line_no")["value"]
-            found = text.str.extract(r"iteration\s+(\d+)/")[0].dropna()
-            iteration = int(found.iloc[-1]) if len(found) else iteration
-            if text.str.contains("OutOfMemoryError|CUDA out of memory").any():
-                status = "oom"
-            elif status == "running" and text.str.contains(r"grad norm: (?:nan|inf)").any():
-                status = "nan"
-        state.update((iteration, status))
-        if deadline_ms:
-            state.setTimeoutDuration(deadline_ms)
-        yield pd.DataFrame([(key[0], status, iteration)], columns=["run", "status", "iteration"])
+        yield classified(key[0], frames, state, deadline_ms)
 
     return lines.groupBy("run").applyInPandasWithState(
-        classify, "run string, status string, iteration int", "iteration int, status string", "update",
+        classify, "run string, status string, iteration int", "place long, iteration int, status string", "update",
         GroupStateTimeout.ProcessingTimeTimeout if deadline_ms else GroupStateTimeout.NoTimeout,
     )

@@ -19,7 +19,7 @@ def _ids(spark, n: int):
 
 
 def test_packed_index(spark) -> None:
-    lists = spark.createDataFrame([(1, [1, 2, 3]), (2, []), (3, None), (4, [4])], "doc_id long, tokens array<long>").filter(F.size("tokens") > 0)
+    lists = spark.createDataFrame([(1, [1, 2, 3]), (2, []), (3, None), (4, [4])], "doc_id long, tokens array<long>").select("doc_id", F.size("tokens").alias("size")).filter("size > 0")
     assert [(r.size, r.pointer) for r in corpus.packed_index(lists).orderBy("ord").collect()] == [(3, 0), (1, 12)]
     assert sorted(r.doc_idx for r in corpus.document_index(lists).collect()) == [0, 1, 2]
 
