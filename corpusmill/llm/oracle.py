@@ -4,15 +4,18 @@ from __future__ import annotations
 
 from corpusmill.llm import quality_rules as q8
 
-_RATE_ROWS = " union all ".join(
-    f"select lang, source, '{r}' as rate, least({q8.SCALE} * {top} // greatest({below}, 1), {q8.BIN_LIMIT}) as bin from passed"
-    for r, (top, below, _, _) in q8.RATES.items()
-)
+
+
+def _bin(top: str, below: str) -> str:
+    parts = f"({q8.SCALE} * {top} // greatest({below}, 1))"
+    low = f"greatest(length(bin({parts})) - {q8.BIN_BITS}, 0)::int"
+    return f"(({parts} >> {low}) << {low})"
+
+
+_RATE_ROWS = " union all ".join(f"select lang, source, '{r}' as rate, {_bin(top, below)} as bin from passed" for r, (top, below, _, _) in q8.RATES.items())
 _FLOORS = " ".join(f"when '{r}' then {v[2]}" for r, v in q8.RATES.items())
 _FITS = " and ".join(
-    f"least({q8.SCALE} * c.{top} // greatest(c.{below}, 1), {q8.BIN_LIMIT}) <= b.high_{r}"
-    + (f" and least({q8.SCALE} * c.{top} // greatest(c.{below}, 1), {q8.BIN_LIMIT}) >= b.low_{r}" if low else "")
-    for r, (top, below, _, low) in q8.RATES.items()
+    f"{_bin(f'c.{top}', f'c.{below}')} <= b.high_{r}" + (f" and {_bin(f'c.{top}', f'c.{below}')} >= b.low_{r}" if low else "") for r, (top, below, _, low) in q8.RATES.items()
 )
 _PICKS = ", ".join(f"max(case when rate = '{r}' then {s} end) as {s}_{r}" for r in q8.RATES for s in ("low", "high"))
 
@@ -40,8 +43,8 @@ who_r as (select *, sum(n) over (partition by lang, rate order by bin) as upto,
         from (select lang, rate, bin, sum(n) as n from sk group by all)),
 who as (select lang, rate, min(case when 4 * upto >= total then bin end) as q1, min(case when 4 * upto >= 2 * total then bin end) as q2,
         min(case when 4 * upto >= 3 * total then bin end) as q3 from who_r group by all),
-used as (select o.lang, o.source, o.rate, case when o.total >= {q8.MIN_GROUP} then o.q1 else h.q1 end as q1,
-        case when o.total >= {q8.MIN_GROUP} then o.q2 else h.q2 end as q2, case when o.total >= {q8.MIN_GROUP} then o.q3 else h.q3 end as q3
+used as (select o.lang, o.source, o.rate, (o.total * o.q1 + {q8.PRIOR} * h.q1) // (o.total + {q8.PRIOR}) as q1,
+        (o.total * o.q2 + {q8.PRIOR} * h.q2) // (o.total + {q8.PRIOR}) as q2, (o.total * o.q3 + {q8.PRIOR} * h.q3) // (o.total + {q8.PRIOR}) as q3
         from own o join who h on o.lang is not distinct from h.lang and o.rate = h.rate),
 lim as (select lang, source, rate, q2 + {q8.FENCE} * greatest(q3 - q1, case rate {_FLOORS} end) as high,
         q2 - {q8.FENCE} * greatest(q3 - q1, case rate {_FLOORS} end) as low from used),

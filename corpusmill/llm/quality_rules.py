@@ -3,12 +3,14 @@
 Native operator: DataFrame functions only.
 
 Every document gets the base counts of ``with_counts`` and four rates in parts per ``SCALE``.  For each rate the
-documents of a (lang, source) group are summarised by a sketch: a histogram over integer bins of fixed width, which
-merges by adding counts, whatever the partitioning.  The sketches of a language's sources merge to a language sketch,
-which stands in for sources with fewer than ``MIN_GROUP`` documents.  A rate is rejected when it lies beyond
-median + ``FENCE`` * max(interquartile range, ``FLOOR``) of its group (and, for word length, also below).
-
-Defined cases: null text counts as empty (no words: base_failed); null lang or source is a group of its own; repeated
+documents of a (lang, source) group are summarised by a sketch: a histogram over bins that hold the upper ``BIN_BITS`` bits
+of the rate (exact below 2 ** BIN_BITS, within 1 / 2048 above, without an upper end), which merges by adding counts,
+whatever the partitioning.  The sketches of a language's sources merge to a language sketch.  A group of n documents takes
+its quartiles as the mean of its own, with weight n, and its language's, with weight ``PRIOR``, so a small group leans on
+its language and a large one on itself.  A rate is rejected when it lies beyond median + ``FENCE`` * max(interquartile
+range, least width of the rate) of its group (and, for word length, also below).
+
+Defined cases: null text counts as empty (no words: base_failed); texts of any length are counted whole; null lang or source is a group of its own; repeated
 rows are judged one by one; an empty table gives an empty result; other columns are carried along untouched and cannot
 clash because every helper column starts with ``_q``.
 """
@@ -24,7 +26,7 @@ from corpusmill.llm.tables import small, stored
 
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
-MIN_GROUP = 30
+PRIOR = 30
 FENCE = 8
 SCALE = 1000
 #: Rate -> (numerator, denominator, least width of the interquartile range, also bounded below).
@@ -34,7 +36,7 @@ RATES = {
     "repeats": ("n_repeat_words", "n_words", 45, False),
     "word_length": ("word_chars", "n_words", 400, True),
 }
-BIN_LIMIT = 100 * SCALE
+BIN_BITS = 12
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
@@ -79,9 +81,11 @@ def with_counts(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def rate_bin(rate: str) -> Column:
-    """The sketch bin of a rate: a whole number of parts per SCALE, at most BIN_LIMIT."""
+    """The sketch bin of a rate: its whole parts per SCALE, cut to their upper BIN_BITS bits."""
     top, below, _, _ = RATES[rate]
-    return F.least(F.expr(f"{SCALE} * {top} div greatest({below}, 1)"), F.lit(BIN_LIMIT)).cast("long")
+    parts = f"{SCALE} * {top} div greatest({below}, 1)"
+    low = f"greatest(length(bin({parts})) - {BIN_BITS}, 0)"
+    return F.expr(f"shiftleft(shiftright(cast({parts} as bigint), {low}), {low})")
 
 
 def sketches(counted: DataFrame) -> DataFrame:
@@ -114,7 +118,7 @@ def thresholds(counted: DataFrame) -> DataFrame:
     own, whole = quartiles(sketch, ["lang", "source", "rate"]), quartiles(sketch, ["lang", "rate"])
     used = own.alias("o").join(whole.alias("w"), F.expr("o.lang <=> w.lang and o.rate = w.rate")).selectExpr(
         "o.lang as lang", "o.source as source", "o.rate as rate",
-        *[f"if(o.total >= {MIN_GROUP}, o.{q}, w.{q}) as {q}" for q in ("q1", "q2", "q3")],
+        *[f"(o.total * o.{q} + {PRIOR} * w.{q}) div (o.total + {PRIOR}) as {q}" for q in ("q1", "q2", "q3")],
     )
     floor = reduce(lambda c, r: c.when(F.col("rate") == r, RATES[r][2]), RATES, F.when(F.lit(False), 0))
     reach = FENCE * F.greatest(F.col("q3") - F.col("q1"), floor)
@@ -138,11 +142,9 @@ def judged(counted: DataFrame, bounds: DataFrame) -> DataFrame:
 def passing(docs: DataFrame) -> DataFrame:
     """The rows of ``docs``, all columns, that the rules keep.
 
-    The thresholds come from stored counts; the texts are counted once more as they are filtered, so none is shuffled.
+    Every text is counted once: the rows are stored with their counts, for both the thresholds and the filter.
     """
-    counted = stored(with_counts(docs.select("text", "lang", "source")).drop("text"), "quality-counts")
+    rows = with_counts(docs.select("text", "lang", "source", F.struct(*docs.columns).alias("_q_doc"))).drop("text")
+    counted = stored(rows, "quality-counts")
     bounds = small(stored(thresholds(counted), "quality-bounds"))
-    rows = with_counts(docs.select("text", "lang", "source", F.struct(*docs.columns).alias("_q_doc")))
-    # The row number is a barrier: without it the filter moves below the counts and brings several copies of them along.
-    rows = rows.withColumn("_q_row", F.monotonically_increasing_id())
-    return judged(rows, bounds).filter("kept and _q_row >= 0").select("_q_doc.*")
+    return judged(counted, bounds).filter("kept").select("_q_doc.*")

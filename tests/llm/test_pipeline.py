@@ -28,7 +28,8 @@ def _counts(text: str) -> dict:
 def quality(docs: list[dict]) -> list[dict]:
     counts = [_counts(d["text"] or "") for d in docs]
     fine = [c["n_words"] >= 50 and 100 * c["n_repeat_words"] <= 50 * c["n_words"] for c in counts]
-    bins = [{r: min(1000 * c[a] // max(c[b], 1), q8.BIN_LIMIT) for r, (a, b, _, _) in q8.RATES.items()} for c in counts]
+    cut = lambda v: v >> max(v.bit_length() - 12, 0) << max(v.bit_length() - 12, 0)
+    bins = [{r: cut(1000 * c[a] // max(c[b], 1)) for r, (a, b, _, _) in q8.RATES.items()} for c in counts]
     own, whole = defaultdict(list), defaultdict(list)
     for d, b, f in zip(docs, bins, fine, strict=True):
         if f:
@@ -43,11 +44,11 @@ def quality(docs: list[dict]) -> list[dict]:
     kept = []
     for d, b, f in zip(docs, bins, fine, strict=True):
         for r, (_, _, least, low) in q8.RATES.items():
-            group = own[d["lang"], d["source"], r]
-            group = group if len(group) >= q8.MIN_GROUP else whole[d["lang"], r]
+            group, all_ = own[d["lang"], d["source"], r], whole[d["lang"], r]
             if f:
-                reach = q8.FENCE * max(quartile(group, 3) - quartile(group, 1), least)
-                f = b[r] <= quartile(group, 2) + reach and not (low and b[r] < quartile(group, 2) - reach)
+                q1, q2, q3 = ((len(group) * quartile(group, k) + 30 * quartile(all_, k)) // (len(group) + 30) for k in (1, 2, 3))
+                reach = q8.FENCE * max(q3 - q1, least)
+                f = b[r] <= q2 + reach and not (low and b[r] < q2 - reach)
         if f:
             kept.append(d)
     return kept
