@@ -12,8 +12,8 @@ diagonal with most windows all slot values are equal, or there are no slots) or
 
 Defined cases: null texts are empty and never match; an item without tokens never matches, one of a word or two matches
 each document that holds it; null ids are kept as ids; each text of an item_id is an item of its own, of which the best is
-reported; repeated rows (same doc_id and text) give their hits once; empty tables give an empty result; other columns are
-ignored.
+reported; repeated rows (same doc_id and text) give their hits once; texts of any length are searched whole; empty tables
+give an empty result; other columns are ignored by ``hits`` and kept by ``clean``, whatever their names.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill.llm.tables import small, stored
+from corpusmill.llm.tables import small, stored, unused
 
 WINDOW = 8
 MIN_PERCENT = 50
@@ -95,6 +95,7 @@ def hits(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         "doc_id", F.xxhash64("text").alias("text_hash"), F.explode(windows(template(marked(F.col("text"))), (WINDOW, *short))).alias("w")
     ).select("doc_id", "text_hash", F.col("w.pos").alias("doc_pos"), F.col("w.window").alias("window"))
     # One row per document, item and diagonal, so a document repeated a million times stays a million small groups.
+    item_windows = stored(item_windows, "decontaminate-windows")
     seen = doc_rows.join(small(item_windows), F.col("window") == F.col("item_window"))
     pair = ["doc_id", "text_hash", "item_id"]
     whole = [*pair, "item_key", "item_windows"]
@@ -109,14 +110,14 @@ def hits(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     )
     lines = stored(lines.select(*whole, "lines"), "decontaminate-lines")
     # Slots along every diagonal, for the documents with hits only.
-    near = lines.select(F.col("doc_id").alias("i"), F.col("text_hash").alias("t")).distinct()
-    texts = docs.withColumn("text_hash", F.xxhash64("text")).join(
+    near = stored(lines.select(F.col("doc_id").alias("i"), F.col("text_hash").alias("t")).distinct(), "decontaminate-near")
+    texts = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")).join(
         small(near), F.col("doc_id").eqNullSafe(F.col("i")) & (F.col("text_hash") == F.col("t")), "left_semi"
     )
     texts = texts.select(F.col("doc_id").alias("i"), F.col("text_hash").alias("t"), _tokens(marked(F.col("text"))).alias("doc_tokens")).distinct()
     both = lines.join(texts, F.col("doc_id").eqNullSafe(F.col("i")) & (F.col("text_hash") == F.col("t")))
     raw = item.select(F.col("item_id").alias("j"), F.col("item_key").alias("k"), _tokens(F.col("mark")).alias("item_tokens"), "own")
-    both = both.join(small(raw), F.col("item_id").eqNullSafe(F.col("j")) & (F.col("item_key") == F.col("k")))
+    both = both.join(small(stored(raw, "decontaminate-raw")), F.col("item_id").eqNullSafe(F.col("j")) & (F.col("item_key") == F.col("k")))
     aligned = F.expr(
         f"""transform(lines, d -> struct(d.shift as shift, d.pos as pos, transform(d.pos, p -> own[p]) as found,
             transform(array_distinct(flatten(transform(d.pos, p -> sequence(p, p + least({WINDOW}, size(item_tokens)) - 1)))),
@@ -139,5 +140,6 @@ def hits(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` without a hit."""
-    found = stored(hits(docs, benchmark).select(F.col("doc_id").alias("i"), F.col("text_hash").alias("t")).distinct(), "decontaminate-hits")
-    return docs.join(small(found), docs["doc_id"].eqNullSafe(found["i"]) & (F.xxhash64(docs["text"]) == found["t"]), "left_anti")
+    i, t = unused(docs, "i"), unused(docs, "t")
+    found = stored(hits(docs, benchmark).select(F.col("doc_id").alias(i), F.col("text_hash").alias(t)).distinct(), "decontaminate-hits")
+    return docs.join(small(found), F.col("doc_id").eqNullSafe(F.col(i)) & (F.xxhash64("text") == F.col(t)), "left_anti")

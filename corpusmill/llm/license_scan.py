@@ -133,7 +133,7 @@ def training_rows(docs: DataFrame) -> DataFrame:
     good = good.select(label.cast("double").alias("label"), "tokens")
     decoys = spark.createDataFrame([(t,) for t in DECOYS], "text string").select(F.lit(0.0).alias("label"), words(F.col("text")).alias("tokens"))
     ids = docs.select(F.col("doc_id").alias("_id")).filter("_id is not null").distinct().orderBy(F.xxhash64("_id"), "_id").limit(SAMPLE_DOCS)
-    sample = paragraphs(docs.join(F.broadcast(ids), F.col("doc_id") == F.col("_id"), "left_semi"))
+    sample = paragraphs(docs.select("doc_id", "text").join(F.broadcast(ids), F.col("doc_id") == F.col("_id"), "left_semi"))
     sample = sample.select(F.xxhash64("tokens").alias("id"), "tokens").distinct()
     sample = sample.join(confirmed(sample).select("id").distinct(), "id", "left_anti").select(F.lit(0.0).alias("label"), "tokens")
     # Few template rows stand against many others: repeated, each with a word of the sample in front or none.

@@ -33,7 +33,7 @@ from pyspark.sql import types as T
 
 from corpusmill.llm import graph
 from corpusmill.llm.signature_tree import Block, bitmap
-from corpusmill.llm.tables import grouped_rows, lean, small, stored
+from corpusmill.llm.tables import grouped_rows, lean, small, stored, unused
 from corpusmill.llm.text_arrays import span_hashes, splitmix, text_chunks, window_hashes, words
 
 SHINGLE, PERCENT = 5, 75
@@ -249,10 +249,11 @@ def survivors(docs: DataFrame) -> DataFrame:
     copies = found.groupBy("doc_id", "sid").agg(F.count("*").alias("copies"), F.max("n_shingles").alias("n"))
     stay = copies.join(first, copies["doc_id"].eqNullSafe(first["id"]) & (copies["sid"] == first["sid"]), "left_semi")
     stay = stay.unionByName(copies.filter("n = 0")).select(F.col("doc_id").alias("_i"), F.col("sid").alias("_s"), F.when(F.col("n") > 0, F.col("copies")).otherwise(1).alias("_copies"))
-    stay = stored(stay, "ngram-survivors")
-    here = F.col("doc_id").cast("long").eqNullSafe(F.col("_i"))
+    i = unused(docs, "_i")
+    stay = stored(stay.withColumnRenamed("_i", i), "ngram-survivors")
+    here = F.col("doc_id").cast("long").eqNullSafe(F.col(i))
     if not found.groupBy("doc_id").count().filter("count > 1 or doc_id is null").limit(1).count():
-        return docs.join(small(stay.select("_i")), here, "left_semi")
+        return docs.join(small(stay.select(i)), here, "left_semi")
     # Ids are missing or repeated: rows are told apart by their set id, and repeated rows by a row number.
     whole = docs.select("doc_id", "text", F.struct(*docs.columns).alias("_doc"))
     tagged = whole.mapInArrow(lean(_tagged(whole.columns)), T.StructType([*whole.schema.fields, T.StructField("_sid", T.LongType())]))

@@ -55,6 +55,14 @@ def bucketed(df: DataFrame, label: str, key: str, buckets: int) -> DataFrame:
     return spark.table(name)
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, with as many underscores as keep it apart from the columns of ``df`` (Spark's names have no case)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 #: Rows (each under about 100 bytes) up to which a counted table is broadcast; beyond it Spark shuffles.
 BROADCAST_ROWS = 500_000
 

@@ -17,8 +17,8 @@ from corpusmill.llm import chaining, decontaminate, kneser_ney, license_scan, lm
 
 WORD = re.compile("[^\x20\x09-\x0d]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, seed int, d string, pos int, key string, n int, bits string, window string, anchor int, row int, chunk string"
-CLASH = (1, "x", 2, "y", 3, "z", "w", 4, 5, "c")
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, seed int, d string, pos int, key string, n int, bits string, window string, anchor int, row int, chunk string, i int, t string, j int, k int, _i int, _id int, _t string, _s int, mark string, _c int, _q int, lines int, _rank int, shard int, code int, task int"
+CLASH = (1, "x", 2, "y", 3, "z", "w", 4, 5, "c", 6, "t", 7, 8, 9, 10, "u", 11, "m", 12, 13, 14, 15, 16, 17, 18)
 
 
 def prose(rng: random.Random, n: int, vocabulary: int = 400) -> str:
