@@ -62,9 +62,10 @@ def with_roles(pages: DataFrame) -> DataFrame:
 
 
 def train_dictionary(pages: DataFrame) -> bytes:
-    """A dictionary from a bounded sample (``DICT_PAGES`` x ``DICT_PAGE_BYTES``); empty if there is too little text."""
-    sample = pages.select(F.substring(F.coalesce(F.col("html"), F.lit("")).cast("binary"), 1, DICT_PAGE_BYTES).alias("b"))
-    samples = [bytes(r.b) for r in sample.limit(DICT_PAGES).collect() if r.b]
+    """A dictionary from a bounded sample (``DICT_PAGES`` x ``DICT_PAGE_BYTES``), the pages with the least hashes of id and url, the
+    same in every run; empty if there is too little text."""
+    sample = pages.select(F.xxhash64("page_id", "url").alias("h"), F.substring(F.coalesce(F.col("html"), F.lit("")).cast("binary"), 1, DICT_PAGE_BYTES).alias("b"))
+    samples = [bytes(r.b) for r in sample.orderBy("h", "b").limit(DICT_PAGES).collect() if r.b]
     try:
         return zstandard.train_dictionary(DICT_BYTES, samples).as_bytes() if len(samples) >= 8 else b""
     except zstandard.ZstdError:
@@ -112,7 +113,8 @@ def write_archives(pages: DataFrame, path: str) -> None:
     n = max(1, -(-size // ARCHIVE_BYTES))
     dealt = rows.repartition(n, F.xxhash64("page_id", "payload_digest") % (n * 64))
     frames = dealt.mapInArrow(_writer(train_dictionary(pages)), "frame binary")
-    frames.select(F.col("frame").cast("string")).write.option("lineSep", SEPARATOR).text(path)
+    # Each file starts with the dictionary of its task, so a task writes one file, whatever the session's limit.
+    frames.select(F.col("frame").cast("string")).write.option("lineSep", SEPARATOR).option("maxRecordsPerFile", 0).text(path)
 
 
 def frames_of(data: memoryview) -> Iterator[tuple[int, memoryview]]:
