@@ -7,8 +7,6 @@ from pyspark.sql import functions as F
 
 from corpusmill.llm.tables import stored
 
-MAX_STEPS = 60
-
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
     """One step over (u, v) with u > v: the neighbours that take part are joined to the least of u and its neighbours."""
@@ -27,11 +25,10 @@ def components(edges: DataFrame, label: str) -> DataFrame:
     """(node, root) for every node of the undirected edges (a, b) of longs; root is the component's least node."""
     flat = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u > v").distinct()
     flat, last = stored(flat, f"{label}-edges"), None
-    for _ in range(MAX_STEPS):
+    while True:  # every step but the last shortens some path to a least node
         sums = flat.agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("x")).first()
         if (sums.n, sums.x) == last or not sums.n:
             roots = flat.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
             return flat.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(roots)
         last = (sums.n, sums.x)
         flat = stored(_star(_star(flat, True), False), f"{label}-edges")
-    raise RuntimeError("components did not converge")
