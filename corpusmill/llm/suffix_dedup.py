@@ -1,17 +1,19 @@
 """Suffix-array dedup: bytes covered by a ``WIDTH``-byte string that also starts at another place of the corpus.
 
-1. Every window of WIDTH bytes has an anchor, the leftmost of its ``ANCHOR``-byte strings with the least hash.  Equal windows have equal
+1. Equal texts, told by 128 bits of hash, count as one from here on, so a text that a third of the documents share is one
+   text; one with copies is a repeat as a whole.
+2. Every window of WIDTH bytes has an anchor, the leftmost of its ``ANCHOR``-byte strings with the least hash.  Equal windows have equal
    anchors, so the windows of one anchor (a *piece*: neighbouring starts, with the bytes they cover) meet in one shard.
    Pieces whose anchor occurs once hold no repeat and go no further.
-2. Equal pieces of a shard become one string with a weight.  An anchor with one such string has nothing left to sort:
+3. Equal pieces of a shard become one string with a weight.  An anchor with one such string has nothing left to sort:
    the weight says that all its windows repeat.
-3. The strings of the other anchors are sorted by external induced suffix sorting (``induced_sort``); a start whose
+4. The strings of the other anchors are sorted by external induced suffix sorting (``induced_sort``); a start whose
    common prefix with a neighbour reaches WIDTH repeats.
-4. Repeated starts go back to the documents, are joined to maximal runs, and the bytes are removed.
+5. Repeated starts go back to the documents, are joined to maximal runs, and the bytes are removed.
 
-Documents are keyed by doc_id and a hash of the text.  Defined cases: null text counts as empty; texts shorter than
-WIDTH bytes lose nothing; repeated rows are copies of each other and each gets a row; null doc_ids are kept; an empty
-table gives an empty result; other columns are ignored by ``removed_spans`` and kept by ``cleaned``.
+Defined cases: null text counts as empty; texts shorter than WIDTH bytes lose nothing; texts of any length are cut whole;
+repeated rows are copies of each other and each gets a row; doc_ids of any integer type, null too, are kept; an empty table
+gives an empty result; other columns are ignored by ``removed_spans`` and kept by ``cleaned``, whatever their names.
 """
 
 from __future__ import annotations
@@ -36,13 +38,28 @@ ANCHOR = 64
 SHARD_BYTES = 8 << 20
 
 
-def text_key(text: Column) -> Column:
-    return F.xxhash64(F.coalesce(text, F.lit("")))
+def text_keys(text: Column) -> tuple[Column, Column]:
+    """Two 64-bit hashes of a text, as ``text_key`` and ``other_key``."""
+    whole = F.coalesce(text, F.lit(""))
+    return F.xxhash64(whole).alias("text_key"), F.xxhash64(F.lit(1), whole).alias("other_key")
 
 
-def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _fresh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of texts that the task has not met before."""
+    done: set[tuple[int, int]] = set()
     for batch in batches:
-        ids, keys = batch.column("doc_id"), batch.column("text_key").to_numpy()
+        keys = list(zip(batch.column("text_key").to_pylist(), batch.column("other_key").to_pylist(), strict=True))
+        new = []
+        for i, key in enumerate(keys):
+            if key not in done:
+                done.add(key)
+                new.append(i)
+        yield batch if len(new) == len(keys) else batch.take(pa.array(new, pa.int64()))
+
+
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in _fresh(batches):
+        others, keys = batch.column("other_key").to_numpy(), batch.column("text_key").to_numpy()
         for first, _, data, offsets in text_chunks(batch.column("text")):
             hashes = byte_window_hashes(data, ANCHOR) if len(data) >= WIDTH else np.zeros(0, np.uint64)
             # The leftmost of the least hashes by their upper halves: equal windows choose it at equal offsets.
@@ -62,15 +79,15 @@ def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             row = doc[starts]
             yield pa.RecordBatch.from_arrays(
                 [
-                    ids.take(pa.array(row + first)), pa.array(keys[row + first]), pa.array(hashes[least[starts]].view(np.int64)),
+                    pa.array(others[row + first]), pa.array(keys[row + first]), pa.array(hashes[least[starts]].view(np.int64)),
                     pa.array(np.array(same, np.uint64).view(np.int64)), pa.array((starts - offsets[row]).astype(np.int64)), pa.array((ends - starts).astype(np.int32)),
                 ],
-                ["doc_id", "text_key", "anchor", "piece", "start", "n"],
+                ["other_key", "text_key", "anchor", "piece", "start", "n"],
             )
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in _fresh(batches):
         out: list[tuple] = []
         for text, wanted in zip(batch.column("text"), batch.column("wanted"), strict=True):
             data = (text.as_py() or "").encode()
@@ -97,36 +114,58 @@ def _sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array(anchor[i]), pa.array(piece[i]), pa.array(np.concatenate(low)), pa.array(np.concatenate(high))], ["anchor", "piece", "low", "high"])
 
 
+def copied_texts(docs: DataFrame) -> DataFrame:
+    """text_key, other_key of the texts of WIDTH bytes or more that several documents have."""
+    keys = docs.filter(F.octet_length("text") >= WIDTH).select(*text_keys(F.col("text")))
+    return stored(keys.groupBy("text_key", "other_key").count().filter("count > 1").drop("count"), "suffix-copies")
+
+
 def repeated_windows(docs: DataFrame) -> DataFrame:
-    """doc_id, text_key and ``runs``, an array of (low, high) ranges of starts of repeated windows, for documents that have any."""
+    """text_key, other_key and ``runs``, an array of (low, high) ranges of starts of windows that repeat elsewhere in the distinct
+    texts, for texts that have any."""
     spark = docs.sparkSession
-    texts = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text"), F.lit("")).alias("text")).withColumn("text_key", text_key(F.col("text")))
-    columns = "doc_id long, text_key long, anchor long, piece long, start long, n int"
-    pieces = texts.filter(F.octet_length("text") >= WIDTH).mapInArrow(lean(_pieces), columns)
+    texts = docs.filter(F.octet_length("text") >= WIDTH).select("text", *text_keys(F.col("text")))
+    columns = "other_key long, text_key long, anchor long, piece long, start long, n int"
     least = spark.conf.get("spark.sql.shuffle.partitions")
     shared = (
-        pieces.repartition(int(least), "anchor")
+        texts.mapInArrow(lean(_pieces), columns).repartition(int(least), "anchor")
         .selectExpr("*", "count(*) over (partition by anchor) as total", "min(piece) over (partition by anchor) as p0", "max(piece) over (partition by anchor) as p1")
         .filter("total > 1")
     )
-    shared = stored(shared.selectExpr("doc_id", "text_key", "anchor", "piece", "start", "n", "p0 <> p1 as differ"), "suffix-pieces")
-    # Each distinct string once, from the document with the least id that has it.
-    place = F.struct("doc_id", "text_key", "start")
+    shared = stored(shared.selectExpr("other_key", "text_key", "anchor", "piece", "start", "n", "p0 <> p1 as differ"), "suffix-pieces")
+    # Each distinct string once, from the text with the least key that has it.
+    place = F.struct("other_key", "text_key", "start")
     strings = shared.filter("differ").groupBy("anchor", "piece").agg(F.count("*").alias("weight"), F.min(place).alias("at"), F.first("n").alias("n"))
-    wanted = strings.groupBy(F.col("at.doc_id").alias("_i"), F.col("at.text_key").alias("_t")).agg(
+    wanted = strings.groupBy(F.col("at.other_key").alias("_o"), F.col("at.text_key").alias("_t")).agg(
         F.collect_list(F.struct("anchor", "piece", "weight", F.col("at.start").alias("start"), "n")).alias("wanted"), F.sum(F.col("n") + WIDTH).alias("size")
     )
     wanted = stored(wanted, "suffix-wanted")
-    ids = small(wanted.select(F.col("_i").alias("_j"), F.col("_t").alias("_u")))
-    near = texts.join(ids, F.col("doc_id").eqNullSafe(F.col("_j")) & (F.col("text_key") == F.col("_u")), "left_semi")
-    cut = near.join(wanted, F.col("doc_id").eqNullSafe(F.col("_i")) & (F.col("text_key") == F.col("_t"))).select("text", "wanted")
+    ids = small(wanted.select(F.col("_o").alias("_j"), F.col("_t").alias("_u")))
+    near = texts.join(ids, (F.col("other_key") == F.col("_j")) & (F.col("text_key") == F.col("_u")), "left_semi")
+    cut = near.join(wanted, (F.col("other_key") == F.col("_o")) & (F.col("text_key") == F.col("_t"))).select("text", "text_key", "other_key", "wanted")
     size = wanted.agg(F.sum("size").alias("n")).first().n or 0
     shards = max(int(least), -(-size // SHARD_BYTES))
     cut = cut.mapInArrow(lean(_cut), "anchor long, piece long, weight long, bytes binary").groupBy("anchor", "piece").agg(F.first("weight").alias("weight"), F.first("bytes").alias("bytes"))
     found = cut.repartition(shards, "anchor").mapInArrow(lean(_sort), "anchor long, piece long, low long, high long")
-    whole = shared.filter("not differ").select("doc_id", "text_key", "start", (F.col("start") + F.col("n")).alias("end"))
-    part = shared.filter("differ").join(found, ["anchor", "piece"]).select("doc_id", "text_key", (F.col("start") + F.col("low")).alias("start"), (F.col("start") + F.col("high")).alias("end"))
-    return whole.unionByName(part).groupBy("doc_id", "text_key").agg(F.collect_set(F.struct("start", "end")).alias("runs"))
+    keys = ["text_key", "other_key"]
+    whole = shared.filter("not differ").select(*keys, "start", (F.col("start") + F.col("n")).alias("end"))
+    part = shared.filter("differ").join(found, ["anchor", "piece"]).select(*keys, (F.col("start") + F.col("low")).alias("start"), (F.col("start") + F.col("high")).alias("end"))
+    return whole.unionByName(part).groupBy(*keys).agg(F.collect_set(F.struct("start", "end")).alias("runs"))
+
+
+def _with_runs(docs: DataFrame, keep: list[str]) -> DataFrame:
+    """The columns ``keep`` and text of ``docs``, with the runs of repeated starts of its text; all starts of a text with copies.
+
+    Rows of texts with copies, be they many, take no part in the join with runs: they are spread by their number instead.
+    """
+    runs = repeated_windows(docs).withColumnsRenamed({"text_key": "_t", "other_key": "_o"})
+    copied = small(copied_texts(docs).withColumnsRenamed({"text_key": "_ct", "other_key": "_co"}))
+    rows = docs.select(*keep, *text_keys(F.col("text"))).join(copied, (F.col("text_key") == F.col("_ct")) & (F.col("other_key") == F.col("_co")), "left")
+    single = F.col("_ct").isNull()
+    rows = rows.withColumns({"_k": F.when(single, F.col("text_key")).otherwise(F.monotonically_increasing_id()), "_l": F.when(single, F.col("other_key"))})
+    both = rows.join(runs, (F.col("_k") == F.col("_t")) & (F.col("_l") == F.col("_o")), "left")
+    every = F.array(F.struct(F.lit(0).cast("long").alias("start"), (F.octet_length("text") - (WIDTH - 1)).cast("long").alias("end")))
+    return both.select(*keep, F.when(~single, every).otherwise(F.col("runs")).alias("runs"))
 
 
 def covered(runs: list[dict]) -> list[list[int]]:
@@ -158,10 +197,9 @@ def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def removed_spans(docs: DataFrame, with_bytes: bool = False) -> DataFrame:
     """doc_id, n_bytes, n_removed, spans (maximal removed [begin, end) runs), kept_sha256 per row, and ``kept`` bytes if asked."""
-    runs = repeated_windows(docs).withColumnsRenamed({"doc_id": "_i", "text_key": "_t"})
-    rows = docs.select(F.col("doc_id").cast("long"), "text")
-    both = rows.join(runs, _same_document(), "left").select("doc_id", "text", "runs")
-    out = both.mapInArrow(lean(_remove), f"doc_id long, {_REMOVED}")
+    both = _with_runs(docs.select("doc_id", "text"), ["doc_id", "text"])
+    kind = both.schema["doc_id"].dataType.simpleString()
+    out = both.mapInArrow(lean(_remove), f"doc_id {kind}, {_REMOVED}")
     out = out.drop("kept_text")
     return out if with_bytes else out.drop("kept")
 
@@ -169,15 +207,10 @@ def removed_spans(docs: DataFrame, with_bytes: bool = False) -> DataFrame:
 _REMOVED = "n_bytes long, n_removed long, spans array<array<long>>, kept_sha256 string, kept binary, kept_text string"
 
 
-def _same_document() -> Column:
-    return F.col("doc_id").cast("long").eqNullSafe(F.col("_i")) & (text_key(F.col("text")) == F.col("_t"))
-
-
 def cleaned(docs: DataFrame) -> DataFrame:
     """The rows of ``docs``, all columns, with repeated bytes cut out of ``text`` and ``n_chars`` counted anew where it
     exists; a character cut in two goes, and so does a document of which nothing is left.  Unchanged rows stay as they are."""
-    runs = repeated_windows(docs).withColumnsRenamed({"doc_id": "_i", "text_key": "_t"})
-    both = docs.select("doc_id", "text", F.struct(*docs.columns).alias("_doc")).join(runs, _same_document(), "left").select("_doc", "text", "runs")
+    both = _with_runs(docs.select("text", F.struct(*docs.columns).alias("_doc")), ["_doc", "text"])
     schema = T.StructType([both.schema["_doc"], *T._parse_datatype_string(_REMOVED).fields])
     cut = both.mapInArrow(lean(_remove), schema).filter("n_removed = 0 or n_removed < n_bytes")
     text = F.when(F.col("n_removed") > 0, F.col("kept_text")).otherwise(F.col("_doc.text"))
