@@ -2,18 +2,21 @@
 
 Native operator: DataFrame functions and Spark's own logistic regression only.
 
-1. A paragraph is a line with a word; its features are hashed counts of its words and word pairs.
+1. A paragraph is a line with a word; its features are hashed counts of its words and word pairs.  A paragraph without any
+   word triple of any template cannot be confirmed (step 4), so it is left out before it is classified.
 2. Multinomial logistic regression is trained on ``TEMPLATES`` (whole, and cut at each quarter), on ``DECOYS`` and on the
-   paragraphs of at most ``SAMPLE_DOCS`` documents, those with the least hashes of doc_id, as class unknown.  Sampled
+   paragraphs of at most ``SAMPLE_DOCS`` documents of all languages and sources as class unknown.  Sampled
    paragraphs that a template confirms are left out.
-3. A part of the training rows (by hash) is held back: the temperature of ``TEMPERATURES`` with the least log loss there
-   calibrates the class probabilities.  A paragraph is taken for a family when its calibrated probability is at least
-   ``LEAST_PROBABILITY``, else it is unknown.
+3. A quarter of the training rows of every class (by hash) is held back from the fit: the temperature of ``TEMPERATURES`` with
+   the least log loss there calibrates the class probabilities.  A paragraph is taken for a family when its calibrated
+   probability is at least ``LEAST_PROBABILITY``, else it is unknown; of families with equal probability the one that comes
+   first in ``TEMPLATES`` counts.
 4. A prediction stands when the paragraph holds at least ``CONFIRM_PERCENT`` of the distinct word triples of one of the
    family's templates, or two thirds of its own triples come from one (a cut notice).
 
-Every paragraph of every document is classified.  Defined cases: null and blank texts have no paragraphs; repeated rows
-with the same doc_id add up; null doc_ids form one group; empty tables give an empty result; other columns are ignored.
+Every paragraph of every document is looked at.  Defined cases: null and blank texts have no paragraphs; texts of any length
+are read whole; repeated rows with the same doc_id add up; null doc_ids form one group; empty tables give an empty result;
+other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -21,13 +24,16 @@ from __future__ import annotations
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import HashingTF
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from corpusmill.llm.tables import stored
+from corpusmill.llm.tables import small, stored
 
-FEATURES = 1 << 12
-SAMPLE_DOCS = 400
+FEATURES = 1 << 13
+ITERATIONS = 40
+#: Documents whose paragraphs stand for what is no licence: so many of each language and source, those with the least hashes of
+#: doc_id, and so many in all.
+SAMPLE_EACH, SAMPLE_DOCS = 20, 1000
 TEMPERATURES = (0.25, 0.35, 0.5, 0.7, 1.0, 1.4, 2.0, 2.8, 4.0)
 LEAST_PROBABILITY = 0.5
 CONFIRM_PERCENT = 60
@@ -70,6 +76,35 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
     "CC-BY-NC": ("Licensed under CC BY-NC 4.0.", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
     "CC0": ("To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work.", "Dedicated to the public domain under CC0 1.0 Universal."),
     "ISC": ("Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted", "Released under the ISC License."),
+    "AGPL": (
+        "This program is licensed under the GNU Affero General Public License, version 3.",
+        "it under the terms of the GNU Affero General Public License as published by the Free Software Foundation",
+        "Released under the AGPL-3.0 license.",
+    ),
+    "EPL": (
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0",
+        "Licensed under the Eclipse Public License, version 1.0.",
+    ),
+    "CDDL": ("The contents of this file are subject to the terms of the Common Development and Distribution License", "Licensed under the CDDL 1.0."),
+    "EUPL": ("Licensed under the EUPL, Version 1.2 or as soon they will be approved by the European Commission", "This work is licensed under the European Union Public Licence v. 1.2."),
+    "Zlib": (
+        "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software.",
+        "Licensed under the zlib License.",
+    ),
+    "BSL-1.0": ("Distributed under the Boost Software License, Version 1.0.", "Licensed under the Boost Software License."),
+    "Artistic-2.0": ("This package is licensed under the Artistic License 2.0.", "you can redistribute it and/or modify it under the terms of the Artistic License"),
+    "WTFPL": ("Everyone is permitted to copy and distribute verbatim or modified copies of this license document", "Licensed under the WTFPL, Do What The Fuck You Want To Public License."),
+    "0BSD": ("Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is granted under the Zero-Clause BSD license", "Licensed under the BSD Zero Clause License."),
+    "OFL-1.1": ("This Font Software is licensed under the SIL Open Font License, Version 1.1.", "Licensed under the SIL OFL 1.1."),
+    "PSF": ("Licensed under the Python Software Foundation License, version 2.", "PSF hereby grants Licensee a nonexclusive, royalty-free, world-wide license to reproduce"),
+    "MS-PL": ("This code is released under the Microsoft Public License (Ms-PL).", "Licensed under the Microsoft Public License."),
+    "SSPL": ("Licensed under the Server Side Public License, version 1.", "it under the terms of the Server Side Public License, as published by MongoDB"),
+    "BUSL-1.1": ("Use of this software is governed by the Business Source License included in the LICENSE file", "Licensed under the Business Source License 1.1."),
+    "CC-BY-ND": ("Licensed under CC BY-ND 4.0.", "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License."),
+    "CC-BY-NC-SA": ("Licensed under CC BY-NC-SA 4.0.", "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License."),
+    "CC-BY-NC-ND": ("Licensed under CC BY-NC-ND 4.0.", "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License."),
+    "GFDL": ("Permission is granted to copy, distribute and/or modify this document under the terms of the GNU Free Documentation License", "Licensed under the GNU Free Documentation License, version 1.3."),
+    "ODbL": ("This database is made available under the Open Database License.", "Licensed under the ODbL 1.0."),
     "Unlicense": ("This is free and unencumbered software released into the public domain.", "Released under the Unlicense."),
 }
 #: Sentences of this library that speak of like things and name no licence.
@@ -113,6 +148,21 @@ def templates(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, "family string, template int, text string").select("family", "template", words(F.col("text")).alias("tokens"))
 
 
+def _triples(tokens: Column) -> Column:
+    """A hash of each run of three words; of fewer words one of them all."""
+    codes = F.transform(tokens, lambda t: F.xxhash64(t))
+    whole = F.array(F.xxhash64(F.array_join(tokens, " ")))
+    of = lambda c: F.transform(F.sequence(F.lit(0), F.size(c) - 3), lambda i: F.xxhash64(c[i], c[i + 1], c[i + 2]))
+    return F.when(F.size(tokens) < 3, whole).otherwise(F.transform(F.array(codes), of)[0])
+
+
+def within_reach(rows: DataFrame) -> DataFrame:
+    """The paragraphs that have a word triple of a template: all that ``confirmed`` can confirm, and a few by hash."""
+    known = templates(rows.sparkSession).select(F.explode(_triples(F.col("tokens"))).alias("triple")).distinct()
+    triples = sorted(r.triple for r in known.collect())  # some 1,000 of the fixed TEMPLATES
+    return rows.filter(F.arrays_overlap(_triples(F.col("tokens")), F.lit(triples)))
+
+
 def confirmed(rows: DataFrame) -> DataFrame:
     """(id, family) of the ``rows`` (id, tokens) that a template confirms."""
     spark = rows.sparkSession
@@ -124,6 +174,15 @@ def confirmed(rows: DataFrame) -> DataFrame:
     return both.filter(enough).select("id", "family").distinct()
 
 
+def _least(known: DataFrame) -> DataFrame:
+    """The rows that can be among the SAMPLE_EACH least hashes of doc_id of their language and source: those within four times
+    that share of the hashes; all rows of a small group."""
+    sizes = known.groupBy(F.col("lang").alias("_l"), F.col("source").alias("_s")).agg(F.count("*").alias("_n"))
+    both = known.join(small(stored(sizes, "licence-groups")), F.col("lang").eqNullSafe(F.col("_l")) & F.col("source").eqNullSafe(F.col("_s")))
+    near = (F.shiftright(F.xxhash64("doc_id"), 11).cast("double") + float(1 << 52)) / float(1 << 53)  # the hash as a share of all
+    return both.filter((F.col("_n") <= 4 * SAMPLE_EACH) | (near * F.col("_n") <= 4 * SAMPLE_EACH)).drop("_l", "_s", "_n")
+
+
 def training_rows(docs: DataFrame) -> DataFrame:
     """label, tokens of the training paragraphs."""
     spark, families = docs.sparkSession, [UNKNOWN, *TEMPLATES]
@@ -132,13 +191,19 @@ def training_rows(docs: DataFrame) -> DataFrame:
     label = F.array_position(F.array(*map(F.lit, families)), F.col("family")) - 1
     good = good.select(label.cast("double").alias("label"), "tokens")
     decoys = spark.createDataFrame([(t,) for t in DECOYS], "text string").select(F.lit(0.0).alias("label"), words(F.col("text")).alias("tokens"))
-    ids = docs.select(F.col("doc_id").alias("_id")).filter("_id is not null").distinct().orderBy(F.xxhash64("_id"), "_id").limit(SAMPLE_DOCS)
+    # The least hashes of each language and source come first, so that all are in the sample.
+    place = F.row_number().over(Window.partitionBy("lang", "source").orderBy(F.xxhash64("doc_id"), "doc_id"))
+    known = docs.select("doc_id", *[F.col(c) if c in docs.columns else F.lit(None).cast("string").alias(c) for c in ("lang", "source")]).filter("doc_id is not null")
+    # A hash below the share of SAMPLE_EACH in its group is enough to be among its least ones; only such rows are ranked.
+    ids = _least(known).withColumn("place", place).filter(F.col("place") <= SAMPLE_EACH)
+    ids = ids.orderBy("place", F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_DOCS).select(F.col("doc_id").alias("_id")).distinct()
     sample = paragraphs(docs.select("doc_id", "text").join(F.broadcast(ids), F.col("doc_id") == F.col("_id"), "left_semi"))
-    sample = sample.select(F.xxhash64("tokens").alias("id"), "tokens").distinct()
+    sample = stored(sample.select(F.xxhash64("tokens").alias("id"), "tokens").distinct(), "licence-sample")
     sample = sample.join(confirmed(sample).select("id").distinct(), "id", "left_anti").select(F.lit(0.0).alias("label"), "tokens")
-    # Few template rows stand against many others: repeated, each with a word of the sample in front or none.
-    many = good.crossJoin(spark.range(8).select(F.when(F.col("id") > 3, F.array(F.concat(F.lit("w"), F.col("id").cast("string")))).otherwise(F.array().cast("array<string>")).alias("front")))
-    many = many.select("label", F.concat("front", "tokens").alias("tokens"))
+    # Few template rows stand against many others: each is repeated, plain and with the first word of each of four sampled paragraphs.
+    fronts = sample.orderBy(F.xxhash64("tokens"), "tokens").limit(4).select(F.slice("tokens", 1, 1).alias("front"))
+    fronts = fronts.unionByName(spark.range(4).select(F.array().cast("array<string>").alias("front")))
+    many = good.crossJoin(F.broadcast(fronts)).select("label", F.concat("front", "tokens").alias("tokens"))
     return many.unionByName(decoys).unionByName(decoys).unionByName(sample)
 
 
@@ -152,7 +217,7 @@ def train(docs: DataFrame) -> tuple[LogisticRegressionModel, float]:
     """The fitted model and its temperature."""
     rows = stored(featured(training_rows(docs)).select("label", "features", F.xxhash64("tokens").alias("h")), "licence-training").coalesce(2)
     held = F.pmod(F.col("h"), F.lit(4)) == 0
-    model = LogisticRegression(maxIter=25, regParam=1e-3, family="multinomial").fit(rows.filter(~held | (F.col("label") > 0)))
+    model = LogisticRegression(maxIter=ITERATIONS, regParam=1e-3, family="multinomial").fit(rows.filter(~held))
     scored = model.transform(rows.filter(held)).select("label", centred().alias("z"))
     total = lambda t: F.aggregate("z", F.lit(0.0), lambda a, z: a + F.exp(z / t))
     losses = [F.avg(F.log(total(t)) - F.element_at("z", F.col("label").cast("int") + 1) / t) for t in TEMPERATURES]
@@ -160,10 +225,12 @@ def train(docs: DataFrame) -> tuple[LogisticRegressionModel, float]:
     return model, min(zip((v if v is not None else 0.0 for v in values), TEMPERATURES, strict=True))[1]
 
 
-def found(docs: DataFrame) -> DataFrame:
-    """doc_id, paragraph, tokens, family, probability of each paragraph taken for a family and confirmed."""
-    model, temperature = train(docs)
-    rows = model.setProbabilityCol("").setPredictionCol("").transform(featured(paragraphs(docs)))
+def found(docs: DataFrame, fitted: tuple[LogisticRegressionModel, float] | None = None) -> DataFrame:
+    """doc_id, paragraph, tokens, family, probability of each paragraph taken for a family and confirmed; by a model of ``train``, of
+    these documents if none is given."""
+    model, temperature = fitted or train(docs)
+    near = stored(within_reach(paragraphs(docs)), "licence-near")
+    rows = model.copy().setProbabilityCol("").setPredictionCol("").transform(featured(near))
     scores = rows.select("doc_id", "paragraph", "tokens", centred().alias("z"), F.monotonically_increasing_id().alias("row"))
     # The row number is a barrier: without it the filters below would bring the classifier along several times.
     named = F.element_at(F.array(*map(F.lit, [UNKNOWN, *TEMPLATES])), F.array_position("z", 0.0).cast("int"))
@@ -176,6 +243,6 @@ def found(docs: DataFrame) -> DataFrame:
     return taken.join(sure, (F.col("id") == F.col("_id")) & (F.col("family") == F.col("_family")), "left_semi").drop("id")
 
 
-def families(docs: DataFrame) -> DataFrame:
+def families(docs: DataFrame, fitted: tuple[LogisticRegressionModel, float] | None = None) -> DataFrame:
     """doc_id, family, n_paragraphs and least_probability of each licence family that a document names."""
-    return found(docs).groupBy("doc_id", "family").agg(F.count("*").alias("n_paragraphs"), F.min("probability").alias("least_probability"))
+    return found(docs, fitted).groupBy("doc_id", "family").agg(F.count("*").alias("n_paragraphs"), F.min("probability").alias("least_probability"))
