@@ -7,11 +7,13 @@ of equals, until none is a piece (``merged_pieces``).  A unigram model's are log
 greatest sum wins (``best_pieces``), over the sorted words as a trie: a word keeps the forward scores of the prefix it
 shares with the word before.  A character without a piece becomes its UTF-8 bytes as byte pieces.
 
-The model is read on the driver and travels with the tasks (32,000 pieces, under 2 MB).  Decoding is lossless: the mark
-itself, U+2581, has no piece here and goes by bytes, where ``SentencePieceProcessor.encode`` takes it for a space; all
-else is encoded as there.  Defined cases: null text encodes to null ids, 0 tokens, and
-decodes to null; empty text to no ids; repeated rows are encoded one by one; other columns are carried along; the
-output columns ``token_ids``, ``n_tokens``, ``decoded`` replace input columns of those names.
+The model is read on the driver and broadcast (32,000 pieces, under 2 MB).  Decoding is lossless: the mark itself,
+U+2581, has no piece here and goes by bytes, where ``SentencePieceProcessor.encode`` takes it for a space; all else is
+encoded as there.  A task holds a run of rows of about ``CHUNK_BYTES`` of text (or one longer text, whole) and at most
+``CACHE_BYTES`` of known words.  Defined cases: null text encodes to null ids, 0 tokens, and decodes to null; empty text
+to no ids; texts of any length are encoded whole; repeated rows are encoded one by one; an empty table gives an empty
+result; other columns are carried along; the output columns ``token_ids``, ``n_tokens``, ``decoded`` replace input columns
+of those names.
 """
 
 from __future__ import annotations
@@ -23,6 +25,8 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
@@ -30,8 +34,11 @@ from corpusmill.llm.tables import lean
 
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 UNKNOWN_COST = 10.0
-#: Distinct marked words that a task keeps before it starts anew, and characters of text that it encodes at a time.
-CACHE_WORDS, CHUNK_CHARS = 400_000, 1 << 20
+#: Bytes of distinct marked words, by estimate, that a task keeps before it drops all but those of the text at hand, and of text
+#: that it encodes at a time.
+CACHE_BYTES, CHUNK_BYTES = 48 << 20, 1 << 18
+#: Estimate of what a known word takes besides its characters and ids.
+WORD_BYTES = 240
 _WORD = re.compile(r"\n| *[^ \n]+| +")
 #: Characters up to which a word's best pair is found by looking through all.
 SCAN_CHARS = 48
@@ -139,8 +146,8 @@ def _queued(word: str, score: Callable[[str], float]) -> list[str]:
 
 def merged_pieces(words: list[str], pieces: Pieces) -> Iterator[list[int]]:
     """The ids of each of the ``words`` by the model's merge order."""
-    rank = {t: s for t, (_, s) in pieces.ordinary.items()}
-    score = lambda t: rank.get(t, _NONE)
+    get, none = pieces.ordinary.get, (0, _NONE)
+    score = lambda t: get(t, none)[1]
     for word in words:
         ids = []
         for p in (_scan if len(word) <= SCAN_CHARS else _queued)(word, score):
@@ -158,32 +165,42 @@ class Encoder:
 
     def reset(self) -> None:
         self.known: dict[str, int] = {}
-        self.flat: list[np.ndarray] = []
-        self.sizes: list[np.ndarray] = []
+        self.flat, self.sizes = np.zeros(0, np.int32), np.zeros(0, np.int64)
+        self.held = 0
+
+    def keep(self, words: list[str]) -> None:
+        """Drops all known words but these; the frequent ones are in any run of text."""
+        index = np.array([self.known[w] for w in words], np.int64)
+        self.flat, self.sizes = self._ids(index), self.sizes[index]
+        self.known = {w: i for i, w in enumerate(words)}
+        self.held = len(words) * WORD_BYTES + sum(map(len, words)) + 4 * len(self.flat)
+
+    def _ids(self, index: np.ndarray) -> np.ndarray:
+        """The ids of known words, given by number, one after the other."""
+        count = self.sizes[index]
+        ends, begins = np.cumsum(count), np.cumsum(self.sizes) - self.sizes
+        total = int(ends[-1]) if len(ends) else 0
+        return self.flat[np.arange(total) + np.repeat(begins[index] - (ends - count), count)]
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, end of each text in them)."""
-        if len(self.known) > CACHE_WORDS:
-            self.reset()
         found = [_WORD.findall(" " + t) if t else [] for t in texts]
-        fresh = sorted({w for ws in found for w in ws}.difference(self.known))
+        distinct = {w for ws in found for w in ws}
+        if self.held > CACHE_BYTES:
+            self.keep([w for w in distinct if w in self.known])
+        fresh = sorted(distinct.difference(self.known))
         if fresh:
             ids = list((merged_pieces if self.pieces.merges else best_pieces)(fresh, self.pieces))
             self.known.update(zip(fresh, range(len(self.known), len(self.known) + len(fresh)), strict=True))
-            self.sizes.append(np.array([len(x) for x in ids], np.int64))
-            self.flat.append(np.array([i for x in ids for i in x], np.int32))
-            if len(self.flat) > 1:
-                self.flat, self.sizes = [np.concatenate(self.flat)], [np.concatenate(self.sizes)]
+            self.sizes = np.append(self.sizes, np.array([len(x) for x in ids], np.int64))
+            self.flat = np.append(self.flat, np.array([i for x in ids for i in x], np.int32))
+            self.held += len(fresh) * WORD_BYTES + sum(map(len, fresh)) + 4 * sum(map(len, ids))
         get = self.known.__getitem__
         index = np.array([get(w) for ws in found for w in ws], np.int64)
         if not len(index):
             return np.zeros(0, np.int32), np.zeros(len(texts), np.int64)
-        sizes = self.sizes[0]
-        begins = np.concatenate([[0], np.cumsum(sizes)])
-        count = sizes[index]
-        ends = np.cumsum(count)
-        place = np.arange(ends[-1]) + np.repeat(begins[index] - (ends - count), count)
-        return self.flat[0][place], np.concatenate([[0], ends])[np.cumsum([len(ws) for ws in found])]
+        ends = np.cumsum(self.sizes[index])
+        return self._ids(index), np.concatenate([[0], ends])[np.cumsum([len(ws) for ws in found])]
 
 
 def decode_ids(ids: np.ndarray, surface: tuple[bytes, ...]) -> str:
@@ -191,28 +208,27 @@ def decode_ids(ids: np.ndarray, surface: tuple[bytes, ...]) -> str:
     return b"".join([surface[i] for i in ids.tolist()])[1:].decode("utf-8", "replace")
 
 
-def _runs(texts: list[str | None]) -> Iterator[tuple[int, int]]:
-    first, size = 0, 0
-    for i, t in enumerate(texts):
-        size += len(t or "")
-        if size >= CHUNK_CHARS:
-            yield first, i + 1
-            first, size = i + 1, 0
-    if first < len(texts):
-        yield first, len(texts)
+def _runs(column: pa.Array) -> Iterator[tuple[int, int]]:
+    """Ranges of rows with about CHUNK_BYTES of text, at least one row each."""
+    upto = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    first = 0
+    while first < len(upto):
+        end = int(np.searchsorted(upto, (upto[first - 1] if first else 0) + CHUNK_BYTES, "right"))
+        yield first, max(first + 1, end)
+        first = max(first + 1, end)
 
 
-def _encoded(pieces: Pieces, column: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _encoded(model: Broadcast, column: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(pieces)
+        encoder = Encoder(model.value)
         for batch in batches:
-            texts = batch.column(column).to_pylist()
-            for a, b in _runs(texts):
-                ids, ends = encoder.encode([t or "" for t in texts[a:b]])
-                null = np.array([t is None for t in texts[a:b]])
+            for a, b in _runs(batch.column(column)):
+                part = batch.slice(a, b - a)
+                texts = part.column(column).to_pylist()
+                ids, ends = encoder.encode([t or "" for t in texts])
+                null = np.array([t is None for t in texts])
                 offsets = pa.array(np.concatenate([[0], ends]).astype(np.int32), mask=np.append(null, False))
                 lists = pa.ListArray.from_arrays(offsets, pa.array(ids))
-                part = batch.slice(a, b - a)
                 names = [n for n in part.schema.names if n not in ("token_ids", "n_tokens")]
                 sizes = np.diff(np.concatenate([[0], ends]))
                 yield pa.RecordBatch.from_arrays([*(part.column(n) for n in names), pa.array(sizes), lists], [*names, "n_tokens", "token_ids"])
@@ -220,8 +236,9 @@ def _encoded(pieces: Pieces, column: str) -> Callable[[Iterator[pa.RecordBatch]]
     return run
 
 
-def _decoded(surface: tuple[bytes, ...]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _decoded(model: Broadcast) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        surface = model.value.surface
         for batch in batches:
             lists = batch.column("token_ids")
             texts = [decode_ids(x.values.to_numpy(zero_copy_only=False), surface) if x.is_valid else None for x in lists]
@@ -238,19 +255,23 @@ def _schema(df: DataFrame, drop: tuple[str, ...], add: list[T.StructField]) -> T
 _IDS = [T.StructField("n_tokens", T.LongType()), T.StructField("token_ids", T.ArrayType(T.IntegerType()))]
 
 
+def _model(df: DataFrame, path: str) -> Broadcast:
+    return df.sparkSession.sparkContext.broadcast(load_pieces(path))
+
+
 def encoded(docs: DataFrame, column: str = "text", path: str = MODEL_PATH) -> DataFrame:
     """``docs`` with ``n_tokens`` and ``token_ids``."""
-    return docs.mapInArrow(lean(_encoded(load_pieces(path), column)), _schema(docs, ("n_tokens", "token_ids"), _IDS))
+    return docs.mapInArrow(lean(_encoded(_model(docs, path), column)), _schema(docs, ("n_tokens", "token_ids"), _IDS))
 
 
 def decoded(rows: DataFrame, path: str = MODEL_PATH) -> DataFrame:
     """``rows`` (with ``token_ids``) with ``decoded``."""
-    return rows.mapInArrow(lean(_decoded(load_pieces(path).surface)), _schema(rows, ("decoded",), [T.StructField("decoded", T.StringType())]))
+    return rows.mapInArrow(lean(_decoded(_model(rows, path))), _schema(rows, ("decoded",), [T.StructField("decoded", T.StringType())]))
 
 
 def round_trip(docs: DataFrame, column: str = "text", path: str = MODEL_PATH) -> DataFrame:
     """``encoded`` and ``decoded`` in one pass of each task: adds ``n_tokens``, ``token_ids`` and ``decoded``."""
-    pieces = load_pieces(path)
-    encode, decode = _encoded(pieces, column), _decoded(pieces.surface)
+    model = _model(docs, path)
+    encode, decode = _encoded(model, column), _decoded(model)
     add = [*_IDS, T.StructField("decoded", T.StringType())]
     return docs.mapInArrow(lean(lambda batches: decode(encode(batches))), _schema(docs, ("n_tokens", "token_ids", "decoded"), add))

@@ -34,21 +34,22 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 _BYTE_CODES = splitmix(np.arange(1, 257, dtype=_U) * _U(0x9E3779B97F4A7C15))
 _BASE = 0x9E3779B97F4A7C15 | 5
-_powers = np.ones(1, _U), np.ones(1, _U)
+_kept: dict[str, tuple[np.ndarray, np.ndarray]] = {}
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """base**i and base**-i modulo 2**64 for i < n (kept between chunks)."""
-    global _powers
-    if len(_powers[0]) < n:
-        n = max(n, 2 * len(_powers[0]))
+    """base**i and base**-i modulo 2**64 for i < n; those of a usual chunk stay with the worker, those of a longer text do not."""
+    known = _kept.get("powers")
+    if known is None or len(known[0]) < n:
         out = []
         for b in (_BASE, pow(_BASE, -1, 1 << 64)):
-            p = np.full(n, b, _U)
+            p = np.full(max(n, CHUNK_BYTES + 1), b, _U)
             p[0] = 1
             out.append(np.multiply.accumulate(p))
-        _powers = out[0], out[1]
-    return _powers[0][:n], _powers[1][:n]
+        known = out[0], out[1]
+        if n <= CHUNK_BYTES + 1:
+            _kept["powers"] = known
+    return known[0][:n], known[1][:n]
 
 
 def text_chunks(column: pa.Array, target: int = CHUNK_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:

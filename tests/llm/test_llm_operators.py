@@ -313,3 +313,12 @@ def test_empty_tables(spark) -> None:
     assert lm_score.scores(none).count() == 0
     assert kneser_ney.classify(none, labels).count() == 0
     assert license_scan.families(none).count() == 0
+
+
+def test_pieces_with_a_small_cache(sf, spark, monkeypatch) -> None:
+    texts = [r.text or "" for r in spark.read.parquet(f"{sf}/documents.parquet").select("text").collect()]
+    whole, small = (piece_codec.Encoder(piece_codec.load_pieces()) for _ in range(2))
+    want = [whole.encode([t])[0].tolist() for t in texts]
+    monkeypatch.setattr(piece_codec, "CACHE_BYTES", 50_000)
+    assert [small.encode([t])[0].tolist() for t in texts] == want
+    assert len(small.known) < len(whole.known)
