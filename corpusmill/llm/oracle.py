@@ -75,4 +75,7 @@ select page_id, payload_bytes, payload_digest, case when first is null or first
 from p left join f using (payload_digest)""",
     "op8_quality_rules": f"with {QUALITY_COUNTS.format(docs='documents')} "
     "select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept from judged",
+    "op13_exact_dedup": """
+select doc_id, max(doc_id) over same as keep_id, count(*) over same as group_size, doc_id = max(doc_id) over same as kept, sha256(coalesce(text, '')) as text_sha256
+from documents window same as (partition by coalesce(text, ''))""",
 }
