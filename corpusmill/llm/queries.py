@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusmill.llm import chaining, decontaminate, exact_dedup, kneser_ney, license_scan, lm_score, ngram_join, piece_codec, quality_rules, suffix_dedup, warc
+from corpusmill.llm import chaining, decontaminate, exact_dedup, kneser_ney, license_scan, lm_score, ngram_join, piece_codec, quality_rules, suffix_dedup, warc, whitening
 from corpusmill.llm.tables import new_path, stored, table
 
 
@@ -61,12 +61,16 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_score.scores(table(spark, sf_dir, "documents"))
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(whitening.steps(table(spark, sf_dir, "embeddings")))
+
+
 def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.classes(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_suffix_dedup, op2_quality_classifier, op3_decontaminate, op4_ngram_join, op5_warc, op6_substring_dedup, op7_sentencepiece, op8_quality_rules, op9_license_scan, op10_lm_scoring, op13_exact_dedup)}
+    return {f.__name__: f for f in (op1_suffix_dedup, op2_quality_classifier, op3_decontaminate, op4_ngram_join, op5_warc, op6_substring_dedup, op7_sentencepiece, op8_quality_rules, op9_license_scan, op10_lm_scoring, op11_embedding_whitening, op13_exact_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
