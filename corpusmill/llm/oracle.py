@@ -75,6 +75,15 @@ select page_id, payload_bytes, payload_digest, case when first is null or first
 from p left join f using (payload_digest)""",
     "op8_quality_rules": f"with {QUALITY_COUNTS.format(docs='documents')} "
     "select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept from judged",
+    "op12_hard_negatives": """
+with e as (select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label, list_transform(embedding, lambda c: floor(256 * c::double)::bigint) as x
+        from embeddings where vec_id is not null and label is not null and len(embedding) > 0 and len(list_filter(embedding, lambda c: c is null or not isfinite(c))) = 0),
+sc as (select a.vec_id as anchor_id, r.vec_id as id, a.label = r.label as same, list_sum(list_transform(list_zip(a.x, r.x), lambda p: p[1] * p[2]))::bigint as score
+        from e as a join e as r on a.vec_id <> r.vec_id where a.vec_id % 50 = 0),
+pos as (select * from sc where same qualify row_number() over (partition by anchor_id order by score desc, id) <= 5)
+select p.anchor_id, p.id as positive_id, row_number() over (partition by p.anchor_id, p.id order by n.score desc, n.id)::int as rank, n.id as negative_id,
+    p.score as positive_score, n.score as negative_score
+from pos p join sc n on p.anchor_id = n.anchor_id and not n.same and 50 * p.score <= 100 * n.score and 100 * n.score <= 95 * p.score qualify rank <= 3""",
     "op13_exact_dedup": """
 select doc_id, max(doc_id) over same as keep_id, count(*) over same as group_size, doc_id = max(doc_id) over same as kept, sha256(coalesce(text, '')) as text_sha256
 from documents window same as (partition by coalesce(text, ''))""",

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusmill.llm import chaining, decontaminate, exact_dedup, kneser_ney, license_scan, lm_score, ngram_join, piece_codec, quality_rules, suffix_dedup, warc, whitening
+from corpusmill.llm import chaining, decontaminate, exact_dedup, hard_negatives, kneser_ney, license_scan, lm_score, ngram_join, piece_codec, quality_rules, suffix_dedup, warc, whitening
 from corpusmill.llm.tables import new_path, stored, table
 
 
@@ -65,12 +65,18 @@ def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whitened(whitening.steps(table(spark, sf_dir, "embeddings")))
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = hard_negatives.whole_steps(table(spark, sf_dir, "embeddings"), 256)
+    rows = rows.withColumn("label", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")))
+    return hard_negatives.mined(rows, "vec_id % 50 = 0")
+
+
 def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.classes(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_suffix_dedup, op2_quality_classifier, op3_decontaminate, op4_ngram_join, op5_warc, op6_substring_dedup, op7_sentencepiece, op8_quality_rules, op9_license_scan, op10_lm_scoring, op11_embedding_whitening, op13_exact_dedup)}
+    return {f.__name__: f for f in (op1_suffix_dedup, op2_quality_classifier, op3_decontaminate, op4_ngram_join, op5_warc, op6_substring_dedup, op7_sentencepiece, op8_quality_rules, op9_license_scan, op10_lm_scoring, op11_embedding_whitening, op12_hard_negatives, op13_exact_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
