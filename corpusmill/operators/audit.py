@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, MapType, StructType
 
 from corpusmill.functions.scalars import GIB, MIB, NUMBER
+from corpusmill.operators.scans import clamped_sum, last_value
 from corpusmill.sources.tables import scratch_path
 
 # Parameter leaf names of state-space layers, parts of stack frames that say nothing, and parts of parameter
@@ -57,8 +58,8 @@ def heaviest_per_section(rows: DataFrame, n: int) -> DataFrame:
 
 
 def distinct_storage(rows: DataFrame, keys: list[str], order: str, nbytes: str) -> DataFrame:
-    """Adds ``counted``: the bytes on the first row of each storage, 0 on its later aliases."""
-    first = F.row_number().over(Window.partitionBy(*keys).orderBy(order)) == 1
+    """Adds ``counted``: the bytes on the first row of each storage, 0 on its later aliases; of rows tied in order the smallest is first."""
+    first = F.row_number().over(Window.partitionBy(*keys).orderBy(order, nbytes)) == 1
     return rows.withColumn("counted", F.when(first, F.col(nbytes)).otherwise(0))
 
 
@@ -83,17 +84,13 @@ def replay(events: DataFrame) -> DataFrame:
     """device, peak, peak_idx, live_end of an allocation trace (device, idx, action, size, addr).
 
     A free gives back the size of the address's last allocation if that is still live, else its own; live bytes never go
-    below 0.  The clamp at 0 is the running sum less the least running sum below 0 so far.  A device is one ordered stream.
+    below 0.  Both are scans by blocks, so one device, or one address, is spread over all tasks.
     """
-    by_addr = Window.partitionBy("device", "addr").orderBy("idx").rowsBetween(Window.unboundedPreceding, -1)
-    by_idx = Window.partitionBy("device").orderBy("idx").rowsBetween(Window.unboundedPreceding, 0)
-    known = F.col("addr") != 0
     moves = events.filter(F.col("action").isin("alloc", "free_completed"))
-    last = F.last(F.struct("action", "size")).over(by_addr)
-    given = F.when(known & (last["action"] == "alloc"), last["size"]).otherwise(F.col("size"))
-    moves = moves.withColumn("change", F.when(F.col("action") == "alloc", F.col("size")).otherwise(-given))
-    moves = moves.withColumn("sum", F.sum("change").over(by_idx))
-    moves = moves.withColumn("live", F.col("sum") - F.least(F.lit(0), F.min("sum").over(by_idx)))
+    moves = last_value(moves, ["device", "addr"], ["idx"], F.struct("action", "size"), "last", before=True)
+    given = F.when((F.col("addr") != 0) & (F.col("last")["action"] == "alloc"), F.col("last")["size"]).otherwise(F.col("size"))
+    moves = moves.select("device", "idx", "action", F.when(F.col("action") == "alloc", F.col("size")).otherwise(-given).alias("change"))
+    moves = clamped_sum(moves, ["device"], ["idx"], F.col("change"), "live")
     grown = F.when((F.col("action") == "alloc") & (F.col("live") > 0), F.struct(F.col("live").alias("live"), (-F.col("idx")).alias("back")))
     return moves.groupBy("device").agg(F.max(grown).alias("top"), F.max_by("live", "idx").alias("live_end")).select(
         "device", F.coalesce("top.live", F.lit(0)).alias("peak"), F.coalesce(-F.col("top.back"), F.lit(-1)).alias("peak_idx"), "live_end"
@@ -205,10 +202,9 @@ def last_n_mean(rows: DataFrame, n: int) -> DataFrame:
 
 def nan_sweep(lines: DataFrame, exits: DataFrame) -> DataFrame:
     """run, nan_iter, last_grad, status: the iteration current at the last nan or inf norm, and the status by exit code."""
-    upto = Window.partitionBy("run").orderBy("line_no").rowsBetween(Window.unboundedPreceding, 0)
     it = F.nullif(F.regexp_extract("value", r"iteration\s+(\d+)/", 1), F.lit("")).try_cast("int")
     grad = F.nullif(F.regexp_extract("value", r"(?i)grad norm:\s*(nan|inf|[\d.eE+-]+)", 1), F.lit(""))
-    rows = lines.select("run", "line_no", F.last(it, ignorenulls=True).over(upto).alias("it"), grad.alias("grad"))
+    rows = last_value(lines.select("run", "line_no", it.alias("own"), grad.alias("grad")), ["run"], ["line_no"], F.col("own"), "it")
     bad = F.lower("grad").isin("nan", "inf")
     facts = rows.groupBy("run").agg(F.max_by("it", F.when(bad, F.col("line_no"))).alias("nan_iter"), F.max_by("grad", F.when(F.col("grad").isNotNull(), F.col("line_no"))).alias("last_grad"))
     status = F.when(F.col("exit_code") == 124, "timeout").when(F.col("nan_iter").isNotNull(), "nan").when(F.col("exit_code") == 0, "finite").otherwise("crash")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusmill.operators.sequence import folded
+from corpusmill.operators.scans import running_mean
 
 KEPT_ROWS, CHART_ROWS = 50_000, 2_000
 TARGETS, AHEAD = (1.0, 0.5, 0.1), (1000, 5000, 10000)
@@ -81,16 +81,11 @@ def trendline(snapshots: DataFrame) -> DataFrame:
 
 
 def smoothed(snapshots: DataFrame, alpha: float, digits: int = 4) -> DataFrame:
-    """port, ord, ema: the running mean of loss, from its first value on; null where the loss is null.  One ordered pass per
-    port, of any length, in bounded memory."""
-
-    def step(mean: float | None, loss: float) -> float:
-        if loss != loss:  # a null comes as NaN
-            return loss if mean is None else mean
-        return loss if mean is None or mean != mean else alpha * loss + (1 - alpha) * mean
-
-    rows = folded(snapshots, "port", "ord", ["loss"], step, "port long, ord long, loss double, state double")
-    return rows.select("port", "ord", F.when(F.col("loss").isNotNull() & ~F.isnan("loss"), F.round("state", digits)).alias("ema"))
+    """port, ord, ema: the running mean of loss, from its first value on; null where the loss is null.  A port of any length is
+    scanned by blocks."""
+    loss = F.when(~F.isnan("loss"), F.col("loss"))
+    rows = running_mean(snapshots.select("port", "ord", "loss"), ["port"], ["ord"], loss, alpha, "state")
+    return rows.select("port", "ord", F.when(loss.isNotNull(), F.round("state", digits)).alias("ema"))
 
 
 def latest_smoothed(snapshots: DataFrame, alpha: float = 0.1) -> DataFrame:

@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corpusmill.functions.scalars import DECIMAL_MB, NUMBER, duration_ms, number, percent, to_ms, used_percent, whole
-from corpusmill.sources.logs import carried, columns, section
+from corpusmill.operators.scans import last_value
+from corpusmill.sources.logs import columns, section
 
 # Parts of names that mark matrix kernels, and their kinds in the order of the tests.
 GEMM_MARKERS = ("gemm", "nvjet", "block_scaled", "tensorop_bf16", "tensorop_s1688", "ue8m0xe4m3", "volta_sgemm", "ampere_sgemm")
@@ -119,7 +120,7 @@ def kernel_details(lines: DataFrame) -> DataFrame:
     """Per run and kernel: samples, mean and greatest duration, mean compute and memory throughput."""
     duration, share = rf"^Duration\s+(ns|us|ms|s)\s+({NUMBER})$", rf"^(Memory Throughput|Compute \(SM\) Throughput)\s+%\s+({NUMBER})$"
     text = F.trim("value")
-    rows = carried(lines, header_name(F.col("value")), "name").filter("name is not null")
+    rows = last_value(lines.select("run", "line_no", "value"), ["run"], ["line_no"], header_name(F.col("value")), "name").filter("name is not null")
     took = F.when(text.rlike(duration), to_ms(F.regexp_extract(text, duration, 2).try_cast("double"), F.regexp_extract(text, duration, 1)))
     part = F.when(text.rlike(share), F.regexp_extract(text, share, 2).try_cast("double"))
     memory = F.regexp_extract(text, share, 1) == "Memory Throughput"

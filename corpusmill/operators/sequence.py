@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusmill.functions.arrays import ahead, dequantised, dot, quantised, sigmoid
+from corpusmill.operators.scans import last_value
 
 
 def shifted(tokens: DataFrame, depths: int, fill: int = 0, ignore: int = -1) -> DataFrame:
@@ -180,9 +181,8 @@ def group_norms(values: DataFrame, cover: DataFrame, width: int, eps: float = 1e
 
 def nearest_before(layers: DataFrame) -> DataFrame:
     """rank, source of (part, rank, is_full): the last full rank up to it; a layer with none before serves itself."""
-    upto = Window.partitionBy("part").orderBy("rank").rowsBetween(Window.unboundedPreceding, 0)
-    source = F.last(F.when(F.col("is_full"), F.col("rank")), ignorenulls=True).over(upto)
-    return layers.select("part", "rank", F.coalesce(source, F.col("rank")).alias("source"), source.isNull().alias("promoted"))
+    rows = last_value(layers.select("part", "rank", "is_full"), ["part"], ["rank"], F.when(F.col("is_full"), F.col("rank")), "full")
+    return rows.select("part", "rank", F.coalesce("full", "rank").alias("source"), F.col("full").isNull().alias("promoted"))
 
 
 def is_identity(rows: DataFrame) -> DataFrame:

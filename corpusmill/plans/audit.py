@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusmill.operators import audit
+from corpusmill.operators.scans import numbered
 from corpusmill.plans.registry import query
 from corpusmill.sources.tables import table
 
@@ -39,7 +40,7 @@ def audit_heaviest(spark: SparkSession, d: str) -> DataFrame:
     return audit.heaviest_per_section(_buckets(spark, d), 5)
 
 
-@query("""with f as (select *, row_number() over (partition by l_suppkey, l_partkey order by l_orderkey * 10 + l_linenumber) as k from lineitem)
+@query("""with f as (select *, row_number() over (partition by l_suppkey, l_partkey order by l_orderkey * 10 + l_linenumber, l_quantity::bigint) as k from lineitem)
 select l_suppkey as device, sum(case when k = 1 then l_quantity::bigint else 0 end)::bigint as counted, sum(l_quantity::bigint)::bigint as named from f group by 1""")
 def audit_distinct_storage(spark: SparkSession, d: str) -> DataFrame:
     rows = table(spark, d, "lineitem").select("l_suppkey", "l_partkey", (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("ord"), F.col("l_quantity").cast("long").alias("bytes"))
@@ -54,17 +55,23 @@ def audit_size_histogram(spark: SparkSession, d: str) -> DataFrame:
     return audit.size_histogram(blocks)
 
 
-@query("""with recursive ev as (select l_suppkey as device, row_number() over (partition by l_suppkey order by l_orderkey, l_linenumber) as idx, case when l_returnflag = 'R' then -1 else 1 end as sgn, l_quantity::bigint as size from lineitem),
+#: Events in a total order; rows tied in it are equal in all that is used of them.
+EVENTS = "l_orderkey, l_linenumber, l_partkey, l_returnflag, cast(l_quantity as bigint)"
+
+
+@query(f"""with recursive own as (select l_suppkey as device, row_number() over (partition by l_suppkey order by {EVENTS}) as idx, l_returnflag = 'R' as freed, l_quantity::bigint as size, l_partkey % 8 as addr from lineitem),
+was as (select *, lag(freed) over before as was_freed, lag(size) over before as was_size from own window before as (partition by device, addr order by idx)),
+ev as (select device, idx, case when freed then -1 else 1 end as sgn, case when freed and addr <> 0 and not was_freed then was_size else size end as size from was),
 walk as (select device, 0::bigint as idx, 0::bigint as live, 0::bigint as peak, -1::bigint as peak_idx from (select distinct device from ev)
   union all select e.device, e.idx, greatest(w.live + e.sgn * e.size, 0), case when e.sgn = 1 and w.live + e.size > w.peak then w.live + e.size else w.peak end, case when e.sgn = 1 and w.live + e.size > w.peak then e.idx else w.peak_idx end
   from walk w join ev e on e.device = w.device and e.idx = w.idx + 1)
 select device, max_by(peak, idx) as peak, max_by(peak_idx, idx) as peak_idx, max_by(live, idx) as live_end from walk group by device""")
 def audit_replay(spark: SparkSession, d: str) -> DataFrame:
     rows = table(spark, d, "lineitem").selectExpr(
-        "l_suppkey as device", "cast(row_number() over (partition by l_suppkey order by l_orderkey, l_linenumber) as bigint) as idx", "if(l_returnflag = 'R', 'free_completed', 'alloc') as action",
-        "cast(l_quantity as bigint) as size", "0L as addr",
+        "l_suppkey as device", "if(l_returnflag = 'R', 'free_completed', 'alloc') as action", "cast(l_quantity as bigint) as size", "l_partkey % 8 as addr",
+        "l_orderkey", "l_linenumber", "l_partkey", "l_returnflag",
     )
-    return audit.replay(rows)
+    return audit.replay(numbered(rows, ["device"], ["l_orderkey", "l_linenumber", "l_partkey", "l_returnflag", "size"], "idx"))
 
 
 @query("""with l as (select user_id as run, event_id, 'direct_hits' as key, case when event_id % 50 = 7 then 1 else 0 end as pr, case when event_id % 50 = 7 then event_id * 3 else event_id end as v from events)

@@ -40,12 +40,6 @@ def section(lines: DataFrame, marker: Column, end: Column | None = None) -> Data
     return rows.withColumn("_out", ended).filter((F.col("_in") == 1) & (F.col("_out") == 0) & ~marker).drop("_in", "_out")
 
 
-def carried(lines: DataFrame, value: Column, out: str) -> DataFrame:
-    """Adds ``out``: the last non-null ``value`` of the run up to the line."""
-    upto = Window.partitionBy("run").orderBy("line_no").rowsBetween(Window.unboundedPreceding, 0)
-    return lines.withColumn(out, F.last(value, ignorenulls=True).over(upto))
-
-
 def columns(value: Column, most: int) -> Column:
     """The columns of a table line, apart by two or more spaces; the last takes the rest."""
     return F.split(F.trim(value), r"\s{2,}", most)
