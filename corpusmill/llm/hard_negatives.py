@@ -28,6 +28,8 @@ LOW, HIGH = 50, 95
 DIGIT = 8
 #: Rows of a window that are gathered; more are counted by another digit.
 GATHER = 64
+#: Rows that a group has at least, for each adds its own counts.
+GROUP_ROWS = 512
 #: Bytes of vectors that a task holds, and scores at a time.
 GROUP_BYTES, TILE = 1 << 26, 1 << 20
 
@@ -73,7 +75,7 @@ def pool(rows: DataFrame, is_anchor: str) -> Pool | None:
         raise ValueError("the scores are beyond 55 bits")
     kind = "float32" if bound < 1 << 24 else "float64" if bound < 1 << 53 else "int64"
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return Pool(own, max(-(-n * most * 8 // GROUP_BYTES), min(2 * parts, -(-n // 16))), low, (high - low).bit_length(), kind, bound)
+    return Pool(own, max(-(-n * most * 8 // GROUP_BYTES), min(2 * parts, -(-n // GROUP_ROWS))), low, (high - low).bit_length(), kind, bound)
 
 
 def _opened(windows: DataFrame) -> DataFrame:
