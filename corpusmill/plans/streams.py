@@ -76,10 +76,14 @@ def packed_round_trip(spark: SparkSession, d: str) -> DataFrame:
 
 @query("select lang, count(*) as n, sum(length(text))::bigint as n_chars from documents where text is not null group by lang")
 def stream_json_tail(spark: SparkSession, d: str) -> DataFrame:
-    # JSON lines files that were put in a folder, with blank lines and lines without a text among them.
+    # JSON lines files in a folder, with blank lines and lines without a text among them, read until nothing more comes.
     path = scratch_path(spark, "stream-json")
     docs = table(spark, d, "documents").select(F.to_json(F.struct("text", "lang")).alias("value"))
     docs.unionByName(docs.limit(3).select(F.explode(F.array(F.lit(""), F.lit('{"lang": "en"}'))).alias("value"))).write.text(f"{path}/in")
-    rows = jobs.text_stream(spark, f"{path}/in", schema="text string, lang string")
-    out = _collected(rows, "stream-json-rows", "append")
-    return out.groupBy("lang").agg(F.count("*").alias("n"), F.sum(F.length("text")).alias("n_chars"))
+    rows = jobs.text_stream(spark, f"{path}/in", "text string, lang string", idle=0.5)
+
+    def put(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/rows/batch={number}")
+
+    jobs.run_until_idle(rows.writeStream.foreachBatch(put).option("checkpointLocation", f"{path}/state").trigger(processingTime="200 milliseconds").start(), 1.5)
+    return spark.read.schema("text string, lang string").parquet(f"{path}/rows").groupBy("lang").agg(F.count("*").alias("n"), F.sum(F.length("text")).alias("n_chars"))

@@ -3,14 +3,12 @@
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from corpusmill.functions import arrays
 from corpusmill.operators import audit, ordinals, runlog, sequence
 from corpusmill.sources import logs, sinks
-from corpusmill.streaming import jobs
 
 
 def test_log_lines_over_many_splits(spark, tmp_path) -> None:
@@ -101,45 +99,3 @@ def test_artifact_warnings(spark) -> None:
     known = spark.createDataFrame([("x.csv",), ("z.csv",)], "path string")
     got = {(r.run, r.warning) for r in runlog.artifact_warnings(named, known, ("csv", "txt")).collect()}
     assert got == {("a", "1 artifacts do not exist"), ("b", "no txt found")}
-
-
-class _State:
-    """A group's state, as the streaming engine hands it over."""
-
-    def __init__(self) -> None:
-        self.value, self.hasTimedOut, self.deadline = None, False, None
-
-    exists = property(lambda self: self.value is not None)
-    get = property(lambda self: self.value)
-
-    def update(self, value: tuple) -> None:
-        self.value = value
-
-    def remove(self) -> None:
-        self.value = None
-
-    def setTimeoutDuration(self, ms: int) -> None:
-        self.deadline = ms
-
-
-def test_status_of_lines_in_any_order_and_its_deadline() -> None:
-    frame = lambda *rows: pd.DataFrame(rows, columns=["line_no", "value"])
-    state = _State()
-    out = jobs.classified("r", iter([frame((9, " iteration 9/ 20"), (4, " iteration 4/ 20")), frame((5, " iteration 5/ 20"), (7, "x"))]), state, 500)
-    assert out.iloc[0].tolist() == ["r", "running", 9] and state.deadline == 500
-    assert jobs.classified("r", iter([frame((3, "iteration 3/ 20 | grad norm: nan"))]), state, 500).iloc[0].tolist() == ["r", "nan", 9]
-    assert jobs.classified("r", iter([frame((12, "torch.OutOfMemoryError"))]), state, 500).iloc[0].tolist() == ["r", "oom", 9]
-    quiet = _State()
-    jobs.classified("q", iter([frame((1, " iteration 1/ 20"))]), quiet, 500)
-    quiet.hasTimedOut = True
-    assert jobs.classified("q", iter([]), quiet, 500).iloc[0].tolist() == ["q", "timeout", 1] and not quiet.exists
-
-
-def test_changed_steps_over_batches(spark, tmp_path) -> None:
-    folder, out, state = (str(tmp_path / n) for n in ("in", "out", "state"))
-    schema = "port long, ord long, step long"
-    for rows in ([(1, 0, 5), (1, 1, 5), (2, 0, None)], [(1, 2, 5), (1, 3, 6), (2, 1, None), (3, 0, 1)]):
-        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(folder)
-        jobs.changed_sink(spark.readStream.schema(schema).parquet(folder), out, state).awaitTermination()
-    got = sorted((r.port, r.ord) for r in spark.read.parquet(f"{out}/rows").collect())
-    assert got == [(1, 0), (1, 3), (2, 0), (3, 0)]
