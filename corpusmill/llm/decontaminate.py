@@ -4,7 +4,8 @@ Native operator: DataFrame functions only.
 
 Numbers, names (capitalised words inside a sentence) and units (after a number) become typed placeholders.  Every run of
 ``WINDOW`` template tokens of a document is hash-joined with those of the benchmark items; of an item with fewer tokens
-the whole template is its window.  Matches are taken by diagonal (document less item position).  A diagonal agrees when
+the whole template is its window.  A window with fewer than ``LITERALS`` literal tokens says nothing as a template: it is matched
+by its own values, so a row of numbers, or the item ``42``, is found only where it stands.  Matches are taken by diagonal (document less item position).  A diagonal agrees when
 at least half of its slots, as many as they are, have the document value most frequent for their item value, or equal
 tokens.  A (document, item) pair is a hit when its agreeing diagonals hold at least ``MIN_PERCENT`` of the item's
 distinct windows, or one of them a run of ``RUN`` tokens, however long the item.  ``kind`` is ``verbatim`` (on the
@@ -26,6 +27,8 @@ from corpusmill.llm.tables import small, stored, unused
 WINDOW = 8
 MIN_PERCENT = 50
 RUN = 13
+#: Tokens of a window that must be no placeholders for it to be compared as a template; others are compared as they stand.
+LITERALS = 3
 # Units of measure that can follow a number.
 UNITS = (
     "km m cm mm mi mile miles ft feet foot inch inches yard yards kg g mg lb lbs pound pounds ounce ounces ton tons l ml liter liters litre litres "
@@ -53,13 +56,19 @@ def template(mark: Column) -> Column:
     return _tokens(F.regexp_replace(s, r"\p{N}+", "0"))
 
 
-def windows(tokens: Column, sizes: tuple[int, ...] = (WINDOW,)) -> Column:
-    """(pos, window): a hash of each run of tokens of each of the ``sizes``."""
-    codes = F.transform(tokens, lambda t: F.xxhash64(t))
-    run = lambda c, i, n: F.struct(i.alias("pos"), F.xxhash64(*[c[i + k] for k in range(n)]).alias("window"))
+def windows(mark: Column, sizes: tuple[int, ...] = (WINDOW,)) -> Column:
+    """(pos, window): a hash of each run of template tokens of a marked text, of each of the ``sizes``; with fewer than ``LITERALS``
+    that are no placeholders and hold none, of the tokens themselves."""
+    code = lambda t, raw: F.struct(F.xxhash64(t).alias("t"), F.xxhash64(raw).alias("raw"), F.when(t.rlike("[0\x01\x02]"), 0).otherwise(1).alias("literal"))
+
+    def run(c: Column, i: Column, n: int) -> Column:
+        own = [c[i + k] for k in range(n)]
+        hashed = F.when(sum((x["literal"] for x in own[1:]), own[0]["literal"]) >= LITERALS, F.xxhash64(*[x["t"] for x in own])).otherwise(F.xxhash64(*[x["raw"] for x in own]))
+        return F.struct(i.alias("pos"), hashed.alias("window"))
+
     of = lambda c, n: F.when(F.size(c) >= n, F.transform(F.sequence(F.lit(0), F.size(c) - n), lambda i: run(c, i, n)))
     at = lambda c: of(c, sizes[0]) if len(sizes) == 1 else F.flatten(F.filter(F.array(*[of(c, n) for n in sizes]), lambda w: w.isNotNull()))
-    return F.transform(F.array(codes), at)[0]
+    return F.transform(F.array(F.zip_with(template(mark), _tokens(mark), code)), at)[0]
 
 
 def _long_run(pos: Column) -> Column:
@@ -86,13 +95,13 @@ def hits(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     item = benchmark.select("item_id", F.explode(readings(marked(F.col("text")))).alias("mark")).distinct().withColumn("item_key", F.xxhash64("mark"))
     item = item.withColumn("tokens", template(F.col("mark"))).filter(F.size("tokens") > 0)
     short = sorted(r[0] for r in item.select(F.size("tokens")).filter(F.size("tokens") < WINDOW).distinct().collect())
-    own = F.coalesce(windows(F.col("tokens")), *[F.when(F.size("tokens") == n, windows(F.col("tokens"), (n,))) for n in short])
+    own = F.coalesce(windows(F.col("mark")), *[F.when(F.size("tokens") == n, windows(F.col("mark"), (n,))) for n in short])
     item = stored(item.withColumn("own", F.transform(own, lambda w: w["window"])).drop("tokens"), "decontaminate-items")
     item_windows = item.select(
         "item_id", "item_key", F.size(F.array_distinct("own")).alias("item_windows"), F.posexplode("own").alias("item_pos", "item_window")
     )
     doc_rows = docs.select(
-        "doc_id", F.xxhash64("text").alias("text_hash"), F.explode(windows(template(marked(F.col("text"))), (WINDOW, *short))).alias("w")
+        "doc_id", F.xxhash64("text").alias("text_hash"), F.explode(windows(marked(F.col("text")), (WINDOW, *short))).alias("w")
     ).select("doc_id", "text_hash", F.col("w.pos").alias("doc_pos"), F.col("w.window").alias("window"))
     # One row per document, item and diagonal, so a document repeated a million times stays a million small groups.
     item_windows = stored(item_windows, "decontaminate-windows")

@@ -83,8 +83,14 @@ def tokens(text: str | None) -> list[tuple[str, str]]:
     return out
 
 
+def windows_of(own: list[tuple], width: int) -> list[tuple]:
+    """Of each run of tokens the templates, or the tokens themselves if fewer than three templates hold no placeholder."""
+    literal = [not regex.search(r"[0\x01\x02]", t) for t, _ in own]
+    return [tuple(x[sum(literal[i : i + width]) < 3] for x in own[i : i + width]) for i in range(len(own) - width + 1) if own]
+
+
 def hits(docs: list[tuple], items: list[tuple]) -> set[tuple]:
-    found, read = set(), [(doc_id, tokens(text)) for doc_id, text in docs]
+    found, read, cut = set(), [(doc_id, tokens(text)) for doc_id, text in docs], {}
     for item_id, item in items:
         readings = [tokens(item)]
         if item and regex.match(r"\p{Lu}\p{Ll}", item):
@@ -93,12 +99,15 @@ def hits(docs: list[tuple], items: list[tuple]) -> set[tuple]:
         for own in readings:
             width = min(8, len(own))
             windows = defaultdict(list)
-            for i in range(len(own) - width + 1) if own else ():
-                windows[tuple(t for t, _ in own[i : i + width])].append(i)
-            for doc_id, theirs in read:
+            named = windows_of(own, width)
+            for i, w in enumerate(named):
+                windows[w].append(i)
+            for k, (doc_id, theirs) in enumerate(read):
                 lines: dict[int, set[int]] = defaultdict(set)
-                for j in range(len(theirs) - width + 1) if own else ():
-                    for i in windows.get(tuple(t for t, _ in theirs[j : j + width]), ()):
+                if (k, width) not in cut:
+                    cut[k, width] = windows_of(theirs, width)
+                for j, w in enumerate(cut[k, width] if own else ()):
+                    for i in windows.get(w, ()):
                         lines[j - i].add(i)
                 held, long = set(), False
                 for shift, at in lines.items():
@@ -110,7 +119,7 @@ def hits(docs: list[tuple], items: list[tuple]) -> set[tuple]:
                         agree += max(sum(v in (b, a) for v in values) for b in values)
                     if 2 * agree < len(slots):
                         continue
-                    held |= {tuple(t for t, _ in own[i : i + width]) for i in at}
+                    held |= {named[i] for i in at}
                     long |= width == 8 and any(all(i + k in at for k in range(6)) for i in at)
                 if held and (long or 100 * len(held) >= 50 * len(windows)):
                     found.add((doc_id, item_id))
@@ -139,3 +148,16 @@ def test_made_up_hits_against_plain_python(spark) -> None:
     frame = spark.createDataFrame(docs, "doc_id long, text string")
     got = {(r.doc_id, r.item_id) for r in d3.hits(frame, spark.createDataFrame(items, "item_id long, text string")).collect()}
     assert got == hits(docs, items) and len(got) > 10
+
+
+def test_placeholders_alone_are_no_evidence(spark) -> None:
+    numbers = [str(k * k + 3) for k in range(14)]
+    items = [(0, "42"), (1, "Paris"), (2, " ".join(numbers)), (3, "the 5 km"), (4, "Bob has 3 cats and 4 dogs"), (5, "7 8 9 10 11 12 13 14 15 16 pears")]
+    docs = [
+        "we had 7 apples in the bowl", "she went to Rome by train", "1 2 3 4 5 6 7 8 9 10 11 12 13", "a walk of the 7 km there", "in all 42 of them", "off to Paris then",
+        "x " + " ".join(numbers) + " y", "run the 5 km now", "so Ann has 5 cats and 9 dogs", "2 3 4 5 6 7 8 9 10 11 pears", "Bob has cats",
+    ]
+    frame, bench = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in d3.hits(frame, bench).collect()}
+    assert got == hits(list(enumerate(docs)), items) == {(4, 0), (5, 1), (6, 2), (7, 3), (8, 4)}
+    assert {r.doc_id for r in d3.clean(frame, bench).collect()} == {0, 1, 2, 3, 9, 10}
