@@ -19,6 +19,8 @@ give an empty result; other columns are ignored by ``hits`` and kept by ``clean`
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -56,19 +58,34 @@ def template(mark: Column) -> Column:
     return _tokens(F.regexp_replace(s, r"\p{N}+", "0"))
 
 
-def windows(mark: Column, sizes: tuple[int, ...] = (WINDOW,)) -> Column:
-    """(pos, window): a hash of each run of template tokens of a marked text, of each of the ``sizes``; with fewer than ``LITERALS``
-    that are no placeholders and hold none, of the tokens themselves."""
-    code = lambda t, raw: F.struct(F.xxhash64(t).alias("t"), F.xxhash64(raw).alias("raw"), F.when(t.rlike("[0\x01\x02]"), 0).otherwise(1).alias("literal"))
+def _within(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)``, the value worked out once."""
+    return F.transform(F.array(value), use)[0]
 
-    def run(c: Column, i: Column, n: int) -> Column:
-        own = [c[i + k] for k in range(n)]
-        hashed = F.when(sum((x["literal"] for x in own[1:]), own[0]["literal"]) >= LITERALS, F.xxhash64(*[x["t"] for x in own])).otherwise(F.xxhash64(*[x["raw"] for x in own]))
-        return F.struct(i.alias("pos"), hashed.alias("window"))
 
-    of = lambda c, n: F.when(F.size(c) >= n, F.transform(F.sequence(F.lit(0), F.size(c) - n), lambda i: run(c, i, n)))
-    at = lambda c: of(c, sizes[0]) if len(sizes) == 1 else F.flatten(F.filter(F.array(*[of(c, n) for n in sizes]), lambda w: w.isNotNull()))
-    return F.transform(F.array(F.zip_with(template(mark), _tokens(mark), code)), at)[0]
+def windows(mark: Column, sizes: tuple[int, ...] = (WINDOW,)) -> Column:
+    """(pos, window): a hash of each run of template tokens of a marked text, of each of the ``sizes``; with fewer than ``LITERALS``
+    that are no placeholders and hold none, of the tokens themselves.  Most texts have no such run and are spared the count."""
+    blank = lambda t: F.contains(t, F.lit("0")) | F.startswith(t, F.lit(_NAME)) | F.startswith(t, F.lit(_UNIT))
+    code = lambda t, raw: F.struct(F.xxhash64(t).alias("t"), F.xxhash64(raw).alias("raw"), F.when(blank(t), 0).otherwise(1).alias("literal"))
+    each = lambda c, n, hashed: F.transform(F.sequence(F.lit(0), F.size(c) - n), lambda i: F.struct(i.alias("pos"), hashed([c[i + k] for k in range(n)]).alias("window")))
+
+    def told(own: list[Column]) -> Column:
+        strong = sum((x["literal"] for x in own[1:]), own[0]["literal"]) >= LITERALS
+        return F.when(strong, F.xxhash64(*[x["t"] for x in own])).otherwise(F.xxhash64(*[x["raw"] for x in own]))
+
+    def of(t: Column, codes: Column, blanks: Column, n: int) -> Column:
+        few = n - LITERALS  # this many blanks after a blank, within n tokens, leave too little
+        weak = F.lit(True) if few < 0 else F.when(F.size(blanks) > few, F.exists(F.sequence(F.lit(few), F.size(blanks) - 1), lambda k: blanks[k] - blanks[k - few] < n)).otherwise(False)
+        counted = _within(F.zip_with(t, _tokens(mark), code), lambda c: each(c, n, told))
+        return F.when(F.size(t) >= n, F.when(weak, counted).otherwise(each(codes, n, lambda own: F.xxhash64(*own))))
+
+    def cut(t: Column) -> Column:
+        blanks, codes = F.array_compact(F.transform(t, lambda x, i: F.when(blank(x), i))), F.transform(t, lambda x: F.xxhash64(x))
+        runs = lambda c, z: of(t, c, z, sizes[0]) if len(sizes) == 1 else F.flatten(F.array_compact(F.array(*[of(t, c, z, n) for n in sizes])))
+        return _within(codes, lambda c: _within(blanks, lambda z: runs(c, z)))
+
+    return _within(template(mark), cut)
 
 
 def _long_run(pos: Column) -> Column:
