@@ -8,6 +8,7 @@ from pyspark.sql.types import DataType, MapType, StructType
 
 from corpusmill.functions.scalars import GIB, MIB, NUMBER
 from corpusmill.operators.scans import clamped_sum, last_value
+from corpusmill.operators.selection import order_statistics
 from corpusmill.sources.tables import scratch_path
 
 # Parameter leaf names of state-space layers, parts of stack frames that say nothing, and parts of parameter
@@ -152,14 +153,22 @@ def readiness(facts: DataFrame, needed: list[str]) -> DataFrame:
 
 
 def bench_stats(samples: DataFrame) -> DataFrame:
-    """name, n, mean, p50 (the sample at n div 2), p99 (at int(0.99 n)), median, and the population deviation of (name, ms)."""
-    place = F.row_number().over(Window.partitionBy("name").orderBy("ms")) - 1
-    rows = samples.withColumns({"_at": place, "_n": F.count("*").over(Window.partitionBy("name"))})
-    at = lambda i, out: F.max(F.when(F.col("_at") == F.expr(i), F.col("ms"))).alias(out)
-    return rows.groupBy("name").agg(
-        F.count("*").alias("n"), F.round(F.avg("ms"), 6).alias("mean"), at("_n div 2", "p50"), at("cast(floor(_n * 0.99) as bigint)", "p99"),
-        F.round(F.percentile("ms", F.lit(0.5)), 6).alias("median"), F.round(F.stddev_pop("ms"), 6).alias("stdev"),
-    )
+    """name, n, mean, p50 (the sample at n div 2), p99 (at int(0.99 n)), median, and the population deviation of (name, ms).
+
+    A null or NaN is no sample.  No name's samples meet in one task, however many they are.  The order in which sums are added shows
+    in their last bits, so means and deviations are rounded to nine digits first: a half is then a half.
+    """
+    known = samples.filter("ms is not null and not isnan(ms)")
+    sums = known.groupBy("name").agg(F.round(F.round(F.avg("ms"), 9), 6).alias("mean"), F.round(F.round(F.stddev_pop("ms"), 9), 6).alias("stdev"))
+    ranks = {"p50": "n div 2 + 1", "p99": "floor(n * 0.99) + 1", "_low": "(n + 1) div 2", "_high": "n div 2 + 1"}
+    places = order_statistics(known, ["name"], "ms", ranks).withColumnRenamed("name", "_name")
+    both = sums.join(places, F.col("name").eqNullSafe(F.col("_name")))
+    return both.select("name", "n", "mean", "p50", "p99", F.round((F.col("_low") + F.col("_high")) / 2, 6).alias("median"), "stdev")
+
+
+def lower_median(rows: DataFrame, key: str, value: str) -> DataFrame:
+    """key, lower_median: the value at (n + 1) div 2, of the two in the middle the lower."""
+    return order_statistics(rows, [key], value, {"lower_median": "(n + 1) div 2"}).select(key, "lower_median")
 
 
 def gradient_verdict(lines: DataFrame) -> DataFrame:

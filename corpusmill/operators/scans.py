@@ -16,12 +16,13 @@ from pyspark.sql.types import MapType, VariantType
 
 from corpusmill.sources.tables import scratch_path
 
-BLOCK = 512
+BLOCK = 128
 
 Apply = Callable[[Column, Column], Column]
 
 
-def _stored(df: DataFrame, label: str) -> DataFrame:
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written once to the shared folder and read back."""
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
@@ -40,7 +41,7 @@ def blocks(rows: DataFrame, keys: list[str], order: list[str], maps: Column, blo
     placed = placed.withColumn("_id", F.monotonically_increasing_id())  # the partition above 33 bits, the place in it below
     placed = placed.withColumns({"_range": F.shiftright("_id", 33), "_at": F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))})
     each = placed.groupBy(*[f"_k{i}" for i in range(len(keys))], "_range", F.expr(f"_at div {block or BLOCK}").alias("_sub"))
-    return _stored(each.agg(F.min("_at").alias("_first"), F.sort_array(F.collect_list(F.struct("_at", "r", "m"))).alias("_items")).drop("_sub"), "scan-blocks")
+    return stored(each.agg(F.min("_at").alias("_first"), F.sort_array(F.collect_list(F.struct("_at", "r", "m"))).alias("_items")).drop("_sub"), "scan-blocks")
 
 
 def running(items: Column, start: Column, apply: Apply) -> Column:
@@ -64,12 +65,12 @@ def starts(own: DataFrame, start: Column, apply: Apply, compose: Apply) -> DataF
     keys = [c for c in own.columns if c.startswith("_k")]
     each = own.select(*keys, "_range", "_first", _composed(F.col("_items"), compose).alias("m"))
     ranges = each.groupBy(*keys, "_range").agg(F.sort_array(F.collect_list(F.struct("_range", "_first", "m"))).alias("_blocks"))
-    ranges = _stored(ranges.withColumn("_head", F.col("_blocks")[0]["_first"]), "scan-ranges")
+    ranges = stored(ranges.withColumn("_head", F.col("_blocks")[0]["_first"]), "scan-ranges")
     one = ranges.select(*keys, F.struct("_range", F.col("_head").alias("_first"), _composed(F.col("_blocks"), compose).alias("m")).alias("s"))
     whole = one.groupBy(*keys).agg(F.sort_array(F.collect_list("s")).alias("_ranges"))
     heads = _handed(whole, "_ranges", start, apply).select(F.col("_range").alias("_r"), F.col("_first").alias("_f"), F.col("_x").alias("_in"))
     both = ranges.join(heads, (F.col("_range") == F.col("_r")) & (F.col("_head") == F.col("_f")))
-    return _stored(_handed(both, "_blocks", F.col("_in"), apply), "scan-starts")
+    return stored(_handed(both, "_blocks", F.col("_in"), apply), "scan-starts")
 
 
 def spread(own: DataFrame, begun: DataFrame, apply: Apply, out: str, before: bool = False) -> DataFrame:

@@ -6,11 +6,11 @@ import math
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusmill.functions.arrays import ahead, dequantised, dot, quantised, sigmoid
-from corpusmill.operators.scans import last_value
+from corpusmill.operators.scans import last_value, scanned, stored
 
 
 def shifted(tokens: DataFrame, depths: int, fill: int = 0, ignore: int = -1) -> DataFrame:
@@ -21,8 +21,15 @@ def shifted(tokens: DataFrame, depths: int, fill: int = 0, ignore: int = -1) ->
     return rows.select("doc_id", "pos", "depth", "p.token", "p.target")
 
 
-def top_k(scores: DataFrame, k: int) -> DataFrame:
-    """The k best (row, pos, score) of each row, ties by position, with their rank from 1."""
+def top_k(scores: DataFrame, k: int, bounds: DataFrame | None = None) -> DataFrame:
+    """The k best (row, pos, score) of each row, ties by position, with their rank from 1; with ``bounds`` (row, start, end) of the
+    positions in [start, end) only, and rows without bounds give none.
+
+    Spark limits the groups before the exchange: each task passes on k rows of a row, so a row of any length is spread over tasks.
+    """
+    if bounds is not None:
+        ends = bounds.select(F.col("row").alias("_row"), F.col("start").alias("_start"), F.col("end").alias("_end"))
+        scores = scores.join(ends, (F.col("row") == F.col("_row")) & (F.col("pos") >= F.col("_start")) & (F.col("pos") < F.col("_end"))).drop("_row", "_start", "_end")
     rank = F.row_number().over(Window.partitionBy("row").orderBy(F.desc("score"), "pos"))
     return scores.withColumn("rank", rank).filter(F.col("rank") <= k)
 
@@ -224,11 +231,42 @@ def recurrence(rows: DataFrame) -> DataFrame:
     return folded(rows, "id", "pos", ["x", "f", "w"], step, "id long, pos long, state double").withColumnRenamed("state", "h")
 
 
+#: Share of a state by which a chunk's start may move in the last round.
+STILL = 1e-13
+
+
+def chunked_states(rows: DataFrame, width: int) -> DataFrame:
+    """id, chunk, _start, _items: the state before each chunk of ``width`` positions of ``recurrence``; all chunks run side by side.
+
+    Every chunk runs from a guess and gives its end and the slope of its end to its start.  These are maps start -> end, straight
+    lines near the guess, which a blocked scan chains into the next guesses (Newton's step for all chunks at once).  The first chunk's
+    start is known, so each round settles one chunk more at least; a few rounds do when states forget or the lines are good.
+    """
+    items = F.sort_array(F.collect_list(F.struct("pos", F.struct("x", "f", "w").alias("m")))).alias("_items")
+    chunks = stored(rows.groupBy("id", F.expr(f"pos div {width}").alias("chunk")).agg(items), "recurrence-chunks")
+    chunks = stored(chunks.select(F.monotonically_increasing_id().alias("_n"), "*"), "recurrence-numbered")
+
+    def step(s: Column, item: Column) -> Column:
+        m, t = item["m"], F.tanh(s["h"] * item["m"]["w"] + item["m"]["x"])
+        return F.struct((m["f"] * s["h"] + (1 - m["f"]) * t).alias("h"), (s["j"] * (m["f"] + (1 - m["f"]) * m["w"] * (1 - t * t))).alias("j"))
+
+    starts = stored(chunks.select("_n", "id", "chunk", F.lit(0.0).alias("_start")), "recurrence-starts")
+    both = lambda f, g: F.struct((f["a"] * g["a"]).alias("a"), (g["a"] * f["b"] + g["b"]).alias("b"))
+    while True:
+        run = chunks.select("_n", "_items").join(starts, "_n")
+        end = F.aggregate("_items", F.struct(F.col("_start").alias("h"), F.lit(1.0).alias("j")), step)
+        lines = run.withColumn("_e", end).select("_n", "id", "chunk", F.col("_start").alias("_was"), F.col("_e.j").alias("a"), (F.col("_e.h") - F.col("_e.j") * F.col("_start")).alias("b"))
+        moved = scanned(lines, ["id"], ["chunk"], F.struct("a", "b"), F.lit(0.0), lambda x, m: m["a"] * x + m["b"], both, "_start", before=True)
+        moved = stored(moved.select("_n", "id", "chunk", "_was", "_start"), "recurrence-starts")
+        starts = moved.drop("_was")
+        if not moved.filter(F.abs(F.col("_start") - F.col("_was")) > STILL * (1 + F.abs("_start"))).limit(1).count():
+            return chunks.select("_n", "_items").join(starts, "_n").drop("_n")
+
+
 def chunked_recurrence(rows: DataFrame, width: int) -> DataFrame:
-    """As ``recurrence``, by chunks of ``width`` positions: a chunk starts from the state at the end of the one before, so that
-    only the ends need to be kept; id, chunk, h at each chunk's end."""
-    each = recurrence(rows).withColumn("chunk", F.expr(f"pos div {width}"))
-    return each.groupBy("id", "chunk").agg(F.max_by("h", "pos").alias("h"))
+    """As ``recurrence``, by chunks that run side by side: id, chunk, h at the end of each chunk of ``width`` positions."""
+    step = lambda h, item: item["m"]["f"] * h + (1 - item["m"]["f"]) * F.tanh(h * item["m"]["w"] + item["m"]["x"])
+    return chunked_states(rows, width).select("id", "chunk", F.aggregate("_items", F.col("_start"), step).alias("h"))
 
 
 def _objects(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

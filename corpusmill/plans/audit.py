@@ -124,7 +124,7 @@ def audit_readiness(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("""with r as (select user_id::varchar as name, value as ms, row_number() over (partition by user_id order by value) - 1 as k, count(*) over (partition by user_id) as c from events)
-select name, count(*) as n, round(avg(ms), 6) as mean, max(case when k = c // 2 then ms end) as p50, max(case when k = floor(c * 0.99)::bigint then ms end) as p99, round(median(ms), 6) as median, round(stddev_pop(ms), 6) as stdev from r group by name""")
+select name, count(*) as n, round(round(avg(ms), 9), 6) as mean, max(case when k = c // 2 then ms end) as p50, max(case when k = floor(c * 0.99)::bigint then ms end) as p99, round(median(ms), 6) as median, round(round(stddev_pop(ms), 9), 6) as stdev from r group by name""")
 def audit_bench_stats(spark: SparkSession, d: str) -> DataFrame:
     return audit.bench_stats(table(spark, d, "events").select(F.col("user_id").cast("string").alias("name"), F.col("value").alias("ms")))
 
@@ -226,7 +226,9 @@ def audit_boundary(spark: SparkSession, d: str) -> DataFrame:
 
 @query("select l_returnflag as grp, quantile_disc(l_extendedprice, 0.5) as lower_median from lineitem group by 1")
 def audit_lower_median(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "lineitem").groupBy(F.col("l_returnflag").alias("grp")).agg(F.expr("percentile_disc(0.5) within group (order by l_extendedprice)").alias("lower_median"))
+    rows = table(spark, d, "lineitem").select(F.col("l_returnflag").alias("grp"), "l_extendedprice")
+    return audit.lower_median(rows, "grp", "l_extendedprice")
+
 
 
 @query("""with m as (select p_brand as name, round(avg(p_retailprice), 6) as ms from part group by 1), b as (select ms as base from m order by name limit 1) select name, ms, round(base / ms, 6) as speedup from m, b""")
