@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -74,6 +76,19 @@ def packed_round_trip(spark: SparkSession, d: str) -> DataFrame:
     return rows.groupBy(F.size("tokens").cast("long").alias("size")).agg(F.count("*").alias("n"), F.sum(total).alias("id_sum"))
 
 
+@query(f"with {TOK} select len(tokens)::bigint as size, count(*) as n, sum(list_sum(tokens))::bigint as id_sum from t group by 1")
+def packed_one_pair(spark: SparkSession, d: str) -> DataFrame:
+    # The pairs of all tasks, joined to one.
+    packed.register(spark)
+    path, out = scratch_path(spark, "packed"), scratch_path(spark, "packed-joined")
+    corpus.tokenized(table(spark, d, "documents")).select("tokens").write.format("packed_tokens").mode("append").save(path)
+    os.makedirs(out.removeprefix("file://"))
+    packed.join(spark, path, f"{out}/all")
+    rows = spark.read.format("packed_tokens").load(out)
+    total = F.aggregate("tokens", F.lit(0).cast("long"), lambda s, v: s + v)
+    return rows.groupBy(F.size("tokens").cast("long").alias("size")).agg(F.count("*").alias("n"), F.sum(total).alias("id_sum"))
+
+
 @query("select lang, count(*) as n, sum(length(text))::bigint as n_chars from documents where text is not null group by lang")
 def stream_json_tail(spark: SparkSession, d: str) -> DataFrame:
     # JSON lines files in a folder, with blank lines and lines without a text among them, read until nothing more comes.

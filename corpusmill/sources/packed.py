@@ -1,8 +1,8 @@
 """Packed token files as a Python Data Source: flat ids in ``.bin``, offsets in ``.idx``.
 
 An index file holds the magic, a version (8 bytes), a code for the id type (1 byte), the number of lists n and n + 1 (8 bytes
-each), then sizes (32 bits), byte pointers and document numbers 0 .. n (64 bits).  Every task writes a pair of its own; all are
-little-endian.  The folder must be one that all executors share.
+each), then sizes (32 bits), byte pointers and document numbers 0 .. n (64 bits).  Every task writes a pair of its own, which
+``join`` makes one; all are little-endian.  The folder must be one that all executors share.
 """
 
 from __future__ import annotations
@@ -14,7 +14,8 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import SparkSession
+from pyspark.sql import SparkSession, Window
+from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
 from pyspark.sql.types import StructType
 
@@ -29,6 +30,14 @@ def index_bytes(sizes: np.ndarray, dtype: str = "uint32") -> bytes:
     return head + sizes.astype("<i4").tobytes() + pointers.astype("<i8").tobytes() + np.arange(n + 1, dtype="<i8").tobytes()
 
 
+def checked(ids: np.ndarray, dtype: str) -> np.ndarray:
+    """Ids in the file's type; one that does not fit is an error."""
+    bounds = np.iinfo(dtype)
+    if len(ids) and (ids.min() < bounds.min or ids.max() > bounds.max):
+        raise ValueError(f"ids {ids.min()} to {ids.max()} do not fit {dtype}")
+    return ids.astype(dtype)
+
+
 def read_header(data: bytes) -> tuple[int, str]:
     """Number of lists and id type; ValueError for any other file."""
     if data[: len(MAGIC)] != MAGIC:
@@ -76,7 +85,7 @@ class PackedWriter(DataSourceArrowWriter):
         with open(f"{stem}.bin.tmp", "wb") as out:
             for batch in iterator:
                 lists = batch.column("tokens")
-                out.write(np.asarray(lists.flatten()).astype(self.dtype).tobytes())
+                out.write(checked(np.asarray(lists.flatten()), self.dtype).tobytes())
                 sizes.append(np.asarray(lists.value_lengths().fill_null(0)))
         sizes = np.concatenate([*sizes, np.zeros(0, np.int64)]).astype(np.int64)
         with open(f"{stem}.idx.tmp", "wb") as out:
@@ -134,5 +143,78 @@ class PackedTokens(DataSource):
         return PackedWriter(self._path(), self.options.get("dtype", "uint32"), overwrite)
 
 
+#: Bytes that a task of ``join`` copies, and holds at a time.
+SPAN, CHUNK = 256 << 20, 4 << 20
+_PLAN = "stem string, dtype string, first long, lists long, at long, size long"
+
+
+def _headers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        rows = []
+        for stem in batch.column("stem").to_pylist():
+            with open(f"{stem}.idx", "rb") as f:
+                n, dtype = read_header(f.read(len(MAGIC) + 25))
+            rows.append({"stem": stem, "dtype": dtype, "lists": n, "size": os.path.getsize(f"{stem}.bin")})
+        yield pa.RecordBatch.from_pylist(rows, pa.schema([("stem", pa.string()), ("dtype", pa.string()), ("lists", pa.int64()), ("size", pa.int64())]))
+
+
+def join(spark: SparkSession, path: str, out: str) -> int:
+    """Joins the pairs under ``path`` to the one pair ``out.bin``, ``out.idx``, in the order of their names; returns the lists in it.
+
+    The pairs' places come from prefix sums over their headers, and every task writes its bytes of data, sizes, pointers and
+    document numbers to their place, so no task or driver holds more than ``CHUNK``, and one that runs again writes the same.
+    The pair appears under its names once all of it is written.
+    """
+    path, out = path.removeprefix("file://"), out.removeprefix("file://")
+    stems = [os.path.join(path, f[:-4]) for f in sorted(os.listdir(path)) if f.endswith(".idx")]
+    parts = spark.createDataFrame([(s,) for s in stems], "stem string").repartition(max(1, min(len(stems), 1000))).mapInArrow(_headers, "stem string, dtype string, lists long, size long")
+    kinds = [r.dtype for r in parts.select("dtype").distinct().limit(2).collect()]
+    if len(kinds) != 1:
+        raise ValueError(f"pairs of one id type are needed, not of {kinds}")
+    before = Window.orderBy("stem").rowsBetween(Window.unboundedPreceding, -1)  # one row per pair
+    plan = parts.withColumns({"first": F.coalesce(F.sum("lists").over(before), F.lit(0)), "at": F.coalesce(F.sum("size").over(before), F.lit(0))})
+    plan = spark.createDataFrame(plan.select(*[c.split()[0] for c in _PLAN.split(", ")]).toArrow(), _PLAN)
+    total = plan.agg(F.sum("lists")).first()[0]
+    head = len(MAGIC) + 25
+    for end, data in (("bin", b""), ("idx", MAGIC + struct.pack("<QBQQ", VERSION, CODES[kinds[0]], total, total + 1))):
+        with open(f"{out}.{end}.tmp", "wb") as f:
+            f.write(data)
+    with open(f"{out}.idx.tmp", "r+b") as f:
+        f.seek(head + 12 * total + 8 * total)
+        f.write(struct.pack("<q", total))
+
+    def copy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                begin, n = row["begin"], row["lists"]
+                with open(f"{row['stem']}.bin", "rb") as source, open(f"{out}.bin.tmp", "r+b") as f:
+                    source.seek(begin)
+                    f.seek(row["at"] + begin)
+                    left = min(SPAN, row["size"] - begin)
+                    while left and (data := source.read(min(CHUNK, left))):
+                        f.write(data)
+                        left -= len(data)
+                if begin:
+                    continue
+                with open(f"{row['stem']}.idx", "rb") as source, open(f"{out}.idx.tmp", "r+b") as f:
+                    for a in range(0, n, CHUNK // 8):
+                        some = min(CHUNK // 8, n - a)
+                        source.seek(head + 4 * a)
+                        f.seek(head + 4 * (row["first"] + a))
+                        f.write(source.read(4 * some))
+                        source.seek(head + 4 * n + 8 * a)
+                        f.seek(head + 4 * total + 8 * (row["first"] + a))
+                        f.write((np.frombuffer(source.read(8 * some), "<i8") + row["at"]).astype("<i8").tobytes())
+                        f.seek(head + 12 * total + 8 * (row["first"] + a))
+                        f.write(np.arange(row["first"] + a, row["first"] + a + some, dtype="<i8").tobytes())
+            yield pa.record_batch([pa.array([batch.num_rows])], names=["n"])
+
+    spans = plan.withColumn("begin", F.explode(F.sequence(F.lit(0).cast("long"), F.greatest(F.col("size") - 1, F.lit(0)), F.lit(SPAN).cast("long"))))
+    spans.repartition(max(1, min(spans.count(), 10_000))).mapInArrow(copy, "n long").agg(F.sum("n")).collect()
+    for end in ("bin", "idx"):
+        os.replace(f"{out}.{end}.tmp", f"{out}.{end}")
+    return int(total)
+
+
 def register(spark: SparkSession) -> None:
     spark.dataSource.register(PackedTokens)

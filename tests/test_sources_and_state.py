@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from corpusmill.functions import arrays
 from corpusmill.operators import audit, ordinals, runlog, sequence
-from corpusmill.sources import logs, sinks
+from corpusmill.sources import logs, packed, sinks
 
 
 def test_log_lines_over_many_splits(spark, tmp_path) -> None:
@@ -99,3 +99,41 @@ def test_artifact_warnings(spark) -> None:
     known = spark.createDataFrame([("x.csv",), ("z.csv",)], "path string")
     got = {(r.run, r.warning) for r in runlog.artifact_warnings(named, known, ("csv", "txt")).collect()}
     assert got == {("a", "1 artifacts do not exist"), ("b", "no txt found")}
+
+
+@pytest.mark.parametrize("checksums", [True, False])
+def test_a_broken_shard_is_found_and_deleted(spark, tmp_path, checksums: bool) -> None:
+    rows = spark.range(4000).selectExpr("id as doc_id", "sha2(cast(id as string), 256) as text", "id div 1000 as shard", "'train' as part")
+    path = tmp_path / "s"
+    sinks.write_shards(rows, str(path))
+    assert sinks.check_shards(rows, str(path)).agg(F.sum("m")).first()[0] == 4000
+    (file,) = (path / "part=train" / "shard=2").glob("*.parquet")
+    data = bytearray(file.read_bytes())
+    data[len(data) // 2] ^= 1  # in a page of text
+    file.write_bytes(data)
+    if not checksums:
+        (file.parent / f".{file.name}.crc").unlink()
+    with pytest.raises(ValueError, match="shard=2: the shard does not read back"):
+        sinks.check_shards(rows, str(path))
+    assert sorted(p.name for p in (path / "part=train").iterdir()) == ["shard=0", "shard=1", "shard=3"]
+
+
+def test_pairs_join_to_one(spark, tmp_path, monkeypatch) -> None:
+    monkeypatch.setattr(packed, "SPAN", 64)
+    monkeypatch.setattr(packed, "CHUNK", 16)
+    packed.register(spark)
+    lists = [[k * 7 + j for j in range(k % 9)] for k in range(200)]
+    frame = spark.createDataFrame([(v,) for v in lists], "tokens array<long>").repartition(5)
+    frame.write.format("packed_tokens").option("dtype", "uint16").mode("append").save(str(tmp_path / "parts"))
+    (tmp_path / "one").mkdir()
+    n = packed.join(spark, str(tmp_path / "parts"), str(tmp_path / "one" / "all"))
+    assert n == sum(bool(v) for v in lists) and sorted(p.name for p in (tmp_path / "one").iterdir()) == ["all.bin", "all.idx"]
+    data = (tmp_path / "one" / "all.idx").read_bytes()
+    dtype, sizes, pointers = packed.read_index(data)
+    assert dtype == "uint16" and len(sizes) == n and pointers.tolist() == (2 * (np.cumsum(sizes) - sizes)).tolist()
+    assert np.frombuffer(data[-8 * (n + 1) :], "<i8").tolist() == list(range(n + 1))
+    read = lambda p: [r.tokens for r in spark.read.format("packed_tokens").load(str(tmp_path / p)).orderBy("part", "doc_idx").collect()]
+    assert read("one") == read("parts") and sorted(read("one")) == sorted(v for v in lists if v)
+    with pytest.raises(Exception, match="do not fit uint16"):
+        spark.createDataFrame([([70_000],)], "tokens array<long>").write.format("packed_tokens").option("dtype", "uint16").mode("append").save(str(tmp_path / "wide"))
+    assert not list((tmp_path / "wide").glob("*.idx"))
