@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from corpusmill.functions.scalars import DECIMAL_MB, NUMBER, duration_ms, number, percent, to_ms, used_percent, whole
 from corpusmill.operators.scans import last_value
+from corpusmill.sources.json_elements import json_elements
 from corpusmill.sources.logs import columns, section
 
 # Parts of names that mark matrix kernels, and their kinds in the order of the tests.
@@ -46,17 +47,19 @@ def read_kernel_csv(spark: SparkSession, path: str) -> DataFrame:
     return kernel_csv(spark.read.option("header", True).option("quote", '"').option("escape", '"').csv(path))
 
 
-#: What a trace file holds, as far as it is read; ids are numbers or text.
-TRACE = "traceEvents array<struct<cat:string,name:string,dur:double,args:struct<`External id`:string,`Input type`:array<string>,`Input Dims`:array<array<string>>>>>"
+#: What an event of a trace file holds, as far as it is read; ids are numbers or text.
+EVENT = "cat string, name string, dur double, args struct<`External id`:string,`Input type`:array<string>,`Input Dims`:array<array<string>>>"
 
 
 def read_trace(spark: SparkSession, path: str) -> DataFrame:
-    """Events for ``trace_groups`` of trace files, one JSON object each: every event a row, with its place in its file."""
-    files = spark.read.schema(TRACE).option("multiLine", True).json(path)
-    rows = files.select(F.col("_metadata.file_name").alias("file"), F.posexplode("traceEvents").alias("ord", "e"))
+    """Events for ``trace_groups`` of trace files, one JSON object each: every event a row, with its place (byte) in its file.
+
+    Files are read by byte ranges, so one large trace is spread over tasks.
+    """
+    rows = json_elements(spark, path, "traceEvents").select(F.element_at(F.split("file", "/"), -1).alias("file"), F.col("at").alias("ord"), F.from_json("value", EVENT).alias("e"))
     dims = F.transform("e.args.`Input Dims`", lambda d: F.array_join(d, "x"))
     return rows.select(
-        "file", F.col("ord").cast("long").alias("ord"), "e.cat", "e.name", "e.dur", F.col("e.args.`External id`").alias("ext_id"),
+        "file", "ord", "e.cat", "e.name", "e.dur", F.col("e.args.`External id`").alias("ext_id"),
         F.coalesce(F.col("e.args.`Input type`"), F.array().cast("array<string>")).alias("input_types"), F.coalesce(dims, F.array().cast("array<string>")).alias("input_dims"),
     )
 
