@@ -93,9 +93,16 @@ def iso_utc(at: Column | None = None) -> Column:
     return F.date_format(F.to_utc_timestamp(F.current_timestamp() if at is None else at, F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss'+00:00'")
 
 
+def typed(text: Column) -> Column:
+    """A form value as (kind, whole, real): int with ``whole``, float with ``real``, or error with neither."""
+    whole, real = text.try_cast("long"), text.try_cast("double")
+    kind = F.when(whole.isNotNull(), "int").when(real.isNotNull(), "float").otherwise("error")
+    return F.struct(kind.alias("kind"), whole.alias("whole"), F.when(whole.isNull(), real).alias("real"))
+
+
 def coerced(text: Column) -> Column:
     """Kind of a form value: int, float or error."""
-    return F.when(text.try_cast("long").isNotNull(), "int").when(text.try_cast("double").isNotNull(), "float").otherwise("error")
+    return typed(text)["kind"]
 
 
 def used_percent(used: Column, total: Column) -> Column:

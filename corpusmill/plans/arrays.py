@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusmill.functions import arrays
-from corpusmill.functions.scalars import coerced, is_setting
+from corpusmill.functions.scalars import coerced, is_setting, typed
 from corpusmill.operators import corpus, sequence
 from corpusmill.plans.corpus import TOK
 from corpusmill.plans.registry import query
@@ -265,6 +265,14 @@ def arrays_coerced(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("p_partkey", coerced(text).alias("kind"), arrays.is_edge_layer(F.col("p_partkey") % 30, 30, 4, 2).alias("is_edge"))
 
 
+@query("""select p_partkey, case p_partkey % 3 when 0 then 'int' when 1 then 'float' else 'error' end as kind, case when p_partkey % 3 = 0 then p_size::bigint end as whole,
+  case when p_partkey % 3 = 1 then p_size + 0.5::double end as real from part where p_partkey % 7 <> 2""")
+def arrays_typed(spark: SparkSession, d: str) -> DataFrame:
+    text = F.expr("array(cast(p_size as string), concat(p_size, '.5'), p_type)[p_partkey % 3]")
+    rows = table(spark, d, "part").withColumn("key", F.expr("if(p_partkey % 7 = 2, '_token', 'rate')")).filter(is_setting(F.col("key")))
+    return rows.select("p_partkey", typed(text).alias("v")).select("p_partkey", "v.*")
+
+
 @query("select p_partkey, p_size || ',' || p_size || ',' || p_partkey || ',' || p_partkey as heads from part")
 def arrays_repeated_heads(spark: SparkSession, d: str) -> DataFrame:
     heads = arrays.repeated_heads(F.array(F.col("p_size").cast("long"), F.col("p_partkey")), 2)

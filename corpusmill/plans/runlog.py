@@ -204,7 +204,7 @@ def runlog_files(spark: SparkSession, d: str) -> DataFrame:
     # One log file of each order status, an empty line after every line.
     path = scratch_path(spark, "log-files")
     rows = table(spark, d, "orders").select("o_orderstatus", "o_orderkey", F.concat_ws(" ", F.lit("order"), "o_orderkey", "o_orderstatus", F.lit("\n")).alias("value"))
-    rows.repartition(1, "o_orderstatus").sortWithinPartitions("o_orderstatus", "o_orderkey").select("o_orderstatus", "value").write.partitionBy("o_orderstatus").text(path)
+    rows.repartition("o_orderstatus").sortWithinPartitions("o_orderstatus", "o_orderkey").select("o_orderstatus", "value").write.partitionBy("o_orderstatus").text(path)
     lines = logs.log_lines(spark, f"{path}/*")
     words = F.split("value", " ")
     found = lines.select(words[2].alias("part"), words[1].cast("long").alias("o_orderkey"), "line_no")
