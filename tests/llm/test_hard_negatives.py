@@ -33,7 +33,7 @@ def mined(spark, rows, scale, every):
     return sorted(tuple(r) for r in hard_negatives.mined(hard_negatives.whole_steps(frame(spark, rows), scale), f"vec_id % {every} = 0").collect())
 
 
-@pytest.mark.parametrize(("scale", "digit", "gather"), [(256, 8, 64), (256, 2, 4), (4, 3, 1), (20_000, 8, 8), (30_000_000, 8, 64)])
+@pytest.mark.parametrize(("scale", "digit", "gather"), [(256, 8, 64), (4, 3, 4), (20_000, 5, 8), (30_000_000, 8, 64)])
 def test_against_brute_force(spark, monkeypatch, scale: int, digit: int, gather: int) -> None:
     """Scores with and without many ties, of a size for each kind of number; a hot vector, repeated rows and rows that take no part."""
     monkeypatch.setattr(hard_negatives, "DIGIT", digit)
