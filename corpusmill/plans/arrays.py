@@ -94,15 +94,16 @@ def arrays_masks(spark: SparkSession, d: str) -> DataFrame:
     return sequence.masked_positions(table(spark, d, "lineitem").selectExpr("l_orderkey % 300 as query", "l_partkey % 350 - 5 as idx"), 300)
 
 
-PAIRS = """e as (select vec_id, vec_id // 16 as b, vec_id % 16 as pos, embedding[1]::double as x, embedding[2]::double as y, embedding[3]::double as v from embeddings),
-s as (select q.b, q.pos as row, k.pos as pos, q.x * k.x + q.y * k.y as score, k.v from e q join e k on q.b = k.b and k.pos <= q.pos), m as (select *, max(score) over (partition by b, row) as top from s),
+PAIRS = """e as (select vec_id, vec_id // 16 as b, vec_id % 16 as pos, list_transform(embedding, lambda c: c::double) as x from embeddings),
+s as (select q.b, q.pos as row, k.pos as pos, list_sum(list_transform(list_zip(q.x, k.x), lambda p: p[1] * p[2])) as score, k.x as v from e q join e k on q.b = k.b and k.pos <= q.pos),
+m as (select *, max(score) over (partition by b, row) as top from s),
 w as (select *, exp(score - top) / sum(exp(score - top)) over (partition by b, row) as weight, top + ln(sum(exp(score - top)) over (partition by b, row)) as lse from m)"""
 
 
 def _weights(spark: SparkSession, d: str) -> DataFrame:
     e = table(spark, d, "embeddings")
-    queries = e.selectExpr("vec_id div 16 as b", "vec_id % 16 as pos", "slice(embedding, 1, 2) as q")
-    keys = e.selectExpr("vec_id div 16 as k_b", "vec_id % 16 as k_pos", "slice(embedding, 1, 2) as k")
+    queries = e.selectExpr("vec_id div 16 as b", "vec_id % 16 as pos", "embedding as q")
+    keys = e.selectExpr("vec_id div 16 as k_b", "vec_id % 16 as k_pos", "embedding as k")
     return sequence.softmax(sequence.causal_scores(queries, keys, "b"), ["b", "row"])
 
 
@@ -111,10 +112,11 @@ def arrays_softmax(spark: SparkSession, d: str) -> DataFrame:
     return _weights(spark, d).groupBy("b", "row").agg(F.count("*").alias("n"), F.round(F.max("weight"), 6).alias("top"), F.round(F.max("lse"), 6).alias("lse"))
 
 
-@query(f"with {PAIRS} select b, row, round(sum(weight * v), 6) as out from w group by 1, 2")
+@query(f"with {PAIRS}, each as (select b, row, weight, unnest(v) as v, unnest(range(len(v)))::int as dim from w) select b, row, dim, round(sum(weight * v), 6) + 0.0 as out from each group by 1, 2, 3")
 def arrays_attended(spark: SparkSession, d: str) -> DataFrame:
-    values = table(spark, d, "embeddings").selectExpr("vec_id as pos", "cast(embedding[2] as double) as value")
-    return sequence.attended(_weights(spark, d).withColumn("pos", F.col("b") * 16 + F.col("pos")), values, ["b", "row"])
+    values = table(spark, d, "embeddings").select(F.col("vec_id").alias("pos"), F.posexplode("embedding").alias("dim", "value")).withColumn("value", F.col("value").cast("double"))
+    out = sequence.attended(_weights(spark, d).withColumn("pos", F.col("b") * 16 + F.col("pos")), values, ["b", "row", "dim"])
+    return out.withColumn("out", F.col("out") + 0.0)
 
 
 @query("""with s as (select vec_id as row, unnest(embedding)::double as p, unnest(list_reverse(embedding))::double as q from embeddings),
@@ -198,11 +200,11 @@ def arrays_unbroadcast(spark: SparkSession, d: str) -> DataFrame:
     return sequence.unbroadcast(_values(spark, d).withColumnRenamed("pos", "head"), 8)
 
 
-@query("select p_partkey as key, p_partkey % 400 as row, round(embedding[1]::double, 6) as x from part left join embeddings on vec_id = p_partkey % 400")
+@query("select p_partkey as key, p_partkey - 1 as row, round(list_sum(list_transform(embedding, lambda c: c::double)), 6) as x from part left join embeddings on vec_id = p_partkey - 1")
 def arrays_lookup(spark: SparkSession, d: str) -> DataFrame:
-    ids = table(spark, d, "part").selectExpr("p_partkey as key", "p_partkey % 400 as row")
+    ids = table(spark, d, "part").selectExpr("p_partkey as key", "p_partkey - 1 as row")
     vectors = table(spark, d, "embeddings").select(F.col("vec_id").alias("row"), F.col("embedding").alias("v"))
-    return sequence.looked_up(ids, vectors).select("key", "row", F.round(F.get("v", F.lit(0)).cast("double"), 6).alias("x"))
+    return sequence.looked_up(ids, vectors).select("key", "row", F.round(F.aggregate("v", F.lit(0.0), lambda s, c: s + c.cast("double")), 6).alias("x"))
 
 
 @query(f"with {X} select id, pos, round(sum(x) over (partition by id order by pos), 6) + 0.0 as angle from x")
@@ -332,18 +334,18 @@ def arrays_packed_floats(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("p_partkey", F.round(scale, 9).alias("scale"), F.round(F.aggregate(values, F.lit(0.0), lambda s, v: s + v), 6).alias("total"))
 
 
-HEAD_SQL = """h as (select vec_id // 16 as b, vec_id % 16 as head, unnest(range(16)) as pos, unnest(embedding[1:16])::double as p from embeddings),
-q as (select vec_id // 16 as b, unnest(range(16)) as pos, unnest(embedding[17:32])::double as q from embeddings where vec_id % 16 = 0),
+HEAD_SQL = """h as (select vec_id // 16 as b, vec_id % 16 as head, unnest(range(32)) as pos, unnest(embedding[1:32])::double as p from embeddings),
+q as (select b, pos, avg(q) as q from (select vec_id // 16 as b, unnest(range(32)) as pos, unnest(embedding[33:64])::double as q from embeddings) group by 1, 2),
 hp as (select *, exp(p - max(p) over (partition by b, head)) as e from h), hm as (select *, e / sum(e) over (partition by b, head) as w from hp), mean as (select b, pos, avg(w) as p from hm group by 1, 2),
 qp as (select *, exp(q - max(q) over (partition by b)) as e from q), qm as (select *, e / sum(e) over (partition by b) as w from qp), kl as (select b, sum(mean.p * (ln(mean.p + 1e-10) - ln(qm.w + 1e-10))) as kl from mean join qm using (b, pos) group by b)"""
 
 
 def _head_rows(spark: SparkSession, d: str) -> DataFrame:
     rows = table(spark, d, "embeddings")
-    p = rows.select(F.expr("vec_id div 16").alias("b"), (F.col("vec_id") % 16).alias("head"), F.posexplode(F.slice("embedding", 1, 16)).alias("pos", "p_score"))
-    q = rows.filter("vec_id % 16 = 0").select(F.expr("vec_id div 16").alias("b"), F.posexplode(F.slice("embedding", 17, 16)).alias("pos", "q_score"))
-    both = p.join(q, ["b", "pos"])
-    return both.withColumns({c: F.col(c).cast("double") for c in ("p_score", "q_score")})
+    part = lambda start, out: F.posexplode(F.transform(F.slice("embedding", start, 32), lambda c: c.cast("double"))).alias("pos", out)
+    b = F.expr("vec_id div 16").alias("b")
+    q = rows.select(b, part(33, "q")).groupBy("b", "pos").agg(F.avg("q").alias("q_score"))
+    return rows.select(b, (F.col("vec_id") % 16).alias("head"), part(1, "p_score")).join(q, ["b", "pos"])
 
 
 @query(f"with {HEAD_SQL} select round(avg(kl) * 0.01, 6) as loss from kl")

@@ -201,10 +201,10 @@ def audit_position_histogram(spark: SparkSession, d: str) -> DataFrame:
     return audit.position_histogram(table(spark, d, "lineitem").selectExpr("l_partkey % 300 as pos").filter("pos < 256"), 256)
 
 
-@query("""with p as (select unnest(range(400)) as pos), c as (select l_partkey % 500 as pos, count(*) as n from lineitem group by 1) select pos, coalesce(n, 0) as n from p left join c using (pos)""")
+@query("""with p as (select unnest(range(500)) as pos), c as (select l_partkey % 500 as pos, count(*) as n from lineitem group by 1) select pos, coalesce(n, 0) as n from p left join c using (pos)""")
 def audit_reference_counts(spark: SparkSession, d: str) -> DataFrame:
     lists = table(spark, d, "lineitem").groupBy("l_orderkey").agg(F.collect_list(F.col("l_partkey") % 500).alias("idx"))
-    return audit.reference_counts(lists, 400)
+    return audit.reference_counts(lists, 500)
 
 
 @query("""with e as (select l_partkey % 500 as pos, max(l_discount) as err, count(*) as n from lineitem group by 1) select round(corr(n, err), 6) as r from e""")
