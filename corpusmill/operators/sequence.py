@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from corpusmill.functions.arrays import ahead, dequantised, dot, quantised, sigmoid
 from corpusmill.operators.scans import last_value, scanned, stored
+from corpusmill.operators.selection import order_statistics
 
 
 def shifted(tokens: DataFrame, depths: int, fill: int = 0, ignore: int = -1) -> DataFrame:
@@ -21,19 +22,40 @@ def shifted(tokens: DataFrame, depths: int, fill: int = 0, ignore: int = -1) ->
     return rows.select("doc_id", "pos", "depth", "p.token", "p.target")
 
 
+def within_bounds(scores: DataFrame, bounds: DataFrame | None) -> DataFrame:
+    """The scores (row, pos, ..) at the positions in [start, end) of their row's bounds (row, start, end); all without bounds."""
+    if bounds is None:
+        return scores
+    ends = bounds.select(F.col("row").alias("_row"), F.col("start").alias("_start"), F.col("end").alias("_end"))
+    return scores.join(ends, (F.col("row") == F.col("_row")) & (F.col("pos") >= F.col("_start")) & (F.col("pos") < F.col("_end"))).drop("_row", "_start", "_end")
+
+
 def top_k(scores: DataFrame, k: int, bounds: DataFrame | None = None) -> DataFrame:
     """The k best (row, pos, score) of each row, ties by position, with their rank from 1; with ``bounds`` (row, start, end) of the
     positions in [start, end) only, and rows without bounds give none.
 
     Spark limits the groups before the exchange: each task passes on k rows of a row, so a row of any length is spread over tasks.
     """
-    if bounds is not None:
-        ends = bounds.select(F.col("row").alias("_row"), F.col("start").alias("_start"), F.col("end").alias("_end"))
-        scores = scores.join(ends, (F.col("row") == F.col("_row")) & (F.col("pos") >= F.col("_start")) & (F.col("pos") < F.col("_end"))).drop("_row", "_start", "_end")
+    scores = within_bounds(scores, bounds)
     rank = F.row_number().over(Window.partitionBy("row").orderBy(F.desc("score"), "pos"))
     return scores.withColumn("rank", rank).filter(F.col("rank") <= k)
 
 
+def selected_top_k(scores: DataFrame, k: int, bounds: DataFrame | None = None) -> DataFrame:
+    """As ``top_k``, without sorting a row: its k-th greatest score comes from counts by parts of the range (``order_statistics``),
+    one pass takes what lies above it, and of the rows tied with it the first ones are taken by position.
+
+    For rows of any length, in any number of tasks; nulls and NaN are no scores.
+    """
+    known = within_bounds(scores, bounds).filter("score is not null and not isnan(score)")
+    limits = order_statistics(known, ["row"], "score", {"least": f"greatest(n - {k} + 1, 1)"}).select(F.col("row").alias("_row"), F.col("least").alias("_least"))
+    near = known.join(limits, F.col("row").eqNullSafe(F.col("_row")) & (F.col("score") >= F.col("_least")))
+    level = F.row_number().over(Window.partitionBy("row").orderBy("pos"))
+    ties = near.filter("score = _least").withColumn("_at", level).filter(F.col("_at") <= k).drop("_at")
+    rank = F.row_number().over(Window.partitionBy("row").orderBy(F.desc("score"), "pos"))  # of fewer than 2 k rows
+    return near.filter("score > _least").unionByName(ties).drop("_row", "_least").withColumn("rank", rank).filter(F.col("rank") <= k)
+
+
 def overlap(a: DataFrame, b: DataFrame, k: int) -> DataFrame:
     """row, common of two index lists (row, idx), and whether both have k entries; the mean share comes by ``mean_overlap``."""
     both = a.join(b.select("row", F.col("idx").alias("_b")), "row")

@@ -70,6 +70,13 @@ def arrays_top_k(spark: SparkSession, d: str) -> DataFrame:
     return sequence.top_k(_scores(spark, d), 8)
 
 
+@query(f"""with {S}, b as (select *, row % 20 as low, 64 - row % 7 as high from s)
+select row, pos, score, rank from (select *, row_number() over (partition by row order by score desc, pos)::int as rank from b where pos >= low and pos < high) where rank <= 8""")
+def arrays_top_k_in_bounds(spark: SparkSession, d: str) -> DataFrame:
+    bounds = table(spark, d, "embeddings").selectExpr("vec_id as row", "vec_id % 20 as start", "64 - vec_id % 7 as end")
+    return sequence.selected_top_k(_scores(spark, d), 8, bounds)
+
+
 def _lists(spark: SparkSession, d: str, by: str) -> DataFrame:
     best = sequence.top_k(_scores(spark, d).withColumn("score", F.expr(by)), 8)
     return best.groupBy("row").agg(F.collect_list("pos").alias("idx"))

@@ -49,6 +49,8 @@ def test_best_of_a_row_in_bounds(spark) -> None:
     out = sequence.top_k(scores, 4, bounds)
     want = {(r, p, k) for r, a, b in ((0, 5, 20), (1, 38, 40)) for k, (_, p) in enumerate(sorted((-((p * 7 + r) % 5), p) for p in range(a, b))[:4], 1)}
     assert {(r.row, r.pos, r.rank) for r in out.collect()} == want
+    selected = sequence.selected_top_k(scores.unionByName(spark.createDataFrame([(0, 6, None), (0, 7, math.nan)], scores.schema)), 4, bounds)
+    assert {(r.row, r.pos, r.rank) for r in selected.collect()} == want
     assert "WindowGroupLimit" in out._jdf.queryExecution().toString()  # k rows of a row leave a task
 
 
