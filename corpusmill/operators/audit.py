@@ -130,8 +130,9 @@ def residual(total: Column, *parts: Column) -> Column:
 
 def threshold_errors(metrics: DataFrame, limits: DataFrame) -> DataFrame:
     """run, metric, problem: metrics (run, metric, value) against limits (metric, op, bound); a missing value is a problem."""
-    runs = metrics.select("run").distinct()
-    wanted = runs.join(limits).join(metrics, ["run", "metric"], "left")
+    every = limits.agg(F.collect_list(F.struct("metric", "op", "bound")).alias("limits"))  # one row
+    runs = metrics.select("run").distinct().crossJoin(F.broadcast(every)).select("run", F.explode("limits").alias("l")).select("run", "l.*")
+    wanted = runs.join(metrics, ["run", "metric"], "left")
     fits = F.when(F.col("op") == ">=", F.col("value") >= F.col("bound")).otherwise(F.col("value") <= F.col("bound"))
     problem = F.when(F.col("value").isNull(), "missing").when(~fits, F.concat(F.lit("not "), "op", F.lit(" bound")))
     return wanted.select("run", "metric", problem.alias("problem")).filter("problem is not null")

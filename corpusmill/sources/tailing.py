@@ -75,8 +75,7 @@ def lines(store: fs.FileSystem, span: Span, chunk: int = CHUNK) -> Iterator[tupl
 class LineTailReader(DataSourceStreamReader):
     def __init__(self, path: str, idle: float | None):
         self.path, self.idle = path, idle
-        self._ends: dict[str, int] = {}
-        self._seen: dict[str, tuple[int, float]] = {}
+        self._ends: dict[str, tuple[int, int]] = {}  # size, and the place after its last line end
 
     def initialOffset(self) -> dict:
         return {}
@@ -84,17 +83,17 @@ class LineTailReader(DataSourceStreamReader):
     def latestOffset(self) -> dict:
         store, root = opened(self.path)
         found = store.get_file_info(fs.FileSelector(root, allow_not_found=True, recursive=True))
-        now, out = time.monotonic(), {}
+        now, out = time.time(), {}
         for info in found:
             if info.type != fs.FileType.File or any(p[:1] in ("_", ".") for p in info.path[len(root.rstrip("/")) :].strip("/").split("/")):
                 continue
-            size, since = self._seen.get(info.path, (-1, now))
+            size, end = self._ends.get(info.path, (-1, 0))
             if info.size != size:
-                since = now
-                self._ends[info.path] = line_end(store, info.path, info.size, min(self._ends.get(info.path, 0), info.size))
-            self._seen[info.path] = (info.size, since)
-            quiet = self.idle is not None and now - since >= self.idle
-            out[info.path] = info.size if quiet else self._ends[info.path]
+                end = line_end(store, info.path, info.size, min(end, info.size))
+                self._ends[info.path] = info.size, end
+            # By the time of its last change, which a restart sees as well.
+            quiet = self.idle is not None and info.mtime_ns is not None and now - info.mtime_ns / 1e9 >= self.idle
+            out[info.path] = info.size if quiet else end
         return out
 
     def partitions(self, start: dict, end: dict) -> list[InputPartition]:

@@ -71,6 +71,8 @@ def test_growing_file_over_a_restart(spark, tmp_path, monkeypatch) -> None:
     query = _start(spark, folder, out, state, idle=3)  # the last line has no end: the file counts as finished after a while
     jobs.run_until_idle(query, 6)
     assert _texts(spark, str(out)) == [f"text {k}" for k in range(6)]
+    jobs.run_until_idle(_start(spark, folder, out, state, idle=3), 2)  # it is finished after a restart, too
+    assert _texts(spark, str(out)) == [f"text {k}" for k in range(6)]
     with (folder / "a.jsonl").open("a") as f:
         f.write("more\n")
     with pytest.raises(StreamingQueryException, match="has changed before"):
