@@ -16,7 +16,8 @@ from pyspark.sql.types import MapType, VariantType
 
 from corpusmill.sources.tables import scratch_path
 
-BLOCK = 128
+#: Rows of a block.  Running through n items copies n * n / 2 states: rows of a block, blocks of a key in a range, ranges of a key.
+BLOCK = 512
 
 Apply = Callable[[Column, Column], Column]
 
