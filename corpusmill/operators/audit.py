@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, MapType, StructType
 
 from corpusmill.functions.scalars import GIB, MIB, NUMBER
-from corpusmill.operators.scans import clamped_sum, last_value
+from corpusmill.operators.scans import last_value, scanned
 from corpusmill.operators.selection import order_statistics
 from corpusmill.sources.tables import scratch_path
 
@@ -81,19 +81,28 @@ def useful_frames(frames: Column, most: int = 5) -> Column:
     return F.slice(F.when(F.size(good) > 0, good).otherwise(frames), 1, most)
 
 
-def replay(events: DataFrame) -> DataFrame:
+def replay(events: DataFrame, order: list[str] | None = None) -> DataFrame:
     """device, peak, peak_idx, live_end of an allocation trace (device, idx, action, size, addr).
 
     A free gives back the size of the address's last allocation if that is still live, else its own; live bytes never go
-    below 0.  Both are scans by blocks, so one device, or one address, is spread over all tasks.
+    below 0.  With ``order``, columns that put a device's events in order, these are numbered from 1 and need no ``idx``.  Both
+    the last allocation and the live bytes are scans by blocks, so one device, or one address, is spread over all tasks.
     """
-    moves = events.filter(F.col("action").isin("alloc", "free_completed"))
-    moves = last_value(moves, ["device", "addr"], ["idx"], F.struct("action", "size"), "last", before=True)
+    moved = F.col("action").isin("alloc", "free_completed")
+    last = F.when(moved, F.struct("action", "size"))
+    rows = last_value(events, ["device", "addr"], order or ["idx"], last, "last", before=True)
     given = F.when((F.col("addr") != 0) & (F.col("last")["action"] == "alloc"), F.col("last")["size"]).otherwise(F.col("size"))
-    moves = moves.select("device", "idx", "action", F.when(F.col("action") == "alloc", F.col("size")).otherwise(-given).alias("change"))
-    moves = clamped_sum(moves, ["device"], ["idx"], F.col("change"), "live")
+    change = F.when(~moved, 0).when(F.col("action") == "alloc", F.col("size")).otherwise(-given)
+    rows = rows.select("device", "action", change.cast("long").alias("change"), *(order or ["idx"]))
+    # The number so far, and x -> max(x + a, b) for the live bytes.
+    zero = F.lit(0).cast("long")
+    maps = F.struct(F.lit(1).cast("long").alias("n"), F.col("change").alias("a"), zero.alias("b"))
+    apply = lambda x, m: F.struct((x["n"] + m["n"]).alias("n"), F.greatest(x["live"] + m["a"], m["b"]).alias("live"))
+    both = lambda f, g: F.struct((f["n"] + g["n"]).alias("n"), (f["a"] + g["a"]).alias("a"), F.greatest(f["b"] + g["a"], g["b"]).alias("b"))
+    rows = scanned(rows, ["device"], order or ["idx"], maps, F.struct(zero.alias("n"), zero.alias("live")), apply, both, "at")
+    rows = rows.filter(moved).select("device", "action", F.col("at.live").alias("live"), (F.col("at.n") if order else F.col("idx")).alias("idx"))
     grown = F.when((F.col("action") == "alloc") & (F.col("live") > 0), F.struct(F.col("live").alias("live"), (-F.col("idx")).alias("back")))
-    return moves.groupBy("device").agg(F.max(grown).alias("top"), F.max_by("live", "idx").alias("live_end")).select(
+    return rows.groupBy("device").agg(F.max(grown).alias("top"), F.max_by("live", "idx").alias("live_end")).select(
         "device", F.coalesce("top.live", F.lit(0)).alias("peak"), F.coalesce(-F.col("top.back"), F.lit(-1)).alias("peak_idx"), "live_end"
     )
 

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusmill.operators import audit
-from corpusmill.operators.scans import numbered
 from corpusmill.plans.registry import query
 from corpusmill.sources.tables import table
 
@@ -71,7 +70,7 @@ def audit_replay(spark: SparkSession, d: str) -> DataFrame:
         "l_suppkey as device", "if(l_returnflag = 'R', 'free_completed', 'alloc') as action", "cast(l_quantity as bigint) as size", "l_partkey % 8 as addr",
         "l_orderkey", "l_linenumber", "l_partkey", "l_returnflag",
     )
-    return audit.replay(numbered(rows, ["device"], ["l_orderkey", "l_linenumber", "l_partkey", "l_returnflag", "size"], "idx"))
+    return audit.replay(rows, ["l_orderkey", "l_linenumber", "l_partkey", "l_returnflag", "size"])
 
 
 @query("""with l as (select user_id as run, event_id, 'direct_hits' as key, case when event_id % 50 = 7 then 1 else 0 end as pr, case when event_id % 50 = 7 then event_id * 3 else event_id end as v from events)

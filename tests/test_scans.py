@@ -74,8 +74,9 @@ def test_replay_of_one_device_by_address(spark) -> None:
             was = last.get(addr)
             live = max(live - (was[1] if addr and was and was[0] == "alloc" else size), 0)
         last[addr] = (action, size)
-    out = audit.replay(spark.createDataFrame(events, "device string, idx long, action string, size long, addr long").repartition(4)).first()
-    assert tuple(out) == ("d", peak, at, live)
+    frame = spark.createDataFrame(events, "device string, idx long, action string, size long, addr long").repartition(4)
+    assert tuple(audit.replay(frame).first()) == ("d", peak, at, live)
+    assert tuple(audit.replay(frame.withColumnRenamed("idx", "when"), ["when"]).first()) == ("d", peak, at + 1, live)
 
 
 def test_smoothing_has_no_python_worker(spark) -> None:
