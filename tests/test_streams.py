@@ -41,7 +41,7 @@ def _start(spark, folder, out, state, idle=None):
     return rows.writeStream.foreachBatch(put).option("checkpointLocation", str(state)).trigger(processingTime="100 milliseconds").start()
 
 
-def _until(holds, seconds: float = 60) -> None:
+def _until(holds, seconds: float = 120) -> None:
     end = time.monotonic() + seconds
     while not holds():
         assert time.monotonic() < end
@@ -76,7 +76,7 @@ def test_growing_file_over_a_restart(spark, tmp_path, monkeypatch) -> None:
     with (folder / "a.jsonl").open("a") as f:
         f.write("more\n")
     with pytest.raises(StreamingQueryException, match="has changed before"):
-        jobs.run_until_idle(_start(spark, folder, out, state), 5)
+        jobs.run_until_idle(_start(spark, folder, out, state), 60)
 
 
 def _lines(spark, folder, rows) -> None:
