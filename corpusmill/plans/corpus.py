@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusmill.operators import corpus
+from corpusmill.operators import corpus, seeded
 from corpusmill.plans.registry import query
 from corpusmill.sources import sinks
 from corpusmill.sources.tables import scratch_path, table
@@ -18,6 +18,31 @@ PLAN = f"""o as (select doc_id, row_number() over (order by doc_id) - 1 as ord,
 plan as (select doc_id, (ord // {ROWS_PER_FILE})::bigint as shard,
   case when total % {ROWS_PER_FILE} > greatest(1, floor(total * 0.01)) and ord >= total - greatest(1, floor(total * 0.01)) then 'val' else 'train' end as part from o)"""
 
+# The words of a Mersenne Twister seeded with 42 (states a, b, c as its seeding makes them; blocks of 227 words, which hang on no word of
+# the same block), the draws below i + 1 from them (a word's top bits, those too great thrown away), and the swaps of each shard.
+TWISTER = f"""a(k, v) as (select 0, 19650218::bigint union all select k + 1, (1812433253 * xor(v, v >> 30) + k + 1) & 4294967295 from a where k < 623),
+b(k, v, one) as (select 0, v, 0::bigint from a where k = 0 union all
+  select b.k + 1, (xor(case when b.k < 623 then a.v else b.one end, xor(b.v, b.v >> 30) * 1664525) + 42) & 4294967295,
+    case when b.k = 0 then (xor(a.v, xor(b.v, b.v >> 30) * 1664525) + 42) & 4294967295 else b.one end
+  from b join a on a.k = (b.k + 1) % 624 where b.k < 624),
+c(k, v) as (select 1, v from b where k = 624 union all
+  select c.k + 1, (xor(b.v, xor(c.v, c.v >> 30) * 1566083941) - case when c.k < 623 then c.k + 1 else 1 end) & 4294967295 from c join b on b.k = c.k + 1 where c.k < 624),
+blocks(n, s, fresh) as (select 0, [2147483648::bigint] || (select list(v order by k % 624) from c where k > 1), []::bigint[] union all
+  select n + 1, s[228:624] || new, new from (select n, s, list_transform(range(1, 228), lambda i: xor(xor(s[i + 397], ((s[i] & 2147483648) | (s[i + 1] & 2147483647)) >> 1),
+    (s[i + 1] & 1) * 2567483615)) as new from blocks) where n * 227 < (select 2 * count(*) + 1000 from documents)),
+raw as (select n * 227 + unnest(range(0, 227)) - 227 as t, unnest(fresh) as y from blocks where n > 0),
+raw1 as (select t, xor(y, y >> 11) as y from raw), raw2 as (select t, xor(y, (y << 7) & 2636928640) as y from raw1),
+raw3 as (select t, xor(y, (y << 15) & 4022730752) as y from raw2), words as materialized (select t, xor(y, y >> 18) as y from raw3),
+files as materialized (select row_number() over (order by shard) as q, shard, count(*) as n, list(doc_id order by doc_id) as ids from plan where part = 'train' group by shard having count(*) > 1),
+draws(t, q, i, drawn_q, drawn_i, j, passed) as (select 0::bigint, 1::bigint, n - 1, 0::bigint, 0::bigint, 0::bigint, false from files where q = 1 union all
+  select t + 1, case when ok and i = 1 then q + 1 else q end, case when not ok then i when i > 1 then i - 1 else (select n - 1 from files f where f.q = x.q + 1) end, q, i, j, ok
+  from (select d.t, d.q, d.i, w.y >> (32 - length(bin(d.i + 1))) as j, w.y >> (32 - length(bin(d.i + 1))) <= d.i as ok from draws d join words w on w.t = d.t where d.i is not null) x),
+swaps as materialized (select drawn_q as q, drawn_i as i, j from draws where passed),
+orders(q, i, l) as (select q, n, ids from files union all
+  select o.q, s.i, list_transform(o.l, lambda v, k: case when k = s.i + 1 then o.l[s.j + 1] when k = s.j + 1 then o.l[s.i + 1] else v end)
+  from orders o join swaps s on s.q = o.q and s.i = o.i - 1),
+done as (select f.shard, unnest(l) as doc_id, unnest(range(1, len(l) + 1)) as place from orders join files f using (q) where orders.i = 1)"""
+
 
 def _tokens(spark: SparkSession, d: str) -> DataFrame:
     return corpus.tokenized(table(spark, d, "documents"))
@@ -96,6 +121,12 @@ def corpus_shuffle(spark: SparkSession, d: str) -> DataFrame:
     return corpus.shuffled(_plan(spark, d), 42)
 
 
+@query(f"""with recursive {PLAN}, {TWISTER} select doc_id, shard, 'train' as part, place::int as place from done
+union all select doc_id, shard, part, row_number() over (partition by shard, part order by doc_id)::int from plan where not (part = 'train' and shard in (select shard from files))""")
+def corpus_seeded_shuffle(spark: SparkSession, d: str) -> DataFrame:
+    return seeded.shuffled(_plan(spark, d), 42)
+
+
 @query(f"""with {TOK} select doc_id, unnest(list_filter([case when list_max(tokens) >= 131000 then 'id beyond vocabulary' end, case when list_min(tokens) < 0 then 'negative id' end,
   case when len(tokens) > 2000 then 'longer than the budget' end], lambda x: x is not null)) as problem from t""")
 def corpus_violations(spark: SparkSession, d: str) -> DataFrame:
