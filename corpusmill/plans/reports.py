@@ -6,11 +6,67 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusmill.functions.scalars import iso_utc
-from corpusmill.operators import reports
+from corpusmill.operators import markdown_tables, reports
 from corpusmill.plans.registry import query
 from corpusmill.sources import sinks
 from corpusmill.sources.tables import scratch_path, table
 
+# Texts of orders with a table of their items: rows short of a cell and with one too many, glyphs, numbers, long words, a repeated name.
+SHEETS = """items as (select l_orderkey as id, l_linenumber as k, p_name || ' — ' || p_type as what, '#' || p_partkey as num,
+  'https://shop/' || lower(p_type) || '/' || l_suppkey || '/' || p_partkey || '/' || l_returnflag as link from lineitem join part on p_partkey = l_partkey),
+cells as (select id, row_number() over (partition by id order by k, what, num, link) as r, k::varchar as c1, what as c2, num as c3, case when k % 3 = 0 then '' else link end as c4 from items)"""
+# Single characters to take or to give, in the order in which they go, in place of the loops.
+ALLOTTED = """folded as (select id, r, c1, replace(c2, '—', '--') as c2, case when length(c3) >= 4 then '#' || c3 else c3 end as c3, c4 from cells),
+every as (select id, 1 as col, c1 as c from folded union all select id, 2, c2 from folded union all select id, 3, c3 from folded union all select id, 4, c4 from folded),
+facts as (select id, col, max(length(c)) as body, max(list_max(list_transform(string_split(c, ' '), lambda w: length(w)))) as word from every group by 1, 2),
+names as (select * from (values (1, 'line', 4, 4), (2, 'item', 4, 4), (3, 'item', 6, 6), (4, 'where', 5, 5)) v(col, name, size, longest)),
+shaped as (select id, col, greatest(size, body) as nat, greatest(longest, least(16, word)) as least from facts join names using (col)),
+spread as (select *, round_even(47 * nat / sum(nat) over (partition by id), 0)::int as share from shaped),
+firsts as (select *, greatest(least, least(47, share)) as first from spread),
+rooms as (select *, sum(first) over (partition by id) - 47 as over from firsts),
+takes as (select id, col, row_number() over (partition by id order by level desc, col) as place, over from (select id, col, over, unnest(range(1, first - least + 1)) as level from rooms where over > 0)),
+gives as (select id, col, row_number() over (partition by id order by phase, nat desc, col) as place, over from (
+  select id, col, over, 0 as phase, nat, unnest(range(0, greatest(0, nat - first))) from rooms where over < 0
+  union all select id, col, over, 1, nat, unnest(range(0, greatest(0, 47 - greatest(first, nat)))) from rooms where over < 0)),
+moved as (select id, col, -count(*) as n from takes where place <= over group by 1, 2 union all select id, col, count(*) from gives where place <= -over group by 1, 2),
+widths as (select id, col, nat, least, (first + coalesce(n, 0))::int as width from rooms left join moved using (id, col))"""
+# The fold comes first in a cell, then the breaks of long words, then the lines.
+SET = """laid as (select id, r, col, c, width from (select id, r, 1 as col, c1 as c from folded union all select id, r, 2, c2 from folded union all select id, r, 3, c3 from folded
+    union all select id, r, 4, c4 from folded union all select id, 0, col, name from names, (select distinct id from folded)) join widths using (id, col)),
+split as (select id, r, col, width, regexp_extract_all(trim(regexp_replace(regexp_replace(c, '([^ ]{' || width || '})', '\\1 ', 'g'), ' +', ' ', 'g')),
+    '(.{1,' || width || '})(?: |$)', 1) as parts from laid),
+tall as (select id, r, max(greatest(1, len(parts))) as height from split group by 1, 2),
+parted as (select id, r, unnest(range(0, height)) as part from tall),
+printed as (select id, r, part, '| ' || string_agg(rpad(coalesce(parts[part + 1], ''), width, ' '), ' | ' order by col) || ' |' as line from parted join split using (id, r) group by 1, 2, 3),
+ruled as (select id, '|' || string_agg(repeat('-', width + 2), '|' order by col) || '|' as line from widths group by id)"""
+
+
+def _sheets(spark: SparkSession, d: str) -> DataFrame:
+    """id, text: each order with its items as a table, rows in the order of their line numbers and cells."""
+    part = table(spark, d, "part").select("p_partkey", "p_name", "p_type")
+    items = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag").join(part, F.col("l_partkey") == F.col("p_partkey"))
+    link = F.concat_ws("/", F.lit("https://shop"), F.lower("p_type"), "l_suppkey", "p_partkey", "l_returnflag")
+    last = F.when(F.col("l_linenumber") % 3 == 0, F.lit("|")).when(F.col("l_linenumber") % 3 == 1, F.concat(F.lit("|"), link, F.lit("| beyond |"))).otherwise(F.concat(F.lit("| "), link, F.lit(" |")))
+    what, number = F.concat("p_name", F.lit(" — "), "p_type"), F.concat(F.lit("#"), "p_partkey")
+    row = F.concat(F.lit("| "), "l_linenumber", F.lit(" | "), what, F.lit(" |"), number, last)
+    rows = items.groupBy(F.col("l_orderkey").alias("id")).agg(F.sort_array(F.collect_list(F.struct("l_linenumber", what.alias("what"), number.alias("number"), link.alias("link"), row.alias("row")))).alias("rows"))
+    head = F.concat(F.lit("Order "), "id", F.lit("\n| line | item | item | where |\n|:---|---|---|---:|\n"))
+    return rows.select("id", F.concat(head, F.array_join("rows.row", "\n"), F.lit("\nEnd | of order\n")).alias("text"))
+
+
+@query(f"""with {SHEETS}, {ALLOTTED} select id, 1 as head, string_agg(nat, ';' order by col) as naturals, string_agg(least, ';' order by col) as mins,
+  string_agg(width, ';' order by col) as widths from widths group by id""")
+def report_table_widths(spark: SparkSession, d: str) -> DataFrame:
+    rows = markdown_tables.table_cells(markdown_tables.tabled(markdown_tables.lines(_sheets(spark, d))))
+    shares = markdown_tables.allotted(markdown_tables.column_widths(rows), 60)
+    return shares.select("id", "head", *[F.array_join(F.col(c).cast("array<string>"), ";").alias(c) for c in ("naturals", "mins", "widths")])
+
+
+@query(f"""with {SHEETS}, {ALLOTTED}, {SET}, body as (select id, r, part, line from printed union all select id, 0, 1, line from ruled)
+select id, 'Order ' || id || chr(10) || string_agg(line, chr(10) order by r, part) || chr(10) || 'End | of order' || chr(10) as text from body group by id""")
+def report_reflowed(spark: SparkSession, d: str) -> DataFrame:
+    return markdown_tables.reflowed(_sheets(spark, d), 60)
+
 
 @query("""select rpad(case when length(p_name) <= 10 then p_name else substr(p_name, 1, 7) || '...' end, 10, ' ') || lpad(printf('%.3f', p_size::double), 14, ' ') || lpad(case when p_size % 5 = 0 then '-' else printf('%.3f', p_partkey::double) end, 14, ' ') as line from part""")
 def report_lines(spark: SparkSession, d: str) -> DataFrame:
