@@ -4,11 +4,12 @@ Native operator: DataFrame functions and Spark's own logistic regression only.
 
 1. A paragraph is a line with a word; its features are hashed counts of its words and word pairs.  A paragraph without any
    word triple of any template cannot be confirmed (step 4), so it is left out before it is classified.
-2. Multinomial logistic regression is trained on ``TEMPLATES`` (whole, and cut at each quarter), on ``DECOYS`` and on the
-   paragraphs of at most ``SAMPLE_DOCS`` documents of all languages and sources as class unknown.  Sampled
+2. Multinomial logistic regression is trained on ``TEMPLATES`` (whole, and notices cut at a half and at three quarters), on
+   ``DECOYS`` and on the paragraphs of at most ``SAMPLE_DOCS`` documents of all languages and sources as class unknown.  Sampled
    paragraphs that a template confirms are left out.
-3. A quarter of the training rows of every class (by hash) is held back from the fit: the temperature of ``TEMPERATURES`` with
-   the least log loss there calibrates the class probabilities.  A paragraph is taken for a family when its calibrated
+3. A first fit is made without the second template of every family, with all its cuts, and without a quarter of the unknown
+   paragraphs (by hash): the temperature of ``TEMPERATURES`` with the least log loss on those calibrates the class probabilities of
+   the fit to all rows; known and unknown rows have equal weight in this loss.  A paragraph is taken for a family when its calibrated
    probability is at least ``LEAST_PROBABILITY``, else it is unknown; of families with equal probability the one that comes
    first in ``TEMPLATES`` counts.
 4. A prediction stands when the paragraph holds at least ``CONFIRM_PERCENT`` of the distinct word triples of one of the
@@ -39,7 +40,7 @@ LEAST_PROBABILITY = 0.5
 CONFIRM_PERCENT = 60
 UNKNOWN = "unknown"
 # Notices that these licences are known by.
-TEMPLATES: dict[str, tuple[str, ...]] = {
+NOTICES: dict[str, tuple[str, ...]] = {
     "MIT": (
         "Released under the MIT License.",
         "Licensed under the MIT license.",
@@ -107,6 +108,18 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
     "ODbL": ("This database is made available under the Open Database License.", "Licensed under the ODbL 1.0."),
     "Unlicense": ("This is free and unencumbered software released into the public domain.", "Released under the Unlicense."),
 }
+# Identifiers of the families in one-line marks; the bare name stands for all versions.
+IDENTIFIERS: dict[str, tuple[str, ...]] = {
+    "MIT": ("MIT",), "Apache-2.0": ("Apache-2.0",), "GPL": ("GPL", "GPL-2.0-only", "GPL-3.0-or-later"), "LGPL": ("LGPL", "LGPL-2.1-or-later"),
+    "BSD": ("BSD", "BSD-2-Clause", "BSD-3-Clause"), "MPL-2.0": ("MPL-2.0",), "CC-BY": ("CC-BY-4.0",), "CC-BY-SA": ("CC-BY-SA-4.0",),
+    "CC-BY-NC": ("CC-BY-NC-4.0",), "CC0": ("CC0-1.0",), "ISC": ("ISC",), "AGPL": ("AGPL", "AGPL-3.0-or-later"), "EPL": ("EPL", "EPL-2.0"),
+    "CDDL": ("CDDL", "CDDL-1.0"), "EUPL": ("EUPL", "EUPL-1.2"), "Zlib": ("Zlib",), "BSL-1.0": ("BSL-1.0",), "Artistic-2.0": ("Artistic-2.0",),
+    "WTFPL": ("WTFPL",), "0BSD": ("0BSD",), "OFL-1.1": ("OFL-1.1",), "PSF": ("PSF-2.0",), "MS-PL": ("MS-PL",), "SSPL": ("SSPL-1.0",),
+    "BUSL-1.1": ("BUSL-1.1",), "CC-BY-ND": ("CC-BY-ND-4.0",), "CC-BY-NC-SA": ("CC-BY-NC-SA-4.0",), "CC-BY-NC-ND": ("CC-BY-NC-ND-4.0",),
+    "GFDL": ("GFDL", "GFDL-1.3-or-later"), "ODbL": ("ODbL-1.0",), "Unlicense": ("Unlicense",),
+}
+MARK = "SPDX-License-Identifier: "
+TEMPLATES = {family: (*notices, *(MARK + i for i in IDENTIFIERS[family])) for family, notices in NOTICES.items()}
 #: Sentences of this library that speak of like things and name no licence.
 DECOYS = (
     "The driver showed his license to the officer.", "You need a license to fish in this lake.", "Permission was granted by the city council.",
@@ -143,9 +156,9 @@ def paragraphs(docs: DataFrame) -> DataFrame:
 
 
 def templates(spark: SparkSession) -> DataFrame:
-    """family, template (a number), tokens."""
-    rows = [(family, i, text) for i, (family, text) in enumerate((f, t) for f, ts in TEMPLATES.items() for t in ts)]
-    return spark.createDataFrame(rows, "family string, template int, text string").select("family", "template", words(F.col("text")).alias("tokens"))
+    """family, template (a number), nth (in its family, from 0), tokens."""
+    rows = [(family, i, nth, text) for i, (family, nth, text) in enumerate((f, n, t) for f, ts in TEMPLATES.items() for n, t in enumerate(ts))]
+    return spark.createDataFrame(rows, "family string, template int, nth int, text string").select("family", "template", "nth", words(F.col("text")).alias("tokens"))
 
 
 def _triples(tokens: Column) -> Column:
@@ -184,13 +197,15 @@ def _least(known: DataFrame) -> DataFrame:
 
 
 def training_rows(docs: DataFrame) -> DataFrame:
-    """label, tokens of the training paragraphs."""
+    """label, tokens, held (not for the first fit) of the training paragraphs."""
     spark, families = docs.sparkSession, [UNKNOWN, *TEMPLATES]
     cut = lambda q: F.expr(f"slice(tokens, 1, greatest(cast(size(tokens) * {q} div 4 as int), 3))")
-    good = templates(spark).select("family", F.explode(F.array(F.col("tokens"), cut(2), cut(3))).alias("tokens"))
+    cuts = F.when(F.col("tokens")[0] == "spdx", F.array("tokens")).otherwise(F.array(F.col("tokens"), cut(2), cut(3)))
+    good = templates(spark).select("family", (F.col("nth") == 1).alias("held"), F.explode(cuts).alias("tokens"))
     label = F.array_position(F.array(*map(F.lit, families)), F.col("family")) - 1
-    good = good.select(label.cast("double").alias("label"), "tokens")
-    decoys = spark.createDataFrame([(t,) for t in DECOYS], "text string").select(F.lit(0.0).alias("label"), words(F.col("text")).alias("tokens"))
+    good = good.select(label.cast("double").alias("label"), "tokens", "held")
+    quarter = (F.pmod(F.xxhash64("tokens"), F.lit(4)) == 0).alias("held")
+    decoys = spark.createDataFrame([(t,) for t in DECOYS], "text string").select(F.lit(0.0).alias("label"), words(F.col("text")).alias("tokens")).select("*", quarter)
     # The least hashes of each language and source come first, so that all are in the sample.
     place = F.row_number().over(Window.partitionBy("lang", "source").orderBy(F.xxhash64("doc_id"), "doc_id"))
     known = docs.select("doc_id", *[F.col(c) if c in docs.columns else F.lit(None).cast("string").alias(c) for c in ("lang", "source")]).filter("doc_id is not null")
@@ -199,11 +214,11 @@ def training_rows(docs: DataFrame) -> DataFrame:
     ids = ids.orderBy("place", F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_DOCS).select(F.col("doc_id").alias("_id")).distinct()
     sample = paragraphs(docs.select("doc_id", "text").join(F.broadcast(ids), F.col("doc_id") == F.col("_id"), "left_semi"))
     sample = stored(sample.select(F.xxhash64("tokens").alias("id"), "tokens").distinct(), "licence-sample")
-    sample = sample.join(confirmed(sample).select("id").distinct(), "id", "left_anti").select(F.lit(0.0).alias("label"), "tokens")
+    sample = sample.join(confirmed(sample).select("id").distinct(), "id", "left_anti").select(F.lit(0.0).alias("label"), "tokens", quarter)
     # Few template rows stand against many others: each is repeated, plain and with the first word of each of four sampled paragraphs.
     fronts = sample.orderBy(F.xxhash64("tokens"), "tokens").limit(4).select(F.slice("tokens", 1, 1).alias("front"))
     fronts = fronts.unionByName(spark.range(4).select(F.array().cast("array<string>").alias("front")))
-    many = good.crossJoin(F.broadcast(fronts)).select("label", F.concat("front", "tokens").alias("tokens"))
+    many = good.crossJoin(F.broadcast(fronts)).select("label", F.concat("front", "tokens").alias("tokens"), "held")
     return many.unionByName(decoys).unionByName(decoys).unionByName(sample)
 
 
@@ -215,14 +230,15 @@ def centred() -> Column:
 
 def train(docs: DataFrame) -> tuple[LogisticRegressionModel, float]:
     """The fitted model and its temperature."""
-    rows = stored(featured(training_rows(docs)).select("label", "features", F.xxhash64("tokens").alias("h")), "licence-training").coalesce(2)
-    held = F.pmod(F.col("h"), F.lit(4)) == 0
-    model = LogisticRegression(maxIter=ITERATIONS, regParam=1e-3, family="multinomial").fit(rows.filter(~held))
-    scored = model.transform(rows.filter(held)).select("label", centred().alias("z"))
+    rows = stored(featured(training_rows(docs)).select("label", "features", "held"), "licence-training").coalesce(2)
+    fitting = LogisticRegression(maxIter=ITERATIONS, regParam=1e-3, family="multinomial")
+    trial = fitting.fit(rows.filter("not held"))
+    scored = trial.transform(rows.filter("held")).select("label", centred().alias("z"))
     total = lambda t: F.aggregate("z", F.lit(0.0), lambda a, z: a + F.exp(z / t))
-    losses = [F.avg(F.log(total(t)) - F.element_at("z", F.col("label").cast("int") + 1) / t) for t in TEMPERATURES]
-    values = scored.agg(*losses).first()
-    return model, min(zip((v if v is not None else 0.0 for v in values), TEMPERATURES, strict=True))[1]
+    losses = [F.avg(F.log(total(t)) - F.element_at("z", F.col("label").cast("int") + 1) / t).alias(f"t{i}") for i, t in enumerate(TEMPERATURES)]
+    sides = scored.groupBy((F.col("label") > 0).alias("known")).agg(*losses)
+    values = sides.agg(*[F.sum(f"t{i}") for i in range(len(TEMPERATURES))]).first()
+    return fitting.fit(rows), min(zip((v if v is not None else 0.0 for v in values), TEMPERATURES, strict=True))[1]
 
 
 def found(docs: DataFrame, fitted: tuple[LogisticRegressionModel, float] | None = None) -> DataFrame:

@@ -67,3 +67,28 @@ def test_notices_are_named_and_decoys_are_not(found) -> None:
     assert named >= 0.9 * len(notices)
     assert not [d for d, _ in found if d is not None and 2000 <= d < 4000]
     assert (None, "MIT") in found and (4000, "Zlib") in found
+
+
+def test_one_line_marks(spark, fitted) -> None:
+    lines = {
+        "// SPDX-License-Identifier: MIT": "MIT", "# SPDX-License-Identifier: Apache-2.0": "Apache-2.0", "/* SPDX-License-Identifier: GPL-2.0-or-later */": "GPL",
+        " * SPDX-License-Identifier: BSD-3-Clause": "BSD", "SPDX-License-Identifier: CC-BY-NC-SA-4.0": "CC-BY-NC-SA", "-- SPDX-License-Identifier: MPL-2.0": "MPL-2.0",
+    }
+    rows = [(i, f"int x;\n{line}\nint y;", "en", "x") for i, line in enumerate(lines)] + [(99, "SPDX-License-Identifier: none of these", "en", "x")]
+    got = {(r.doc_id, r.family) for r in ls.families(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string"), fitted).collect()}
+    assert got == set(enumerate(lines.values()))
+
+
+def test_whole_templates_are_held_back(spark, docs) -> None:
+    rows = ls.training_rows(docs).select("label", "tokens", "held").collect()
+    # The held template of a family, and whatever was cut from it, is on no other row of the family.
+    for label, family in enumerate(ls.TEMPLATES, 1):
+        own = [r for r in rows if r.label == label]
+        assert {r.held for r in own} == {True, False}
+        held = _words(ls.TEMPLATES[family][1])
+        for r in own:
+            is_cut = any(r.tokens[k:] == held[: len(r.tokens) - k] and len(r.tokens) - k in {len(held), max(3, len(held) // 2), max(3, len(held) * 3 // 4)} for k in (0, 1))
+            others = [_words(t) for i, t in enumerate(ls.TEMPLATES[family]) if i != 1]
+            shared = any(r.tokens[k:] == o[: len(r.tokens) - k] for o in others for k in (0, 1))
+            assert r.held == is_cut or shared
+    assert 0 < sum(r.held for r in rows if r.label == 0) < sum(r.label == 0 for r in rows)
