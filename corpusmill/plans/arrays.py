@@ -366,7 +366,8 @@ def arrays_split_softmax(spark: SparkSession, d: str) -> DataFrame:
     return out.select("id", F.round("top", 6).alias("top"), F.round("denominator", 6).alias("denominator"))
 
 
-@query("select 'nan'::double as pct")
+@query(f"""with {OVER}, n as (select row, count(*) as whole, case when row = 0 then least(count(*), 7) else count(*) end as short from a group by row)
+select case when bool_or(whole <> short) then 'nan'::double else (select round(100.0 * sum(common) / (8 * count(*)), 6) from o) end as pct from n""")
 def arrays_overlap_of_other_shape(spark: SparkSession, d: str) -> DataFrame:
     short = _lists(spark, d, "score").withColumn("idx", F.expr("if(row = 0, slice(idx, 1, 7), idx)"))
     return sequence.mean_overlap(sequence.overlap(short, _lists(spark, d, "score"), 8))
