@@ -230,7 +230,7 @@ def centred() -> Column:
 
 def train(docs: DataFrame) -> tuple[LogisticRegressionModel, float]:
     """The fitted model and its temperature."""
-    rows = stored(featured(training_rows(docs)).select("label", "features", "held"), "licence-training").coalesce(2)
+    rows = stored(featured(training_rows(docs)).select("label", "features", "held"), "licence-training").coalesce(1)
     fitting = LogisticRegression(maxIter=ITERATIONS, regParam=1e-3, family="multinomial")
     trial = fitting.fit(rows.filter("not held"))
     scored = trial.transform(rows.filter("held")).select("label", centred().alias("z"))
