@@ -270,6 +270,16 @@ def reference_counts(lists: DataFrame, length: int) -> DataFrame:
     return lists.sparkSession.range(length).withColumnRenamed("id", "pos").join(counts, "pos", "left").fillna(0, ["n"])
 
 
+def correlation(rows: DataFrame, x: str, y: str) -> DataFrame:
+    """r of the rows that have both values: Pearson's coefficient, NaN where either does not vary, null without such rows."""
+    both = rows.filter(F.col(x).isNotNull() & F.col(y).isNotNull())
+    # corr itself divides by the deviations, which is an error where they are zero.
+    facts = both.agg(
+        F.covar_pop(x, y).alias("shared"), (F.stddev_pop(x) * F.stddev_pop(y)).alias("scale"), ((F.min(x) == F.max(x)) | (F.min(y) == F.max(y))).alias("still")
+    )
+    return facts.select(F.when(F.col("still") | (F.col("scale") == 0), F.lit(float("nan"))).otherwise(F.col("shared") / F.col("scale")).alias("r"))
+
+
 def boundary_stats(rows: DataFrame, edge: int) -> DataFrame:
     """Positions before the edge and behind it: n, mean and greatest error."""
     part = F.when(F.col("pos") < edge, "boundary").otherwise("interior")

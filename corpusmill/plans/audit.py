@@ -209,7 +209,7 @@ def audit_reference_counts(spark: SparkSession, d: str) -> DataFrame:
 @query("""with e as (select l_partkey % 500 as pos, max(l_discount) as err, count(*) as n from lineitem group by 1) select round(corr(n, err), 6) as r from e""")
 def audit_reference_correlation(spark: SparkSession, d: str) -> DataFrame:
     each = table(spark, d, "lineitem").groupBy(F.col("l_partkey") % 500).agg(F.max("l_discount").alias("err"), F.count("*").alias("n"))
-    return each.agg(F.round(F.corr("n", "err"), 6).alias("r"))
+    return audit.correlation(each, "n", "err").select(F.round("r", 6).alias("r"))
 
 
 @query("""with e as (select l_partkey % 500 as pos, max(l_extendedprice) as err, count(*) as n from lineitem group by 1) select pos, err, n from e order by err desc, pos limit 20""")

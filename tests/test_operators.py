@@ -106,6 +106,13 @@ def test_recurrence_and_momentum(spark) -> None:
     assert sequence.momentum(steps, 0.5).first().m == pytest.approx(round((0.5 * m - 0.5) * 127) / 127, abs=0.01)
 
 
+def test_correlation(spark) -> None:
+    r = lambda rows: audit.correlation(spark.createDataFrame(rows, "x long, y double"), "x", "y").first().r
+    assert r([(1, 2.0), (2, 4.0), (3, 5.0), (None, 9.0), (9, None)]) == pytest.approx(0.9819805)
+    assert math.isnan(r([(1, 0.1), (2, 0.1), (5, 0.1)])) and math.isnan(r([(1, 2.0)]))
+    assert r([]) is None and r([(1, None)]) is None
+
+
 def test_first_objects(spark) -> None:
     df = spark.createDataFrame([(1, "x {bad {\"a\": 1} y"), (2, "none"), (3, None)], "id long, value string")
     assert {r.id: r.object for r in sequence.first_objects(df).collect()} == {1: '{"a": 1}', 2: None, 3: None}
