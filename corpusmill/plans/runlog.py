@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from corpusmill.functions.scalars import finite, label_path, readable_bytes, readable_share, short
 from corpusmill.operators import runlog
+from corpusmill.operators.scans import stored
 from corpusmill.plans.registry import query
 from corpusmill.sources import logs
 from corpusmill.sources.tables import scratch_path, table
@@ -208,7 +209,10 @@ def runlog_files(spark: SparkSession, d: str) -> DataFrame:
     lines = logs.log_lines(spark, f"{path}/*")
     words = F.split("value", " ")
     found = lines.select(words[2].alias("part"), words[1].cast("long").alias("o_orderkey"), "line_no")
-    return found.groupBy("part").agg(F.count("*").alias("n"), F.sum("o_orderkey").alias("keys"), F.sum(F.col("line_no") * F.col("o_orderkey")).alias("placed"))
+    placed = F.sum((F.col("line_no") * F.col("o_orderkey")).cast("decimal(20,0)")).cast("decimal(38,0)")
+    sums = stored(found.groupBy("part").agg(F.count("*").alias("n"), F.sum("o_orderkey").alias("keys"), placed.alias("placed")), "log-sums")
+    # ``placed`` grows with the third power of the orders.  Beyond a bigint, where the SQL has no result, it stays a whole decimal.
+    return sums if sums.filter(F.col("placed").try_cast("long").isNull()).head(1) else sums.withColumn("placed", F.col("placed").cast("long"))
 
 
 @query("""select p_partkey, case when p_partkey % 5 in (1, 2) then null else round_even(p_retailprice / 7, 3) end as value, case when p_size % 10 = 0 then '-' else printf('%.1f%%', p_size % 10 * 4.0) end as mfu from part""")

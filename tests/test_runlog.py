@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from corpusmill.functions.scalars import coerced, duration_ms, finite, label_path, readable_bytes, short
 from corpusmill.operators import profiler, runlog
+from corpusmill.plans import QUERIES
 from corpusmill.sources import logs
 
 
@@ -90,3 +91,10 @@ def test_scalars(spark) -> None:
     assert at(label_path(F.lit("a=b=c"))).path == "b=c"
     assert at(finite(F.lit(float("nan")), 3)) is None
     assert [at(coerced(F.lit(v))) for v in ("1", "1.5", "x")] == ["int", "float", "error"]
+
+
+def test_log_files_beyond_a_bigint(spark, tmp_path) -> None:
+    big = 2 * 10**18
+    spark.createDataFrame([(big + i, "F") for i in range(3)], "o_orderkey long, o_orderstatus string").write.parquet(str(tmp_path / "orders.parquet"))
+    row = QUERIES["runlog_files"](spark, str(tmp_path)).first()
+    assert (row.part, row.n, row.keys, int(row.placed)) == ("F", 3, 3 * big + 3, 2 * (big + 1) + 4 * (big + 2))
