@@ -124,21 +124,33 @@ def profiler_durations(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "part").select("p_partkey", duration_ms(F.concat(F.col("p_size").cast("string"), unit)).alias("ms"))
 
 
+#: Orders for which a trace file of each priority is written.
+TRACE_ORDERS = 500_000
+
+
 @query(f"""with op as (select o_orderkey as id, o_orderpriority as cpu_op, o_totalprice as dur from orders), k as (select l_orderkey as id, {LIST}[(l_partkey % 8 + 1)::int] as name, l_quantity as dur from lineitem)
 select {KIND} as kind, coalesce(cpu_op, '<unlinked>') as cpu_op, case when op.id is not null then 'float' else '' end as types, case when op.id is not null then '4x8' else '' end as dims, count(*) as calls, round(sum(k.dur), 6) as total_us from k left join op using (id) where not name like 'element%' group by all""")
 def profiler_trace_file(spark: SparkSession, d: str) -> DataFrame:
-    # One trace file of each order priority: its operators, and the kernels of its orders.
+    # Trace files of each order priority, as many as a file's number of orders asks for: operators, and the kernels of their orders.
     orders = table(spark, d, "orders").select("o_orderkey", "o_orderpriority", "o_totalprice")
+    n_files = orders.count() // TRACE_ORDERS + 1
+    file = lambda key: [F.coalesce("o_orderpriority", F.lit("none")).alias("priority"), F.pmod(F.hash(key), F.lit(n_files)).alias("part")]
     op = F.struct(
         F.lit("cpu_op").alias("cat"), F.col("o_orderpriority").alias("name"), F.col("o_totalprice").alias("dur"),
         F.struct(F.col("o_orderkey").alias("External id"), F.array(F.lit("float")).alias("Input type"), F.array(F.array(F.lit(4), F.lit(8))).alias("Input Dims")).alias("args"),
     )
     kernel = F.struct(F.lit("kernel").alias("cat"), F.expr(f"{NAMES}[l_partkey % 8]").alias("name"), F.col("l_quantity").alias("dur"), F.struct(F.col("l_orderkey").cast("string").alias("External id")).alias("args"))
     kernels = table(spark, d, "lineitem").join(orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_orderpriority"), "l_orderkey", "left")
-    events = orders.select("o_orderpriority", F.to_json(op).alias("e")).unionByName(kernels.select("o_orderpriority", F.to_json(kernel).alias("e")))
+    events = orders.select(*file("o_orderkey"), F.to_json(op).alias("e")).unionByName(kernels.select(*file("l_orderkey"), F.to_json(kernel).alias("e")))
+    # A file's lines: the head with an event of its own kind, the events, the end; the sort may spill, no file is held whole.
+    lines = events.select("priority", "part", F.lit(1).alias("place"), F.concat(F.lit(","), "e").alias("value"))
+    frame = F.expr("""inline(array(struct(0 as place, '{"traceEvents": [{"ph":"M","name":"process_name"}' as value), struct(2 as place, ']}' as value)))""")
+    priorities = orders.select(F.explode(F.array(F.coalesce("o_orderpriority", F.lit("none")), F.lit("none"))).alias("priority")).distinct()
+    files = priorities.select("priority", F.explode(F.sequence(F.lit(0), F.lit(n_files - 1))).alias("part"))
+    lines = lines.unionByName(files.select("priority", "part", frame))
     path = scratch_path(spark, "traces")
-    files = events.groupBy("o_orderpriority").agg(F.collect_list("e").alias("all")).select(F.concat(F.lit('{"traceEvents": ['), F.array_join("all", ",\n"), F.lit("]}")).alias("value"))
-    files.repartition(5, "value").write.option("maxRecordsPerFile", 1).text(path)
+    keys = ["priority", "part"]
+    lines.repartition(*keys).sortWithinPartitions(*keys, "place").select(*keys, "value").write.partitionBy(*keys).text(path)
     groups = profiler.trace_groups(profiler.read_trace(spark, path))
     return groups.select("kind", "cpu_op", F.array_join("types", ",").alias("types"), F.array_join("dims", ",").alias("dims"), "calls", "total_us")
 

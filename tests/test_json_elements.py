@@ -6,8 +6,10 @@ import json
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from corpusmill.operators import profiler
+from corpusmill.plans import profiler as plans
 from corpusmill.sources.json_elements import json_elements
 
 TEXTS = ["", "a", '"', "\\", '\\"', "{[", "]}", '"traceEvents": [', "é漢", "\\\\\\", "x" * 40, "\n\t"]
@@ -44,3 +46,17 @@ def test_one_trace_by_many_tasks(spark, tmp_path, monkeypatch) -> None:
     assert [(r.file, r.cat, r.name, r.dur, r.ext_id, r.input_types, r.input_dims) for r in rows] == [("a.json", e["cat"], e["name"], e["dur"], str(k), ["f"], ["2x3", ""]) for k, e in enumerate(events)]
     (tmp_path / "cut.json").write_text(json.dumps({"traceEvents": events})[:2000])
     assert profiler.read_trace(spark, str(tmp_path / "cut.json")).count() > 10
+
+
+def test_trace_files_are_cut_by_orders(spark, sf, monkeypatch) -> None:
+    read, sizes = profiler.read_trace, []
+
+    def counted(session, path):
+        sizes.extend(r["count"] for r in session.read.text(path).groupBy(F.input_file_name()).count().collect())
+        return read(session, path)
+
+    whole = {tuple(r) for r in plans.profiler_trace_file(spark, sf).collect()}
+    monkeypatch.setattr(plans, "TRACE_ORDERS", 100)
+    monkeypatch.setattr(profiler, "read_trace", counted)
+    assert {tuple(r) for r in plans.profiler_trace_file(spark, sf).collect()} == whole
+    assert len(sizes) >= 75 and max(sizes) < sum(sizes) / 40
