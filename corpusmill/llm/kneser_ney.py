@@ -1,8 +1,7 @@
 """Quality classifier: an interpolated modified Kneser-Ney model over byte n-grams, trained on trusted text.
 
 1. Order-``ORDER`` byte n-grams of the trusted documents are counted: each task adds up its own, Spark joins the shards.
-   The trusted documents are those labelled ``quality = 1``, at most ``TRUSTED`` of them (those with the least hashes of doc_id),
-   each with its whole text.
+   The trusted documents are all those labelled ``quality = 1``, each with its whole text.
 2. Continuation counts of the lower orders, discounts, context weights and smoothed probabilities are joins and
    aggregations of count tables, all in Spark.  Byte n-grams saturate: the tables grow ever slower with the text.
 3. The finished tables are cut into shards by the last two bytes of the context, so that every byte of a text is scored
@@ -26,11 +25,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill.llm.tables import stored
+from corpusmill.llm.tables import small, stored
 from corpusmill.llm.text_arrays import text_chunks
 
 ORDER = 5
-TRUSTED = 200_000
 SHARD_GRAMS = 6_000_000
 QUANTILES = (0.5, 0.75)
 FENCE, LEAST_SPREAD, NOISE = 4.0, 0.01, 0.5
@@ -71,10 +69,9 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def trusted(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The texts of at most TRUSTED documents labelled good."""
-    good = labels.filter("quality = 1 and doc_id is not null").select(F.col("doc_id").alias("_id")).distinct()
-    good = good.orderBy(F.xxhash64("_id"), "_id").limit(TRUSTED)
-    return docs.select("doc_id", "text").join(F.broadcast(good), F.col("doc_id") == F.col("_id"), "left_semi").select("text")
+    """The texts of all documents labelled good."""
+    good = small(stored(labels.filter("quality = 1 and doc_id is not null").select(F.col("doc_id").alias("_id")).distinct(), "kn-good"))
+    return docs.select("doc_id", "text").join(good, F.col("doc_id") == F.col("_id"), "left_semi").select("text")
 
 
 def _suffix(code: Column, order: int) -> Column:

@@ -229,6 +229,12 @@ def test_classifier(spark) -> None:
     assert one == many
 
 
+def test_all_trusted_texts_are_counted(spark) -> None:
+    docs = spark.range(200_500).selectExpr("id as doc_id", "concat('t', id) as text")
+    labels = docs.selectExpr("doc_id", "if(doc_id % 1000 = 7, 0, 1) as quality")
+    assert kneser_ney.trusted(docs, labels).count() == 200_500 - 201
+
+
 def test_decontaminate(spark) -> None:
     item = "A train leaves Berlin at 9 and travels 120 km in 2 hours, how fast does the train go on average"
     bench = spark.createDataFrame([(1, item), (2, None), (3, "too short")], "item_id long, text string")
