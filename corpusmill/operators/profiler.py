@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from corpusmill.functions.scalars import DECIMAL_MB, NUMBER, duration_ms, number, percent, to_ms, used_percent, whole
 from corpusmill.operators.scans import last_value
 from corpusmill.sources.json_elements import json_elements
-from corpusmill.sources.logs import columns, section
+from corpusmill.sources.logs import columns, section, settled
 
 # Parts of names that mark matrix kernels, and their kinds in the order of the tests.
 GEMM_MARKERS = ("gemm", "nvjet", "block_scaled", "tensorop_bf16", "tensorop_s1688", "ue8m0xe4m3", "volta_sgemm", "ampere_sgemm")
@@ -83,32 +83,35 @@ def disk_rows(mounts: DataFrame) -> DataFrame:
     return there.select("run", "label", gb("total"), gb("used"), gb("free"), used_percent(F.col("used"), F.col("total")).alias("pct"))
 
 
+def _cut(lines: DataFrame, most: int) -> DataFrame:
+    """``lines`` with ``c``, their columns."""
+    return settled(lines.withColumn("c", columns(F.col("value"), most)))
+
+
 def torch_table(lines: DataFrame) -> DataFrame:
     """name, cuda_total_ms, self_cuda_ms, self_cuda_pct, calls of an operator table with 14 columns or more."""
-    c = columns(F.col("value"), -1)
-    at = lambda i: F.get(c, F.lit(i))
-    rows = lines.filter(~F.trim("value").startswith("-") & ~F.trim("value").startswith("Name") & (F.size(c) >= 14)).select(
+    at = lambda i: F.get("c", F.lit(i))
+    rows = _cut(lines, -1).filter(~F.trim("value").startswith("-") & ~F.trim("value").startswith("Name") & (F.size("c") >= 14)).select(
         at(0).alias("name"), duration_ms(at(8)).alias("cuda_total_ms"), duration_ms(at(6)).alias("self_cuda_ms"), percent(at(7)).alias("self_cuda_pct"),
-        whole(F.element_at(c, -1)).alias("calls"),
+        whole(F.element_at("c", -1)).alias("calls"),
     )
-    return rows.dropna().filter("cuda_total_ms > 0 or self_cuda_ms > 0")
+    return settled(rows).dropna().filter("cuda_total_ms > 0 or self_cuda_ms > 0")
 
 
 def kernel_table(lines: DataFrame) -> DataFrame:
     """name, time_pct, total_s, instances, avg_ms of lines with nine columns whose figures are numbers."""
-    c = columns(F.col("value"), 9)
-    rows = lines.filter(F.size(c) == 9).select(
+    c = F.col("c")
+    rows = _cut(lines, 9).filter(F.size(c) == 9).select(
         c[8].alias("name"), number(c[0]).alias("time_pct"), (whole(c[1]) / 1e9).alias("total_s"), whole(c[2]).alias("instances"), (number(c[3]) / 1e6).alias("avg_ms")
     )
-    return rows.dropna()
+    return settled(rows).dropna()
 
 
 def memory_operations(lines: DataFrame) -> DataFrame:
     """operation, total_bytes, count of the lines after the section's marker."""
-    inside = section(lines, F.contains(F.col("value"), F.lit(MEMOPS_MARKER)))
-    c = columns(F.col("value"), 8)
-    rows = inside.filter(F.size(c) == 8).select("run", c[7].alias("operation"), F.bround(number(c[0]) * DECIMAL_MB).cast("long").alias("total_bytes"), whole(c[1]).alias("n"))
-    return rows.dropna()
+    inside, c = section(lines, F.contains(F.col("value"), F.lit(MEMOPS_MARKER))), F.col("c")
+    rows = _cut(inside, 8).filter(F.size(c) == 8).select("run", c[7].alias("operation"), F.bround(number(c[0]) * DECIMAL_MB).cast("long").alias("total_bytes"), whole(c[1]).alias("n"))
+    return settled(rows).dropna()
 
 
 def header_name(value: Column) -> Column:

@@ -13,8 +13,9 @@ from corpusmill.sources.tables import scratch_path, table
 
 
 def _parts(spark: SparkSession, d: str) -> DataFrame:
-    """run, line_no, p: one row per part, 20 runs."""
-    return table(spark, d, "part").select(F.concat(F.lit("run"), F.col("p_partkey") % 20).alias("run"), F.col("p_partkey").alias("line_no"), "p_partkey", "p_type", "p_size", F.floor("p_retailprice").alias("price"))
+    """run, line_no, p: one row per part, 20 runs; dealt out, for the parts are a small file that few tasks would read."""
+    parts = table(spark, d, "part").select("p_partkey", "p_type", "p_size", "p_retailprice").repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return parts.select(F.concat(F.lit("run"), F.col("p_partkey") % 20).alias("run"), F.col("p_partkey").alias("line_no"), "p_partkey", "p_type", "p_size", F.floor("p_retailprice").alias("price"))
 
 
 def _lines(spark: SparkSession, d: str, text) -> DataFrame:

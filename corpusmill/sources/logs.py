@@ -43,3 +43,8 @@ def section(lines: DataFrame, marker: Column, end: Column | None = None) -> Data
 def columns(value: Column, most: int) -> Column:
     """The columns of a table line, apart by two or more spaces; the last takes the rest."""
     return F.split(F.trim(value), r"\s{2,}", most)
+
+
+def settled(rows: DataFrame) -> DataFrame:
+    """``rows`` whose columns are worked out once: a filter on them is not moved below, where it would work them out again and again."""
+    return rows.select(F.explode(F.array(F.struct(*rows.columns))).alias("_r")).select("_r.*")

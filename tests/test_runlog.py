@@ -98,3 +98,9 @@ def test_log_files_beyond_a_bigint(spark, tmp_path) -> None:
     spark.createDataFrame([(big + i, "F") for i in range(3)], "o_orderkey long, o_orderstatus string").write.parquet(str(tmp_path / "orders.parquet"))
     row = QUERIES["runlog_files"](spark, str(tmp_path)).first()
     assert (row.part, row.n, row.keys, int(row.placed)) == ("F", 3, 3 * big + 3, 2 * (big + 1) + 4 * (big + 2))
+
+
+def test_table_lines_are_split_once(spark) -> None:
+    for read in (profiler.torch_table, profiler.kernel_table, profiler.memory_operations):
+        plan = read(_lines(spark, "a", ["x"]))._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("split(") == 1
