@@ -1,8 +1,8 @@
 """Markdown tables in texts, set anew within a row width: found, cut to cells, measured, given widths and wrapped.
 
 A table is a head line and a rule below it, then the row lines that follow without a break.  A row line begins and ends with a
-bar; a rule needs three dashes a column, two columns at least, and outer bars only if it likes.  Lines, cells and columns are rows
-of DataFrames, so a long table is measured by partial aggregates.
+bar; a rule needs three dashes a column, two columns at least, and outer bars only if it likes.  A text is one row as given: its
+lines, and the cells of each of its tables, are arrays in its own row, so nothing is shuffled but the pieces of a text that is put together.
 
 Defined cases: null texts have no lines and stay null; a table without body rows has one empty row; rows are filled with empty cells or cut to the
 head's columns; a repeated head name counts two characters more and its number (it is kept apart by a mark of no width); an empty
@@ -11,7 +11,7 @@ head name is one blank.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Glyphs and their plain forms, the rule's pattern, the pattern of a reference number whose sign is doubled, and the
@@ -54,7 +54,8 @@ def folded(text: Column) -> Column:
 def cells(line: Column) -> Column:
     """The folded cells of a row line."""
     inner = F.regexp_replace(_stripped(line), r"^\||\|$", "")
-    return F.transform(F.split(inner, r"\|", -1), lambda c: folded(_stripped(c)))
+    plain = lambda c: F.when(c.rlike(r"[^\x00-\x7f]|#[0-9]{3}"), folded(c)).otherwise(c)
+    return F.transform(F.transform(F.split(inner, r"\|", -1), _stripped), plain)
 
 
 def longest_word(text: Column) -> Column:
@@ -66,72 +67,47 @@ def broken(text: Column, width: Column) -> Column:
     return F.regexp_replace(text, F.concat(F.lit("([^ ]{"), width.cast("string"), F.lit("})(?=[^ ])")), F.lit("$1 "))
 
 
-def lines(texts: DataFrame) -> DataFrame:
-    """id, at (from 0), line of every line of ``texts`` (id, text)."""
-    whole = F.regexp_replace("text", f"(?:{LINE_END})\\z", "")
-    return texts.select("id", F.posexplode(F.split(whole, LINE_END, -1)).alias("at", "line"))
-
-
-def tabled(rows: DataFrame) -> DataFrame:
-    """``rows`` (id, at, line) with ``head``, the place of the head line of the table a line is in, else null.
+def pieces(texts: DataFrame) -> DataFrame:
+    """id, at (the place of its first line, from 0), is_table, lines of each table of ``texts`` (id, text) and of each run of other lines;
+    ``lines`` is null for a null text.  Other columns stay.
 
-    Row lines come in blocks.  A block's first line that has a row line as rule below heads a table to the block's end, unless the table before goes on
-    into the block.  That is so where a bare rule alone parts the two blocks and the last line of the first is free to be a head:
-    in a chain of such blocks every other one, counted from one whose own table or other surroundings settle it.
+    Each line is a letter by what it can be: both row and rule, row, rule, other.  Tables are found from the first line on.
     """
-    order = Window.partitionBy("id").orderBy("at")
-    marked = rows.withColumns({"row": is_row(F.col("line")), "rule": is_rule(F.col("line"))})
-    marked = marked.withColumn("block", F.when(F.col("row"), F.count(F.when(~F.col("row"), 1)).over(order)))
-    # Of row lines the block is the number of other lines before; blocks parted by one line are next to each other by number.
-    opens = F.col("row") & F.lead("row").over(order) & F.lead("rule").over(order)
-    marked = marked.withColumns({"opens": opens, "bare": F.lead("rule").over(order) & ~F.lead("row").over(order)})
-    blocks = marked.filter("row").groupBy("id", "block").agg(
-        F.min(F.when(F.col("opens"), F.col("at"))).alias("own"), F.max("at").alias("last"), F.coalesce(F.max_by("bare", "at"), F.lit(False)).alias("bare")
-    )
-    chain = Window.partitionBy("id").orderBy("block")
-    joined = F.coalesce((F.lag("block").over(chain) == F.col("block") - 1) & F.lag("bare").over(chain) & F.lag("own").over(chain).isNull(), F.lit(False))
-    blocks = blocks.withColumn("joined", joined)
-    settled = F.max(F.when(~F.col("joined"), F.col("block"))).over(chain.rowsBetween(Window.unboundedPreceding, 0))
-    blocks = blocks.withColumn("goes_on", (F.col("block") - settled) % 2 == 1)
-    blocks = blocks.withColumn("before", F.when(F.col("goes_on"), F.lag("last").over(chain)))
-    # The head of the table that holds the block's lines, and the head of one that its last line begins with a bare rule below.
-    tail = F.when(F.col("bare") & ~F.col("goes_on") & F.col("own").isNull(), F.col("last"))
-    blocks = blocks.select(F.col("id").alias("_id"), F.col("block").alias("_block"), F.coalesce("before", "own").alias("from"), tail.alias("tail"))
-    both = marked.join(blocks, (F.col("id").eqNullSafe(F.col("_id"))) & (F.col("block") == F.col("_block")), "left")
-    head = F.when(F.col("at") >= F.col("from"), F.col("from")).when(F.col("at") == F.col("tail"), F.col("tail"))
-    both = both.withColumn("head", head)
-    # A bare rule follows its head line.
-    before = F.lag("tail").over(order)
-    under = ~F.col("row") & F.col("rule") & (before == F.col("at") - 1)
-    return both.select("id", "at", "line", F.when(under, before).otherwise(F.col("head")).alias("head"))
-
-
-def table_cells(rows: DataFrame) -> DataFrame:
-    """id, head, row (0 for the head line), cells, filled or cut to the head's columns, of the lines of ``tabled``."""
-    inside = rows.filter(F.col("head").isNotNull() & (F.col("at") != F.col("head") + 1)).withColumn("own", cells(F.col("line")))
-    heads = inside.filter("at = head").select(F.col("id").alias("_id"), F.col("head").alias("_head"), F.size("own").alias("n"))
-    body = inside.join(heads, F.col("id").eqNullSafe(F.col("_id")) & (F.col("head") == F.col("_head")))
-    full = F.slice(F.concat("own", F.array_repeat(F.lit(""), F.col("n"))), 1, F.col("n"))
-    row = F.when(F.col("at") == F.col("head"), 0).otherwise(F.col("at") - F.col("head") - 1)
-    return body.select("id", "head", row.alias("row"), full.alias("cells"))
-
-
-def column_widths(table_rows: DataFrame) -> DataFrame:
-    """id, head, naturals, mins: for each column of ``table_cells`` the greatest cell, and the least width: the longest word of
+    whole = F.regexp_replace("text", f"(?:{LINE_END})\\z", "")
+    rows = texts.withColumn("_lines", F.split(whole, LINE_END, -1))
+    kind = lambda x: F.when(is_row(x), F.when(is_rule(x), "h").otherwise("r")).otherwise(F.when(is_rule(x), "u").otherwise("x"))
+    marked = F.regexp_replace(F.array_join(F.transform("_lines", kind), ""), "([hr][hu][hr]*)", "<$1>")
+    rows = rows.withColumn("_sizes", F.transform(F.split(marked, "[<>]", -1), lambda s: F.length(s)))
+    start = F.struct(F.lit(0).alias("end"), F.array().cast("array<struct<at:int,size:int>>").alias("all"))
+    step = lambda s, n: F.struct((s["end"] + n).alias("end"), F.concat(s["all"], F.array(F.struct(s["end"].alias("at"), n.alias("size")))).alias("all"))
+    each = rows.select("*", F.posexplode_outer(F.aggregate("_sizes", start, step, lambda s: s["all"])).alias("_n", "_p")).filter("_p is null or _p.size > 0")
+    own = F.slice("_lines", F.col("_p.at") + 1, F.col("_p.size"))
+    return each.select(*texts.columns, F.col("_p.at").alias("at"), (F.col("_n") % 2 == 1).alias("is_table"), own.alias("lines")).drop("text")
+
+
+def table_cells(tables: DataFrame) -> DataFrame:
+    """``tables`` (lines) with ``cells``: those of the head line and of the row lines, filled or cut to the head's columns."""
+    own = tables.withColumn("_own", F.transform(F.filter("lines", lambda x, i: i != 1), cells))
+    n = F.size(F.col("_own")[0])
+    return own.withColumn("cells", F.transform("_own", lambda c: F.slice(F.concat(c, F.array_repeat(F.lit(""), n)), 1, n))).drop("_own", "lines")
+
+
+def column_widths(tables: DataFrame) -> DataFrame:
+    """``tables`` with naturals, mins: for each column of ``table_cells`` the greatest cell, and the least width: the longest word of
     the head, and of the body up to LONG_WORD."""
-    each = table_rows.select("id", "head", "row", "cells", F.posexplode("cells").alias("column", "cell"))
-    # How often the name stands in the head before: each repetition is told apart by a mark and its number.
-    earlier = F.size(F.filter(F.slice("cells", 1, F.col("column")), lambda c: c == F.col("cell")))
-    name = F.when(F.col("cell") == "", " ").otherwise(F.col("cell"))
-    name = F.when(earlier > 0, F.concat(name, F.lit(MARK), earlier.cast("string"))).otherwise(name)
-    cell = F.when(F.col("row") == 0, name).otherwise(F.col("cell"))
-    sized = each.select("id", "head", "column", "row", cell.alias("cell")).select("id", "head", "column", "row", F.length("cell").alias("size"), longest_word(F.col("cell")).alias("word"))
-    facts = sized.groupBy("id", "head", "column").agg(
-        F.greatest(F.lit(1), F.max("size")).alias("natural"),
-        F.greatest(F.lit(1), F.max(F.when(F.col("row") == 0, F.col("word"))), F.least(F.lit(LONG_WORD), F.coalesce(F.max(F.when(F.col("row") > 0, F.col("word"))), F.lit(0)))).alias("least"),
-    )
-    listed = facts.groupBy("id", "head").agg(F.sort_array(F.collect_list(F.struct("column", "natural", "least"))).alias("c"))
-    return listed.select("id", "head", F.col("c.natural").alias("naturals"), F.col("c.least").alias("mins"))
+    head = F.col("cells")[0]
+
+    def named(cell: Column, i: Column) -> Column:
+        # How often the name stands in the head before: each repetition is told apart by a mark and its number.
+        earlier = F.size(F.filter(F.slice(head, 1, i), lambda c: c == cell))
+        name = F.when(cell == "", " ").otherwise(cell)
+        return F.when(earlier > 0, F.concat(name, F.lit(MARK), earlier.cast("string"))).otherwise(name)
+
+    rows = tables.withColumns({"_names": F.transform(head, named), "_body": F.slice("cells", 2, F.size("cells"))})
+    most = lambda i, what: F.coalesce(F.array_max(F.transform("_body", lambda r: what(F.get(r, i)))), F.lit(0))
+    natural = F.transform("_names", lambda c, i: F.greatest(F.lit(1), F.length(c), most(i, F.length)))
+    least = F.transform("_names", lambda c, i: F.greatest(F.lit(1), longest_word(c), F.least(F.lit(LONG_WORD), most(i, longest_word))))
+    return rows.withColumns({"naturals": natural, "mins": least}).drop("_names", "_body")
 
 
 def _units(n: Column, key) -> Column:
@@ -172,46 +148,54 @@ def allotted(widths: DataFrame, max_row: int, max_col: int | None = None) -> Dat
     given = F.when(F.col("over") < 0, F.transform(F.slice(gives, 1, F.greatest(-F.col("over"), F.lit(0))), lambda u: u["i"])).otherwise(none)
     rows = rows.withColumns({"taken": taken, "given": given})
     count = lambda name, i: F.size(F.filter(F.col(name), lambda k: k == i))
-    rows = rows.withColumn("widths", F.transform(F.col("first"), lambda w, i: w - count("taken", i) + count("given", i)))
+    changed = F.transform(F.col("first"), lambda w, i: w - count("taken", i) + count("given", i))
+    rows = rows.withColumn("widths", F.when(F.size("taken") + F.size("given") > 0, changed).otherwise(F.col("first")))
     return rows.drop("budget", "total", "first", "over", "taken", "given")
 
 
 def wrapped(text: Column, width: Column) -> Column:
     """The lines of a cell: words filled in up to ``width``, longer ones broken; no line for an empty cell."""
+    one = F.trim(F.regexp_replace(text, " +", " "))
     even = F.trim(F.regexp_replace(broken(text, width), " +", " "))
-    return F.regexp_extract_all(even, F.concat(F.lit("(.{1,"), width.cast("string"), F.lit("})(?: |$)")), F.lit(1))
+    many = F.regexp_extract_all(even, F.concat(F.lit("(.{1,"), width.cast("string"), F.lit("})(?: |$)")), F.lit(1))
+    return F.when(F.length(text) > width, many).when(one == "", F.array().cast("array<string>")).otherwise(F.array(one))
 
 
-def set_lines(table_rows: DataFrame, widths: DataFrame) -> DataFrame:
-    """id, at, part, line: the lines of tables (``table_cells``) set in their ``widths`` (``allotted``), with a blank on both sides
-    of a cell; a row takes as many lines as its longest cell.  ``at`` is the place of the old line, ``part`` counts within."""
-    sizes = widths.select(F.col("id").alias("_id"), F.col("head").alias("_head"), "widths")
-    rows = table_rows.join(sizes, F.col("id").eqNullSafe(F.col("_id")) & (F.col("head") == F.col("_head")))
-    rows = rows.withColumn("parts", F.transform("cells", lambda c, i: wrapped(c, F.get("widths", i))))
-    height = F.greatest(F.lit(1), F.array_max(F.transform("parts", lambda p: F.size(p))))
-    rows = rows.select("id", "head", "row", "widths", "parts", F.explode(F.sequence(F.lit(0), height - 1)).alias("part"))
+def set_tables(tables: DataFrame) -> DataFrame:
+    """``tables`` (cells, widths) with ``piece``: the table set in its widths, with a blank on both sides of a cell; a row takes as many
+    lines as its longest cell, a table without a body has one empty row."""
+    wide = lambda i: F.get("widths", i)
+    rows = tables.withColumn("_parts", F.transform("cells", lambda r: F.transform(r, lambda c, i: wrapped(c, wide(i)))))
     bars = lambda cells: F.concat(F.lit("| "), F.array_join(cells, " | "), F.lit(" |"))
-    text = bars(F.transform("parts", lambda p, i: F.rpad(F.coalesce(F.get(p, F.col("part")), F.lit("")), F.get("widths", i), F.lit(" "))))
-    at = F.col("head") + F.when(F.col("row") > 0, F.col("row") + 1).otherwise(0)
-    body = rows.select("id", at.alias("at"), "part", text.alias("line"))
+
+    def line(row: Column, part: Column) -> Column:
+        return bars(F.transform(row, lambda p, i: F.rpad(F.coalesce(F.get(p, part), F.lit("")), wide(i), F.lit(" "))))
+
+    def printed(row: Column) -> Column:
+        height = F.greatest(F.lit(1), F.array_max(F.transform(row, lambda p: F.size(p))))
+        return F.array_join(F.transform(F.sequence(F.lit(0), height - 1), lambda part: line(row, part)), "\n")
+
+    rows = rows.withColumn("_set", F.transform("_parts", printed))
     rule = F.concat(F.lit("|"), F.array_join(F.transform("widths", lambda w: F.repeat(F.lit("-"), w + 2)), "|"), F.lit("|"))
     empty = bars(F.transform("widths", lambda w: F.repeat(F.lit(" "), w)))
-    # A table without a body gets its empty row right after the rule.
-    bodies = table_rows.groupBy("id", "head").agg(F.max("row").alias("last")).withColumnsRenamed({"id": "_i", "head": "_h"})
-    below = widths.join(bodies, F.col("id").eqNullSafe(F.col("_i")) & (F.col("head") == F.col("_h")))
-    below = below.select("id", (F.col("head") + 1).alias("at"), F.posexplode(F.when(F.col("last") > 0, F.array(rule)).otherwise(F.array(rule, empty))).alias("part", "line"))
-    return body.unionByName(below)
+    body = F.when(F.size("_set") > 1, F.slice("_set", 2, F.size("_set"))).otherwise(F.array(empty))
+    return rows.withColumn("piece", F.array_join(F.concat(F.array(F.col("_set")[0], rule), body), "\n")).drop("_parts", "_set")
+
+
+def tables(texts: DataFrame) -> DataFrame:
+    """id, head (the place of the head line), cells of each table of ``texts``."""
+    return table_cells(pieces(texts).filter("is_table")).withColumnRenamed("at", "head").drop("is_table")
 
 
 def reflowed(texts: DataFrame, max_row: int = 80, max_col: int | None = None) -> DataFrame:
     """id, text of ``texts`` (id, text; ids are unique), their tables set anew; other lines stay.  A null text stays null, an end of
     line at the end stays as one newline."""
-    marked = tabled(lines(texts))
-    table_rows = table_cells(marked)
-    new = set_lines(table_rows, allotted(column_widths(table_rows), max_row, max_col))
-    every = marked.filter("head is null").select("id", "at", F.lit(0).alias("part"), "line").unionByName(new)
-    joined = every.groupBy("id").agg(F.sort_array(F.collect_list(F.struct("at", "part", "line"))).alias("l"))
-    joined = joined.select(F.col("id").alias("_id"), F.array_join(F.col("l.line"), "\n").alias("_new"))
-    both = texts.select("id", "text").join(joined, F.col("id").eqNullSafe(F.col("_id")), "left")
     end = F.when(F.col("text").endswith("\n"), "\n").otherwise("")
-    return both.select("id", F.when(F.col("text").isNotNull(), F.concat("_new", end)).alias("text"))
+    # Lines outside of tables go the same way as a table without columns would, so that texts are read once.
+    every = pieces(texts.select("id", "text", end.alias("_end")))
+    plain = F.when(~F.col("is_table"), F.array_join("lines", "\n"))
+    every = every.select("id", "_end", "at", plain.alias("_plain"), F.when(F.col("is_table"), F.col("lines")).alias("lines"))
+    done = set_tables(allotted(column_widths(table_cells(every)), max_row, max_col))
+    joined = done.groupBy("id").agg(F.sort_array(F.collect_list(F.struct("at", F.coalesce("_plain", "piece").alias("piece")))).alias("l"), F.max("_end").alias("_end"))
+    text = F.concat(F.array_join("l.piece", "\n"), "_end")
+    return joined.select("id", F.when(F.col("l")[0]["at"].isNotNull(), text).alias("text"))

@@ -57,8 +57,7 @@ def _sheets(spark: SparkSession, d: str) -> DataFrame:
 @query(f"""with {SHEETS}, {ALLOTTED} select id, 1 as head, string_agg(nat, ';' order by col) as naturals, string_agg(least, ';' order by col) as mins,
   string_agg(width, ';' order by col) as widths from widths group by id""")
 def report_table_widths(spark: SparkSession, d: str) -> DataFrame:
-    rows = markdown_tables.table_cells(markdown_tables.tabled(markdown_tables.lines(_sheets(spark, d))))
-    shares = markdown_tables.allotted(markdown_tables.column_widths(rows), 60)
+    shares = markdown_tables.allotted(markdown_tables.column_widths(markdown_tables.tables(_sheets(spark, d))), 60)
     return shares.select("id", "head", *[F.array_join(F.col(c).cast("array<string>"), ";").alias(c) for c in ("naturals", "mins", "widths")])
 
 

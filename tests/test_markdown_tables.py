@@ -116,3 +116,9 @@ def test_empty_and_long(spark) -> None:
     text = "| n | what |\n|---|---|\n" + "".join(f"| {i} | {'word ' * 30}|\n" for i in range(3000))
     assert mt.reflowed(spark.createDataFrame([(1, text)], "id long, text string")).first().text == _reflow(text, 80, None)
     assert mt.reflowed(spark.range(1).select("id", F.lit("| a").alias("text"))).first().text == "| a"
+
+
+def test_a_reflowed_text_is_shuffled_once(spark) -> None:
+    rows = spark.createDataFrame([(1, "| a | b |\n|---|---|\n| c | d |")], "id long, text string")
+    plan = mt.reflowed(rows)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange ") == 1 and "Join" not in plan and "Window" not in plan
