@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, MapType, StructType
 
 from corpusmill.functions.scalars import GIB, MIB, NUMBER
-from corpusmill.operators.scans import last_value, scanned
+from corpusmill.operators.scans import handed, last_value, ranged, stored
 from corpusmill.operators.selection import order_statistics
 from corpusmill.sources.tables import scratch_path
 
@@ -89,18 +89,26 @@ def replay(events: DataFrame, order: list[str] | None = None) -> DataFrame:
     the last allocation and the live bytes are scans by blocks, so one device, or one address, is spread over all tasks.
     """
     moved = F.col("action").isin("alloc", "free_completed")
-    last = F.when(moved, F.struct("action", "size"))
-    rows = last_value(events, ["device", "addr"], order or ["idx"], last, "last", before=True)
+    order, numbered = order or ["idx"], bool(order)
+    own = events.withColumn("_last", F.when(moved, F.struct("action", "size")))
+    own = ranged(own.drop("last"), ["device", "addr"], order)
+    found = F.aggregate("_ranges", F.lit(None).cast(own.schema["_last"].dataType), lambda x, r: F.coalesce(r["_t"]["v"], x))
+    own = handed(own, ["device", "addr"], [F.max_by("_last", F.when(F.col("_last").isNotNull(), F.col("_at"))).alias("v")], found)
+    earlier = Window.partitionBy("_range", "device", "addr").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
+    rows = own.withColumn("last", F.coalesce(F.last("_last", ignorenulls=True).over(earlier), "_x"))
     given = F.when((F.col("addr") != 0) & (F.col("last")["action"] == "alloc"), F.col("last")["size"]).otherwise(F.col("size"))
     change = F.when(~moved, 0).when(F.col("action") == "alloc", F.col("size")).otherwise(-given)
-    rows = rows.select("device", "action", change.cast("long").alias("change"), *(order or ["idx"]))
-    # The number so far, and x -> max(x + a, b) for the live bytes.
-    zero = F.lit(0).cast("long")
-    maps = F.struct(F.lit(1).cast("long").alias("n"), F.col("change").alias("a"), zero.alias("b"))
-    apply = lambda x, m: F.struct((x["n"] + m["n"]).alias("n"), F.greatest(x["live"] + m["a"], m["b"]).alias("live"))
-    both = lambda f, g: F.struct((f["n"] + g["n"]).alias("n"), (f["a"] + g["a"]).alias("a"), F.greatest(f["b"] + g["a"], g["b"]).alias("b"))
-    rows = scanned(rows, ["device"], order or ["idx"], maps, F.struct(zero.alias("n"), zero.alias("live")), apply, both, "at")
-    rows = rows.filter(moved).select("device", "action", F.col("at.live").alias("live"), (F.col("at.n") if order else F.col("idx")).alias("idx"))
+    rows = rows.select("device", "action", change.cast("long").alias("change"), *[c for c in order if c not in ("device", "action", "change")])
+    # From x bytes on, x + a or what was summed up since the sum was least, if more: the sum so far less its least, or plus x.
+    so_far = Window.partitionBy("_range", "device").orderBy("_at").rowsBetween(Window.unboundedPreceding, 0)
+    rows = ranged(rows, ["device"], order)
+    rows = stored(rows.withColumns({"_n": F.count("*").over(so_far), "_sum": F.sum("change").over(so_far)}).withColumn("_least", F.min("_sum").over(so_far)), "replay-sums")
+    zero = F.struct(F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("live"))
+    step = lambda x, r: F.struct((x["n"] + r["_t"]["n"]).alias("n"), (r["_t"]["sum"] + F.greatest(x["live"], -r["_t"]["least"])).alias("live"))
+    rows = handed(rows, ["device"], [F.max("_n").alias("n"), F.sum("change").alias("sum"), F.min("_sum").alias("least")], F.aggregate("_ranges", zero, step))
+    x = F.coalesce("_x", zero)
+    rows = rows.withColumn("at", F.struct((x["n"] + F.col("_n")).alias("n"), (F.col("_sum") + F.greatest(x["live"], -F.col("_least"))).alias("live")))
+    rows = rows.filter(moved).select("device", "action", F.col("at.live").alias("live"), (F.col("at.n") if numbered else F.col("idx")).alias("idx"))
     grown = F.when((F.col("action") == "alloc") & (F.col("live") > 0), F.struct(F.col("live").alias("live"), (-F.col("idx")).alias("back")))
     return rows.groupBy("device").agg(F.max(grown).alias("top"), F.max_by("live", "idx").alias("live_end")).select(
         "device", F.coalesce("top.live", F.lit(0)).alias("peak"), F.coalesce(-F.col("top.back"), F.lit(-1)).alias("peak_idx"), "live_end"

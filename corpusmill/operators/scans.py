@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import MapType, VariantType
 
@@ -94,6 +94,31 @@ def scanned(rows: DataFrame, keys: list[str], order: list[str], maps: Column, st
     return spread(own, starts(own, start, apply, compose), apply, out, before)
 
 
+def ranged(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """The rows with _range and _at (the place in it), sorted by keys and order in ranges; stored.  Rows tied in ``order`` are put in
+    order by their other columns."""
+    loose = [f.name for f in rows.schema if f.name not in (*keys, *order) and not isinstance(f.dataType, MapType | VariantType)]
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = rows.repartitionByRange(parts, *keys, *order).sortWithinPartitions(*keys, *order, *loose)
+    placed = placed.withColumn("_id", F.monotonically_increasing_id())  # the partition above 33 bits, the place in it below
+    placed = placed.withColumns({"_range": F.shiftright("_id", 33), "_at": F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))})
+    return stored(placed.drop("_id"), "scan-rows")
+
+
+def handed(own: DataFrame, keys: list[str], totals: list[Column], before: Column) -> DataFrame:
+    """``own`` (``ranged``) with _x: for a key that began in an earlier range ``before``, over the ``totals`` of its ranges in ``_t`` up to
+    this one, else null.  One row per key and range is summed up, few of them are left."""
+    at = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    sums = own.groupBy(*keys, "_range").agg(F.struct(*totals).alias("_t"))
+    carried = sums.withColumn("_ranges", F.collect_list(F.struct("_range", "_t")).over(at)).filter(F.size("_ranges") > 0)
+    carried = stored(carried.select(*[F.col(k).alias(f"_c{i}") for i, k in enumerate(keys)], F.col("_range").alias("_r"), before.alias("_x")), "scan-carried")
+    same = F.col("_range") == F.col("_r")
+    for i, k in enumerate(keys):
+        same &= F.col(k).eqNullSafe(F.col(f"_c{i}"))
+    # At most one key goes on in each range.
+    return own.join(F.broadcast(carried), same, "left").drop("_r", *[f"_c{i}" for i in range(len(keys))])
+
+
 def last_value(rows: DataFrame, keys: list[str], order: list[str], value: Column, out: str, before: bool = False) -> DataFrame:
     """Adds ``out``: the last non-null value up to the row (or before it), null where there is none."""
     kind = rows.select(value.alias("v")).schema[0].dataType

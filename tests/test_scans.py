@@ -84,3 +84,10 @@ def test_smoothing_has_no_python_worker(spark) -> None:
     out = history.smoothed(rows, 0.5)
     assert [r.ema for r in out.orderBy("port", "ord").collect()] == [2.0, None, None, 3.0, None]
     assert "Python" not in out._jdf.queryExecution().toString() and "Arrow" not in out._jdf.queryExecution().toString()
+
+
+def test_replay_makes_no_lists_of_rows(spark, monkeypatch) -> None:
+    made = []
+    monkeypatch.setattr(scans, "blocks", lambda *a, **k: made.append(a))
+    events = spark.range(400).selectExpr("id % 2 as device", "id as idx", "if(id % 3 = 0, 'free_completed', 'alloc') as action", "id % 7 as size", "id % 5 as addr")
+    assert audit.replay(events.repartition(3)).count() == 2 and not made
