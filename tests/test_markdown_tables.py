@@ -122,3 +122,10 @@ def test_a_reflowed_text_is_shuffled_once(spark) -> None:
     rows = spark.createDataFrame([(1, "| a | b |\n|---|---|\n| c | d |")], "id long, text string")
     plan = mt.reflowed(rows)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange ") == 1 and "Join" not in plan and "Window" not in plan
+
+
+def test_widths_are_found_without_a_shuffle(spark) -> None:
+    rows = spark.createDataFrame([(1, "| a | b |\n|---|---|\n| c | dd |"), (2, None), (3, "no table")], "id long, text string")
+    widths = mt.allotted(mt.column_widths(mt.tables(rows)), 60)
+    assert "Exchange" not in widths._jdf.queryExecution().executedPlan().toString()
+    assert [(r.id, r.head, r.naturals, r.mins) for r in widths.collect()] == [(1, 0, [1, 2], [1, 2])]
